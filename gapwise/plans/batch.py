@@ -16,7 +16,7 @@ from gapwise.operators.event_sessions import (
     event_rule,
     sessionize_events,
 )
-from gapwise.scratch import materialize
+from gapwise.scratch import materialize, scratch_folder
 from gapwise.sources import events as source
 from gapwise.sources import lake, ledger
 
@@ -100,8 +100,9 @@ def run_batch(spark: SparkSession, spec: JobSpec) -> lake.OutputStats:
     fields = spec.ledger_fields() | {"started_at": _now()}
     ledger.append_state(spark, spec.output, fields | {"status": ledger.RUNNING})
     try:
-        rows, rejected = _rows_to_publish(spark, spec)
-        stats = _publish(spark, spec, rows)
+        with scratch_folder(spark, "batch"):
+            rows, rejected = _rows_to_publish(spark, spec)
+            stats = _publish(spark, spec, rows)
     except Exception as error:
         failure = {
             "status": ledger.FAILED,

@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -20,9 +23,25 @@ def scratch_root(spark: SparkSession) -> str:
     return made
 
 
+_folder: ContextVar[str | None] = ContextVar("scratch_folder", default=None)
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A path below the scratch root that no other call gets."""
-    return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
+    """A path that no other call gets, below the open scratch folder or else the root."""
+    return f"{_folder.get() or scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def scratch_folder(spark: SparkSession, label: str) -> Iterator[str]:
+    """Collects the scratch of the enclosed calls and removes it at the end."""
+    path = scratch_path(spark, label)
+    before = _folder.set(path)
+    try:
+        yield path
+    finally:
+        _folder.reset(before)
+        target = spark._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -93,23 +95,24 @@ def run_outcomes(planned: DataFrame, ledger: DataFrame) -> DataFrame:
     )
 
 
-def covered_days(ledger: DataFrame) -> DataFrame:
+def covered_days(ledger: DataFrame, lake: Sequence[str] = ()) -> DataFrame:
     """Per day asked of a finished run: the last such run, and whether it has rows there.
 
     A run answers for every day of its range, so a day that came out empty hides older versions.
+    ``lake`` names ledger columns that tell several lakes apart, e.g. ``output``.
     """
     done = latest_states(ledger).filter(F.col("status") == SUCCESS)
     last_day = F.date_sub(F.to_date("end_date"), 1)
     days = F.explode(F.sequence(F.to_date("start_date"), last_day))
-    asked = done.select("run_id", "completed_at", "partitions", days.alias("_day")).select(
-        F.date_format("_day", DAY_PATTERN).alias("dt"), "run_id", "completed_at", "partitions"
-    )
-    latest = F.struct("completed_at", "run_id")
-    last = F.max_by(F.struct("run_id", "partitions"), latest)
+    day = F.date_format("_day", DAY_PATTERN).alias("dt")
+    kept = ["run_id", "completed_at", "partitions"]
+    asked = done.select(*lake, *kept, days.alias("_day")).select(*lake, *kept, day)
+    last = F.max_by(F.struct("run_id", "partitions"), F.struct("completed_at", "run_id"))
     return (
-        asked.groupBy("dt")
+        asked.groupBy(*lake, "dt")
         .agg(last.alias("_run"))
         .select(
+            *lake,
             "dt",
             "_run.run_id",
             F.array_contains("_run.partitions", F.col("dt")).alias("has_rows"),
@@ -126,6 +129,6 @@ def current_versions(ledger: DataFrame) -> DataFrame:
     return covered_days(ledger).filter("has_rows").select("dt", "run_id")
 
 
-def redo_days(planned: DataFrame, ledger: DataFrame) -> DataFrame:
-    """Planned days (dt) that no finished run answers for."""
-    return planned.join(covered_days(ledger), "dt", "left_anti")
+def redo_days(planned: DataFrame, ledger: DataFrame, lake: Sequence[str] = ()) -> DataFrame:
+    """Planned days (``lake`` columns and dt) that no finished run answers for."""
+    return planned.join(covered_days(ledger, lake), [*lake, "dt"], "left_anti")

@@ -56,7 +56,7 @@ def sessionize_incremental(
     big, rest = hot_keys.split(new_events, hot)
     big_state, rest_state = hot_keys.split(state, hot)
     return _continue_in_one_window(rest, rest_state, rule).unionByName(
-        _continue_by_ranges(big, big_state, rule, hot)
+        continue_by_ranges(big, big_state, rule, hot.ranges, few_keys=hot.short)
     )
 
 
@@ -112,10 +112,19 @@ def _continue_in_one_window(new_events: DataFrame, state: DataFrame, rule: GapRu
     return numbered.filter(~F.col("_is_state")).select(*new_events.columns, *on_time, "is_late")
 
 
-def _continue_by_ranges(
-    big: DataFrame, state: DataFrame, rule: GapRule, hot: hot_keys.HotKeys
+def continue_by_ranges(
+    new_events: DataFrame,
+    state: DataFrame,
+    rule: GapRule,
+    ranges: int,
+    few_keys: bool = False,
 ) -> DataFrame:
-    """Hot keys: the state is one more chunk summary in front of the key's ranges."""
+    """Like ``sessionize_incremental`` with the rows cut into ordered ranges, for hot keys.
+
+    A key's state is one more chunk summary in front of its ranges.  ``few_keys`` promises no more
+    keys than ``hot.BROADCAST_ROWS`` in ``state``.
+    """
+    columns = new_events.columns
     t = F.col(rule.time)
     known = state.select(
         *[F.col(k).alias(f"_state_{k}") for k in rule.keys], F.col("last_time").alias("_state_time")
@@ -124,14 +133,15 @@ def _continue_by_ranges(
     for key in rule.keys:
         one = F.col(key).eqNullSafe(F.col(f"_state_{key}"))
         same = one if same is None else same & one
-    # State of hot keys only: at most one row for each entry of the hot list.
-    if hot.short:
-        known = F.broadcast(known)
     late = F.coalesce(t < F.col("_state_time"), F.lit(False))
-    marked = big.join(known, same, "left").withColumn("is_late", late).select(
-        *big.columns, "is_late"
+    marked = new_events.join(F.broadcast(known) if few_keys else known, same, "left").select(
+        *columns, late.alias("is_late")
     )
-    no_time = F.lit(None).cast(big.schema[rule.time].dataType)
+    on_time = marked.filter(~F.col("is_late")).select(*columns)
+    if not few_keys:
+        # The join may leave a key's rows in one partition; deal them out before they are grouped.
+        on_time = on_time.repartition(*columns)
+    no_time = F.lit(None).cast(new_events.schema[rule.time].dataType)
     seed = state.select(
         F.struct(*rule.keys, F.lit(None).cast("int").alias("_chunk")).alias("_part"),
         no_time.alias("_first"),
@@ -141,8 +151,7 @@ def _continue_by_ranges(
         F.col("session_start").alias("_last_start"),
         F.lit(0).cast("long").alias("_last_base"),
     )
-    on_time = marked.filter(~F.col("is_late")).select(*big.columns)
-    numbered = sessionize_by_ranges(on_time, rule, hot.ranges, seed).withColumn(
+    numbered = sessionize_by_ranges(on_time, rule, ranges, seed, few_keys).withColumn(
         "is_late", F.lit(False)
     )
     return numbered.unionByName(marked.filter("is_late"), allowMissingColumns=True)

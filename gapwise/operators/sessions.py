@@ -70,7 +70,7 @@ def sessionize(
         return _sessionize_in_one_window(df, rule)
     big, rest = hot_keys.split(df, hot)
     return _sessionize_in_one_window(rest, rule).unionByName(
-        sessionize_by_ranges(big, rule, hot.ranges)
+        sessionize_by_ranges(big, rule, hot.ranges, few_keys=hot.short)
     )
 
 
@@ -121,16 +121,24 @@ def sessionize_by_chunk(df: DataFrame, rule: GapRule, chunk: Column) -> DataFram
 
 
 def sessionize_by_ranges(
-    df: DataFrame, rule: GapRule, ranges: int, seed: DataFrame | None = None
+    df: DataFrame,
+    rule: GapRule,
+    ranges: int,
+    seed: DataFrame | None = None,
+    few_keys: bool = False,
 ) -> DataFrame:
     """Number sessions with the rows cut into about equal ranges of the full sort order.
 
     The cut points come from a sample of the complete order (key, time, ties, all other columns),
     so neither a hot key nor a hot instant ends up in one task.  Exact copies collapse into
-    weighted rows before the shuffle and are unfolded at the very end.
+    weighted rows before the shuffle and are unfolded at the very end.  ``few_keys`` promises no
+    more keys than ``hot.BROADCAST_ROWS``, which lets a short edge table be broadcast.
     """
     cut = hot_keys.cut_into_ranges(df, rule, ranges)
-    numbered = _stitch(cut, rule, seed=seed, few_chunks=ranges)
+    # A range holds the end of one key, whole keys, and the start of another: the edge table has
+    # at most one row per range and one per key.
+    small_edges = few_keys and ranges <= hot_keys.BROADCAST_ROWS
+    numbered = _stitch(cut, rule, seed, small_edges)
     return hot_keys.unfold_copies(numbered, df.columns)
 
 
@@ -143,7 +151,7 @@ def _running(rule: GapRule, parts: Sequence[str]) -> Window:
 
 
 def _stitch(
-    df: DataFrame, rule: GapRule, seed: DataFrame | None = None, few_chunks: int | None = None
+    df: DataFrame, rule: GapRule, seed: DataFrame | None = None, small_edges: bool = False
 ) -> DataFrame:
     """Number rows per (key, ``_chunk``), then carry sessions over the chunk edges.
 
@@ -180,8 +188,7 @@ def _stitch(
         F.max("_base").alias("_last_base"),
     )
     carried = carry_over_edges(summary, rule, seed)
-    if few_chunks is not None and few_chunks <= hot_keys.BROADCAST_ROWS // 2:
-        # One summary row per range and key in it: at most ranges + hot keys, both checked.
+    if small_edges:
         carried = F.broadcast(carried)
     joined = local.join(carried, "_part")
     inherits = (F.col("_seq") == 1) & (F.col("_merged") == 1)

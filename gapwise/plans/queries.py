@@ -16,22 +16,27 @@ from gapwise.functions.timeops import (
     parse_event_time,
     week_start,
 )
-from gapwise.operators import metrics
+from gapwise.operators import hot, metrics
 from gapwise.operators.event_sessions import (
     DEFAULT_ZONE,
     event_rule,
     session_rollup,
     sessionize_events,
 )
-from gapwise.operators.incremental import session_state, sessionize_incremental
+from gapwise.operators.incremental import (
+    continue_by_ranges,
+    session_state,
+    sessionize_incremental,
+)
 from gapwise.operators.sessions import (
     GapRule,
     mark_boundaries,
     sessionize,
     sessionize_by_chunk,
+    sessionize_by_ranges,
 )
 from gapwise.plans.batch import JobSpec, current_events, run_batch
-from gapwise.scratch import scratch_path
+from gapwise.scratch import materialize, scratch_path
 from gapwise.sources import events as source
 from gapwise.sources import lake, ledger
 from gapwise.sources.samples import raw_events, sample_events, table
@@ -42,8 +47,6 @@ Query = Callable[[SparkSession, str], DataFrame]
 SHORT_GAP = 300
 WIDE_GAP = 21_600
 OTHER_ZONE = "America/Phoenix"
-# Small limit that makes the test users count as hot, to run the range path on real rows.
-FORCED_HOT_ROWS = 20
 # Days that a second run publishes again, and the instant where new events begin.
 REDO_START, REDO_END = "2024-01-10", "2024-01-20"
 CUT = "2024-01-15 00:00:00"
@@ -220,8 +223,15 @@ def sessionize_split(spark, sf_dir):
 
 @_query
 def sessionize_hot_ranges(spark, sf_dir):
+    """All users by the path that hot users take."""
     events = sample_events(spark, sf_dir)
-    return sessionize(events, event_rule(WIDE_GAP), FORCED_HOT_ROWS).select(*_NUMBERED)
+    ranges = _ranges(events)
+    return sessionize_by_ranges(events, event_rule(WIDE_GAP), ranges).select(*_NUMBERED)
+
+
+def _ranges(events: DataFrame) -> int:
+    cores = events.sparkSession.sparkContext.defaultParallelism
+    return max(cores, events.count() // hot.HOT_ROWS + 1)
 
 
 @_query
@@ -274,23 +284,29 @@ def session_state_(spark, sf_dir):
 
 
 
-def _incremental(spark: SparkSession, sf_dir: str, hot_rows: int | None) -> DataFrame:
-    rule = event_rule(WIDE_GAP)
+def _old_state_and_new(
+    spark: SparkSession, sf_dir: str, rule: GapRule
+) -> tuple[DataFrame, DataFrame]:
     events = sample_events(spark, sf_dir)
     old = events.filter(F.col("event_time_utc") < CUT)
     new = events.filter(F.col("event_time_utc") >= CUT)
-    state = session_state(sessionize(old, rule), rule)
-    return sessionize_incremental(new, state, rule, hot_rows).select(*_NUMBERED, "is_late")
+    # State is a stored table, as between two real runs.
+    return materialize(session_state(sessionize(old, rule), rule), "state"), new
 
 
 @_query
 def incremental_sessionize(spark, sf_dir):
-    return _incremental(spark, sf_dir, 2_000_000)
+    rule = event_rule(WIDE_GAP)
+    state, new = _old_state_and_new(spark, sf_dir, rule)
+    return sessionize_incremental(new, state, rule).select(*_NUMBERED, "is_late")
 
 
 @_query
 def incremental_hot_ranges(spark, sf_dir):
-    return _incremental(spark, sf_dir, FORCED_HOT_ROWS)
+    """All users by the path that hot users take."""
+    rule = event_rule(WIDE_GAP)
+    state, new = _old_state_and_new(spark, sf_dir, rule)
+    return continue_by_ranges(new, state, rule, _ranges(new)).select(*_NUMBERED, "is_late")
 
 
 @_query

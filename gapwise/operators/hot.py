@@ -1,4 +1,4 @@
-"""Keys that hold more rows than one task should sort: find them, cut them, put copies back."""
+"""Keys that hold more rows than one task should sort: find them, cut them into ranges."""
 
 from __future__ import annotations
 
@@ -19,8 +19,6 @@ if TYPE_CHECKING:
 HOT_ROWS = 2_000_000
 # Key lists and range summaries up to this many rows are broadcast, longer ones are joined.
 BROADCAST_ROWS = 100_000
-# Exact copies that one weighted row may stand for; bounds the skew a weighted row can cause.
-COPIES_PER_ROW = 16
 
 
 @dataclass(frozen=True)
@@ -67,40 +65,14 @@ def split(df: DataFrame, hot: HotKeys) -> tuple[DataFrame, DataFrame]:
 def cut_into_ranges(df: DataFrame, rule: GapRule, ranges: int) -> DataFrame:
     """Place the rows into ordered ranges (``_chunk``) of about equal size.
 
-    Copies within one input task are merged before the shuffle, then spread again as rows of
-    ``_weight`` up to COPIES_PER_ROW; the task number in the group keeps many copies of one row
-    from meeting in one place.  Rows without a time are sessions of their own and stay single.
-    The placed rows are written out, because cut points are sampled anew whenever the exchange is
-    planned again.
+    The range order ends with a number of the row, so even equal rows can be cut apart.  The
+    numbered rows are written out first: a task that is run again after a loss reads the same
+    numbers, and sampling the cut points does not scan the whole source again.  The placed rows
+    are written out too, because the cut points are sampled anew whenever the plan runs again.
     """
-    zero = F.lit(0).cast("long")
-    most = F.when(F.col(rule.time).isNull(), 1).otherwise(COPIES_PER_ROW).cast("long")
-    left = F.col("_n") - F.col("_block") * F.col("_most")
-    blocks = (
-        df.withColumn("_task", F.spark_partition_id())
-        .groupBy(*df.columns, "_task")
-        .agg(F.count("*").alias("_n"))
-        .withColumn("_most", most)
-        .withColumn("_block", F.explode(F.sequence(zero, F.expr("(_n - 1) div _most"))))
-        .withColumn("_weight", F.least(F.col("_most"), left))
-        .drop("_n", "_most")
-    )
-    first = [*rule.keys, rule.time, *rule.ties]
-    others = [c for c in df.columns if c not in first]
-    order = [*first, *others, "_task", "_block"]
-    placed = blocks.repartitionByRange(
-        ranges, *[F.col(c).asc_nulls_first() for c in order]
-    ).withColumn("_chunk", F.spark_partition_id())
-    return materialize(placed, "hot-ranges")
-
-
-def unfold_copies(numbered: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """One row per event again: a weighted row ends at its ``session_event_seq``."""
-    return numbered.withColumn(
-        "_back", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_weight") - 1))
-    ).select(
-        *columns,
-        "session_seq",
-        "session_start",
-        (F.col("session_event_seq") - F.col("_back")).alias("session_event_seq"),
+    numbered = materialize(df.withColumn("_row", F.monotonically_increasing_id()), "hot-rows")
+    order = [F.col(c).asc_nulls_first() for c in (*rule.keys, rule.time, *rule.ties, "_row")]
+    placed = numbered.repartitionByRange(ranges, *order).withColumn(
+        "_chunk", F.spark_partition_id()
     )
+    return materialize(placed.drop("_row"), "hot-ranges")

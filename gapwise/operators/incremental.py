@@ -138,20 +138,7 @@ def continue_by_ranges(
         *columns, late.alias("is_late")
     )
     on_time = marked.filter(~F.col("is_late")).select(*columns)
-    if not few_keys:
-        # The join may leave a key's rows in one partition; deal them out before they are grouped.
-        on_time = on_time.repartition(*columns)
-    no_time = F.lit(None).cast(new_events.schema[rule.time].dataType)
-    seed = state.select(
-        F.struct(*rule.keys, F.lit(None).cast("int").alias("_chunk")).alias("_part"),
-        no_time.alias("_first"),
-        F.col("last_time").alias("_last"),
-        F.col("session_seq").alias("_opened"),
-        F.col("session_event_seq").alias("_rows"),
-        F.col("session_start").alias("_last_start"),
-        F.lit(0).cast("long").alias("_last_base"),
-    )
-    numbered = sessionize_by_ranges(on_time, rule, ranges, seed, few_keys).withColumn(
+    numbered = sessionize_by_ranges(on_time, rule, ranges, state, few_keys).withColumn(
         "is_late", F.lit(False)
     )
     return numbered.unionByName(marked.filter("is_late"), allowMissingColumns=True)

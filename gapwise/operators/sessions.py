@@ -21,6 +21,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from gapwise.functions.timeops import gap_in_seconds
 from gapwise.operators import hot as hot_keys
@@ -113,33 +114,31 @@ def sessionize_by_chunk(df: DataFrame, rule: GapRule, chunk: Column) -> DataFram
     """Number sessions with the window split over (key, chunk); same result as ``sessionize``.
 
     ``chunk`` must grow with the rule's time and give equal times equal values, e.g.
-    ``date_trunc('day', t)``.  No extra pass finds big keys, every key is split; use it where all
-    keys are long and events are spread over time.
+    ``date_trunc('day', t)``.  No pass looks for big keys, every key is split; use it where all
+    keys are long and their events are spread over time.
     """
-    plain = df.withColumns({"_chunk": chunk, "_weight": F.lit(1).cast("long")})
-    return _stitch(plain, rule).select(*df.columns, *SESSION_COLUMNS)
+    return _stitch(df.withColumn("_chunk", chunk), rule).select(*df.columns, *SESSION_COLUMNS)
 
 
 def sessionize_by_ranges(
     df: DataFrame,
     rule: GapRule,
     ranges: int,
-    seed: DataFrame | None = None,
+    state: DataFrame | None = None,
     few_keys: bool = False,
 ) -> DataFrame:
     """Number sessions with the rows cut into about equal ranges of the full sort order.
 
-    The cut points come from a sample of the complete order (key, time, ties, all other columns),
-    so neither a hot key nor a hot instant ends up in one task.  Exact copies collapse into
-    weighted rows before the shuffle and are unfolded at the very end.  ``few_keys`` promises no
-    more keys than ``hot.BROADCAST_ROWS``, which lets a short edge table be broadcast.
+    The cut points come from a sample of the complete order, down to the single row, so neither a
+    hot key, a hot instant nor many copies of one row end up in one task.  ``state`` has the open
+    sessions to continue (see ``incremental``).  ``few_keys`` promises no more keys than
+    ``hot.BROADCAST_ROWS``, which lets a short edge table be broadcast.
     """
     cut = hot_keys.cut_into_ranges(df, rule, ranges)
     # A range holds the end of one key, whole keys, and the start of another: the edge table has
     # at most one row per range and one per key.
     small_edges = few_keys and ranges <= hot_keys.BROADCAST_ROWS
-    numbered = _stitch(cut, rule, seed, small_edges)
-    return hot_keys.unfold_copies(numbered, df.columns)
+    return _stitch(cut, rule, state, small_edges).select(*df.columns, *SESSION_COLUMNS)
 
 
 def _running(rule: GapRule, parts: Sequence[str]) -> Window:
@@ -151,80 +150,108 @@ def _running(rule: GapRule, parts: Sequence[str]) -> Window:
 
 
 def _stitch(
-    df: DataFrame, rule: GapRule, seed: DataFrame | None = None, small_edges: bool = False
+    df: DataFrame, rule: GapRule, state: DataFrame | None = None, small_edges: bool = False
 ) -> DataFrame:
-    """Number rows per (key, ``_chunk``), then carry sessions over the chunk edges.
-
-    ``_weight`` is the number of equal events a row stands for.  ``seed`` has one chunk summary
-    per key that precedes all chunks (an open session kept from earlier input).
-    """
-    # A struct compares NULL fields as equal, so NULL keys group, shuffle and join like any other.
-    part = F.struct(*rule.keys, "_chunk")
-    keyed = df.withColumn("_part", part)
-    w = Window.partitionBy("_part").orderBy(*rule.order)
+    """Number rows per (key, ``_chunk``), then carry sessions over the chunk edges."""
+    keyed = _with_part(df, rule)
+    part = [c for c in keyed.columns if c.startswith("_part")]
+    w = Window.partitionBy(*part).orderBy(*rule.order)
     run = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    opened = F.col("_opens") == 1
+    t, opened = F.col(rule.time), F.col("_opens") == 1
 
     positioned = keyed.withColumns(
-        {
-            "_opens": rule.opens(F.lag(rule.time, 1).over(w)),
-            "_pos": F.sum("_weight").over(run),
-        }
-    ).withColumn("_base", F.when(opened, F.col("_pos") - F.col("_weight")))
-
+        {"_previous": F.lag(rule.time, 1).over(w), "_pos": F.row_number().over(w).cast("long")}
+    ).withColumn("_opens", rule.opens(F.col("_previous")))
     local = positioned.withColumns(
         {
             "_seq": F.sum("_opens").over(run),
-            "_start": F.last(F.when(opened, F.col(rule.time)), True).over(run),
-            "_base": F.last("_base", True).over(run),
+            "_start": F.last(F.when(opened, t), True).over(run),
+            "_base": F.last(F.when(opened, F.col("_pos") - 1), True).over(run),
         }
     )
-    summary = positioned.groupBy("_part").agg(
-        F.min(rule.time).alias("_first"),
-        F.max(rule.time).alias("_last"),
+    edges = positioned.groupBy(*part).agg(
+        F.min(t).alias("_first"),
+        F.max(t).alias("_last"),
         F.sum("_opens").alias("_opened"),
-        F.sum("_weight").alias("_rows"),
-        F.max(F.when(opened, F.col(rule.time))).alias("_last_start"),
-        F.max("_base").alias("_last_base"),
+        F.count("*").alias("_rows"),
+        F.max(F.when(opened, t)).alias("_last_start"),
+        F.max(F.when(opened, F.col("_pos") - 1)).alias("_last_base"),
     )
-    carried = carry_over_edges(summary, rule, seed)
-    if small_edges:
-        carried = F.broadcast(carried)
-    joined = local.join(carried, "_part")
+    if state is not None:
+        edges = _state_edges(state, rule, keyed).unionByName(edges)
+    carried = _carry_over_edges(edges, rule.gap_seconds)
+    joined = local.join(F.broadcast(carried) if small_edges else carried, part)
     inherits = (F.col("_seq") == 1) & (F.col("_merged") == 1)
-    start = F.when(inherits, F.col("_carry_start")).otherwise(F.col("_start"))
-    base = F.when(inherits, F.col("_carry_base")).otherwise(
-        F.col("_rows_before") + F.col("_base")
-    )
+    own_base = F.col("_rows_before") + F.col("_base")
+    base = F.when(inherits, F.col("_carry_base")).otherwise(own_base)
     return joined.withColumns(
         {
             "session_seq": F.col("_seq_before") + F.col("_seq") - F.col("_merged"),
-            "session_start": start,
+            "session_start": F.when(inherits, F.col("_carry_start")).otherwise(F.col("_start")),
             "session_event_seq": F.col("_rows_before") + F.col("_pos") - base,
         }
     )
 
 
-def carry_over_edges(
-    summary: DataFrame, rule: GapRule, seed: DataFrame | None = None
-) -> DataFrame:
+def _with_part(df: DataFrame, rule: GapRule) -> DataFrame:
+    """Add non-null copies of the keys and the chunk, and flags for the NULLs they replace.
+
+    NULL is a key like any other; with plain equality on these columns the rows stay where the
+    windows put them when the edge table is joined, which a null-safe join would not do.
+    """
+    nulls = sum((F.col(k).isNull().cast("int") * 2**i for i, k in enumerate(rule.keys)), F.lit(0))
+    chunk_type = df.schema["_chunk"].dataType
+    columns = {
+        f"_part_key{i}": F.coalesce(F.col(k), _filler(df.schema[k].dataType))
+        for i, k in enumerate(rule.keys)
+    }
+    columns["_part_nulls"] = nulls
+    columns["_part_has_chunk"] = F.col("_chunk").isNotNull()
+    columns["_part_chunk"] = F.coalesce(F.col("_chunk"), _filler(chunk_type))
+    return df.withColumns(columns).drop("_chunk")
+
+
+def _filler(kind: T.DataType) -> Column:
+    if isinstance(kind, T.StringType):
+        return F.lit("")
+    if isinstance(kind, (T.DateType, T.TimestampType, T.TimestampNTZType)):
+        return F.lit("1970-01-01").cast(kind)
+    if isinstance(kind, (T.NumericType, T.BooleanType)):
+        return F.lit(0).cast(kind)
+    raise TypeError(f"cannot split by a key of type {kind.simpleString()}")
+
+
+def _state_edges(state: DataFrame, rule: GapRule, keyed: DataFrame) -> DataFrame:
+    """An open session kept from earlier input, as the edge of a chunk before all chunks."""
+    no_chunk = F.lit(None).cast(keyed.schema["_part_chunk"].dataType)
+    seeded = _with_part(state.withColumn("_chunk", no_chunk), rule)
+    return seeded.select(
+        *[c for c in seeded.columns if c.startswith("_part")],
+        F.lit(None).cast(keyed.schema[rule.time].dataType).alias("_first"),
+        F.col("last_time").alias("_last"),
+        F.col("session_seq").alias("_opened"),
+        F.col("session_event_seq").alias("_rows"),
+        F.col("session_start").alias("_last_start"),
+        F.lit(0).cast("long").alias("_last_base"),
+    )
+
+
+def _carry_over_edges(edges: DataFrame, gap_seconds: int) -> DataFrame:
     """For each chunk: is its first session the previous chunk's last one, and what came before.
 
     Input has one row per (key, chunk): small, whatever the number of events.
     """
-    if seed is not None:
-        summary = seed.unionByName(summary)
-    by_key = (
-        Window.partitionBy(*[F.col(f"_part.{k}") for k in rule.keys])
-        .orderBy(F.col("_part._chunk").asc_nulls_first())
-    )
+    part = [c for c in edges.columns if c.startswith("_part")]
+    key = [c for c in part if c not in ("_part_has_chunk", "_part_chunk")]
+    by_key = Window.partitionBy(*key).orderBy("_part_has_chunk", "_part_chunk")
     so_far = by_key.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     before = by_key.rowsBetween(Window.unboundedPreceding, -1)
-    near = gap_in_seconds(F.col("_previous_last"), F.col("_first")) < rule.gap_seconds
+    near = gap_in_seconds(F.col("_previous_last"), F.col("_first")) < gap_seconds
     # A chunk owns its last session unless that session came in from the chunk before.
     owns = (F.col("_merged") == 0) | (F.col("_opened") > 1)
+    added = F.col("_opened") - F.col("_merged")
     return (
-        summary.withColumns(
+        edges.withColumns(
             {
                 "_previous_last": F.lag("_last", 1).over(by_key),
                 "_rows_before": F.sum("_rows").over(so_far) - F.col("_rows"),
@@ -233,16 +260,12 @@ def carry_over_edges(
         .withColumn("_merged", F.when(F.coalesce(near, F.lit(False)), 1).otherwise(0))
         .withColumns(
             {
-                "_seq_before": F.sum(F.col("_opened") - F.col("_merged")).over(so_far)
-                - F.col("_opened")
-                + F.col("_merged"),
+                "_seq_before": F.sum(added).over(so_far) - added,
                 "_carry_start": F.last(F.when(owns, F.col("_last_start")), True).over(before),
                 "_carry_base": F.last(
                     F.when(owns, F.col("_rows_before") + F.col("_last_base")), True
                 ).over(before),
             }
         )
-        .select(
-            "_part", "_merged", "_rows_before", "_seq_before", "_carry_start", "_carry_base"
-        )
+        .select(*part, "_merged", "_rows_before", "_seq_before", "_carry_start", "_carry_base")
     )

@@ -94,12 +94,9 @@ def days_to_redo(
         .drop("session_seq")
         .filter(F.col("session_end") <= closed_until)
     )
-    missed = sizes.join(
-        streamed, [*rule.keys, "session_start", "session_end", "events"], "left_anti"
-    )
+    missed = sizes.subtract(streamed.select(*sizes.columns))
     first, last = (
         F.to_date(local_day(F.col(c), zone)) for c in ("session_start", "session_end")
     )
-    return missed.select(
-        F.date_format(F.explode(F.sequence(first, last)), DAY_PATTERN).alias("dt")
-    ).distinct()
+    days = missed.select(F.explode(F.sequence(first, last)).alias("day"))
+    return days.select(F.date_format("day", DAY_PATTERN).alias("dt")).distinct()

@@ -19,6 +19,7 @@ def spark(tmp_path_factory):
         .config("spark.driver.memory", "4g")
         .getOrCreate()
     )
+    session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+from collections.abc import Callable
 from dataclasses import dataclass, field
 from datetime import date, datetime, timedelta, timezone
 
@@ -94,15 +95,44 @@ class JobSpec:
 
 
 def run_batch(spark: SparkSession, spec: JobSpec) -> lake.OutputStats:
-    """Run one job and record it; on an error the FAILED row is written and the error raised."""
+    """Read, sessionize, publish and record one range of days."""
+
+    def publish() -> tuple[lake.OutputStats, dict]:
+        with scratch_folder(spark, "batch"):
+            rows, rejected = _rows_to_publish(spark, spec)
+            return _publish(spark, spec, rows), {"rejected_rows": rejected}
+
+    return _recorded(spark, spec, publish)
+
+
+def compact_batch(spark: SparkSession, spec: JobSpec, file_bytes: int) -> lake.OutputStats:
+    """Rewrite the current days of the range as a new version with files of ``file_bytes``.
+
+    Rows keep the run id that made them; the version, the pointers and the ledger get the new one.
+    """
+
+    def publish() -> tuple[lake.OutputStats, dict]:
+        pointer = ledger.current_versions(ledger.read_ledger(spark, spec.output)).filter(
+            (F.col("dt") >= spec.start_date) & (F.col("dt") < spec.end_date)
+        )
+        lake.compact_days(spark, spec.output, pointer, spec.run_id, file_bytes)
+        return _point(spark, spec, lake.verify_version(spark, spec.output, spec.run_id)), {}
+
+    if not spec.catalog_sync:
+        raise ValueError("only a lake of versions can be compacted")
+    return _recorded(spark, spec, publish)
+
+
+def _recorded(
+    spark: SparkSession, spec: JobSpec, publish: Callable[[], tuple[lake.OutputStats, dict]]
+) -> lake.OutputStats:
+    """Run ``publish`` between a RUNNING and a SUCCESS row; on an error write FAILED and raise."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     _refuse_conflicts(spark, spec)
     fields = spec.ledger_fields() | {"started_at": _now()}
     ledger.append_state(spark, spec.output, fields | {"status": ledger.RUNNING})
     try:
-        with scratch_folder(spark, "batch"):
-            rows, rejected = _rows_to_publish(spark, spec)
-            stats = _publish(spark, spec, rows)
+        stats, found = publish()
     except Exception as error:
         failure = {
             "status": ledger.FAILED,
@@ -117,9 +147,8 @@ def run_batch(spark: SparkSession, spec: JobSpec) -> lake.OutputStats:
         "completed_at": _now(),
         "row_count": stats.row_count,
         "partitions": list(stats.days),
-        "rejected_rows": rejected,
     }
-    ledger.append_state(spark, spec.output, fields | success)
+    ledger.append_state(spark, spec.output, fields | success | found)
     return stats
 
 
@@ -173,6 +202,10 @@ def _publish(spark: SparkSession, spec: JobSpec, rows: DataFrame) -> lake.Output
             rows, spec.output, spec.run_id, spec.days, spec.repartition_by_dt
         )
     stats = lake.stage_version(rows, spec.output, spec.run_id, spec.repartition_by_dt)
+    return _point(spark, spec, stats)
+
+
+def _point(spark: SparkSession, spec: JobSpec, stats: lake.OutputStats) -> lake.OutputStats:
     lake.ensure_table(spark, spec.full_table, spec.output)
     version = lake.version_path(spec.output, spec.run_id)
     lake.point_days(spark, spec.full_table, version, stats.days, spec.days)

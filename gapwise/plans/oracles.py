@@ -158,7 +158,9 @@ SELECT * FROM ({EVENTS}) WHERE event_time_utc >= TIMESTAMP '{REDO_START} 00:00:0
     "local_day_other_zone": local("- INTERVAL 7 HOUR"),
     "week_start": f"""
 SELECT event_id AS product_id, {DAY.format("ts")} AS dt,
-       CAST(date_trunc('week', CAST({DAY.format("ts")} AS DATE)) AS DATE) AS week_start FROM events
+       CAST(date_trunc('week', CAST({DAY.format("ts")} AS DATE)) AS DATE) AS week_start,
+       CAST(date_trunc('week', CAST({DAY.format("ts")} AS DATE)) AS DATE) AS counted_week_start
+FROM events
 """,
     "session_boundaries": f"""
 WITH p AS (SELECT *, lag(event_time_utc) OVER (PARTITION BY user_id ORDER BY {ORDER}) AS previous_time

@@ -159,9 +159,13 @@ def _local(spark: SparkSession, sf_dir: str, zone: str) -> DataFrame:
 
 @_query
 def week_start_(spark, sf_dir):
+    """The Monday of each day, by truncation and by day arithmetic from a known Monday."""
     day = local_day(F.col("event_time_utc"), DEFAULT_ZONE)
-    return sample_events(spark, sf_dir).select(
-        "product_id", day.alias("dt"), week_start(day).alias("week_start")
+    counted = F.expr("date_sub(to_date(dt), pmod(datediff(to_date(dt), DATE'1970-01-05'), 7))")
+    return (
+        sample_events(spark, sf_dir)
+        .select("product_id", day.alias("dt"))
+        .withColumns({"week_start": week_start(F.col("dt")), "counted_week_start": counted})
     )
 
 
@@ -403,19 +407,23 @@ def files_per_partition(spark, sf_dir):
 def compacted_days(spark, sf_dir):
     """Days rewritten with a byte target that some days exceed; no day may have too many files."""
     root = _lake_root(spark)
-    path, target = (lake.version_path(root, r) for r in ("run-1", "run-1-compact"))
-    lake.write_days(_published(spark, sf_dir), path)
-    planned = lake.compact_days(spark, path, target, 16_384)
+    rows = _published(spark, sf_dir)
+    lake.write_days(rows, lake.version_path(root, "run-1"))
+    pointer = lake.day_counts(lake.read_days(spark, lake.version_path(root, "run-1"))).select(
+        "dt", F.lit("run-1").alias("run_id")
+    )
+    planned = lake.compact_days(spark, root, pointer, "run-1-compact", 16_384)
     plan = spark.createDataFrame(list(planned.items()), "dt string, planned int")
-    rows = lake.read_days(spark, target)
+    target = lake.version_path(root, "run-1-compact")
+    value = F.sum("price").cast("decimal(18,2)")
+    as_planned = F.col("files") <= F.col("planned")
     return (
-        rows.groupBy("dt")
-        .agg(
-            F.count("*").alias("row_count"), F.sum("price").cast("decimal(18,2)").alias("value")
-        )
-        .join(lake.day_files(spark, target).select("dt", "files"), "dt")
+        lake.read_days(spark, target)
+        .groupBy("dt")
+        .agg(F.count("*").alias("row_count"), value.alias("value"))
+        .join(lake.day_files(spark, target), "dt")
         .join(F.broadcast(plan), "dt")
-        .select("dt", "row_count", "value", (F.col("files") <= F.col("planned")).alias("as_planned"))
+        .select("dt", "row_count", "value", as_planned.alias("as_planned"))
     )
 
 

@@ -13,7 +13,7 @@ from dataclasses import dataclass
 from functools import reduce
 from math import ceil
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -75,9 +75,15 @@ def stage_version(
     Nothing points at the version yet, so a failed run changes nothing for readers.  A run id that
     already has a version is refused by the write itself.
     """
-    path = version_path(root, run_id)
-    write_days(rows, path, "errorifexists", gather_days)
-    return _not_empty(output_stats(read_days(rows.sparkSession, path, rows.schema)))
+    write_days(rows, version_path(root, run_id), "errorifexists", gather_days)
+    return verify_version(rows.sparkSession, root, run_id, rows.schema)
+
+
+def verify_version(
+    spark: SparkSession, root: str, run_id: str, schema: T.StructType = LAKE_SCHEMA
+) -> OutputStats:
+    """Row count and days as the files have them; a version without any day is an error."""
+    return _not_empty(output_stats(read_days(spark, version_path(root, run_id), schema)))
 
 
 def replace_days(
@@ -95,8 +101,10 @@ def replace_days(
     spark = rows.sparkSession
     write_days(rows, root, "overwrite", gather_days)
     written = read_days(spark, root, rows.schema)
+    if asked_days:
+        written = written.filter(F.col("dt").isin(list(asked_days)))
     stats = _not_empty(output_stats(written.filter(F.col("run_id") == run_id)))
-    stale = written.filter(F.col("dt").isin(list(asked_days)) & (F.col("run_id") != run_id))
+    stale = written.filter(F.col("run_id") != run_id)
     no_rows = spark.createDataFrame([], T.StructType([f for f in rows.schema if f.name != "dt"]))
     for day in output_stats(stale).days if asked_days else ():
         no_rows.write.mode("overwrite").parquet(f"{root.rstrip('/')}/dt={day}")
@@ -166,33 +174,46 @@ def _sql_text(value: str) -> str:
     return f"'{escaped}'"
 
 
+def _current_folders(root: str, pointer: DataFrame) -> dict[str, list[str]]:
+    """Version folder -> its day folders that ``pointer`` (dt, run_id) names.
+
+    The pointer has one row per calendar day, so it is small.
+    """
+    folders: dict[str, list[str]] = {}
+    for row in pointer.select("dt", "run_id").collect():
+        base = version_path(root, row["run_id"])
+        folders.setdefault(base, []).append(f"{base}/dt={row['dt']}")
+    return {base: sorted(days) for base, days in sorted(folders.items())}
+
+
 def current_rows(
-    spark: SparkSession, root: str, pointer: DataFrame, schema: T.StructType = LAKE_SCHEMA
+    spark: SparkSession,
+    root: str,
+    pointer: DataFrame,
+    schema: T.StructType = LAKE_SCHEMA,
+    *more: Column,
 ) -> DataFrame:
-    """Rows of a versions lake as of ``pointer`` (dt, run_id): every day from one run.
+    """Rows of a versions lake as of ``pointer``: every day from one run.
 
-    Only the pointed-at day folders are listed and read, so replaced versions cost nothing.  The
-    pointer has one row per calendar day.
+    Only the pointed-at day folders are listed and read, so replaced versions cost nothing.
+    ``more`` columns may use the files' ``_metadata``.
     """
-    by_run: dict[str, list[str]] = {}
-    for row in pointer.select("dt", "run_id").collect():
-        by_run.setdefault(row["run_id"], []).append(row["dt"])
-    parts = []
-    for run_id, days in sorted(by_run.items()):
-        base = version_path(root, run_id)
-        reader = spark.read.schema(schema).option("basePath", base)
-        parts.append(reader.parquet(*[f"{base}/dt={day}" for day in sorted(days)]))
+    parts = [
+        spark.read.schema(schema).option("basePath", base).parquet(*days).select("*", *more)
+        for base, days in _current_folders(root, pointer).items()
+    ]
     if not parts:
         return spark.createDataFrame([], schema)
     return reduce(DataFrame.unionByName, parts)
 
 
-def day_files(spark: SparkSession, path: str) -> DataFrame:
-    """Files and bytes per day, from the listing alone (no file is opened)."""
+def day_files(spark: SparkSession, base: str, folders: Sequence[str] = ()) -> DataFrame:
+    """Files and bytes per day below ``base``, from the listing alone (no file is opened)."""
     listing = (
         spark.read.format("binaryFile")
         .option("pathGlobFilter", "*.parquet")
-        .load(path)
+        .option("basePath", base)
+        .load(list(folders) or base)
         .select(F.col("dt").cast("string").alias("dt"), "length")
     )
     return listing.groupBy("dt").agg(
@@ -200,34 +221,42 @@ def day_files(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def current_day_files(spark: SparkSession, root: str, pointer: DataFrame) -> DataFrame:
+    """Files and bytes of each day as of ``pointer``."""
+    parts = [
+        day_files(spark, base, days) for base, days in _current_folders(root, pointer).items()
+    ]
+    if not parts:
+        return spark.createDataFrame([], "dt string, files long, bytes long")
+    return reduce(DataFrame.unionByName, parts)
+
+
 def compact_days(
     spark: SparkSession,
-    source: str,
-    target: str,
+    root: str,
+    pointer: DataFrame,
+    run_id: str,
     file_bytes: int,
     schema: T.StructType = LAKE_SCHEMA,
 ) -> dict[str, int]:
-    """Rewrite the days of ``source`` into ``target`` with files of about ``file_bytes``.
+    """Write the days of ``pointer`` as a new version with files of about ``file_bytes``.
 
     A day gets ceil(bytes / file_bytes) files.  Rows are dealt to a day's files by their place in
-    the source, so files come out even whatever the keys are.  Returns the planned file counts.
+    the source files, so the files come out even whatever the keys are.  Returns the planned
+    number of files per day.
     """
     # One row per calendar day.
-    sizes = {r["dt"]: r["bytes"] for r in day_files(spark, source).collect()}
+    sizes = {r["dt"]: r["bytes"] for r in current_day_files(spark, root, pointer).collect()}
     files = {day: max(1, ceil(size / file_bytes)) for day, size in sorted(sizes.items())}
     slots, first = [], 0
     for day, count in files.items():
         slots.append((day, first, count))
         first += count
     plan = spark.createDataFrame(slots, "dt string, _first int, _files int")
-    place = F.xxhash64("_metadata.file_path", "_metadata.row_index")
-    dealt = (
-        read_days(spark, source, schema)
-        .withColumn("_place", place)
-        .join(F.broadcast(plan), "dt")
-        .withColumn("_slot", (F.col("_first") + F.pmod("_place", "_files")).cast("int"))
-    )
+    place = F.xxhash64("_metadata.file_path", "_metadata.row_index").alias("_place")
+    dealt = current_rows(spark, root, pointer, schema, place).join(F.broadcast(plan), "dt")
+    slot = (F.col("_first") + F.pmod("_place", "_files")).cast("int")
     columns = [f.name for f in schema]
-    gathered = dealt.repartitionById(max(first, 1), F.col("_slot")).select(*columns)
-    write_days(gathered, target, "errorifexists", gather_days=False)
+    gathered = dealt.repartitionById(max(first, 1), slot).select(*columns)
+    write_days(gathered, version_path(root, run_id), "errorifexists", gather_days=False)
     return files

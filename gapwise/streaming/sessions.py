@@ -16,10 +16,21 @@ MERGE_BEFORE_SHUFFLE = "spark.sql.streaming.sessionWindow.merge.sessions.in.loca
 
 
 def read_event_stream(
-    spark: SparkSession, path: str, schema: T.StructType, file_format: str = "parquet"
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType,
+    file_format: str = "parquet",
+    bytes_per_batch: str | None = None,
 ) -> DataFrame:
-    """Files of a folder or glob as a stream."""
-    return spark.readStream.schema(schema).format(file_format).load(path)
+    """Files of a folder or glob as a stream.
+
+    ``bytes_per_batch`` (such as "500g") takes a long backlog in several batches, oldest files
+    first; the watermark then moves between them.
+    """
+    reader = spark.readStream.schema(schema).format(file_format)
+    if bytes_per_batch is not None:
+        reader = reader.option("maxBytesPerTrigger", bytes_per_batch)
+    return reader.load(path)
 
 
 def stream_sessions(events: DataFrame, rule: GapRule, lateness: str) -> DataFrame:

@@ -4,7 +4,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from gapwise.operators import metrics
-from gapwise.plans.batch import JobSpec, current_events, run_batch
+from gapwise.plans.batch import JobSpec, compact_batch, current_events, run_batch
+from gapwise.scratch import materialize
 from gapwise.sources import events as source
 from gapwise.sources import lake, ledger
 
@@ -223,26 +224,55 @@ def test_path_named_twice_is_read_twice(spark, files):
 
 
 def test_files_per_day_and_compaction(spark, tmp_path, files):
-    spec = spec_for(
-        tmp_path, files("a.csv", SAMPLE), "r", "2019-10-01", "2019-10-03", table="compact_src"
+    root = str(tmp_path / "lake")
+    run_batch(
+        spark, spec_for(tmp_path, files("a.csv", SAMPLE), "r", "2019-10-01", "2019-10-03", table="compact_src")
     )
-    run_batch(spark, spec)
-    version = lake.version_path(spec.output, "r")
-    assert {r["dt"]: r["files"] for r in lake.day_files(spark, version).collect()} == {
-        "2019-10-01": 1, "2019-10-02": 1,
+    run_batch(
+        spark, spec_for(tmp_path, files("b.csv", MORE), "r2", "2019-10-03", "2019-10-04", table="compact_src")
+    )
+    before = materialize(current_events(spark, root), "before")
+    pointer = ledger.current_versions(ledger.read_ledger(spark, root))
+    sizes = {r["dt"]: r for r in lake.current_day_files(spark, root, pointer).collect()}
+    assert {d: r["files"] for d, r in sizes.items()} == {
+        "2019-10-01": 1, "2019-10-02": 1, "2019-10-03": 1,
     }
-    target = lake.version_path(spec.output, "r-compact")
-    size = max(r["bytes"] for r in lake.day_files(spark, version).collect())
-    plan = lake.compact_days(spark, version, target, size // 2 + 1)
-    assert plan["2019-10-01"] == 2
-    before, after = lake.read_days(spark, version), lake.read_days(spark, target)
+    small = sizes["2019-10-01"]["bytes"] // 2 + 1
+    compact = spec_for(tmp_path, root, "tidy", "2019-10-01", "2019-10-04", table="compact_src")
+    assert compact_batch(spark, compact, small).row_count == 12
+    pointer = ledger.current_versions(ledger.read_ledger(spark, root))
+    assert {r["run_id"] for r in pointer.collect()} == {"tidy"}
+    after = current_events(spark, root)
     assert before.exceptAll(after).isEmpty() and after.exceptAll(before).isEmpty()
-    found = {r["dt"]: r["files"] for r in lake.day_files(spark, target).collect()}
-    assert all(found[d] <= plan[d] for d in plan)
-    lake.point_days(spark, "default.compact_src", target, list(plan))
+    found = {r["dt"]: r["files"] for r in lake.current_day_files(spark, root, pointer).collect()}
+    assert found["2019-10-01"] == 2
     assert audit(spark.table("default.compact_src")) == audit(before)
 
 
+def test_hot_users_in_a_run(spark, tmp_path, files):
+    runs = {}
+    for hot_rows in (None, 2):
+        root = tmp_path / str(hot_rows)
+        spec = spec_for(
+            root, files("a.csv", SAMPLE), "r", "2019-10-01", "2019-10-03", hot_rows=hot_rows,
+            table=f"hot_{hot_rows}".lower(),
+        )
+        assert run_batch(spark, spec).row_count == 9
+        runs[hot_rows] = current_events(spark, spec.output).drop("ingested_at")
+    assert runs[None].exceptAll(runs[2]).isEmpty() and runs[2].exceptAll(runs[None]).isEmpty()
+
+
+def test_weekly_sql_text_on_the_table(spark, tmp_path, files):
+    spec = spec_for(tmp_path, files("a.csv", SAMPLE), "r", "2019-10-01", "2019-10-03", table="weekly_sql")
+    run_batch(spark, spec)
+    week = "date_sub(to_date(dt), pmod(datediff(to_date(dt), '1970-01-05'), 7))"
+    got = spark.sql(
+        f"SELECT {week} AS week_start, count(DISTINCT user_id) AS wau_users FROM {spec.full_table} GROUP BY {week}"
+    ).collect()
+    assert got == metrics.wau_users(spark.table(spec.full_table)).collect()
+    assert (str(got[0]["week_start"]), got[0]["wau_users"]) == ("2019-09-30", 3)
+
+
 def test_full_columns_in_order(spark, tmp_path, files):
     spec = spec_for(tmp_path, files("a.csv", SAMPLE), "r", "2019-10-01", "2019-10-03", table="cols")
     run_batch(spark, spec)

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from math import ceil
 from typing import TYPE_CHECKING
 
@@ -23,11 +23,17 @@ BROADCAST_ROWS = 100_000
 
 @dataclass(frozen=True)
 class HotKeys:
+    """Keys over the limit (columns ``_hot_<key>``) and how many rows they have together."""
+
     keys: tuple[str, ...]
     table: DataFrame
-    ranges: int
+    rows: int
     short: bool
 
+    def ranges(self, hot_rows: int) -> int:
+        # Two ranges more than the rows need, so that a sampled cut stays below the limit.
+        return ceil(self.rows / hot_rows) + 2
+
 
 def find_hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int) -> HotKeys | None:
     """Keys with more than ``hot_rows`` rows, or None.
@@ -47,10 +53,18 @@ def find_hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int) -> HotKeys
     else:
         counts = materialize(counts, "hot-keys")
         rows = counts.agg(F.sum("_n")).first()[0]
-    # Two ranges more than the rows need, so that a sampled cut stays below the limit.
-    ranges = ceil(rows / hot_rows) + 2
     table = counts.select([F.col(k).alias(f"_hot_{k}") for k in keys])
-    return HotKeys(tuple(keys), F.broadcast(table) if short else table, ranges, short)
+    return HotKeys(tuple(keys), F.broadcast(table) if short else table, rows, short)
+
+
+def with_hot_part(df: DataFrame, keys: Sequence[str], part: str, hot_rows: int) -> HotKeys | None:
+    """Keys that have more than ``hot_rows`` rows within one value of the column ``part``."""
+    parts = find_hot_keys(df, (*keys, part), hot_rows)
+    if parts is None:
+        return None
+    table = parts.table.select([f"_hot_{k}" for k in keys]).distinct()
+    hot = HotKeys(tuple(keys), F.broadcast(table) if parts.short else table, 0, parts.short)
+    return replace(hot, rows=split(df, hot)[0].count())
 
 
 def split(df: DataFrame, hot: HotKeys) -> tuple[DataFrame, DataFrame]:

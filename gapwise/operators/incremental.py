@@ -56,7 +56,7 @@ def sessionize_incremental(
     big, rest = hot_keys.split(new_events, hot)
     big_state, rest_state = hot_keys.split(state, hot)
     return _continue_in_one_window(rest, rest_state, rule).unionByName(
-        continue_by_ranges(big, big_state, rule, hot.ranges, few_keys=hot.short)
+        continue_by_ranges(big, big_state, rule, hot.ranges(hot_rows), few_keys=hot.short)
     )
 
 

@@ -16,29 +16,37 @@ def wau_users(
     published: DataFrame, start_date: str | None = None, end_date: str | None = None
 ) -> DataFrame:
     """Distinct users per Monday week."""
-    return _weekly(published, "user_id", "wau_users", start_date, end_date)
+    users = F.countDistinct("user_id").alias("wau_users")
+    return _weekly(published, start_date, end_date, users)
 
 
 def wau_sessions(
     published: DataFrame, start_date: str | None = None, end_date: str | None = None
 ) -> DataFrame:
     """Distinct sessions per Monday week; one that crosses a week edge counts in both weeks."""
-    return _weekly(published, "generated_session_id", "wau_sessions", start_date, end_date)
+    sessions = F.countDistinct("generated_session_id").alias("wau_sessions")
+    return _weekly(published, start_date, end_date, sessions)
+
+
+def weekly_engagement(
+    published: DataFrame, start_date: str | None = None, end_date: str | None = None
+) -> DataFrame:
+    """Distinct users and sessions per Monday week, from one read."""
+    users = F.countDistinct("user_id").alias("wau_users")
+    sessions = F.countDistinct("generated_session_id").alias("wau_sessions")
+    return _weekly(published, start_date, end_date, users, sessions)
 
 
 def _weekly(
-    published: DataFrame, what: str, name: str, start_date: str | None, end_date: str | None
+    published: DataFrame, start_date: str | None, end_date: str | None, *figures: Column
 ) -> DataFrame:
     # Day bounds compare the stored text, so they prune partitions of a lake.
     if start_date is not None:
         published = published.filter(F.col("dt") >= start_date)
     if end_date is not None:
         published = published.filter(F.col("dt") < end_date)
-    return (
-        published.groupBy(week_start(F.col("dt")).alias("week_start"))
-        .agg(F.countDistinct(what).alias(name))
-        .orderBy("week_start")
-    )
+    week = week_start(F.col("dt")).alias("week_start")
+    return published.groupBy(week).agg(*figures).orderBy("week_start")
 
 
 def mark_complete_weeks(weekly: DataFrame, start_date: str, end_date: str) -> DataFrame:

@@ -16,7 +16,6 @@ are numbered in parallel and stitched at their edges, with the same result.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
@@ -66,58 +65,70 @@ def sessionize(
     ``hot_rows`` is the most rows of one key that a single task may hold; bigger keys are split.
     Finding them reads the key columns once.  ``None`` skips that pass for input known to be even.
     """
-    hot = None if hot_rows is None else hot_keys.find_hot_keys(df, rule.keys, hot_rows)
-    if hot is None:
-        return _sessionize_in_one_window(df, rule)
-    big, rest = hot_keys.split(df, hot)
-    return _sessionize_in_one_window(rest, rule).unionByName(
-        sessionize_by_ranges(big, rule, hot.ranges, few_keys=hot.short)
-    )
+    return _numbered(df, rule, hot_rows).select(*df.columns, *SESSION_COLUMNS)
 
 
-def _sessionize_in_one_window(df: DataFrame, rule: GapRule) -> DataFrame:
-    marked = mark_boundaries(df, rule)
-    run = _running(rule, rule.keys)
-    opened = F.col("is_new_session") == 1
-    return marked.withColumns(
-        {
-            "session_seq": F.sum("is_new_session").over(run),
-            "session_start": F.last(F.when(opened, F.col(rule.time)), True).over(run),
-            "_before": F.last(F.when(opened, F.col("_row") - 1), True).over(run),
-        }
-    ).select(
+def mark_boundaries(
+    df: DataFrame, rule: GapRule, hot_rows: int | None = hot_keys.HOT_ROWS
+) -> DataFrame:
+    """Add the previous row's time, the gap to it in whole seconds, and the new-session flag."""
+    previous = F.col("previous_time")
+    return _numbered(df, rule, hot_rows).select(
         *df.columns,
-        "session_seq",
-        "session_start",
-        (F.col("_row") - F.col("_before")).cast("long").alias("session_event_seq"),
+        previous,
+        gap_in_seconds(previous, F.col(rule.time)).alias("gap_seconds"),
+        rule.opens(previous).alias("is_new_session"),
     )
 
 
-def mark_boundaries(df: DataFrame, rule: GapRule) -> DataFrame:
-    """Add previous time, gap in seconds, the new-session flag and the row number of the key."""
+def _numbered(df: DataFrame, rule: GapRule, hot_rows: int | None) -> DataFrame:
+    hot = None if hot_rows is None else hot_keys.find_hot_keys(df, rule.keys, hot_rows)
+    if hot is None:
+        return _in_one_window(df, rule)
+    big, rest = hot_keys.split(df, hot)
+    return _in_one_window(rest, rule).unionByName(
+        _by_ranges(big, rule, hot.ranges(hot_rows), few_keys=hot.short)
+    )
+
+
+def _in_one_window(df: DataFrame, rule: GapRule) -> DataFrame:
     w = Window.partitionBy(*rule.keys).orderBy(*rule.order)
-    previous = F.col("previous_time")
-    return df.withColumns(
-        {
-            "previous_time": F.lag(rule.time, 1).over(w),
-            "_row": F.row_number().over(w),
-        }
-    ).withColumns(
-        {
-            "gap_seconds": gap_in_seconds(previous, F.col(rule.time)),
-            "is_new_session": rule.opens(previous),
-        }
+    run = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    opened = F.col("_opens") == 1
+    return (
+        df.withColumns({"previous_time": F.lag(rule.time, 1).over(w), "_row": F.row_number().over(w)})
+        .withColumn("_opens", rule.opens(F.col("previous_time")))
+        .withColumns(
+            {
+                "session_seq": F.sum("_opens").over(run),
+                "session_start": F.last(F.when(opened, F.col(rule.time)), True).over(run),
+                "_before": F.last(F.when(opened, F.col("_row") - 1), True).over(run),
+            }
+        )
+        .withColumn("session_event_seq", (F.col("_row") - F.col("_before")).cast("long"))
+        .select(*df.columns, "previous_time", *SESSION_COLUMNS)
     )
 
 
-def sessionize_by_chunk(df: DataFrame, rule: GapRule, chunk: Column) -> DataFrame:
+def sessionize_by_chunk(
+    df: DataFrame, rule: GapRule, chunk: Column, hot_rows: int | None = hot_keys.HOT_ROWS
+) -> DataFrame:
     """Number sessions with the window split over (key, chunk); same result as ``sessionize``.
 
     ``chunk`` must grow with the rule's time and give equal times equal values, e.g.
-    ``date_trunc('day', t)``.  No pass looks for big keys, every key is split; use it where all
-    keys are long and their events are spread over time.
+    ``date_trunc('day', t)``.  Every key is split; use it where all keys are long and their events
+    are spread over time.  A key with more than ``hot_rows`` rows in one chunk goes by ranges.
     """
-    return _stitch(df.withColumn("_chunk", chunk), rule).select(*df.columns, *SESSION_COLUMNS)
+    chunked = df.withColumn("_chunk", chunk)
+    hot = None
+    if hot_rows is not None:
+        hot = hot_keys.with_hot_part(chunked, rule.keys, "_chunk", hot_rows)
+    if hot is None:
+        return _stitch(chunked, rule).select(*df.columns, *SESSION_COLUMNS)
+    big, rest = hot_keys.split(chunked, hot)
+    by_ranges = _by_ranges(big.drop("_chunk"), rule, hot.ranges(hot_rows), few_keys=hot.short)
+    both = _stitch(rest, rule).unionByName(by_ranges)
+    return both.select(*df.columns, *SESSION_COLUMNS)
 
 
 def sessionize_by_ranges(
@@ -134,19 +145,21 @@ def sessionize_by_ranges(
     sessions to continue (see ``incremental``).  ``few_keys`` promises no more keys than
     ``hot.BROADCAST_ROWS``, which lets a short edge table be broadcast.
     """
+    return _by_ranges(df, rule, ranges, state, few_keys).select(*df.columns, *SESSION_COLUMNS)
+
+
+def _by_ranges(
+    df: DataFrame,
+    rule: GapRule,
+    ranges: int,
+    state: DataFrame | None = None,
+    few_keys: bool = False,
+) -> DataFrame:
     cut = hot_keys.cut_into_ranges(df, rule, ranges)
     # A range holds the end of one key, whole keys, and the start of another: the edge table has
     # at most one row per range and one per key.
     small_edges = few_keys and ranges <= hot_keys.BROADCAST_ROWS
-    return _stitch(cut, rule, state, small_edges).select(*df.columns, *SESSION_COLUMNS)
-
-
-def _running(rule: GapRule, parts: Sequence[str]) -> Window:
-    return (
-        Window.partitionBy(*parts)
-        .orderBy(*rule.order)
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
+    return _stitch(cut, rule, state, small_edges)
 
 
 def _stitch(
@@ -184,12 +197,18 @@ def _stitch(
     inherits = (F.col("_seq") == 1) & (F.col("_merged") == 1)
     own_base = F.col("_rows_before") + F.col("_base")
     base = F.when(inherits, F.col("_carry_base")).otherwise(own_base)
+    first_of_chunk = F.col("_pos") == 1
     return joined.withColumns(
         {
+            "previous_time": F.when(first_of_chunk, F.col("_previous_last")).otherwise(
+                F.col("_previous")
+            ),
             "session_seq": F.col("_seq_before") + F.col("_seq") - F.col("_merged"),
             "session_start": F.when(inherits, F.col("_carry_start")).otherwise(F.col("_start")),
             "session_event_seq": F.col("_rows_before") + F.col("_pos") - base,
         }
+    ).select(
+        *[c for c in df.columns if c != "_chunk"], "previous_time", *SESSION_COLUMNS
     )
 
 
@@ -267,5 +286,5 @@ def _carry_over_edges(edges: DataFrame, gap_seconds: int) -> DataFrame:
                 ).over(before),
             }
         )
-        .select(*part, "_merged", "_rows_before", "_seq_before", "_carry_start", "_carry_base")
+        .drop("_first", "_last", "_opened", "_rows", "_last_start", "_last_base")
     )

@@ -460,8 +460,7 @@ def table_partitions(spark, sf_dir):
 @_query
 def wau_from_table(spark, sf_dir):
     rows = spark.table(_published_table(spark, sf_dir, second=False))
-    users, sessions = metrics.wau_users(rows), metrics.wau_sessions(rows)
-    return users.join(sessions, "week_start").orderBy("week_start")
+    return metrics.weekly_engagement(rows)
 
 
 @_query
@@ -575,15 +574,7 @@ def redo_days(spark, sf_dir):
 @_query
 def weekly_engagement(spark, sf_dir):
     """Flagship: events to sessions to weekly users and sessions in one pass."""
-    return (
-        _published(spark, sf_dir)
-        .groupBy(week_start(F.col("dt")).alias("week_start"))
-        .agg(
-            F.countDistinct("user_id").alias("wau_users"),
-            F.countDistinct("generated_session_id").alias("wau_sessions"),
-        )
-        .orderBy("week_start")
-    )
+    return metrics.weekly_engagement(_published(spark, sf_dir))
 
 
 def all_queries() -> dict[str, Query]:

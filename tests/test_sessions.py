@@ -18,6 +18,7 @@ from gapwise.operators.event_sessions import (
 )
 from gapwise.operators.sessions import (
     GapRule,
+    mark_boundaries,
     sessionize,
     sessionize_by_chunk,
     sessionize_by_ranges,
@@ -224,10 +225,12 @@ def test_all_paths_match_brute_force(spark, seed, hot_share, tie_share, gap):
         "hot": sessionize(df, rule, 90),
         "day": sessionize_by_chunk(df, rule, F.date_trunc("day", "t")),
         "minute": sessionize_by_chunk(df, rule, F.date_trunc("minute", "t")),
+        "hot day": sessionize_by_chunk(df, rule, F.date_trunc("day", "t"), 60),
     }
     for name, result in paths.items():
         got = {(r["k"], r["t"], r["id"]): tuple(r[c] for c in COLUMNS) for r in result.collect()}
         assert got == expected, name
+    assert same(mark_boundaries(df, rule, 90), mark_boundaries(df, rule, None))
 
 
 def test_copies_of_one_row_spread_over_ranges(spark):

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gapwise.functions.ids import session_id
-from gapwise.functions.timeops import local_day, local_time
+from gapwise.functions.timeops import gap_in_seconds, local_day, local_time
 from gapwise.operators import hot
 from gapwise.operators.sessions import GapRule, sessionize
 
@@ -88,6 +88,20 @@ def publishable(numbered: DataFrame, run_id: str, zone: str = DEFAULT_ZONE) -> D
     return numbered.select(*columns)
 
 
+def sessions_at_edge(published: DataFrame, read_from: Column, gap_seconds: int) -> DataFrame:
+    """Sessions that may have begun before ``read_from``, the first instant that was read.
+
+    They start less than one gap after it, so an event that was not read could have opened them.
+    More lookback, or a state table, settles them.
+    """
+    near = gap_in_seconds(read_from, F.col("session_start_at_utc")) < gap_seconds
+    return (
+        published.filter(near)
+        .select("user_id", "generated_session_id", "session_start_at_utc")
+        .distinct()
+    )
+
+
 def session_rollup(published: DataFrame) -> DataFrame:
     """One row per session.  Combines on the map side; reuses a partitioning by user."""
     first = F.min("event_time_utc")

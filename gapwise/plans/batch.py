@@ -16,6 +16,7 @@ from gapwise.operators.event_sessions import (
     DEFAULT_ZONE,
     event_rule,
     sessionize_events,
+    sessions_at_edge,
 )
 from gapwise.scratch import materialize, scratch_folder
 from gapwise.sources import events as source
@@ -99,8 +100,11 @@ def run_batch(spark: SparkSession, spec: JobSpec) -> lake.OutputStats:
 
     def publish() -> tuple[lake.OutputStats, dict]:
         with scratch_folder(spark, "batch"):
-            rows, rejected = _rows_to_publish(spark, spec)
-            return _publish(spark, spec, rows), {"rejected_rows": rejected}
+            rows, read_from, rejected = _rows_to_publish(spark, spec)
+            stats = _publish(spark, spec, rows)
+        written = _written_rows(spark, spec)
+        edge = sessions_at_edge(written, F.lit(read_from), spec.session_gap_minutes * 60)
+        return stats, {"rejected_rows": rejected, "sessions_at_edge": edge.count()}
 
     return _recorded(spark, spec, publish)
 
@@ -168,7 +172,10 @@ def _refuse_conflicts(spark: SparkSession, spec: JobSpec) -> None:
         raise ValueError(f"{spec.output} is not published {spec.mode!r}")
 
 
-def _rows_to_publish(spark: SparkSession, spec: JobSpec) -> tuple[DataFrame, int]:
+def _rows_to_publish(
+    spark: SparkSession, spec: JobSpec
+) -> tuple[DataFrame, datetime | None, int]:
+    """Sessionized rows of the range, the first instant read, and the number of rejected rows."""
     raw = source.read_raw_events(spark, spec.input_paths)
     events = source.canonical_events(raw, spec.strict_time)
     wants_unique = spec.drop_copies
@@ -178,14 +185,16 @@ def _rows_to_publish(spark: SparkSession, spec: JobSpec) -> tuple[DataFrame, int
         events = source.drop_copies(events)
     # Text is parsed once; the passes below read only the columns they need.
     landed = materialize(events, "landed-events")
-    rejects = landed.filter(source.is_reject())
-    rejected = rejects.count()
-    if rejected:
-        rejects.write.mode("overwrite").parquet(
-            lake.version_path(spec.output, spec.run_id).replace("/_versions/", "/_rejects/")
+    reject = source.is_reject()
+    found = landed.agg(
+        F.count_if(reject).alias("rejected"), F.min("event_time_utc").alias("read_from")
+    ).first()
+    if found["rejected"]:
+        landed.filter(reject).write.mode("overwrite").parquet(
+            lake.run_folder(spec.output, "_rejects", spec.run_id)
         )
     rows = sessionize_events(
-        landed.filter(~source.is_reject()),
+        landed.filter(~reject),
         spec.run_id,
         event_rule(spec.session_gap_minutes * 60),
         spec.timezone,
@@ -193,7 +202,14 @@ def _rows_to_publish(spark: SparkSession, spec: JobSpec) -> tuple[DataFrame, int
         spec.end_date,
         spec.hot_rows,
     )
-    return rows, rejected
+    return rows, found["read_from"], found["rejected"]
+
+
+def _written_rows(spark: SparkSession, spec: JobSpec) -> DataFrame:
+    if spec.catalog_sync:
+        return lake.read_days(spark, lake.version_path(spec.output, spec.run_id))
+    in_range = F.col("dt").isin(spec.days) & (F.col("run_id") == spec.run_id)
+    return lake.read_days(spark, spec.output).filter(in_range)
 
 
 def _publish(spark: SparkSession, spec: JobSpec, rows: DataFrame) -> lake.OutputStats:

@@ -206,6 +206,14 @@ FROM ({PUBLISHED}) GROUP BY user_id, generated_session_id
 """,
     "day_range_filter": RANGE,
     "lookback_sessionize": RANGE,
+    "edge_sessions": f"""
+SELECT DISTINCT user_id, generated_session_id, session_start_at_utc FROM ({sessions(WIDE_GAP, f"""
+    SELECT * FROM ({EVENTS})
+    WHERE {DAY.format("event_time_utc")} >= '{REDO_START}' AND {DAY.format("event_time_utc")} < '{REDO_END}'
+""")})
+WHERE epoch(date_trunc('second', session_start_at_utc))
+      - epoch(TIMESTAMP '{REDO_START} 00:00:00' - {KST}) < {WIDE_GAP}
+""",
     "session_state": f"""
 WITH r AS (SELECT *, row_number() OVER (PARTITION BY user_id
                   ORDER BY session_seq DESC, session_event_seq DESC) AS back FROM ({PUBLISHED}))

@@ -22,6 +22,7 @@ from gapwise.operators.event_sessions import (
     event_rule,
     session_rollup,
     sessionize_events,
+    sessions_at_edge,
 )
 from gapwise.operators.incremental import (
     continue_by_ranges,
@@ -281,6 +282,16 @@ def lookback_sessionize(spark, sf_dir):
     )
 
 
+@_query
+def edge_sessions(spark, sf_dir):
+    """Sessions left unsure when the days are read without any lookback."""
+    day = local_day(F.col("event_time_utc"), DEFAULT_ZONE)
+    target = sample_events(spark, sf_dir).filter((day >= REDO_START) & (day < REDO_END))
+    rows = sessionize_events(target, "run-1", event_rule(WIDE_GAP))
+    read_from = F.to_utc_timestamp(F.to_timestamp(F.lit(REDO_START)), DEFAULT_ZONE)
+    return sessions_at_edge(rows, read_from, WIDE_GAP)
+
+
 @_query
 def session_state_(spark, sf_dir):
     rule = event_rule(WIDE_GAP)

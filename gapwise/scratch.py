@@ -7,20 +7,24 @@ import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 from contextvars import ContextVar
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``; set here only for local runs that lack one."""
+    """The folder named by ``spark.checkpoint.dir``; only a local run may go without one."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    made = tempfile.mkdtemp(prefix="run-")
-    spark.conf.set("spark.checkpoint.dir", made)
-    return made
+    return _local_root()
+
+
+@cache
+def _local_root() -> str:
+    return tempfile.mkdtemp(prefix="run-")
 
 
 _folder: ContextVar[str | None] = ContextVar("scratch_folder", default=None)

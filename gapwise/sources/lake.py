@@ -26,9 +26,13 @@ class OutputStats:
     days: tuple[str, ...]
 
 
-def version_path(root: str, run_id: str) -> str:
+def run_folder(root: str, kind: str, run_id: str) -> str:
     # Fixed value: the characters a run id may keep in a folder name.
-    return f"{root.rstrip('/')}/_versions/{re.sub(r'[^A-Za-z0-9._=-]', '_', run_id)}"
+    return f"{root.rstrip('/')}/{kind}/{re.sub(r'[^A-Za-z0-9._=-]', '_', run_id)}"
+
+
+def version_path(root: str, run_id: str) -> str:
+    return run_folder(root, "_versions", run_id)
 
 
 def write_days(

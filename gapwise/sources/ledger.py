@@ -37,6 +37,7 @@ LEDGER_SCHEMA = T.StructType(
         T.StructField("error_message", T.StringType()),
         # Own additions, after the fixed fields.
         T.StructField("rejected_rows", T.LongType()),
+        T.StructField("sessions_at_edge", T.LongType()),
         T.StructField("publish_mode", T.StringType()),
     ]
 )

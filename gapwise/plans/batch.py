@@ -232,3 +232,18 @@ def current_events(spark: SparkSession, root: str) -> DataFrame:
     """Published rows of a versions lake, each day from its last finished run."""
     pointer = ledger.current_versions(ledger.read_ledger(spark, root))
     return lake.current_rows(spark, root, pointer)
+
+
+def repair_table(spark: SparkSession, root: str, table: str) -> None:
+    """Point every day of the table at the version the ledger calls current, and no other day.
+
+    Settles a table that a run left half pointed when it was lost.
+    """
+    pointer = ledger.current_versions(ledger.read_ledger(spark, root)).collect()
+    lake.ensure_table(spark, table, root)
+    listed = lake.listed_days(spark, table)
+    current = {row["dt"] for row in pointer}
+    for run_id in sorted({row["run_id"] for row in pointer}):
+        days = sorted(row["dt"] for row in pointer if row["run_id"] == run_id)
+        stale = [day for day in listed if day not in current]
+        lake.point_days(spark, table, lake.version_path(root, run_id), days, stale)

@@ -137,6 +137,17 @@ TO_THE_SECOND = f"""
 SELECT * REPLACE (date_trunc('second', event_time_utc) AS event_time_utc) FROM ({EVENTS})
 """
 
+SIZED = f"""
+SELECT user_id, date_trunc('second', session_start_at_utc) AS session_start,
+       date_trunc('second', max(event_time_utc)) AS session_end, count(*) AS events
+FROM ({PUBLISHED}) GROUP BY user_id, session_start_at_utc
+"""
+# The watermark trails the last event by an hour; a session closes a gap after its last event.
+CLOSED = f"""
+session_end + INTERVAL {WIDE_GAP - 1} SECOND
+    <= (SELECT date_trunc('second', max(ts)) - INTERVAL 1 HOUR FROM events)
+"""
+
 ORACLES: dict[str, str] = {
     "canonical_events": TO_THE_SECOND,
     "parse_event_time": """
@@ -226,13 +237,12 @@ SELECT user_id, event_time_utc AS last_time, session_seq, session_start_at_utc A
     "incremental_hot_ranges": numbered(
         f"event_time_utc >= TIMESTAMP '{CUT}'", "FALSE AS is_late"
     ),
-    "stream_sessions": f"""
-WITH r AS (SELECT user_id, date_trunc('second', session_start_at_utc) AS session_start,
-                  date_trunc('second', max(event_time_utc)) AS session_end, count(*) AS events
-           FROM ({PUBLISHED}) GROUP BY user_id, session_start_at_utc)
-SELECT * FROM r
-WHERE session_end + INTERVAL {WIDE_GAP - 1} SECOND
-      <= (SELECT date_trunc('second', max(ts)) - INTERVAL 1 HOUR FROM events)
+    "stream_sessions": f"SELECT * FROM ({SIZED}) WHERE {CLOSED}",
+    "stream_redo_days": f"""
+SELECT DISTINCT strftime(day, '%Y-%m-%d') AS dt
+FROM (SELECT unnest(generate_series(CAST(session_start + {KST} AS DATE),
+                                    CAST(session_end + {KST} AS DATE), INTERVAL 1 DAY)) AS day
+      FROM ({SIZED}) WHERE NOT ({CLOSED}))
 """,
     "wau_by_user": weekly(PUBLISHED, USERS),
     "wau_by_session": weekly(PUBLISHED, SESSIONS),

@@ -324,21 +324,37 @@ def incremental_hot_ranges(spark, sf_dir):
     return continue_by_ranges(new, state, rule, _ranges(new)).select(*_NUMBERED, "is_late")
 
 
-@_query
-def stream_sessions(spark, sf_dir):
-    events = table(spark, sf_dir, "events")
-    stream = streaming.read_event_stream(
-        spark, f"{sf_dir.rstrip('/')}/events*.parquet", events.schema
-    ).select("user_id", F.col("ts").cast("timestamp").alias("event_time_utc"))
-    sessions = streaming.stream_sessions(
-        stream, GapRule(("user_id",), "event_time_utc", WIDE_GAP), STREAM_LATENESS
+STREAM_RULE = GapRule(("user_id",), "event_time_utc", WIDE_GAP)
+
+
+def _streamed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    schema = table(spark, sf_dir, "events").schema
+    files = f"{sf_dir.rstrip('/')}/events*.parquet"
+    stream = streaming.read_event_stream(spark, files, schema).select(
+        "user_id", F.col("ts").cast("timestamp").alias("event_time_utc")
     )
+    sessions = streaming.stream_sessions(stream, STREAM_RULE, STREAM_LATENESS)
     out = scratch_path(spark, "stream")
     query = streaming.write_sessions(sessions, out, scratch_path(spark, "stream-state"))
     query.awaitTermination()
     return spark.read.schema(sessions.schema).parquet(out)
 
 
+@_query
+def stream_sessions(spark, sf_dir):
+    return _streamed(spark, sf_dir)
+
+
+@_query
+def stream_redo_days(spark, sf_dir):
+    """Days whose stored events the stream has not turned into sessions, open ones included."""
+    end = F.to_timestamp(F.lit("2025-01-01"))
+    streamed = _streamed(spark, sf_dir)
+    return streaming.days_to_redo(
+        sample_events(spark, sf_dir), streamed, STREAM_RULE, DEFAULT_ZONE, end
+    )
+
+
 # Weekly figures and audits
 
 

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from gapwise.operators import metrics
-from gapwise.plans.batch import JobSpec, compact_batch, current_events, run_batch
+from gapwise.plans.batch import JobSpec, compact_batch, current_events, repair_table, run_batch
 from gapwise.scratch import materialize
 from gapwise.sources import events as source
 from gapwise.sources import lake, ledger
@@ -251,6 +251,29 @@ def test_files_per_day_and_compaction(spark, tmp_path, files):
     assert audit(spark.table("default.compact_src")) == audit(before)
 
 
+def test_repair_of_a_half_pointed_table(spark, tmp_path, files):
+    root, name = str(tmp_path / "lake"), "default.half_pointed"
+    more = {"table": "half_pointed"}
+    run_batch(spark, spec_for(tmp_path, files("a.csv", SAMPLE), "one", "2019-10-01", "2019-10-03", **more))
+    run_batch(spark, spec_for(tmp_path, files("c.csv", AGAIN), "two", "2019-10-02", "2019-10-03", **more))
+    # A lost run pointed a day at its own rows and added one, without a SUCCESS row.
+    rows = current_events(spark, root).limit(1).withColumn("dt", F.lit("2019-10-01"))
+    extra = rows.unionByName(rows.withColumn("dt", F.lit("2019-10-09")))
+    stats = lake.stage_version(extra, root, "lost")
+    lake.point_days(spark, name, lake.version_path(root, "lost"), stats.days)
+    assert audit(spark.table(name))["2019-10-01"][0] == 1
+    repair_table(spark, root, name)
+    assert audit(spark.table(name)) == audit(current_events(spark, root))
+    assert lake.listed_days(spark, name) == ["2019-10-01", "2019-10-02"]
+
+
+def test_path_as_table_name(spark, tmp_path, files):
+    spec = spec_for(tmp_path, files("a.csv", SAMPLE), "r", "2019-10-01", "2019-10-03", catalog_sync=False)
+    run_batch(spark, spec)
+    got = spark.sql(f"SELECT cast(dt AS string) AS dt, count(*) AS n FROM parquet.`{spec.output}` GROUP BY dt")
+    assert {r["dt"]: r["n"] for r in got.collect()} == {"2019-10-01": 6, "2019-10-02": 3}
+
+
 def test_hot_users_in_a_run(spark, tmp_path, files):
     runs = {}
     for hot_rows in (None, 2):

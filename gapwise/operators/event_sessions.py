@@ -54,28 +54,46 @@ def sessionize_events(
     start_date: str | None = None,
     end_date: str | None = None,
     hot_rows: int | None = hot.HOT_ROWS,
+    gather_days: bool = False,
 ) -> DataFrame:
     """Canonical events to published rows, one out per one in, kept to ``start <= dt < end``.
 
+    ``gather_days`` brings the rows of a day together, as a write by day wants them.  That happens
+    before ids, local times and tags are added, so the shuffle carries a third of the bytes.
+
     Only the upper day bound is applied below the windows: rows after a day never change the
     numbers of earlier rows.  Rows before the first day do (they may open its first sessions), so
     the lower bound stays on top.
     """
     if end_date is not None:
         events = events.filter(local_day(F.col("event_time_utc"), zone) < end_date)
-    numbered = sessionize(events, rule or event_rule(), hot_rows)
-    published = publishable(numbered, run_id, zone)
+    numbered = with_day(sessionize(events, rule or event_rule(), hot_rows), zone)
     if start_date is not None:
-        published = published.filter(F.col("dt") >= start_date)
-    return published
+        numbered = numbered.filter(F.col("dt") >= start_date)
+    if gather_days:
+        numbered = gather_by_day(numbered)
+    return publishable(numbered, run_id, zone)
+
+
+def with_day(events: DataFrame, zone: str = DEFAULT_ZONE) -> DataFrame:
+    return events.withColumn("dt", local_day(F.col("event_time_utc"), zone))
+
+
+def gather_by_day(rows: DataFrame) -> DataFrame:
+    """Bring each day's rows together, big days over several tasks.
+
+    A rebalance, not a plain hash by day: a day that outgrows
+    ``spark.sql.adaptive.advisoryPartitionSizeInBytes`` is spread over tasks of about that size
+    instead of passing through a single one.
+    """
+    return rows.hint("rebalance", "dt")
 
 
 def publishable(numbered: DataFrame, run_id: str, zone: str = DEFAULT_ZONE) -> DataFrame:
-    """Numbered events in the published column order, with id, local times and run tags."""
+    """Numbered events with their day, in the published columns: id, local times and run tags."""
     start = F.col("session_start")
     derived = {
         "event_time_kst": local_time(F.col("event_time_utc"), zone),
-        "dt": local_day(F.col("event_time_utc"), zone),
         "session_start_at_utc": start,
         "session_start_at_kst": local_time(start, zone),
         "generated_session_id": session_id(F.col("user_id"), start),

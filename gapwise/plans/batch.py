@@ -201,6 +201,7 @@ def _rows_to_publish(
         spec.start_date,
         spec.end_date,
         spec.hot_rows,
+        spec.repartition_by_dt,
     )
     return rows, found["read_from"], found["rejected"]
 
@@ -214,11 +215,8 @@ def _written_rows(spark: SparkSession, spec: JobSpec) -> DataFrame:
 
 def _publish(spark: SparkSession, spec: JobSpec, rows: DataFrame) -> lake.OutputStats:
     if not spec.catalog_sync:
-        return lake.replace_days(
-            rows, spec.output, spec.run_id, spec.days, spec.repartition_by_dt
-        )
-    stats = lake.stage_version(rows, spec.output, spec.run_id, spec.repartition_by_dt)
-    return _point(spark, spec, stats)
+        return lake.replace_days(rows, spec.output, spec.run_id, spec.days)
+    return _point(spark, spec, lake.stage_version(rows, spec.output, spec.run_id))
 
 
 def _point(spark: SparkSession, spec: JobSpec, stats: lake.OutputStats) -> lake.OutputStats:

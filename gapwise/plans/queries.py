@@ -81,9 +81,10 @@ def _plain(df: DataFrame) -> DataFrame:
 
 
 def _published(
-    spark: SparkSession, sf_dir: str, gap: int = WIDE_GAP, run_id: str = "run-1"
+    spark: SparkSession, sf_dir: str, gap: int = WIDE_GAP, gather_days: bool = False
 ) -> DataFrame:
-    return sessionize_events(sample_events(spark, sf_dir), run_id, event_rule(gap))
+    events = sample_events(spark, sf_dir)
+    return sessionize_events(events, "run-1", event_rule(gap), gather_days=gather_days)
 
 
 def _joined(days: Column) -> Column:
@@ -391,12 +392,17 @@ def _lake_root(spark: SparkSession) -> str:
     return scratch_path(spark, "lake")
 
 
-def _second_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _second_run(spark: SparkSession, sf_dir: str, gather_days: bool = True) -> DataFrame:
     """A later run over some days whose source lost its error events and doubled its prices."""
     events = sample_events(spark, sf_dir).filter(F.col("event_type") != "error")
     doubled = events.withColumn("price", (F.col("price") * 2).cast("decimal(18,2)"))
     return sessionize_events(
-        doubled, "run-2", event_rule(WIDE_GAP), start_date=REDO_START, end_date=REDO_END
+        doubled,
+        "run-2",
+        event_rule(WIDE_GAP),
+        start_date=REDO_START,
+        end_date=REDO_END,
+        gather_days=gather_days,
     )
 
 
@@ -407,7 +413,7 @@ def _provenance(rows: DataFrame) -> DataFrame:
 @_query
 def staged_output_stats(spark, sf_dir):
     root = _lake_root(spark)
-    lake.stage_version(_published(spark, sf_dir), root, "run-1")
+    lake.stage_version(_published(spark, sf_dir, gather_days=True), root, "run-1")
     staged = lake.read_days(spark, lake.version_path(root, "run-1"))
     # At most one row per calendar day reaches the second step.
     return lake.day_counts(staged).agg(
@@ -418,14 +424,14 @@ def staged_output_stats(spark, sf_dir):
 @_query
 def lake_scan_roundtrip(spark, sf_dir):
     path = lake.version_path(_lake_root(spark), "run-1")
-    lake.write_days(_published(spark, sf_dir), path)
+    lake.write_days(_published(spark, sf_dir, gather_days=True), path)
     return lake.read_days(spark, path)
 
 
 @_query
 def files_per_partition(spark, sf_dir):
     path = lake.version_path(_lake_root(spark), "run-1")
-    lake.write_days(_published(spark, sf_dir), path)
+    lake.write_days(_published(spark, sf_dir, gather_days=True), path)
     counts = lake.day_counts(lake.read_days(spark, path))
     return counts.join(lake.day_files(spark, path).select("dt", "files"), "dt")
 
@@ -434,7 +440,7 @@ def files_per_partition(spark, sf_dir):
 def compacted_days(spark, sf_dir):
     """Days rewritten with a byte target that some days exceed; no day may have too many files."""
     root = _lake_root(spark)
-    rows = _published(spark, sf_dir)
+    rows = _published(spark, sf_dir, gather_days=True)
     lake.write_days(rows, lake.version_path(root, "run-1"))
     pointer = lake.day_counts(lake.read_days(spark, lake.version_path(root, "run-1"))).select(
         "dt", F.lit("run-1").alias("run_id")
@@ -457,7 +463,7 @@ def compacted_days(spark, sf_dir):
 @_query
 def replace_days(spark, sf_dir):
     root = _lake_root(spark)
-    lake.replace_days(_published(spark, sf_dir), root, "run-1")
+    lake.replace_days(_published(spark, sf_dir, gather_days=True), root, "run-1")
     lake.replace_days(_second_run(spark, sf_dir), root, "run-2")
     return _provenance(lake.read_days(spark, root))
 
@@ -465,7 +471,7 @@ def replace_days(spark, sf_dir):
 def _published_table(spark: SparkSession, sf_dir: str, second: bool) -> str:
     root, name = _lake_root(spark), f"default.sessions_{uuid4().hex}"
     lake.ensure_table(spark, name, root)
-    runs = {"run-1": _published(spark, sf_dir)}
+    runs = {"run-1": _published(spark, sf_dir, gather_days=True)}
     if second:
         runs["run-2"] = _second_run(spark, sf_dir)
     for run_id, rows in runs.items():
@@ -495,7 +501,7 @@ def current_versions(spark, sf_dir):
     """Two finished runs and one that only started: days follow the last finished run."""
     root = _lake_root(spark)
     runs = {
-        "run-1": (_published(spark, sf_dir), "2024-01-01", "2024-02-01"),
+        "run-1": (_published(spark, sf_dir, gather_days=True), "2024-01-01", "2024-02-01"),
         "run-2": (_second_run(spark, sf_dir), REDO_START, REDO_END),
     }
     days: dict[str, tuple[str, ...]] = {}
@@ -518,7 +524,7 @@ def current_versions(spark, sf_dir):
 
 @_query
 def day_provenance(spark, sf_dir):
-    first, second = _published(spark, sf_dir), _second_run(spark, sf_dir)
+    first, second = _published(spark, sf_dir), _second_run(spark, sf_dir, gather_days=False)
     return _provenance(first.unionByName(second))
 
 

@@ -35,19 +35,14 @@ def version_path(root: str, run_id: str) -> str:
     return run_folder(root, "_versions", run_id)
 
 
-def write_days(
-    rows: DataFrame, path: str, mode: str = "errorifexists", gather_days: bool = True
-) -> None:
+def write_days(rows: DataFrame, path: str, mode: str = "errorifexists") -> None:
     """Write Parquet/Snappy with one folder per ``dt``; ``overwrite`` replaces only days in ``rows``.
 
-    ``gather_days`` brings a day's rows together before the write, so a day has one file instead
-    of one per upstream task.  It asks for a rebalance rather than a plain hash by day: a day that
-    outgrows ``spark.sql.adaptive.advisoryPartitionSizeInBytes`` is spread over several tasks and
-    files of about that size, instead of passing through a single task.
+    Each task writes a file for every day it has rows of; see ``gather_by_day`` for one file per
+    day.
     """
-    shaped = rows.hint("rebalance", "dt") if gather_days else rows
     (
-        shaped.write.mode(mode)
+        rows.write.mode(mode)
         .option("compression", "snappy")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("dt")
@@ -71,15 +66,13 @@ def output_stats(rows: DataFrame) -> OutputStats:
     return OutputStats(sum(n for _, n in counted), tuple(day for day, _ in counted))
 
 
-def stage_version(
-    rows: DataFrame, root: str, run_id: str, gather_days: bool = True
-) -> OutputStats:
+def stage_version(rows: DataFrame, root: str, run_id: str) -> OutputStats:
     """Write a run's version and verify it from the files.
 
     Nothing points at the version yet, so a failed run changes nothing for readers.  A run id that
     already has a version is refused by the write itself.
     """
-    write_days(rows, version_path(root, run_id), "errorifexists", gather_days)
+    write_days(rows, version_path(root, run_id))
     return verify_version(rows.sparkSession, root, run_id, rows.schema)
 
 
@@ -91,11 +84,7 @@ def verify_version(
 
 
 def replace_days(
-    rows: DataFrame,
-    root: str,
-    run_id: str,
-    asked_days: Sequence[str] = (),
-    gather_days: bool = True,
+    rows: DataFrame, root: str, run_id: str, asked_days: Sequence[str] = ()
 ) -> OutputStats:
     """Replace, directly under the root, exactly the days present in ``rows``.
 
@@ -103,7 +92,7 @@ def replace_days(
     ``asked_days`` that has no rows any more is emptied; all other days stay untouched.
     """
     spark = rows.sparkSession
-    write_days(rows, root, "overwrite", gather_days)
+    write_days(rows, root, "overwrite")
     written = read_days(spark, root, rows.schema)
     if asked_days:
         written = written.filter(F.col("dt").isin(list(asked_days)))
@@ -262,5 +251,5 @@ def compact_days(
     slot = (F.col("_first") + F.pmod("_place", "_files")).cast("int")
     columns = [f.name for f in schema]
     gathered = dealt.repartitionById(max(first, 1), slot).select(*columns)
-    write_days(gathered, version_path(root, run_id), "errorifexists", gather_days=False)
+    write_days(gathered, version_path(root, run_id))
     return files

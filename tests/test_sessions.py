@@ -15,6 +15,7 @@ from gapwise.operators.event_sessions import (
     publishable,
     session_rollup,
     sessionize_events,
+    with_day,
 )
 from gapwise.operators.sessions import (
     GapRule,
@@ -301,7 +302,7 @@ def test_plan_prunes_columns(spark, sf_dir):
     from gapwise.operators.metrics import wau_users
 
     numbered = sessionize(sample_events(spark, sf_dir), event_rule(), None)
-    plan = plan_of(wau_users(publishable(numbered, "r")))
+    plan = plan_of(wau_users(publishable(with_day(numbered), "r")))
     # Weekly users need no session at all: two columns read, no window left.
     assert "ReadSchema: struct<ts:timestamp_ntz,user_id:bigint>" in plan
     assert "Window" not in plan

@@ -7,6 +7,8 @@ than its key's last one; such late rows come back marked, for a redo of their da
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -14,7 +16,8 @@ from gapwise.functions.timeops import gap_in_seconds
 from gapwise.operators import hot as hot_keys
 from gapwise.operators.sessions import SESSION_COLUMNS, GapRule, sessionize_by_ranges
 
-STATE_COLUMNS = ("last_time", *SESSION_COLUMNS)
+# More rows than a session can have; a session number times this still fits 38 digits.
+PLACE_BASE = Decimal(10**19)
 
 
 def session_state(
@@ -29,14 +32,17 @@ def session_state(
     ).filter(F.col("last_time").isNotNull())
     if previous is not None:
         rows = previous.select(*rows.columns).unionByName(rows)
-    # Within a key, session numbers and starts grow with time, event numbers with both.
-    latest = F.struct("session_seq", "session_event_seq")
-    return rows.groupBy(*rule.keys).agg(
+    # Within a key, starts grow with time, and rows grow by (session, row in it).  That pair as one
+    # number keeps the aggregation hashed; a struct would make every task sort its rows.
+    place = F.col("session_seq") * F.lit(PLACE_BASE) + F.col("session_event_seq")
+    latest = rows.groupBy(*rule.keys).agg(
         F.max("last_time").alias("last_time"),
         F.max("session_seq").alias("session_seq"),
         F.max("session_start").alias("session_start"),
-        F.max_by("session_event_seq", latest).alias("session_event_seq"),
+        F.max(place.cast("decimal(38,0)")).alias("_place"),
     )
+    size = (F.col("_place") % F.lit(PLACE_BASE)).cast("long")
+    return latest.withColumn("session_event_seq", size).drop("_place")
 
 
 def sessionize_incremental(

@@ -92,6 +92,18 @@ def test_one_exchange_for_new_events(spark):
     assert plan.count("Sort [") == 1 and "Join" not in plan
 
 
+def test_state_is_hashed_not_sorted(spark):
+    rule = GapRule(("k",), "t", 600, ("id",))
+    rows = "k string, t timestamp, id int, session_seq long, session_start timestamp, session_event_seq long"
+    biggest = 2**63 - 1
+    df = spark.createDataFrame(
+        [("a", CUTS[0], 1, biggest, CUTS[0], biggest), ("a", CUTS[0], 1, 5, CUTS[0], 7)], rows
+    )
+    state = session_state(df, rule)
+    assert "SortAggregate" not in state._jdf.queryExecution().executedPlan().toString()
+    assert (state.first()["session_seq"], state.first()["session_event_seq"]) == (biggest, biggest)
+
+
 def stream_run(spark, source, out, state, rule, lateness="1 hour"):
     schema = "k string, t timestamp, id int"
     stream = read_event_stream(spark, source, spark.createDataFrame([], schema).schema)

@@ -49,10 +49,10 @@ def ledger_path(root: str) -> str:
 
 def append_state(spark: SparkSession, root: str, fields: dict) -> None:
     """Add one state row; earlier rows of the run stay."""
-    row = tuple(fields.get(f.name) for f in LEDGER_SCHEMA)
+    row = [F.lit(fields.get(f.name)).cast(f.dataType).alias(f.name) for f in LEDGER_SCHEMA]
     (
-        spark.createDataFrame([row], LEDGER_SCHEMA)
-        .coalesce(1)
+        spark.range(0, 1, 1, 1)
+        .select(row)
         .write.mode("append")
         .option("ignoreNullFields", "false")
         .json(ledger_path(root))

@@ -12,7 +12,6 @@ from decimal import Decimal
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from gapwise.functions.timeops import gap_in_seconds
 from gapwise.operators import hot as hot_keys
 from gapwise.operators.sessions import SESSION_COLUMNS, GapRule, sessionize_by_ranges
 

@@ -64,6 +64,7 @@ def sessionize(
 
     ``hot_rows`` is the most rows of one key that a single task may hold; bigger keys are split.
     Finding them reads the key columns once.  ``None`` skips that pass for input known to be even.
+    The input is evaluated more than once, so it must give the same rows each time.
     """
     return _numbered(df, rule, hot_rows).select(*df.columns, *SESSION_COLUMNS)
 

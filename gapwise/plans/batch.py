@@ -10,14 +10,20 @@ from datetime import date, datetime, timedelta, timezone
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gapwise.functions.timeops import local_day
 from gapwise.operators import hot
 from gapwise.operators.event_sessions import (
     DEFAULT_GAP_MINUTES,
     DEFAULT_ZONE,
     event_rule,
+    gather_by_day,
+    publishable,
     sessionize_events,
     sessions_at_edge,
+    with_day,
 )
+from gapwise.operators.incremental import session_state, sessionize_incremental
+from gapwise.operators.sessions import SESSION_COLUMNS, GapRule
 from gapwise.scratch import materialize, scratch_folder
 from gapwise.sources import events as source
 from gapwise.sources import lake, ledger
@@ -44,6 +50,10 @@ class JobSpec:
     # None: remove copies when a lookback is read, whose files may overlap the input's.
     drop_copies: bool | None = None
     strict_time: bool = False
+    # Write the open sessions after this run, for a run that continues them.
+    keep_state: bool = False
+    # Continue the sessions of this earlier run, whose days end where these begin.
+    state_from: str | None = None
     hot_rows: int | None = hot.HOT_ROWS
     application: str = field(default="gapwise", repr=False)
 
@@ -55,6 +65,8 @@ class JobSpec:
             raise ValueError("start_date must be before end_date")
         if self.session_gap_minutes < 1:
             raise ValueError("session_gap_minutes must be 1 or more")
+        if self.state_from is not None and self.lookback_input is not None:
+            raise ValueError("sessions are continued either from a state or by a lookback")
         if "://" not in self.output and not self.output.startswith(("/", "file:")):
             object.__setattr__(self, "output", os.path.abspath(self.output))
 
@@ -71,6 +83,10 @@ class JobSpec:
     def full_table(self) -> str:
         return f"{self.database}.{self.table}"
 
+    @property
+    def rule(self) -> GapRule:
+        return event_rule(self.session_gap_minutes * 60)
+
     @property
     def mode(self) -> str:
         return VERSIONS if self.catalog_sync else IN_PLACE
@@ -91,6 +107,7 @@ class JobSpec:
             "session_gap_minutes": self.session_gap_minutes,
             "repartition_by_dt": self.repartition_by_dt,
             "partitions": [],
+            "state_from": self.state_from,
             "publish_mode": self.mode,
         }
 
@@ -100,11 +117,22 @@ def run_batch(spark: SparkSession, spec: JobSpec) -> lake.OutputStats:
 
     def publish() -> tuple[lake.OutputStats, dict]:
         with scratch_folder(spark, "batch"):
-            rows, read_from, rejected = _rows_to_publish(spark, spec)
+            events, found = _land(spark, spec)
+            if spec.state_from is None:
+                rows = _sessions_with_history(spec, events)
+            else:
+                rows = _sessions_with_state(spark, spec, events)
             stats = _publish(spark, spec, rows)
+            if spec.state_from is not None:
+                found["late_rows"] = _keep_late_rows(spark, spec, events, stats.row_count)
         written = _written_rows(spark, spec)
-        edge = sessions_at_edge(written, F.lit(read_from), spec.session_gap_minutes * 60)
-        return stats, {"rejected_rows": rejected, "sessions_at_edge": edge.count()}
+        if spec.keep_state:
+            _write_state(spark, spec, written)
+        if spec.state_from is None:
+            read_from = F.lit(found.pop("read_from"))
+            edge = sessions_at_edge(written, read_from, spec.session_gap_minutes * 60)
+            found["sessions_at_edge"] = edge.count()
+        return stats, found
 
     return _recorded(spark, spec, publish)
 
@@ -170,12 +198,27 @@ def _refuse_conflicts(spark: SparkSession, spec: JobSpec) -> None:
         raise ValueError(f"run id {spec.run_id!r} was used before; take a new one")
     if seen["other_mode"]:
         raise ValueError(f"{spec.output} is not published {spec.mode!r}")
+    if spec.state_from is not None:
+        _check_state(spark, spec)
+
+
+def _check_state(spark: SparkSession, spec: JobSpec) -> None:
+    states = ledger.latest_states(ledger.read_ledger(spark, spec.output))
+    before = states.filter(F.col("run_id") == spec.state_from).first()
+    if before is None or before["status"] != ledger.SUCCESS:
+        raise ValueError(f"run {spec.state_from!r} has not succeeded")
+    if before["end_date"] != spec.start_date:
+        raise ValueError(f"run {spec.state_from!r} does not end where this one starts")
+    for name in ("session_gap_minutes", "timezone"):
+        if before[name] != getattr(spec, name):
+            raise ValueError(f"run {spec.state_from!r} has another {name}")
+
 
+def _land(spark: SparkSession, spec: JobSpec) -> tuple[DataFrame, dict]:
+    """Valid input rows as Parquet, and what was found: rejected rows, first instant read.
 
-def _rows_to_publish(
-    spark: SparkSession, spec: JobSpec
-) -> tuple[DataFrame, datetime | None, int]:
-    """Sessionized rows of the range, the first instant read, and the number of rejected rows."""
+    Text is parsed once; later passes read only the columns they need.
+    """
     raw = source.read_raw_events(spark, spec.input_paths)
     events = source.canonical_events(raw, spec.strict_time)
     wants_unique = spec.drop_copies
@@ -183,27 +226,68 @@ def _rows_to_publish(
         wants_unique = spec.lookback_input is not None
     if wants_unique:
         events = source.drop_copies(events)
-    # Text is parsed once; the passes below read only the columns they need.
     landed = materialize(events, "landed-events")
     reject = source.is_reject()
     found = landed.agg(
-        F.count_if(reject).alias("rejected"), F.min("event_time_utc").alias("read_from")
+        F.count_if(reject).alias("rejected_rows"), F.min("event_time_utc").alias("read_from")
     ).first()
-    if found["rejected"]:
+    if found["rejected_rows"]:
         landed.filter(reject).write.mode("overwrite").parquet(
             lake.run_folder(spec.output, "_rejects", spec.run_id)
         )
-    rows = sessionize_events(
-        landed.filter(~reject),
+    return landed.filter(~reject), found.asDict()
+
+
+def _sessions_with_history(spec: JobSpec, events: DataFrame) -> DataFrame:
+    return sessionize_events(
+        events,
         spec.run_id,
-        event_rule(spec.session_gap_minutes * 60),
+        spec.rule,
         spec.timezone,
         spec.start_date,
         spec.end_date,
         spec.hot_rows,
         spec.repartition_by_dt,
     )
-    return rows, found["read_from"], found["rejected"]
+
+
+def _sessions_with_state(spark: SparkSession, spec: JobSpec, events: DataFrame) -> DataFrame:
+    numbered = _continued(spark, spec, events).filter(~F.col("is_late"))
+    if spec.repartition_by_dt:
+        numbered = gather_by_day(numbered)
+    return publishable(numbered, spec.run_id, spec.timezone)
+
+
+def _continued(spark: SparkSession, spec: JobSpec, events: DataFrame) -> DataFrame:
+    in_range = (F.col("dt") >= spec.start_date) & (F.col("dt") < spec.end_date)
+    new = with_day(events, spec.timezone).filter(in_range)
+    return sessionize_incremental(new, _read_state(spark, spec), spec.rule, spec.hot_rows)
+
+
+def _keep_late_rows(
+    spark: SparkSession, spec: JobSpec, events: DataFrame, published: int
+) -> int:
+    """Write rows older than their user's state apart; they call for a redo of earlier days."""
+    day = local_day(F.col("event_time_utc"), spec.timezone)
+    asked = events.filter((day >= spec.start_date) & (day < spec.end_date)).count()
+    if asked > published:
+        late = _continued(spark, spec, events).filter("is_late").drop("is_late", *SESSION_COLUMNS)
+        late.write.mode("overwrite").parquet(
+            lake.run_folder(spec.output, "_late", spec.run_id)
+        )
+    return asked - published
+
+
+def _read_state(spark: SparkSession, spec: JobSpec) -> DataFrame:
+    return spark.read.parquet(lake.run_folder(spec.output, "_state", spec.state_from))
+
+
+def _write_state(spark: SparkSession, spec: JobSpec, written: DataFrame) -> None:
+    """Open sessions after the run, next to its version, so that a redo can start from them."""
+    numbered = written.withColumnRenamed("session_start_at_utc", "session_start")
+    previous = None if spec.state_from is None else _read_state(spark, spec)
+    state = session_state(numbered, spec.rule, previous)
+    state.write.parquet(lake.run_folder(spec.output, "_state", spec.run_id))
 
 
 def _written_rows(spark: SparkSession, spec: JobSpec) -> DataFrame:

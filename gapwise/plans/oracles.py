@@ -274,6 +274,10 @@ FROM ({PUBLISHED}) GROUP BY dt
     "batch_job": f"""
 SELECT * FROM ({sessions(SHORT_GAP, TO_THE_SECOND, "'job-1'")})
 WHERE dt >= '{REDO_START}' AND dt < '{REDO_END}'
+""",
+    "state_batches": f"""
+SELECT * REPLACE (CASE WHEN dt < '{REDO_START}' THEN 'job-1' ELSE 'job-2' END AS run_id)
+FROM ({sessions(WIDE_GAP, TO_THE_SECOND)}) WHERE dt < '{REDO_END}'
 """,
     "ledger_latest_state": f"SELECT run_id, status, started_at, {OUTCOME} FROM ({LATEST})",
     "run_outcomes": f"""

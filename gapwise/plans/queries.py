@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -543,6 +544,27 @@ def batch_job(spark, sf_dir):
     return current_events(spark, spec.output)
 
 
+@_query
+def state_batches(spark, sf_dir):
+    """Two jobs, the second continuing the sessions of the first from its state."""
+    first = JobSpec(
+        input=_csv_copy(raw_events(spark, sf_dir)),
+        output=_lake_root(spark),
+        start_date="2024-01-01",
+        end_date=REDO_START,
+        run_id="job-1",
+        table=f"sessions_{uuid4().hex}",
+        session_gap_minutes=WIDE_GAP // 60,
+        keep_state=True,
+    )
+    second = replace(
+        first, start_date=REDO_START, end_date=REDO_END, run_id="job-2", state_from="job-1"
+    )
+    run_batch(spark, first)
+    run_batch(spark, second)
+    return current_events(spark, first.output)
+
+
 # Ledger
 
 

@@ -38,6 +38,8 @@ LEDGER_SCHEMA = T.StructType(
         # Own additions, after the fixed fields.
         T.StructField("rejected_rows", T.LongType()),
         T.StructField("sessions_at_edge", T.LongType()),
+        T.StructField("late_rows", T.LongType()),
+        T.StructField("state_from", T.StringType()),
         T.StructField("publish_mode", T.StringType()),
     ]
 )

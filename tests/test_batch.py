@@ -267,6 +267,59 @@ def test_repair_of_a_half_pointed_table(spark, tmp_path, files):
     assert lake.listed_days(spark, name) == ["2019-10-01", "2019-10-02"]
 
 
+def test_runs_continue_from_state(spark, tmp_path, files):
+    root = str(tmp_path / "lake")
+    more = {"table": "from_state"}
+    first = spec_for(
+        tmp_path, files("h.csv", HISTORY), "oct", "2019-10-31", "2019-11-01", keep_state=True, **more
+    )
+    run_batch(spark, first)
+    late = "2019-10-31 15:00:30 UTC,view,1,1,a,b,1.00,900,s"
+    spec = spec_for(
+        tmp_path, files("t.csv", TARGET + late), "nov", "2019-11-01", "2019-11-02",
+        state_from="oct", keep_state=True, **more,
+    )
+    assert run_batch(spark, spec).row_count == 2
+    row = current_events(spark, root).filter("product_id = 8002").first()
+    assert (row["session_seq"], row["session_event_seq"]) == (1, 2)
+    assert str(row["session_start_at_kst"]) == "2019-10-31 23:58:00"
+    states = {r["run_id"]: r for r in ledger.latest_states(ledger.read_ledger(spark, root)).collect()}
+    assert (states["nov"]["state_from"], states["nov"]["late_rows"]) == ("oct", 0)
+    assert spark.read.parquet(f"{root}/_state/nov").count() == 2
+
+    with pytest.raises(ValueError, match="does not end"):
+        run_batch(spark, spec_for(tmp_path, spec.input, "gap", "2019-11-03", "2019-11-04", state_from="nov", **more))
+    with pytest.raises(ValueError, match="another session_gap"):
+        run_batch(spark, spec_for(tmp_path, spec.input, "gap", "2019-11-02", "2019-11-04", state_from="nov",
+                                  session_gap_minutes=9, **more))
+    with pytest.raises(ValueError, match="not succeeded"):
+        run_batch(spark, spec_for(tmp_path, spec.input, "gap", "2019-11-02", "2019-11-04", state_from="x", **more))
+    assert ledger.read_ledger(spark, root).count() == 4
+
+
+def test_rows_older_than_the_state_are_kept_apart(spark, tmp_path, files):
+    root = str(tmp_path / "lake")
+    first = spec_for(tmp_path, files("h.csv", TARGET), "one", "2019-11-01", "2019-11-02", keep_state=True,
+                     catalog_sync=False)
+    run_batch(spark, first)
+    # A state that is ahead of the days that follow, as after a clock error.
+    state = spark.read.parquet(f"{root}/_state/one").withColumn(
+        "last_time", F.to_timestamp(F.lit("2019-11-02 00:00:00"))
+    )
+    materialize(state, "ahead").write.mode("overwrite").parquet(f"{root}/_state/one")
+    rows = """
+2019-11-01 20:00:00 UTC,view,1,1,a,b,1.00,800,s
+2019-11-02 00:04:00 UTC,view,2,1,a,b,1.00,800,s"""
+    second = spec_for(tmp_path, files("n.csv", rows), "two", "2019-11-02", "2019-11-03", state_from="one",
+                      catalog_sync=False)
+    assert run_batch(spark, second).row_count == 1
+    found = ledger.latest_states(ledger.read_ledger(spark, root)).filter("run_id = 'two'").first()
+    assert found["late_rows"] == 1
+    assert spark.read.parquet(f"{root}/_late/two").first()["product_id"] == 1
+    kept = lake.read_days(spark, root).filter("product_id = 2").first()
+    assert (kept["session_seq"], kept["session_event_seq"]) == (1, 2)
+
+
 def test_path_as_table_name(spark, tmp_path, files):
     spec = spec_for(tmp_path, files("a.csv", SAMPLE), "r", "2019-10-01", "2019-10-03", catalog_sync=False)
     run_batch(spark, spec)

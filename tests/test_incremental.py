@@ -94,7 +94,10 @@ def test_one_exchange_for_new_events(spark):
 
 def test_state_is_hashed_not_sorted(spark):
     rule = GapRule(("k",), "t", 600, ("id",))
-    rows = "k string, t timestamp, id int, session_seq long, session_start timestamp, session_event_seq long"
+    rows = (
+        "k string, t timestamp, id int, "
+        "session_seq long, session_start timestamp, session_event_seq long"
+    )
     biggest = 2**63 - 1
     df = spark.createDataFrame(
         [("a", CUTS[0], 1, biggest, CUTS[0], biggest), ("a", CUTS[0], 1, 5, CUTS[0], 7)], rows

@@ -212,9 +212,17 @@ def random_rows(seed, users, n, hot_share=0.0, tie_share=0.0):
 
 
 @pytest.mark.parametrize(
-    "seed, hot_share, tie_share", [(1, 0.0, 0.0), (2, 0.35, 0.0), (3, 0.35, 0.5), (4, 1.0, 0.9)]
+    "seed, hot_share, tie_share, gap",
+    [
+        (1, 0.0, 0.0, 300),
+        (2, 0.35, 0.0, 2),
+        (2, 0.35, 0.0, 7_200),
+        (3, 0.35, 0.5, 300),
+        (3, 0.35, 0.5, 7_200),
+        (4, 1.0, 0.9, 2),
+        (4, 1.0, 0.9, 7_200),
+    ],
 )
-@pytest.mark.parametrize("gap", [2, 300, 7_200])
 def test_all_paths_match_brute_force(spark, seed, hot_share, tie_share, gap):
     rows = random_rows(seed, 6, 400, hot_share, tie_share)
     expected = brute_force(rows, gap)
@@ -308,6 +316,28 @@ def test_plan_prunes_columns(spark, sf_dir):
     assert "Window" not in plan
 
 
+def test_plan_days_are_gathered_before_ids(spark, sf_dir):
+    rows = sessionize_events(sample_events(spark, sf_dir), "r", gather_days=True)
+    plan = plan_of(rows)
+    assert plan.count("Exchange hashpartitioning") == 2
+    assert plan.index("sha2") < plan.index("REBALANCE_PARTITIONS_BY_COL") < plan.index("Window")
+
+
+def test_session_over_a_week_edge_counts_twice(spark):
+    from gapwise.operators import metrics
+
+    # Sunday night and Monday morning in Seoul.
+    rows = raw(
+        spark, ("2024-01-07 14:58:00 UTC", 1, 1, "a"), ("2024-01-07 15:01:00 UTC", 2, 1, "a")
+    )
+    weekly = metrics.weekly_engagement(sessionize_events(rows, "r")).collect()
+    assert [(str(r[0]), r[1], r[2]) for r in weekly] == [("2024-01-01", 1, 1), ("2024-01-08", 1, 1)]
+    complete = metrics.mark_complete_weeks(
+        metrics.wau_users(sessionize_events(rows, "r")), "2024-01-01", "2024-01-10"
+    )
+    assert [r["complete_week"] for r in complete.collect()] == [True, False]
+
+
 def test_plan_hot_edges_are_broadcast_rows_are_not(spark):
     rows = random_rows(5, 3, 300, 0.5)
     df = spark.createDataFrame(rows, "k string, t timestamp, id int")

@@ -258,6 +258,26 @@ def test_copies_of_one_row_spread_over_ranges(spark):
     assert numbers == list(range(1, 3_000))
 
 
+def test_hot_keys_from_a_sample(spark):
+    """With a limit above the sampled size, keys far from it are still told apart exactly."""
+    limit = 10 * hot.SAMPLED_ROWS
+    rows = spark.range(8 * limit).select(
+        F.when(F.col("id") % 2 == 0, 0)
+        .when(F.col("id") % 4 == 1, 1)
+        .otherwise(2 + F.col("id") % 40)
+        .alias("k"),
+        F.timestamp_seconds(F.col("id") * 7).alias("t"),
+        "id",
+    )
+    found = hot.find_hot_keys(rows, ["k"], limit)
+    assert sorted(r[0] for r in found.table.collect()) == [0, 1]
+    assert abs(found.rows - 6 * limit) < 0.1 * limit
+    rule = GapRule(("k",), "t", 15, ("id",))
+    split, whole = sessionize(rows, rule, limit), sessionize(rows, rule, None)
+    check = F.bit_xor(F.xxhash64("k", "t", "id", *COLUMNS)), F.count("*")
+    assert split.agg(*check).first() == whole.agg(*check).first()
+
+
 def test_several_keys_and_key_types(spark):
     rows = [
         ("x" if i % 2 else None, i % 3 == 0, datetime(2024, 1, 1) + timedelta(minutes=7 * i), i)

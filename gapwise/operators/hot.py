@@ -41,8 +41,8 @@ def find_hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int) -> HotKeys
     """Keys with about more than ``hot_rows`` rows, or None.
 
     Reads only the key columns.  Key sizes are taken from a sample in which a key at the limit still
-    has SAMPLED_ROWS rows, so a key well over it is practically never missed and the pass shuffles next to
-    nothing.  Only the way a key is computed rests on this, not one row of the result.  There are
+    has SAMPLED_ROWS rows, so one well over it is practically never missed, and little is shuffled.
+    Only the way a key is computed rests on this, not one row of the result.  There are
     about rows / ``hot_rows`` such keys; a short list comes to the driver and is broadcast, a longer
     one stays a table and is joined.
     """

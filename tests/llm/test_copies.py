@@ -1,0 +1,97 @@
+"""Exact copies and repeated passages against brute force."""
+
+from __future__ import annotations
+
+import pytest
+from pyspark.sql import functions as F
+
+from gapwise.llm import exact, substrings
+from gapwise.llm.queries import op8_exact_dedup, op9_substring_dedup
+
+from . import brute
+
+SCHEMA = "doc_id long, text string, content string, edge int, spans string"
+
+
+def table(spark, rows):
+    """Rows with columns whose names the operators use themselves."""
+    return spark.createDataFrame([(i, t, "x", 1, "y") for i, t in rows], SCHEMA)
+
+
+def read(spark, sf_dir):
+    return [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()]
+
+
+EXACT_CASES = {
+    "nulls and white space": [(1, None), (2, ""), (3, " \t"), (4, "a b"), (5, "ab"), (6, "a\x0bb\n"), (7, "a b")],
+    "ties": [(9, "same"), (3, "same"), (5, "s ame"), (4, "sa me")],
+    "long": [(1, "word " * 50_000), (2, "word" * 50_000), (3, "word" * 50_000 + "x")],
+    "hot group": [(i, "copy " * (i % 3) + "copy") for i in range(500)],
+    "empty": [],
+}
+
+
+@pytest.mark.parametrize("case", EXACT_CASES)
+def test_exact_cases(spark, case):
+    rows = EXACT_CASES[case]
+    got = sorted(tuple(r) for r in exact.exact_duplicates(table(spark, rows)).collect())
+    assert got == brute.exact(rows)
+
+
+def test_exact_group_over_many_partitions(spark):
+    rows = [(i, "one text" if i % 3 else f"text {i}") for i in range(3000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = exact.exact_duplicates(df)
+    assert sorted(tuple(r) for r in got.collect()) == brute.exact(rows)
+    assert got.where("kept").count() == 1001
+
+
+def test_exact_repeated_rows_and_null_ids(spark):
+    rows = [(1, "a"), (1, "a"), (None, "b"), (2, "b")]
+    got = exact.exact_duplicates(spark.createDataFrame(rows, "doc_id long, text string"))
+    kept = [(r.doc_id, r.group_size) for r in got.where("kept").collect()]
+    assert sorted(kept, key=str) == [(1, 2), (None, 2)]
+
+
+def test_exact_query(spark, sf_dir):
+    assert sorted(tuple(r) for r in op8_exact_dedup(spark, sf_dir).collect()) == brute.exact(read(spark, sf_dir))
+
+
+def numbered(a, b, tag="w"):
+    return " ".join(f"{tag}{k}" for k in range(a, b))
+
+
+SUBSTRING_CASES = {
+    "edge of 50": [(1, numbered(0, 50)), (2, "x " + numbered(0, 50)), (3, numbered(0, 49)), (4, numbered(1, 51))],
+    "nulls": [(1, None), (2, ""), (3, " \n")],
+    "within one document": [(1, numbered(0, 60) + " " + numbered(0, 60))],
+    "two passages": [
+        (5, numbered(0, 200)),
+        (7, "a b " + numbered(20, 90) + " c " + numbered(100, 149) + " d " + numbered(120, 180)),
+        (6, numbered(0, 120)),
+        (2, numbered(150, 260)),
+    ],
+    "one word": [(3, "la " * 300), (4, "la " * 80), (9, "la " * 49)],
+    "long": [(1, numbered(0, 30_000)), (2, "z " + numbered(29_000, 30_000) + " z")],
+    "empty": [],
+}
+
+
+@pytest.mark.parametrize("case", SUBSTRING_CASES)
+def test_substring_cases(spark, case):
+    rows = SUBSTRING_CASES[case]
+    got = substrings.remove_repeats(table(spark, rows)).withColumn("kept", F.sha2("kept", 256))
+    assert sorted(tuple(r) for r in got.collect()) == brute.substrings(rows)
+
+
+def test_substring_other_length(spark):
+    rows = [(i, f"p{i} " + numbered(i % 7, 20) + f" q{i}") for i in range(60)]
+    got = substrings.remove_repeats(table(spark, rows), length=10).withColumn("kept", F.sha2("kept", 256))
+    assert sorted(tuple(r) for r in got.collect()) == brute.substrings(rows, 10)
+    with pytest.raises(ValueError):
+        substrings.repeated_spans(table(spark, rows), length=9)
+
+
+def test_substring_query(spark, sf_dir):
+    got = sorted(tuple(r) for r in op9_substring_dedup(spark, sf_dir).collect())
+    assert got == brute.substrings(read(spark, sf_dir))

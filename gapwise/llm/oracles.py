@@ -12,4 +12,20 @@ r AS (SELECT *, row_number() OVER w AS place, first_value(doc_id) OVER w AS keep
 SELECT doc_id, keep_id, group_size, place = 1 AS kept, sha256(content) AS text_sha256 FROM r
 """
 
-LLM_ORACLES = {"op8_exact_dedup": OP8}
+OP7 = r"""
+WITH d AS (SELECT doc_id, source, text, string_split(text, chr(10)) AS parts FROM documents),
+l AS (SELECT doc_id, source, length(text) AS total, unnest(parts) AS line,
+             generate_subscripts(parts, 1) AS place FROM d WHERE text IS NOT NULL),
+b AS (SELECT *, lower(trim(line, E' \t\r\x0b\x0c')) AS bare FROM l),
+shared AS (SELECT bare FROM b WHERE bare <> '' GROUP BY bare HAVING count(DISTINCT source) >= 12),
+cut AS (SELECT doc_id, list(place) AS places FROM b WHERE bare IN (SELECT bare FROM shared)
+        GROUP BY doc_id HAVING sum(length(line)) <= 0.5 * any_value(total)),
+r AS (SELECT doc_id, coalesce(len(parts), 0) AS n_lines, coalesce(len(places), 0) AS n_removed,
+             CASE WHEN places IS NULL THEN text ELSE array_to_string(
+                 [parts[i] FOR i IN range(1, len(parts) + 1) IF NOT list_contains(places, i)],
+                 chr(10)) END AS kept
+      FROM d LEFT JOIN cut USING (doc_id))
+SELECT doc_id, n_lines, n_removed, length(kept) AS kept_chars, sha256(kept) AS kept_sha256 FROM r
+"""
+
+LLM_ORACLES = {"op7_line_dedup": OP7, "op8_exact_dedup": OP8}

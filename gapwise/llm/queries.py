@@ -7,13 +7,25 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gapwise.llm import exact, substrings
+from gapwise.llm import exact, lines, packing, substrings
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents without the lines that twelve of the sources or more share."""
+    left = lines.remove_boilerplate(_table(spark, sf_dir, "documents"))
+    return left.select(
+        "doc_id",
+        "n_lines",
+        "n_removed",
+        F.char_length("text").cast("long").alias("kept_chars"),
+        F.sha2("text", 256).alias("kept_sha256"),
+    )
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The copy that stays of each group of equal contents."""
     return exact.exact_duplicates(_table(spark, sf_dir, "documents"))
@@ -26,5 +38,11 @@ def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents as tokens in sequences of 2048."""
+    return packing.packed_documents(_table(spark, sf_dir, "documents"))
+
+
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op8_exact_dedup, op9_substring_dedup)}
+    found = (op7_line_dedup, op8_exact_dedup, op9_substring_dedup, op10_packing)
+    return {f.__name__: f for f in found}

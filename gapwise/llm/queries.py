@@ -7,13 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gapwise.llm import exact, lines, packing, substrings
+from gapwise.llm import exact, lines, minhash, packing, substrings
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op6_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The class of near copies of every document, five words and similarity 0.8."""
+    return minhash.near_duplicates(_table(spark, sf_dir, "documents")).select("doc_id", "class_id", "kept")
+
+
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents without the lines that twelve of the sources or more share."""
     left = lines.remove_boilerplate(_table(spark, sf_dir, "documents"))
@@ -44,5 +49,5 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = (op7_line_dedup, op8_exact_dedup, op9_substring_dedup, op10_packing)
+    found = (op6_minhash_dedup, op7_line_dedup, op8_exact_dedup, op9_substring_dedup, op10_packing)
     return {f.__name__: f for f in found}

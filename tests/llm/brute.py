@@ -40,3 +40,43 @@ def substrings(rows, length=50):
         rest = [w for k, w in enumerate(words) if k not in gone]
         out.append((i, len(words), len(gone), sha(" ".join(rest))))
     return sorted(out)
+
+
+def shingle_set(text, n=5):
+    words = WORD.findall(text or "")
+    n = min(n, len(words))
+    return {tuple(words[k : k + n]) for k in range(len(words) - n + 1)} if words else set()
+
+
+def classes(ids, links):
+    """{id: smallest id that links lead to}."""
+    root = {i: i for i in ids}
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for a, b in links:
+        a, b = sorted((find(a), find(b)))
+        root[b] = a
+    return {i: find(i) for i in ids}
+
+
+def near_links(rows, threshold=0.8, n=5):
+    """Pairs of (doc_id, text) rows with similar shingle sets."""
+    sets = [(i, shingle_set(t, n)) for i, t in rows]
+    owners = {}
+    for i, s in sets:
+        for x in s:
+            owners.setdefault(x, []).append(i)
+    sets, found = dict(sets), set()
+    for members in owners.values():
+        for k, a in enumerate(members):
+            found.update((a, b) for b in members[k + 1 :])
+    same = []
+    for a, b in found:
+        both = len(sets[a] & sets[b])
+        if both >= threshold * (len(sets[a]) + len(sets[b]) - both):
+            same.append((a, b))
+    return same

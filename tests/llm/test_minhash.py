@@ -1,0 +1,100 @@
+"""Near copies against all pairs."""
+
+from __future__ import annotations
+
+import random
+
+import numpy as np
+import pytest
+
+from gapwise.llm import minhash
+from gapwise.llm.components import components
+from gapwise.llm.queries import op6_minhash_dedup
+
+from . import brute
+
+
+def near(spark, rows, **options):
+    df = spark.createDataFrame([(i, t, 1, "x", True) for i, t in rows], "doc_id long, text string, n int, id string, kept boolean")
+    out = minhash.near_duplicates(df, **options)
+    assert out.count() == len(rows)
+    return {r.doc_id: r.class_id for r in out.collect()}
+
+
+def edited(text, edits, seed):
+    words, rng = text.split(), random.Random(seed)
+    for k in rng.sample(range(len(words)), edits):
+        words[k] = f"edit{seed}"
+    return " ".join(words)
+
+
+def sentence(seed, n=200):
+    rng = random.Random(seed)
+    return " ".join(f"w{rng.randrange(5000)}" for _ in range(n))
+
+
+def test_probability_jaccard():
+    """Registers agree as often as the probability Jaccard says, also for unequal weights."""
+    rng, registers = np.random.default_rng(3), 20_000
+    element = rng.integers(0, 2**63, 12, dtype=np.uint64)
+    a, b = rng.integers(0, 9, 12).astype(float), rng.integers(0, 9, 12).astype(float)
+    rows = [(k, i, w[i]) for k, w in enumerate((a, b)) for i in range(12) if w[i]]
+    owner, at, weight = (np.array(c) for c in zip(*rows))
+    got = minhash.signatures(owner, element[at], weight, 2, registers)
+    both = [i for i in range(12) if a[i] and b[i]]
+    expected = sum(1 / sum(max(a[j] / a[i], b[j] / b[i]) for j in range(12)) for i in both)
+    assert (got[0] == got[1]).mean() == pytest.approx(expected, abs=0.015)
+
+
+def test_equal_sets_have_equal_signatures():
+    element = np.arange(40, dtype=np.uint64) * np.uint64(2654435761)
+    got = minhash.signatures(np.repeat([0, 1], 40), np.tile(element, 2), np.ones(80), 2, 120)
+    assert (got[0] == got[1]).all() and len(set(got[0].tolist())) > 20
+
+
+def test_components(spark):
+    path = [(k, k + 1) for k in range(1, 200)]
+    star = [(1000, k) for k in range(1001, 1400)]
+    links = [*path, *star, (5000, 5001), (5001, 5000), (7, 7)]
+    got = {r.node: r.label for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
+    assert got == {k: v for k, v in brute.classes({i for p in links for i in p}, links).items()}
+    assert components(spark.createDataFrame([], "a long, b long")).collect() == []
+
+
+def test_copies_edits_and_short_texts(spark):
+    base = sentence(1)
+    rows = [(10, base), (4, base), (7, edited(base, 3, 7)), (8, edited(base, 60, 8)), (20, sentence(2))]
+    rows += [(30, "two words"), (31, " two\nwords "), (32, "two other"), (40, None), (41, ""), (42, " ")]
+    rows += [(50, "word " * 60_000), (51, "word " * 50_000), (None, base)]
+    got = near(spark, rows)
+    assert got.pop(None) is None
+    assert got == {10: 4, 4: 4, 7: 4, 8: 8, 20: 20, 30: 30, 31: 30, 32: 32, 40: 40, 41: 41, 42: 42, 50: 50, 51: 50}
+
+
+def test_large_class_with_bridges(spark):
+    """Many near copies of one text: most are similar to the base, not to each other."""
+    base = sentence(5, 120)
+    rows = [(k, edited(base, 1 + k % 5, k)) for k in range(300)]
+    got = near(spark, rows)
+    assert got == brute.classes([i for i, _ in rows], brute.near_links(rows))
+
+
+def test_chain(spark):
+    words = [f"c{k}" for k in range(400)]
+    rows = [(k, " ".join(words[8 * k : 8 * k + 100])) for k in range(30)]
+    want = brute.classes([i for i, _ in rows], brute.near_links(rows))
+    assert near(spark, rows) == want and len(set(want.values())) == 1
+
+
+def test_empty_and_repeated_rows(spark):
+    assert near(spark, []) == {}
+    assert near(spark, [(1, "a b c"), (1, "a b c"), (2, "a b c")]) == {1: 1, 2: 1}
+
+
+@pytest.mark.parametrize("folder", ["/root/testdata/sf0.01"])
+def test_query(spark, folder):
+    rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{folder}/documents.parquet").collect()]
+    want = brute.classes([i for i, _ in rows], brute.near_links(rows))
+    out = op6_minhash_dedup(spark, folder).collect()
+    assert {r.doc_id: r.class_id for r in out} == want
+    assert sorted(r.doc_id for r in out if r.kept) == sorted(set(want.values()))

@@ -12,6 +12,34 @@ r AS (SELECT *, row_number() OVER w AS place, first_value(doc_id) OVER w AS keep
 SELECT doc_id, keep_id, group_size, place = 1 AS kept, sha256(content) AS text_sha256 FROM r
 """
 
+OP4 = r"""
+WITH d AS (SELECT doc_id, source,
+                  CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size
+           FROM documents),
+q AS (SELECT doc_id, max(quality) AS quality FROM labels WHERE doc_id IS NOT NULL GROUP BY doc_id),
+k AS (SELECT d.*, -ln((CAST(CAST('0x' || substr(md5(coalesce(CAST(d.doc_id AS VARCHAR), '')), 1, 13) AS BIGINT)
+                            AS DOUBLE) + 0.5) / 4503599627370496.0)
+                  / CASE quality WHEN 1 THEN 2.0 WHEN 0 THEN 0.5 ELSE 1.0 END AS draw
+      FROM d LEFT JOIN q ON d.doc_id = q.doc_id),
+s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY source),
+r AS (SELECT *, [3, 1, 2][CAST((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1 AS INT)] AS rate FROM s),
+l AS (SELECT *, (CAST(sum(source_size) OVER () AS DOUBLE) * 1.5
+                 - coalesce(CAST(sum(2 * source_size) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS DOUBLE), 0))
+                / CAST(sum(rate) OVER (w ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS DOUBLE) AS level
+      FROM r WINDOW w AS (ORDER BY 2 * source_size / CAST(rate AS DOUBLE), source NULLS LAST)),
+f AS (SELECT arg_min(level, 2 * source_size / CAST(rate AS DOUBLE)) AS level FROM l
+      WHERE level * rate <= 2 * source_size),
+t AS (SELECT source, source_size, least(coalesce((SELECT level FROM f) * rate, 2.0 * source_size),
+                                        CAST(2 * source_size AS DOUBLE)) AS target FROM r),
+e AS (SELECT *, CASE WHEN source_size > 0 THEN CAST(floor(target / source_size) AS BIGINT) ELSE 0 END AS epochs FROM t),
+p AS (SELECT k.*, source_size, target, epochs,
+             CAST(sum(size) OVER (PARTITION BY k.source ORDER BY draw, k.doc_id
+                                  ROWS UNBOUNDED PRECEDING) AS DOUBLE) - size / 2.0 AS reach
+      FROM k JOIN e ON k.source IS NOT DISTINCT FROM e.source)
+SELECT doc_id, size, source_size, target,
+       size * (epochs + CASE WHEN reach <= target - epochs * source_size THEN 1 ELSE 0 END) AS taken FROM p
+"""
+
 OP7 = r"""
 WITH d AS (SELECT doc_id, source, text, string_split(text, chr(10)) AS parts FROM documents),
 l AS (SELECT doc_id, source, length(text) AS total, unnest(parts) AS line,
@@ -28,4 +56,4 @@ r AS (SELECT doc_id, coalesce(len(parts), 0) AS n_lines, coalesce(len(places), 0
 SELECT doc_id, n_lines, n_removed, length(kept) AS kept_chars, sha256(kept) AS kept_sha256 FROM r
 """
 
-LLM_ORACLES = {"op7_line_dedup": OP7, "op8_exact_dedup": OP8}
+LLM_ORACLES = {"op4_mixing": OP4, "op7_line_dedup": OP7, "op8_exact_dedup": OP8}

@@ -7,13 +7,29 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gapwise.llm import exact, lines, minhash, packing, substrings
+from gapwise.llm import exact, lines, minhash, mixing, packing, sharding, substrings
+from gapwise.scratch import materialize
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in 24 shards of equal counts, equal texts together where they fit."""
+    return sharding.balanced_shards(_table(spark, sf_dir, "documents"))
+
+
+def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words that a mix of the sources takes of every document."""
+    docs = _table(spark, sf_dir, "documents")
+    sized = materialize(docs.select("doc_id", "source", mixing.word_count(F.col("text")).alias("size")), "sized")
+    mixed = mixing.mix(mixing.with_quality(sized, _table(spark, sf_dir, "labels")), weight="weight")
+    return mixed.select(
+        "doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken")
+    )
+
+
 def op6_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The class of near copies of every document, five words and similarity 0.8."""
     return minhash.near_duplicates(_table(spark, sf_dir, "documents")).select("doc_id", "class_id", "kept")
@@ -49,5 +65,13 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = (op6_minhash_dedup, op7_line_dedup, op8_exact_dedup, op9_substring_dedup, op10_packing)
+    found = (
+        op3_sharding,
+        op4_mixing,
+        op6_minhash_dedup,
+        op7_line_dedup,
+        op8_exact_dedup,
+        op9_substring_dedup,
+        op10_packing,
+    )
     return {f.__name__: f for f in found}

@@ -1,0 +1,112 @@
+"""Mixing against plain arithmetic and SQL."""
+
+from __future__ import annotations
+
+from collections import defaultdict
+
+import duckdb
+import pytest
+from pyspark.sql import functions as F
+
+from gapwise.llm import mixing
+from gapwise.llm.oracles import LLM_ORACLES
+from gapwise.llm.queries import op4_mixing
+
+
+def shared_out(sizes, rates=(3, 1, 2), share=1.5, cap=2):
+    """Targets by resharing the excess until none is above its cap."""
+    names = sorted((s for s in sizes if s is not None)) + [s for s in sizes if s is None]
+    rate = {s: rates[k % len(rates)] for k, s in enumerate(names)}
+    capped, total = set(), share * sum(sizes.values())
+    while True:
+        left = total - sum(cap * sizes[s] for s in capped)
+        whole = sum(rate[s] for s in names if s not in capped)
+        target = {s: cap * sizes[s] if s in capped else left * rate[s] / whole for s in names}
+        above = {s for s in names if s not in capped and target[s] > cap * sizes[s]}
+        if not above:
+            return target
+        capped |= above
+
+
+@pytest.mark.parametrize(
+    "sizes",
+    [
+        {"a": 100, "b": 100, "c": 100},
+        {"a": 5, "b": 1000, "c": 10, "d": 400, None: 77},
+        {"a": 0, "b": 9},
+        {"a": 0},
+        {f"s{k}": (k * 37) % 101 for k in range(50)},
+    ],
+)
+def test_targets(spark, sizes):
+    df = spark.createDataFrame(list(sizes.items()), "source string, source_size long")
+    got = {r.source: r.target for r in mixing.targets(df).collect()}
+    assert got == pytest.approx(shared_out(sizes))
+
+
+def mixed(spark, rows, **options):
+    df = spark.createDataFrame(rows, "doc_id long, source string, size long, weight double, target string, last int")
+    out = mixing.mix(df, weight="weight", **options)
+    assert out.count() == len(rows)
+    return [r.asDict() for r in out.collect()]
+
+
+def test_sources_meet_their_targets(spark):
+    rows = [(i, None if i % 7 == 0 else f"s{i % 5}" if i % 3 else "hot", 1 + i * i % 90, 1.0, "t", 0) for i in range(4000)]
+    out = mixed(spark, rows)
+    taken, target, biggest = defaultdict(int), {}, defaultdict(int)
+    for r in out:
+        assert 0 <= r["copies"] <= 2
+        taken[r["source"]] += r["copies"] * r["size"]
+        target[r["source"]] = r["target"]
+        biggest[r["source"]] = max(biggest[r["source"]], r["size"])
+    for s in target:
+        assert abs(taken[s] - target[s]) <= biggest[s] / 2 + 1
+    epochs = {s: {r["copies"] for r in out if r["source"] == s} for s in target}
+    assert all(max(c) - min(c) <= 1 for c in epochs.values())
+    again = mixed(spark, rows[::-1])
+    assert {r["doc_id"]: r["copies"] for r in out} == {r["doc_id"]: r["copies"] for r in again}
+
+
+def test_weights_raise_the_chance(spark):
+    rows = [(i, f"s{i % 3}", 10, 2.0 if i % 2 else 0.5, "t", 0) for i in range(6000)]
+    out = mixed(spark, rows, share=0.3)
+    good = sum(r["copies"] for r in out if r["weight"] == 2.0)
+    bad = sum(r["copies"] for r in out if r["weight"] == 0.5)
+    assert good > 2 * bad > 0
+
+
+def test_hot_source_over_many_ranges(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "BUCKET_ROWS", 50)
+    rows = [(i, "hot" if i % 3 else "cold", 1 + i % 11, 1.0, "t", 0) for i in range(3000)]
+    small = {r["doc_id"]: r["copies"] for r in mixed(spark, rows)}
+    monkeypatch.setattr(mixing, "BUCKET_ROWS", 10**9)
+    assert small == {r["doc_id"]: r["copies"] for r in mixed(spark, rows)}
+
+
+def test_odd_rows(spark):
+    rows = [(1, "a", None, 1.0, "t", 0), (None, "a", 5, None, "t", 0), (3, None, 10**7, -1.0, "t", 0)]
+    rows += [(4, "b", 3, 1.0, "t", 0)] * 2
+    assert len(mixed(spark, rows)) == 5
+    assert mixed(spark, []) == []
+
+
+def test_word_count(spark):
+    df = spark.createDataFrame([("a b\x0bc d  e\n",), ("",), (None,), ("x" * 10**6,)], "text string")
+    assert [r.n for r in df.select(mixing.word_count(F.col("text")).alias("n")).collect()] == [4, 0, 0, 1]
+
+
+def test_labels_are_joined_once(spark):
+    docs = spark.createDataFrame([(1, "x"), (2, "y"), (None, "z")], "doc_id long, quality string")
+    labels = spark.createDataFrame([(1, 0), (1, 1), (None, 1), (9, 1)], "doc_id long, quality int")
+    got = {r.doc_id: r.weight for r in mixing.with_quality(docs, labels).collect()}
+    assert got == {1: 2.0, 2: 1.0, None: 1.0}
+
+
+def test_query_against_sql(spark):
+    folder = "/root/testdata/sf0.01"
+    con = duckdb.connect()
+    for name in ("documents", "labels"):
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM '{folder}/{name}.parquet'")
+    want = sorted(con.execute(LLM_ORACLES["op4_mixing"]).fetchall())
+    assert sorted(tuple(r) for r in op4_mixing(spark, folder).collect()) == want

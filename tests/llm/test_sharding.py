@@ -1,0 +1,71 @@
+"""Shards: even counts, gapless slots, linked documents together."""
+
+from __future__ import annotations
+
+import zlib
+from collections import Counter, defaultdict
+
+import pytest
+
+from gapwise.llm import sharding
+from gapwise.llm.queries import op3_sharding
+
+
+def sharded(spark, rows, **options):
+    df = spark.createDataFrame([(i, t, "x", 0, 1) for i, t in rows], "doc_id long, text string, grp string, shard int, n int")
+    return sharding.balanced_shards(df, **options).collect()
+
+
+def checked(out, rows, shards):
+    """Whole and even; the number of groups cut more often than their size asks."""
+    texts = dict(rows)
+    assert Counter(r.doc_id for r in out) == Counter(i for i, _ in rows)
+    slots = defaultdict(list)
+    for r in out:
+        slots[r.shard].append(r.slot)
+        data = (texts[r.doc_id] or "").encode()
+        assert (r.size, r.text_crc32, r.law, r.grown_shard) == (len(data) + 8, zlib.crc32(data), "rows", None)
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values())
+    counts = [len(slots[s]) for s in range(shards)]
+    assert max(counts) - min(counts) <= 1 and set(slots) <= set(range(shards))
+    spread = defaultdict(set)
+    for r in out:
+        if texts[r.doc_id] is not None:
+            spread[texts[r.doc_id]].add(r.shard)
+    sizes, room = Counter(t for _, t in rows), len(rows) // shards
+    return sum(len(s) - 1 for t, s in spread.items() if sizes[t] <= room // 2), spread
+
+
+def test_query(spark):
+    folder = "/root/testdata/sf0.01"
+    rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{folder}/documents.parquet").collect()]
+    cuts, _ = checked(op3_sharding(spark, folder).collect(), rows, 24)
+    assert cuts <= 2
+
+
+def test_hot_group_fills_few_shards(spark):
+    rows = [(i, "hot" if i % 3 == 0 else f"pair {i // 2}" if i % 5 else f"text {i}") for i in range(1200)]
+    cuts, spread = checked(sharded(spark, rows, shards=12), rows, 12)
+    assert len(spread["hot"]) <= 7
+    assert cuts <= 12
+
+
+def test_all_linked_without_space(spark):
+    rows = [(i, f"group {i // 10}") for i in range(960)]
+    cuts, _ = checked(sharded(spark, rows, shards=8), rows, 8)
+    assert cuts <= 24
+
+
+@pytest.mark.parametrize(
+    "rows",
+    [
+        [],
+        [(1, "a")],
+        [(i, None) for i in range(50)],
+        [(i, "") for i in range(50)],
+        [(i, "same") for i in range(49)],
+        [(1, "same")] * 30 + [(2, None), (3, "ü" * 400_000)],
+    ],
+)
+def test_odd_tables(spark, rows):
+    checked(sharded(spark, rows), rows, 24)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gapwise.llm import exact, lines, minhash, mixing, packing, sharding, substrings
+from gapwise.llm import exact, langid, lines, minhash, mixing, packing, sharding, substrings
 from gapwise.scratch import materialize
 
 
@@ -15,6 +15,17 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document, learned from three fourths of them."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held_out = langid.held_out(F.col("doc_id"))
+    model = langid.fit(docs.where(~held_out))
+    found = langid.predicted(spark, model, F.col("text"))
+    return docs.select("doc_id", held_out.alias("held_out"), found.alias("found")).select(
+        "doc_id", "held_out", "found.lang_pred", "found.score"
+    )
+
+
 def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in 24 shards of equal counts, equal texts together where they fit."""
     return sharding.balanced_shards(_table(spark, sf_dir, "documents"))
@@ -66,6 +77,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = (
+        op1_language_id,
         op3_sharding,
         op4_mixing,
         op6_minhash_dedup,

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gapwise.llm import exact, langid, lines, minhash, mixing, packing, sharding, substrings
+from gapwise.llm import exact, langid, lattice, lines, minhash, mixing, packing, sharding, substrings
 from gapwise.scratch import materialize
 
 
@@ -41,6 +41,11 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and components of near-equal vectors with equal labels, cosine 0.93 or more."""
+    return lattice.near_vectors(_table(spark, sf_dir, "embeddings"))
+
+
 def op6_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The class of near copies of every document, five words and similarity 0.8."""
     return minhash.near_duplicates(_table(spark, sf_dir, "documents")).select("doc_id", "class_id", "kept")
@@ -80,6 +85,7 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op1_language_id,
         op3_sharding,
         op4_mixing,
+        op5_embedding_dedup,
         op6_minhash_dedup,
         op7_line_dedup,
         op8_exact_dedup,

@@ -1,0 +1,118 @@
+"""Lattice hashing against all pairs."""
+
+from __future__ import annotations
+
+import numpy as np
+import pytest
+
+from gapwise.llm import lattice
+from gapwise.llm.queries import op5_embedding_dedup
+
+from . import brute
+
+SCHEMA = "vec_id long, embedding array<float>, label int, id long, cell int, copies string"
+
+
+def all_pairs(rows, threshold=0.93):
+    """{vec_id: (n_links, component_id, kept)} of rows (vec_id, vector, label) with unique ids."""
+    links, count = [], {i: 0 for i, _, _ in rows}
+    usable = [(i, np.array(v, float), g) for i, v, g in rows if v and g is not None and None not in v]
+    usable = [(i, v / np.linalg.norm(v), g) for i, v, g in usable if np.isfinite(v).all() and v.any()]
+    for k, (i, v, g) in enumerate(usable):
+        for j, w, h in usable[k + 1 :]:
+            if g == h and len(v) == len(w) and v @ w >= threshold:
+                links.append((i, j))
+                count[i] += 1
+                count[j] += 1
+    low = brute.classes(list(count), links)
+    return {i: (count[i], low[i], low[i] == i) for i in count}
+
+
+def near(spark, rows, **options):
+    df = spark.createDataFrame([(*r, 0, 0, "x") for r in rows], SCHEMA)
+    out = lattice.near_vectors(df, **options).collect()
+    assert len(out) == len(rows)
+    return {r.vec_id: (r.n_links, r.component_id, r.kept) for r in out}
+
+
+def noisy(rng, base, cosine):
+    noise = rng.normal(size=len(base))
+    noise -= noise @ base * base
+    return cosine * base + np.sqrt(1 - cosine**2) * noise / np.linalg.norm(noise)
+
+
+def unit(rng, dim=64):
+    x = rng.normal(size=dim)
+    return x / np.linalg.norm(x)
+
+
+def test_nearest_points_are_nearest():
+    x = np.random.default_rng(1).normal(size=(2000, 8)) * 2
+    point = lattice.nearest_points(x)
+    double = np.rint(point * 2).astype(int)
+    assert (double == point * 2).all() and (double.sum(axis=1) % 4 == 0).all()
+    assert ((double % 2).min(axis=1) == (double % 2).max(axis=1)).all()
+    best = ((x - point) ** 2).sum(axis=1)
+    others = ((x[:, None] - point[:, None] - lattice._neighbours()) ** 2).sum(axis=2)
+    assert len(lattice._neighbours()) == 240 and (best[:, None] <= others + 1e-9).all()
+    assert best.max() <= 1 + 1e-9
+
+
+def test_recall_at_the_threshold():
+    rng = np.random.default_rng(2)
+    a = np.array([unit(rng) for _ in range(4000)])
+    b = np.array([noisy(rng, x, 0.935) for x in a])
+    salt = np.zeros(len(a), np.uint64)
+    x, y = (lattice.cells(v, salt, lattice.TABLES, lattice.PROBES, lattice.SCALE) for v in (a, b))
+    met = (x == y[:, :, :1]).any(axis=(1, 2)) | (y == x[:, :, :1]).any(axis=(1, 2))
+    assert met.mean() >= 0.995
+
+
+def test_clusters_copies_and_labels(spark):
+    rng = np.random.default_rng(4)
+    rows, base = [], [unit(rng) for _ in range(12)]
+    for k in range(240):
+        rows.append((1000 - k, noisy(rng, base[k % 12], 0.985).tolist(), k % 2))
+    rows += [(2000 + k, base[0].tolist(), 0) for k in range(40)]
+    rows += [(3000, (base[0] * 7).tolist(), 0), (3001, base[0].tolist(), 1), (3002, (-base[0]).tolist(), 0)]
+    rows += [(3003 + k, unit(rng).tolist(), 0) for k in range(100)]
+    assert near(spark, rows) == all_pairs([(i, np.float32(v).tolist(), g) for i, v, g in rows])
+
+
+def test_full_cells_are_split_into_blocks(spark):
+    rng = np.random.default_rng(5)
+    base = unit(rng)
+    rows = [(k, noisy(rng, base, 0.99).tolist(), 3) for k in range(150)]
+    want = all_pairs([(i, np.float32(v).tolist(), g) for i, v, g in rows])
+    assert near(spark, rows, block=16) == want
+    assert set(want.values()) == {(149, 0, True), (149, 0, False)}
+
+
+def test_chains_reach_the_smallest(spark):
+    rows = [(500 - k, [float(np.cos(0.3 * k)), float(np.sin(0.3 * k)), 0.0, 0.0], 1) for k in range(9)]
+    assert near(spark, rows, tables=40) == all_pairs(rows)
+
+
+def test_unusable_vectors(spark):
+    bad = [None, [], [0.0, 0.0], [1.0, None], [1.0, float("nan")], [float("inf"), 1.0]]
+    rows = [(10 * k + c, v, 1) for k, v in enumerate(bad) for c in (1, 2)]
+    rows += [(100, [1.0, 2.0], None), (101, [1.0, 2.0], None), (102, [1.0, 2.0, 0.0], 1), (103, [1.0, 2.0], 1)]
+    rows += [(104, [3e38, 3e38], 5), (105, [1e-44, 1e-44], 5)]
+    got = near(spark, rows)
+    assert {i for i, r in got.items() if r[0]} == {104, 105} and got[105] == (1, 104, False)
+    assert all(r == (0, i, True) for i, r in got.items() if i < 104)
+
+
+def test_empty_null_ids_and_repeated_rows(spark):
+    assert near(spark, []) == {}
+    df = spark.createDataFrame([(None, [1.0], 1), (7, [1.0], 1), (7, [1.0], 1)], "vec_id long, embedding array<double>, label long")
+    got = sorted((tuple(r) for r in lattice.near_vectors(df).collect()), key=str)
+    assert got == [(7, 1, 7, True), (7, 1, 7, True), (None, 0, None, True)]
+
+
+@pytest.mark.parametrize("folder", ["/root/testdata/sf0.1"])
+def test_query(spark, folder):
+    rows = [(r.vec_id, r.embedding, r.label) for r in spark.read.parquet(f"{folder}/embeddings.parquet").collect()]
+    want = all_pairs(rows)
+    got = {r.vec_id: (r.n_links, r.component_id, r.kept) for r in op5_embedding_dedup(spark, folder).collect()}
+    assert got == want

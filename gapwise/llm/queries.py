@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gapwise.llm import exact, langid, lattice, lines, minhash, mixing, packing, sharding, substrings
+from gapwise.llm import exact, langid, lattice, lines, minhash, mixing, packing, sharding, substrings, toolcalls
 from gapwise.scratch import materialize
 
 
@@ -26,6 +26,15 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Turns of all conversations as linked, ordered and checked tool calls in canonical JSON."""
+    turns = _table(spark, sf_dir, "conversations")
+    calls, results = toolcalls.read_as_calls(turns, mixing.word_count(F.col("text")))
+    tools = spark.createDataFrame(toolcalls.TOOLS, "name string, parameters string")
+    linked = toolcalls.link_calls(calls, results, tools)
+    return linked.withColumn("problems", F.concat_ws(",", "problems"))
+
+
 def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in 24 shards of equal counts, equal texts together where they fit."""
     return sharding.balanced_shards(_table(spark, sf_dir, "documents"))
@@ -83,6 +92,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = (
         op1_language_id,
+        op2_chat_formatting,
         op3_sharding,
         op4_mixing,
         op5_embedding_dedup,

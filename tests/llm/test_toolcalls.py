@@ -1,0 +1,164 @@
+"""Tool calls against a plain walk over the conversations."""
+
+from __future__ import annotations
+
+import hashlib
+import json
+
+import pytest
+
+from gapwise.llm import toolcalls
+from gapwise.llm.queries import op2_chat_formatting
+
+from .brute import WORD
+
+CALLS = "conv_id long, turn long, call_id string, name string, arguments string, after array<string>, status string, conv int"
+RESULTS = "conv_id long, turn long, call_id string, content string, level int, id int"
+TOOLS = [
+    ("add", json.dumps({"properties": {"a": {"type": "number"}, "b": {"type": "integer", "minimum": 0}}, "required": ["a", "b"], "additionalProperties": False})),
+    ("say", json.dumps({"properties": {"how": {"type": "string", "enum": ["loud", "low"]}, "tags": {"type": "array"}, "opt": {"type": "object"}}})),
+    ("bare", "{}"),
+]
+
+
+def linked(spark, calls, results=(), tools=TOOLS):
+    frames = (
+        spark.createDataFrame([(*c, "x", 1) for c in calls], CALLS),
+        spark.createDataFrame([(*r, 0, 0) for r in results], RESULTS),
+        spark.createDataFrame(list(tools), "name string, parameters string"),
+    )
+    return toolcalls.link_calls(*frames).collect()
+
+
+def test_links_and_statuses(spark):
+    calls = [
+        (1, 0, "a", "bare", "{}", None),
+        (1, 2, "b", "bare", "{}", ["a"]),
+        (1, 3, "a", "bare", '{"x":1}', None),
+        (2, 0, "a", "bare", "{}", None),
+        (3, 0, None, "bare", "{}", None),
+    ]
+    results = [(1, 1, "a", "first"), (1, 5, "a", "second"), (2, 4, "zz", "lost"), (9, 0, "a", "far"), (3, 1, None, "none")]
+    got = {(r.conv_id, r.turn, r.call_id): (r.status, r.position, r.result_turn) for r in linked(spark, calls, results)}
+    assert got == {
+        (1, 0, "a"): ("linked", 0, 1),
+        (1, 2, "b"): ("open", 1, None),
+        (1, 3, "a"): ("repeated", 2, None),
+        (2, 0, "a"): ("open", 0, None),
+        (3, 0, None): ("open", 0, None),
+        (2, 4, "zz"): ("orphan", None, 4),
+        (9, 0, "a"): ("orphan", None, 0),
+        (3, 1, None): ("orphan", None, 1),
+    }
+
+
+def test_order_is_topological(spark):
+    calls = [
+        (1, 0, "a", "bare", "{}", ["c"]),
+        (1, 1, "b", "bare", "{}", None),
+        (1, 2, "c", "bare", "{}", ["b", "d"]),
+        (1, 3, "d", "bare", "{}", None),
+        (2, 0, "a", "bare", "{}", ["b"]),
+        (2, 1, "b", "bare", "{}", ["a"]),
+        (2, 2, "c", "bare", "{}", ["b"]),
+        (2, 3, "d", "bare", "{}", ["d"]),
+        (2, 4, "e", "bare", "{}", None),
+        (3, 0, "a", "bare", "{}", ["gone", "gone"]),
+    ]
+    rows = linked(spark, calls)
+    order = {c: [r.call_id for r in sorted(rows, key=lambda r: (r.position)) if r.conv_id == c] for c in (1, 2)}
+    assert order == {1: ["b", "d", "c", "a"], 2: ["e", "a", "b", "c", "d"]}
+    assert {r.call_id for r in rows if r.status == "circular"} == {"a", "b", "c", "d"}
+    assert next(r.problems for r in rows if r.conv_id == 3) == ["after:gone"]
+
+
+def test_long_chain_in_one_conversation(spark):
+    calls = [(1, k, f"c{k}", "bare", "{}", [f"c{k - 1}"] if k else None) for k in range(3000)]
+    rows = linked(spark, calls)
+    assert all(r.position == r.turn for r in rows) and len(rows) == 3000
+
+
+@pytest.mark.parametrize(
+    "name, arguments, problems",
+    [
+        ("add", '{"a":1.5,"b":2}', []),
+        ("add", '{"b":2.0,"a":1}', []),
+        ("add", '{"a":"1","b":2.5,"c":0}', ["type:a", "type:b", "unexpected:c"]),
+        ("add", '{"b":-1}', ["missing:a", "range:b"]),
+        ("say", '{"how":"loud","tags":[],"opt":{}}', []),
+        ("say", '{"how":"soft","tags":{},"opt":[1],"more":null}', ["enum:how", "type:opt", "type:tags"]),
+        ("say", '{"how":null}', ["type:how"]),
+        ("say", "[1]", ["no object"]),
+        ("say", "{broken", ["no object"]),
+        ("say", "", ["no object"]),
+        ("say", None, ["no object"]),
+        ("none", "{}", ["unknown tool"]),
+        (None, "{}", ["unknown tool"]),
+        ("bare", '{"anything":true}', []),
+    ],
+)
+def test_validation(spark, name, arguments, problems):
+    (row,) = linked(spark, [(1, 0, "a", name, arguments, None)])
+    assert (row.problems, row.valid) == (problems, not problems)
+
+
+def test_canonical_json(spark):
+    arguments = ' { "b" : 1.50, "a": {"z": "é\\n\\u00e9", "c": [1, 2.0]}, "n": null}'
+    calls = [(1, 0, "a", "bare", arguments, None), (1, 1, "b", "bare", "{no", None), (1, 2, "c", "bare", "x" * 3_000_000, None)]
+    got = {r.call_id: r.message for r in linked(spark, calls, [(1, 5, "a", 'say "hi"')])}
+    assert got["a"] == (
+        '{"call":{"arguments":{"a":{"c":[1,2],"z":"é\\né"},"b":1.5,"n":null},"id":"a","name":"bare"},'
+        '"result":{"content":"say \\"hi\\""},"role":"tool_call"}'
+    )
+    assert got["b"] == '{"call":{"arguments":"{no","id":"b","name":"bare"},"role":"tool_call"}'
+    assert len(json.loads(got["c"])["call"]["arguments"]) == 3_000_000
+
+
+def test_empty_and_repeated_rows(spark):
+    assert linked(spark, []) == []
+    rows = linked(spark, [(1, 0, "a", "bare", "{}", None)] * 2, [(1, 1, "a", "r")] * 2, TOOLS * 2)
+    assert len(rows) == 2 and sorted(r.position for r in rows) == [0, 1]
+
+
+def expected(turns):
+    """{(conv_id, turn): (call_id, name, status, valid, result_turn)} of the test conversations."""
+    name = lambda conv, turn: hashlib.md5(f"{conv}:{turn}".encode()).hexdigest()[:16]
+    users = {(c, t): x for c, t, role, x in turns if role == "user"}
+    replies = {(c, t - 1): t for c, t, role, _ in turns if role == "assistant"}
+    out, after = {}, {}
+    for (c, t), text in users.items():
+        n = len(WORD.findall(text or ""))
+        step = 2 if n % 7 == 6 else -2
+        after[c, t] = (c, t + step) if t > 0 and t + step >= 0 else None
+        wrong = [n > 50 or n == 0, n % 2 == 1, n <= 9, True][n % 4]
+        tool = ["search", "shorten", "translate", "guess"][n % 4]
+        lost = after[c, t] is not None and after[c, t] not in users
+        out[c, t] = (name(c, t), tool, not wrong and not lost, replies.get((c, t)))
+    level = {}
+    while True:
+        free = {k for k in users if k not in level and (after[k] not in users or after[k] in level)}
+        if not free:
+            break
+        level.update({k: 0 if after[k] not in users else level[after[k]] + 1 for k in free})
+    found = {}
+    for k, (i, tool, valid, reply) in out.items():
+        messy = any(after[o] in users and after[o][1] >= o[1] for o in users if o[0] == k[0])
+        circular = messy and k not in level
+        found[k] = (i, tool, "circular" if circular else "linked" if reply is not None else "open", valid, reply)
+    for (c, t), reply in replies.items():
+        if (c, t) not in users:
+            found[c, reply] = (name(c, t), None, "orphan", False, reply)
+    return found
+
+
+@pytest.mark.parametrize("folder", ["/root/testdata/sf0.01"])
+def test_query(spark, folder):
+    turns = [tuple(r) for r in spark.read.parquet(f"{folder}/conversations.parquet").collect()]
+    out = op2_chat_formatting(spark, folder).collect()
+    got = {(r.conv_id, r.turn): (r.call_id, r.name, r.status, r.valid, r.result_turn) for r in out}
+    assert len(out) == len(got) and got == expected(turns)
+    assert all(json.loads(r.message)["role"] for r in out)
+    texts = {(c, t): x for c, t, _, x in turns}
+    for r in out:
+        if r.name in ("shorten", "translate"):
+            assert json.loads(r.message)["call"]["arguments"]["text"] == texts[r.conv_id, r.turn]

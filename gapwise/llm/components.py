@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from gapwise.llm.tables import compact
 from gapwise.scratch import materialize
 
 ROUNDS = 60
@@ -44,8 +45,9 @@ def components(links: DataFrame) -> DataFrame:
         F.greatest("a", "b").alias("node"), F.least("a", "b").alias("other")
     )
     now, before = materialize(links.distinct(), "links"), None
+    rows = now.count()
     for _ in range(ROUNDS):
-        small = materialize(_small_star(_large_star(now)), "stars")
+        small = materialize(compact(_small_star(_large_star(now)), 2 * rows), "stars")
         state = small.agg(
             F.count("*"), F.sum(F.xxhash64("node", "other").cast("decimal(38,0)"))
         ).first()

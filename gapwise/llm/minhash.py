@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gapwise.llm.components import components
-from gapwise.llm.tables import broadcast_if_small, free_name, utf8
+from gapwise.llm.tables import broadcast_if_small, compact, free_name, utf8
 from gapwise.llm.words import in_chunks, joined, mixed, window_hashes, word_hashes
 from gapwise.scratch import materialize
 
@@ -145,7 +145,7 @@ def near_classes(
         "signed",
     )
     sets = signed.groupBy("set_id").agg(F.min("doc_id").alias("id"), F.count("*").alias("copies"))
-    sets = materialize(sets, "sets")
+    sets = materialize(compact(sets, signed.count()), "sets")
     heads = signed.join(sets.select("id"), F.col("doc_id") == F.col("id"), "left_semi")
     banded = heads.select(F.col("doc_id").alias("id"), "n", F.explode("bands").alias("bucket")).distinct()
     shared = (
@@ -157,7 +157,9 @@ def near_classes(
         banded.join(shared, F.col("bucket") == F.col("_bucket")).select("bucket", "id", "n", "lowest"),
         "members",
     )
-    wanted = materialize(members.select(F.col("id").alias("doc_id")).distinct(), "wanted")
+    rows_left = members.count()
+    wanted = members.select(F.col("id").alias("doc_id")).distinct()
+    wanted = materialize(compact(wanted, rows_left), "wanted")
     whole = materialize(
         given.join(broadcast_if_small(wanted, 16), "doc_id", "left_semi")
         .mapInArrow(_sets(words), "id long, set binary")
@@ -173,12 +175,13 @@ def near_classes(
             .join(whole.select(F.col("id").alias("b"), F.col("set").alias("set_b")), "b")
             .select("a", "b", "set_a", "set_b")
         )
-        return materialize(compared.mapInArrow(_verified(threshold), "a long, b long"), "verified")
+        verified = compared.mapInArrow(_verified(threshold), "a long, b long")
+        return materialize(compact(verified, rows_left, 10_000), "verified")
 
     alike = lambda x, y: F.least(x, y) >= F.lit(threshold) * F.greatest(x, y)
     found = links(members.where("id <> lowest").select(F.col("id").alias("a"), F.col("lowest").alias("b")))
     for turn in range(PIVOT_ROUNDS + 1):
-        labels = materialize(components(found), "labels")
+        labels = materialize(compact(components(found), rows_left), "labels")
         classed = members.join(labels, F.col("id") == F.col("node"), "left").select(
             "bucket", "id", "n", F.coalesce("label", "id").alias("class")
         )
@@ -191,13 +194,11 @@ def near_classes(
             )
             .where("low < high")
         )
-        split = materialize(split.select("_bucket", "pivot"), "split")
+        split = materialize(compact(split.select("_bucket", "pivot"), rows_left), "split")
         if split.isEmpty():
             break
-        open_ = materialize(
-            classed.join(split, F.col("bucket") == F.col("_bucket")).select("bucket", "id", "n", "class", "pivot"),
-            "open",
-        )
+        open_ = classed.join(split, F.col("bucket") == F.col("_bucket"))
+        open_ = materialize(compact(open_.select("bucket", "id", "n", "class", "pivot"), rows_left), "open")
         if turn < PIVOT_ROUNDS:
             pairs = open_.where((F.col("class") != F.col("pivot.class")) & alike("n", "pivot.n")).select(
                 F.col("id").alias("a"), F.col("pivot.id").alias("b")

@@ -31,6 +31,12 @@ def parts(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
+def compact(df: DataFrame, rows: int, per_task: int = 50_000) -> DataFrame:
+    """``df`` in tasks of about ``per_task`` rows, where at most ``rows`` rows would be spread
+    over more: a small step of an iteration then writes few files."""
+    return df.coalesce(max(1, min(parts(df), -(-rows // per_task))))
+
+
 def ranked(df: DataFrame, by: list[str], order: list[str], weight: str | None = None) -> DataFrame:
     """``df`` with ``_rank``, its place (from 0) among the rows of ``by`` in ``order``, and with
     ``weight`` also ``_before``, the sum of the weights of the rows before it.

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gapwise.llm.tables import broadcast_if_small, ranked
+from gapwise.llm.tables import broadcast_if_small, compact, ranked
 from gapwise.scratch import materialize
 
 LAST = 2**31 - 1  # level of calls in or behind a circle
@@ -80,6 +80,7 @@ def levels(edges: DataFrame, calls: DataFrame) -> DataFrame:
         "conv", "id", F.coalesce("open", F.lit(0)).alias("open"), F.when(F.col("open").isNull(), 0).alias("level")
     )
     state, turn = materialize(state, "levels"), 0
+    rows = state.count()
     while not state.where(F.col("level") == turn).isEmpty():
         met = (
             edges.join(
@@ -91,7 +92,8 @@ def levels(edges: DataFrame, calls: DataFrame) -> DataFrame:
         turn += 1
         state = state.join(met, ["conv", "id"], "left").withColumn("open", F.col("open") - F.coalesce("met", F.lit(0)))
         free = F.when(F.col("level").isNull() & (F.col("open") == 0), turn).otherwise(F.col("level"))
-        state = materialize(state.select("conv", "id", "open", free.alias("level")), "levels")
+        state = state.select("conv", "id", "open", free.alias("level"))
+        state = materialize(compact(state, rows), "levels")
     return state.select("conv", "id", F.coalesce("level", F.lit(LAST)).alias("level"))
 
 

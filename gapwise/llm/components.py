@@ -44,17 +44,19 @@ def components(links: DataFrame) -> DataFrame:
     links = links.where("a <> b").select(
         F.greatest("a", "b").alias("node"), F.least("a", "b").alias("other")
     )
-    now, before = materialize(links.distinct(), "links"), None
-    rows = now.count()
+    links = materialize(links.distinct(), "links")
+    rows = links.count()
+    now, before = links, None
     for _ in range(ROUNDS):
-        small = materialize(compact(_small_star(_large_star(now)), 2 * rows), "stars")
-        state = small.agg(
+        now = materialize(compact(_small_star(_large_star(now)), 2 * rows), "stars")
+        state = now.agg(
             F.count("*"), F.sum(F.xxhash64("node", "other").cast("decimal(38,0)"))
         ).first()
         if state == before:
             break
-        now, before = small, state
+        before = state
     else:
         raise RuntimeError("the components did not settle")
     heads = now.select(F.col("other").alias("node"), F.col("other").alias("label")).distinct()
-    return now.select("node", F.col("other").alias("label")).union(heads)
+    labels = now.select("node", F.col("other").alias("label")).union(heads)
+    return materialize(compact(labels, 2 * rows), "labels")

@@ -153,10 +153,8 @@ def near_classes(
         .agg(F.min("id").alias("lowest"), F.max("id").alias("highest"))
         .where("lowest < highest")
     )
-    members = materialize(
-        banded.join(shared, F.col("bucket") == F.col("_bucket")).select("bucket", "id", "n", "lowest"),
-        "members",
-    )
+    members = banded.join(shared, F.col("bucket") == F.col("_bucket")).select("bucket", "id", "n", "lowest")
+    members = materialize(compact(members, bands * sets.count()), "members")
     rows_left = members.count()
     wanted = members.select(F.col("id").alias("doc_id")).distinct()
     wanted = materialize(compact(wanted, rows_left), "wanted")
@@ -175,13 +173,12 @@ def near_classes(
             .join(whole.select(F.col("id").alias("b"), F.col("set").alias("set_b")), "b")
             .select("a", "b", "set_a", "set_b")
         )
-        verified = compared.mapInArrow(_verified(threshold), "a long, b long")
-        return materialize(compact(verified, rows_left, 10_000), "verified")
+        return compared.mapInArrow(_verified(threshold), "a long, b long")
 
     alike = lambda x, y: F.least(x, y) >= F.lit(threshold) * F.greatest(x, y)
-    found = links(members.where("id <> lowest").select(F.col("id").alias("a"), F.col("lowest").alias("b")))
+    first = members.where("id <> lowest").select(F.col("id").alias("a"), F.col("lowest").alias("b"))
+    labels = components(links(first))
     for turn in range(PIVOT_ROUNDS + 1):
-        labels = materialize(compact(components(found), rows_left), "labels")
         classed = members.join(labels, F.col("id") == F.col("node"), "left").select(
             "bucket", "id", "n", F.coalesce("label", "id").alias("class")
         )
@@ -197,26 +194,24 @@ def near_classes(
         split = materialize(compact(split.select("_bucket", "pivot"), rows_left), "split")
         if split.isEmpty():
             break
-        open_ = classed.join(split, F.col("bucket") == F.col("_bucket"))
-        open_ = materialize(compact(open_.select("bucket", "id", "n", "class", "pivot"), rows_left), "open")
+        left = classed.join(split, F.col("bucket") == F.col("_bucket")).drop("_bucket")
         if turn < PIVOT_ROUNDS:
-            pairs = open_.where((F.col("class") != F.col("pivot.class")) & alike("n", "pivot.n")).select(
+            pairs = left.where((F.col("class") != F.col("pivot.class")) & alike("n", "pivot.n")).select(
                 F.col("id").alias("a"), F.col("pivot.id").alias("b")
             )
         else:
-            other = open_.select(
+            left = materialize(compact(left.drop("pivot"), rows_left), "left")
+            other = left.select(
                 F.col("bucket").alias("_bucket"),
                 F.col("id").alias("b"),
                 F.col("n").alias("_n"),
                 F.col("class").alias("_class"),
             )
-            pairs = open_.join(
+            pairs = left.join(
                 other,
                 (F.col("bucket") == F.col("_bucket")) & (F.col("class") < F.col("_class")) & alike("n", "_n"),
             ).select(F.col("id").alias("a"), "b")
-        found = labels.select(F.col("node").alias("a"), F.col("label").alias("b")).union(links(pairs))
-    else:
-        labels = components(found)
+        labels = components(labels.select(F.col("node").alias("a"), F.col("label").alias("b")).union(links(pairs)))
     joined_sets = sets.join(labels, F.col("id") == F.col("node"), "left").where("copies > 1 OR label IS NOT NULL")
     joined_sets = joined_sets.select("set_id", F.coalesce("label", "id").alias("class_id"))
     return signed.join(joined_sets, "set_id").select("doc_id", "class_id")

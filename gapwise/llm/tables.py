@@ -31,7 +31,7 @@ def parts(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
-def compact(df: DataFrame, rows: int, per_task: int = 50_000) -> DataFrame:
+def compact(df: DataFrame, rows: int, per_task: int = 200_000) -> DataFrame:
     """``df`` in tasks of about ``per_task`` rows, where at most ``rows`` rows would be spread
     over more: a small step of an iteration then writes few files."""
     return df.coalesce(max(1, min(parts(df), -(-rows // per_task))))

@@ -13,7 +13,7 @@ WORD = r"[^\x20\x09-\x0D]+"
 WHITE_SPACE = " \t\n\x0b\x0c\r"
 
 _WORD = re.compile(WORD.encode())
-_REMEMBERED = 400_000  # words whose hash a worker keeps
+_REMEMBERED = 200_000  # words whose hash a worker keeps
 _LONG = 8 << 20  # bytes of a text whose words are not listed at once
 _A, _B, _C = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xBF58476D1CE4E5B9))
 
@@ -78,7 +78,7 @@ def window_hashes(hashes: np.ndarray, n: int) -> np.ndarray:
         size *= 2
 
 
-def in_chunks(keys: list, texts: list, limit: int = 4 << 20) -> Iterator[tuple[list, list]]:
+def in_chunks(keys: list, texts: list, limit: int = 2 << 20) -> Iterator[tuple[list, list]]:
     """The rows of a batch in runs of about ``limit`` bytes of text."""
     start = size = 0
     for i, text in enumerate(texts):

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from gapwise.functions.timeops import SECOND_PATTERN
+from gapwise.functions.timeops import utc_text
 
 
 def session_id(user: Column, start_utc: Column) -> Column:
@@ -14,5 +14,4 @@ def session_id(user: Column, start_utc: Column) -> Column:
     The running session number is no part of it, so reading more history renames a session only
     when it really moves the session's start.  A NULL user is skipped by ``concat_ws``.
     """
-    start_text = F.date_format(start_utc, SECOND_PATTERN)
-    return F.sha2(F.concat_ws("|", user.cast("string"), start_text), 256)
+    return F.sha2(F.concat_ws("|", user.cast("string"), utc_text(start_utc)), 256)

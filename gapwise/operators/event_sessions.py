@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gapwise.functions.ids import session_id
-from gapwise.functions.timeops import gap_in_seconds, local_day, local_time
+from gapwise.functions.timeops import day_start, gap_in_seconds, local_day, local_time
 from gapwise.operators import hot
 from gapwise.operators.sessions import GapRule, sessionize
 
@@ -55,23 +55,25 @@ def sessionize_events(
     end_date: str | None = None,
     hot_rows: int | None = hot.HOT_ROWS,
     gather_days: bool = False,
+    file_rows: int | None = None,
 ) -> DataFrame:
     """Canonical events to published rows, one out per one in, kept to ``start <= dt < end``.
 
     ``gather_days`` brings the rows of a day together, as a write by day wants them.  That happens
     before ids, local times and tags are added, so the shuffle carries a third of the bytes.
 
-    Only the upper day bound is applied below the windows: rows after a day never change the
-    numbers of earlier rows.  Rows before the first day do (they may open its first sessions), so
+    Only the upper day bound is applied below the windows, as an instant that the scan can use:
+    rows after a day never change the numbers of earlier rows.  Rows before the first day do (they may open its first sessions), so
     the lower bound stays on top.
     """
     if end_date is not None:
-        events = events.filter(local_day(F.col("event_time_utc"), zone) < end_date)
+        events = events.filter(F.col("event_time_utc") < day_start(end_date, zone))
     numbered = with_day(sessionize(events, rule or event_rule(), hot_rows), zone)
     if start_date is not None:
         numbered = numbered.filter(F.col("dt") >= start_date)
     if gather_days:
-        numbered = gather_by_day(numbered)
+        # The days' rows are counted on the input: sessions neither add nor drop rows.
+        numbered = gather_by_day(numbered, file_rows, with_day(events, zone))
     return publishable(numbered, run_id, zone)
 
 
@@ -79,14 +81,28 @@ def with_day(events: DataFrame, zone: str = DEFAULT_ZONE) -> DataFrame:
     return events.withColumn("dt", local_day(F.col("event_time_utc"), zone))
 
 
-def gather_by_day(rows: DataFrame) -> DataFrame:
+def gather_by_day(
+    rows: DataFrame, file_rows: int | None = None, counted: DataFrame | None = None
+) -> DataFrame:
     """Bring each day's rows together, big days over several tasks.
 
-    A rebalance, not a plain hash by day: a day that outgrows
-    ``spark.sql.adaptive.advisoryPartitionSizeInBytes`` is spread over tasks of about that size
-    instead of passing through a single one.
+    With ``file_rows`` a day gets ceil(rows / file_rows) tasks, so as many files; the rows per day
+    are counted first (in ``counted``, if that is cheaper to read). Without, a rebalance: a day that outgrows
+    ``spark.sql.adaptive.advisoryPartitionSizeInBytes`` is spread over tasks of about that size.
     """
-    return rows.hint("rebalance", "dt")
+    if file_rows is None:
+        return rows.hint("rebalance", "dt")
+    days = (rows if counted is None else counted).groupBy("dt").count()
+    counts = {r["dt"]: r["count"] for r in days.collect()}  # one row per calendar day
+    plan, slots = [], 0
+    for day, count in sorted(counts.items()):
+        plan.append((day, slots, files := -(-count // file_rows)))
+        slots += files
+    planned = rows.sparkSession.createDataFrame(plan, "_day string, _first int, _files int")
+    row = F.xxhash64(*[c for c in rows.columns if c != "dt"])
+    slot = (F.col("_first") + F.pmod(row, "_files")).cast("int")
+    placed = rows.join(F.broadcast(planned), F.col("dt") == F.col("_day"))
+    return placed.repartitionById(max(slots, 1), slot).select(*rows.columns)
 
 
 def publishable(numbered: DataFrame, run_id: str, zone: str = DEFAULT_ZONE) -> DataFrame:

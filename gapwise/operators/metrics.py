@@ -1,52 +1,57 @@
 """Weekly figures and audits over published rows.
 
-All counts are two-step: copies of a (group, user) or (group, session) pair collapse on the map
-side, so a busy week or day does not fill one task.
+A session belongs to one user and has one start, so sessions and users are counted by grouping by
+user first. Rows that come from a sessionizer already lie by user: only the last step, with one row
+per (task, group), is shuffled, and the session ids need not be computed.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gapwise.functions.timeops import week_start
 
+_SESSION = ("user_id", "session_start_at_utc")
+
 
 def wau_users(
     published: DataFrame, start_date: str | None = None, end_date: str | None = None
 ) -> DataFrame:
     """Distinct users per Monday week."""
-    users = F.countDistinct("user_id").alias("wau_users")
-    return _weekly(published, start_date, end_date, users)
+    by_user = _by_week(published, start_date, end_date).select("user_id", "week_start").distinct()
+    return (
+        by_user.groupBy("week_start").agg(F.count("user_id").alias("wau_users")).orderBy("week_start")
+    )
 
 
 def wau_sessions(
     published: DataFrame, start_date: str | None = None, end_date: str | None = None
 ) -> DataFrame:
     """Distinct sessions per Monday week; one that crosses a week edge counts in both weeks."""
-    sessions = F.countDistinct("generated_session_id").alias("wau_sessions")
-    return _weekly(published, start_date, end_date, sessions)
+    return weekly_engagement(published, start_date, end_date).drop("wau_users")
 
 
 def weekly_engagement(
     published: DataFrame, start_date: str | None = None, end_date: str | None = None
 ) -> DataFrame:
     """Distinct users and sessions per Monday week, from one read."""
-    users = F.countDistinct("user_id").alias("wau_users")
-    sessions = F.countDistinct("generated_session_id").alias("wau_sessions")
-    return _weekly(published, start_date, end_date, users, sessions)
+    sessions = _by_week(published, start_date, end_date).select(*_SESSION, "week_start").distinct()
+    by_user = sessions.groupBy("user_id", "week_start").agg(F.count("*").alias("n"))
+    return (
+        by_user.groupBy("week_start")
+        .agg(F.count("user_id").alias("wau_users"), F.sum("n").alias("wau_sessions"))
+        .orderBy("week_start")
+    )
 
 
-def _weekly(
-    published: DataFrame, start_date: str | None, end_date: str | None, *figures: Column
-) -> DataFrame:
+def _by_week(published: DataFrame, start_date: str | None, end_date: str | None) -> DataFrame:
     # Day bounds compare the stored text, so they prune partitions of a lake.
     if start_date is not None:
         published = published.filter(F.col("dt") >= start_date)
     if end_date is not None:
         published = published.filter(F.col("dt") < end_date)
-    week = week_start(F.col("dt")).alias("week_start")
-    return published.groupBy(week).agg(*figures).orderBy("week_start")
+    return published.withColumn("week_start", week_start(F.col("dt")))
 
 
 def mark_complete_weeks(weekly: DataFrame, start_date: str, end_date: str) -> DataFrame:
@@ -57,19 +62,44 @@ def mark_complete_weeks(weekly: DataFrame, start_date: str, end_date: str) -> Da
 
 
 def daily_audit(published: DataFrame) -> DataFrame:
-    return published.groupBy("dt").agg(*_audit_counts()).orderBy("dt")
+    by_user = _session_days(published).groupBy("user_id", "dt").agg(
+        F.sum("n").alias("n"), F.count("*").alias("sessions")
+    )
+    return (
+        by_user.groupBy("dt")
+        .agg(
+            F.sum("n").alias("row_count"),
+            F.count("user_id").alias("users"),
+            F.sum("sessions").alias("sessions"),
+        )
+        .orderBy("dt")
+    )
 
 
 def global_audit(published: DataFrame) -> DataFrame:
-    return published.agg(*_audit_counts(), F.countDistinct("dt").alias("days"))
+    """One row; a user or session on several days is counted on its first one."""
+    first_of_user = _is_first("user_id") & F.col("user_id").isNotNull()
+    days = _session_days(published).withColumns(
+        {"_session": _is_first(*_SESSION), "_user": first_of_user}
+    )
+    daily = days.groupBy("dt").agg(
+        F.sum("n").alias("n"),
+        F.count_if("_user").alias("users"),
+        F.count_if("_session").alias("sessions"),
+    )
+    sums = {"row_count": "n", "users": "users", "sessions": "sessions"}
+    return daily.agg(
+        *[F.coalesce(F.sum(c), F.lit(0)).alias(name) for name, c in sums.items()],
+        F.count("dt").alias("days"),
+    )
+
+
+def _session_days(published: DataFrame) -> DataFrame:
+    return published.groupBy(*_SESSION, "dt").agg(F.count("*").alias("n"))
 
 
-def _audit_counts() -> list[Column]:
-    return [
-        F.count("*").alias("row_count"),
-        F.countDistinct("user_id").alias("users"),
-        F.countDistinct("generated_session_id").alias("sessions"),
-    ]
+def _is_first(*keys: str) -> Column:
+    return F.row_number().over(Window.partitionBy(*keys).orderBy("dt", "session_start_at_utc")) == 1
 
 
 def day_provenance(published: DataFrame) -> DataFrame:

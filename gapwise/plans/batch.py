@@ -3,14 +3,14 @@
 from __future__ import annotations
 
 import os
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 from datetime import date, datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gapwise.functions.timeops import local_day
+from gapwise.functions.timeops import day_start
 from gapwise.operators import hot
 from gapwise.operators.event_sessions import (
     DEFAULT_GAP_MINUTES,
@@ -47,9 +47,16 @@ class JobSpec:
     timezone: str = DEFAULT_ZONE
     catalog_sync: bool = True
     repartition_by_dt: bool = True
-    # None: remove copies when a lookback is read, whose files may overlap the input's.
-    drop_copies: bool | None = None
+    # Keep one row of each group of fully equal ones, for input and lookback files that overlap;
+    # two real events that are equal in every column are then one as well.
+    drop_copies: bool = False
+    # Publish rows without a user, as one timeline of their own, instead of rejecting them.
+    publish_null_users: bool = False
     strict_time: bool = False
+    # Columns after source session and product that order a user's events of one instant.
+    ties: tuple[str, ...] = ()
+    # Rows that a day's file has about; None leaves the size of files to the session's settings.
+    file_rows: int | None = None
     # Write the open sessions after this run, for a run that continues them.
     keep_state: bool = False
     # Continue the sessions of this earlier run, whose days end where these begin.
@@ -85,7 +92,7 @@ class JobSpec:
 
     @property
     def rule(self) -> GapRule:
-        return event_rule(self.session_gap_minutes * 60)
+        return event_rule(self.session_gap_minutes * 60, *self.ties)
 
     @property
     def mode(self) -> str:
@@ -113,7 +120,12 @@ class JobSpec:
 
 
 def run_batch(spark: SparkSession, spec: JobSpec) -> lake.OutputStats:
-    """Read, sessionize, publish and record one range of days."""
+    """Read, sessionize, publish and record one range of days.
+
+    Everything is written and checked before a reader can see it: rows, rejects, late rows and
+    state first, then the table's partitions or the live days, then the SUCCESS row. Every input
+    row is accounted for in the ledger: published, outside the range, late, rejected or removed.
+    """
 
     def publish() -> tuple[lake.OutputStats, dict]:
         with scratch_folder(spark, "batch"):
@@ -122,16 +134,18 @@ def run_batch(spark: SparkSession, spec: JobSpec) -> lake.OutputStats:
                 rows = _sessions_with_history(spec, events)
             else:
                 rows = _sessions_with_state(spark, spec, events)
-            stats = _publish(spark, spec, rows)
+            stats = _stage(spec, rows)
             if spec.state_from is not None:
-                found["late_rows"] = _keep_late_rows(spark, spec, events, stats.row_count)
-        written = _written_rows(spark, spec)
+                found["late_rows"] = _keep_late_rows(spark, spec, events, found, stats.row_count)
+        _account(found, stats.row_count)
+        staged = lake.read_days(spark, _staged_path(spec))
         if spec.keep_state:
-            _write_state(spark, spec, written)
+            _write_state(spark, spec, staged)
+        read_from = found.pop("read_from")
         if spec.state_from is None:
-            read_from = F.lit(found.pop("read_from"))
-            edge = sessions_at_edge(written, read_from, spec.session_gap_minutes * 60)
+            edge = sessions_at_edge(staged, F.timestamp_micros(F.lit(read_from)), spec.session_gap_minutes * 60)
             found["sessions_at_edge"] = edge.count()
+        _publish(spark, spec, stats)
         return stats, found
 
     return _recorded(spark, spec, publish)
@@ -141,30 +155,51 @@ def compact_batch(spark: SparkSession, spec: JobSpec, file_bytes: int) -> lake.O
     """Rewrite the current days of the range as a new version with files of ``file_bytes``.
 
     Rows keep the run id that made them; the version, the pointers and the ledger get the new one.
+    The ledger names the run that each day was copied from, so a run that publishes a day again in
+    the meantime stays current.
     """
 
     def publish() -> tuple[lake.OutputStats, dict]:
-        pointer = ledger.current_versions(ledger.read_ledger(spark, spec.output)).filter(
-            (F.col("dt") >= spec.start_date) & (F.col("dt") < spec.end_date)
-        )
+        pointer = materialize(_pointer(spark, spec), "pointer")
         lake.compact_days(spark, spec.output, pointer, spec.run_id, file_bytes)
-        return _point(spark, spec, lake.verify_version(spark, spec.output, spec.run_id)), {}
+        stats = lake.verify_version(spark, spec.output, spec.run_id)
+        before = lake.day_counts(lake.current_rows(spark, spec.output, pointer))
+        after = lake.day_counts(lake.read_days(spark, lake.version_path(spec.output, spec.run_id)))
+        if not before.exceptAll(after).isEmpty() or not after.exceptAll(before).isEmpty():
+            raise ValueError("the compacted days have other row counts than their source")
+        origins = {r["dt"]: r["origin"] for r in pointer.collect()}  # one row per calendar day
+        still = {r["dt"] for r in _pointer(spark, spec).collect() if origins.get(r["dt"]) == r["origin"]}
+        current = lake.OutputStats(stats.row_count, tuple(d for d in stats.days if d in still))
+        _point(spark, spec, current, ())
+        return stats, {"origins": origins}
 
     if not spec.catalog_sync:
         raise ValueError("only a lake of versions can be compacted")
     return _recorded(spark, spec, publish)
 
 
+def _pointer(spark: SparkSession, spec: JobSpec) -> DataFrame:
+    in_range = (F.col("dt") >= spec.start_date) & (F.col("dt") < spec.end_date)
+    return ledger.current_versions(ledger.read_ledger(spark, spec.output)).filter(in_range)
+
+
 def _recorded(
     spark: SparkSession, spec: JobSpec, publish: Callable[[], tuple[lake.OutputStats, dict]]
 ) -> lake.OutputStats:
-    """Run ``publish`` between a RUNNING and a SUCCESS row; on an error write FAILED and raise."""
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    """Run ``publish`` between a RUNNING and a SUCCESS row; on an error write FAILED and raise it,
+    also when the ledger cannot be written either."""
     _refuse_conflicts(spark, spec)
     fields = spec.ledger_fields() | {"started_at": _now()}
     ledger.append_state(spark, spec.output, fields | {"status": ledger.RUNNING})
     try:
         stats, found = publish()
+        success = {
+            "status": ledger.SUCCESS,
+            "completed_at": _now(),
+            "row_count": stats.row_count,
+            "partitions": list(stats.days),
+        }
+        ledger.append_state(spark, spec.output, fields | success | found)
     except Exception as error:
         failure = {
             "status": ledger.FAILED,
@@ -172,15 +207,11 @@ def _recorded(
             "error_class": type(error).__name__,
             "error_message": str(error),
         }
-        ledger.append_state(spark, spec.output, fields | failure)
+        try:
+            ledger.append_state(spark, spec.output, fields | failure)
+        except Exception as second:
+            error.add_note(f"the ledger could not be written either: {second}")
         raise
-    success = {
-        "status": ledger.SUCCESS,
-        "completed_at": _now(),
-        "row_count": stats.row_count,
-        "partitions": list(stats.days),
-    }
-    ledger.append_state(spark, spec.output, fields | success | found)
     return stats
 
 
@@ -189,13 +220,15 @@ def _now() -> datetime:
 
 
 def _refuse_conflicts(spark: SparkSession, spec: JobSpec) -> None:
-    """Before anything is recorded: a used run id, or a root that is kept in the other mode."""
+    """Before anything is recorded: a used run id, also one that only its folder's name repeats,
+    or a root that is kept in the other mode."""
+    folder = F.regexp_replace("run_id", lake.NOT_IN_FOLDERS, "_")
     seen = ledger.read_ledger(spark, spec.output).agg(
-        F.max(F.col("run_id") == spec.run_id).alias("used"),
+        F.max(folder == lake.folder_name(spec.run_id)).alias("used"),
         F.max(F.col("publish_mode") != spec.mode).alias("other_mode"),
     ).first()
     if seen["used"]:
-        raise ValueError(f"run id {spec.run_id!r} was used before; take a new one")
+        raise ValueError(f"run id {spec.run_id!r}, or its folder, was used before; take a new one")
     if seen["other_mode"]:
         raise ValueError(f"{spec.output} is not published {spec.mode!r}")
     if spec.state_from is not None:
@@ -212,30 +245,45 @@ def _check_state(spark: SparkSession, spec: JobSpec) -> None:
     for name in ("session_gap_minutes", "timezone"):
         if before[name] != getattr(spec, name):
             raise ValueError(f"run {spec.state_from!r} has another {name}")
+    last_day = date.fromisoformat(spec.start_date) - timedelta(days=1)
+    covered = ledger.covered_days(ledger.read_ledger(spark, spec.output))
+    current = covered.filter(F.col("dt") == last_day.isoformat()).first()
+    if current["origin"] != spec.state_from:
+        raise ValueError(f"run {spec.state_from!r} was replaced by {current['origin']!r}")
 
 
 def _land(spark: SparkSession, spec: JobSpec) -> tuple[DataFrame, dict]:
-    """Valid input rows as Parquet, and what was found: rejected rows, first instant read.
+    """Valid input rows as Parquet, and what was found: rows by fate, first instant read.
 
     Text is parsed once; later passes read only the columns they need.
     """
     raw = source.read_raw_events(spark, spec.input_paths)
-    events = source.canonical_events(raw, spec.strict_time)
-    wants_unique = spec.drop_copies
-    if wants_unique is None:
-        wants_unique = spec.lookback_input is not None
-    if wants_unique:
-        events = source.drop_copies(events)
-    landed = materialize(events, "landed-events")
-    reject = source.is_reject()
+    landed = materialize(source.canonical_events(raw, spec.strict_time), "landed-events")
+    read = landed.count()
+    if spec.drop_copies:
+        landed = materialize(source.drop_copies(landed), "single-events")
+    t = F.col("event_time_utc")
+    reject = t.isNull() if spec.publish_null_users else source.is_reject()
+    before = ~reject & (t < day_start(spec.start_date, spec.timezone))
     found = landed.agg(
-        F.count_if(reject).alias("rejected_rows"), F.min("event_time_utc").alias("read_from")
-    ).first()
+        F.count("*").alias("_rows"),
+        F.count_if(reject).alias("rejected_rows"),
+        F.count_if(before).alias("before_range_rows"),
+        F.count_if(~reject & (t >= day_start(spec.end_date, spec.timezone))).alias("after_range_rows"),
+        F.min(F.unix_micros(t)).alias("read_from"),
+    ).first().asDict()
+    found |= {"input_rows": read, "removed_rows": read - found.pop("_rows")}
     if found["rejected_rows"]:
-        landed.filter(reject).write.mode("overwrite").parquet(
-            lake.run_folder(spec.output, "_rejects", spec.run_id)
-        )
-    return landed.filter(~reject), found.asDict()
+        landed.filter(reject).write.parquet(lake.run_folder(spec.output, "_rejects", spec.run_id))
+    return landed.filter(~reject), found
+
+
+def _account(found: dict, published: int) -> None:
+    """Every input row has one fate."""
+    fates = ("rejected_rows", "before_range_rows", "after_range_rows", "late_rows", "removed_rows")
+    known = published + sum(found.get(name, 0) for name in fates)
+    if known != found["input_rows"]:
+        raise ValueError(f"{found['input_rows']} rows were read, {known} accounted for: {found}")
 
 
 def _sessions_with_history(spec: JobSpec, events: DataFrame) -> DataFrame:
@@ -248,34 +296,40 @@ def _sessions_with_history(spec: JobSpec, events: DataFrame) -> DataFrame:
         spec.end_date,
         spec.hot_rows,
         spec.repartition_by_dt,
+        spec.file_rows,
     )
 
 
 def _sessions_with_state(spark: SparkSession, spec: JobSpec, events: DataFrame) -> DataFrame:
     numbered = _continued(spark, spec, events).filter(~F.col("is_late"))
     if spec.repartition_by_dt:
-        numbered = gather_by_day(numbered)
+        numbered = gather_by_day(numbered, spec.file_rows, with_day(events, spec.timezone))
     return publishable(numbered, spec.run_id, spec.timezone)
 
 
 def _continued(spark: SparkSession, spec: JobSpec, events: DataFrame) -> DataFrame:
-    in_range = (F.col("dt") >= spec.start_date) & (F.col("dt") < spec.end_date)
-    new = with_day(events, spec.timezone).filter(in_range)
+    t = F.col("event_time_utc")
+    first, end = (day_start(day, spec.timezone) for day in (spec.start_date, spec.end_date))
+    new = with_day(events.filter((t >= first) & (t < end)), spec.timezone)
     return sessionize_incremental(new, _read_state(spark, spec), spec.rule, spec.hot_rows)
 
 
 def _keep_late_rows(
-    spark: SparkSession, spec: JobSpec, events: DataFrame, published: int
+    spark: SparkSession, spec: JobSpec, events: DataFrame, found: dict, published: int
 ) -> int:
-    """Write rows older than their user's state apart; they call for a redo of earlier days."""
-    day = local_day(F.col("event_time_utc"), spec.timezone)
-    asked = events.filter((day >= spec.start_date) & (day < spec.end_date)).count()
+    """Write the rows that call for a redo of earlier days: those before the range, where the state
+    ends, and any in the range that are older than their user's state all the same."""
+    early = events.filter(F.col("event_time_utc") < day_start(spec.start_date, spec.timezone))
+    outside = ("rejected_rows", "before_range_rows", "after_range_rows", "removed_rows")
+    asked = found["input_rows"] - sum(found[name] for name in outside)
     if asked > published:
-        late = _continued(spark, spec, events).filter("is_late").drop("is_late", *SESSION_COLUMNS)
-        late.write.mode("overwrite").parquet(
-            lake.run_folder(spec.output, "_late", spec.run_id)
-        )
-    return asked - published
+        older = _continued(spark, spec, events).filter("is_late")
+        early = early.unionByName(older.select(*early.columns))
+    late = found["before_range_rows"] + asked - published
+    if late:
+        early.write.parquet(lake.run_folder(spec.output, "_late", spec.run_id))
+    found["before_range_rows"] = 0
+    return late
 
 
 def _read_state(spark: SparkSession, spec: JobSpec) -> DataFrame:
@@ -290,24 +344,30 @@ def _write_state(spark: SparkSession, spec: JobSpec, written: DataFrame) -> None
     state.write.parquet(lake.run_folder(spec.output, "_state", spec.run_id))
 
 
-def _written_rows(spark: SparkSession, spec: JobSpec) -> DataFrame:
+def _staged_path(spec: JobSpec) -> str:
     if spec.catalog_sync:
-        return lake.read_days(spark, lake.version_path(spec.output, spec.run_id))
-    in_range = F.col("dt").isin(spec.days) & (F.col("run_id") == spec.run_id)
-    return lake.read_days(spark, spec.output).filter(in_range)
+        return lake.version_path(spec.output, spec.run_id)
+    return lake.run_folder(spec.output, "_staging", spec.run_id)
 
 
-def _publish(spark: SparkSession, spec: JobSpec, rows: DataFrame) -> lake.OutputStats:
-    if not spec.catalog_sync:
-        return lake.replace_days(rows, spec.output, spec.run_id, spec.days)
-    return _point(spark, spec, lake.stage_version(rows, spec.output, spec.run_id))
+def _stage(spec: JobSpec, rows: DataFrame) -> lake.OutputStats:
+    stage = lake.stage_version if spec.catalog_sync else lake.stage_days
+    return stage(rows, spec.output, spec.run_id)
 
 
-def _point(spark: SparkSession, spec: JobSpec, stats: lake.OutputStats) -> lake.OutputStats:
+def _publish(spark: SparkSession, spec: JobSpec, stats: lake.OutputStats) -> None:
+    if spec.catalog_sync:
+        _point(spark, spec, stats, spec.days)
+    else:
+        lake.replace_days(spark, spec.output, spec.run_id, stats.days, spec.days)
+
+
+def _point(
+    spark: SparkSession, spec: JobSpec, stats: lake.OutputStats, asked_days: Sequence[str]
+) -> None:
     lake.ensure_table(spark, spec.full_table, spec.output)
     version = lake.version_path(spec.output, spec.run_id)
-    lake.point_days(spark, spec.full_table, version, stats.days, spec.days)
-    return stats
+    lake.point_days(spark, spec.full_table, version, stats.days, asked_days)
 
 
 def current_events(spark: SparkSession, root: str) -> DataFrame:

@@ -27,19 +27,19 @@ RAW_COLUMNS = (
 ORDER = "event_time_utc, source_user_session, product_id"
 
 
-def sessions(gap: int, source: str = EVENTS, run_id: str = "'run-1'") -> str:
+def sessions(gap: int, source: str = EVENTS, run_id: str = "'run-1'", order: str = "") -> str:
     """Published rows of ``source``, cut by the textbook lag, running sum and minimum."""
     return f"""
 WITH e AS ({source}),
-p AS (SELECT *, lag(event_time_utc) OVER (PARTITION BY user_id ORDER BY {ORDER}) AS previous_time FROM e),
+p AS (SELECT *, lag(event_time_utc) OVER (PARTITION BY user_id ORDER BY {order or ORDER}) AS previous_time FROM e),
 g AS (SELECT *, CAST(epoch(date_trunc('second', event_time_utc))
                    - epoch(date_trunc('second', previous_time)) AS BIGINT) AS gap_seconds FROM p),
 f AS (SELECT *, CASE WHEN previous_time IS NULL OR gap_seconds >= {gap} THEN 1 ELSE 0 END
              AS is_new_session FROM g),
-s AS (SELECT *, CAST(sum(is_new_session) OVER (PARTITION BY user_id ORDER BY {ORDER}
+s AS (SELECT *, CAST(sum(is_new_session) OVER (PARTITION BY user_id ORDER BY {order or ORDER}
              ROWS UNBOUNDED PRECEDING) AS BIGINT) AS session_seq FROM f),
 z AS (SELECT *, min(event_time_utc) OVER (PARTITION BY user_id, session_seq) AS session_start,
-             row_number() OVER (PARTITION BY user_id, session_seq ORDER BY {ORDER}) AS session_event_seq
+             row_number() OVER (PARTITION BY user_id, session_seq ORDER BY {order or ORDER}) AS session_event_seq
       FROM s)
 SELECT event_time_utc, event_time_utc + {KST} AS event_time_kst, event_type, product_id,
        category_id, category_code, brand, price, user_id, source_user_session,
@@ -169,8 +169,7 @@ SELECT * FROM ({EVENTS}) WHERE event_time_utc >= TIMESTAMP '{REDO_START} 00:00:0
     "local_day_other_zone": local("- INTERVAL 7 HOUR"),
     "week_start": f"""
 SELECT event_id AS product_id, {DAY.format("ts")} AS dt,
-       CAST(date_trunc('week', CAST({DAY.format("ts")} AS DATE)) AS DATE) AS week_start,
-       CAST(date_trunc('week', CAST({DAY.format("ts")} AS DATE)) AS DATE) AS counted_week_start
+       CAST(date_trunc('week', CAST({DAY.format("ts")} AS DATE)) AS DATE) AS week_start
 FROM events
 """,
     "session_boundaries": f"""
@@ -238,6 +237,8 @@ SELECT user_id, event_time_utc AS last_time, session_seq, session_start_at_utc A
         f"event_time_utc >= TIMESTAMP '{CUT}'", "FALSE AS is_late"
     ),
     "stream_sessions": f"SELECT * FROM ({SIZED}) WHERE {CLOSED}",
+    "stream_all_sessions": SIZED,
+    "batch_timestamp": f"SELECT count(*) AS row_count, TRUE AS one_time, TRUE AS of_the_run FROM ({PUBLISHED})",
     "stream_redo_days": f"""
 SELECT DISTINCT strftime(day, '%Y-%m-%d') AS dt
 FROM (SELECT unnest(generate_series(CAST(session_start + {KST} AS DATE),
@@ -260,7 +261,7 @@ SELECT count(*) AS row_count, string_agg(DISTINCT dt, ',' ORDER BY dt) AS days F
 """,
     "lake_scan_roundtrip": PUBLISHED,
     "files_per_partition": f"""
-SELECT dt, count(*) AS row_count, CAST(1 AS BIGINT) AS files FROM ({PUBLISHED}) GROUP BY dt
+SELECT dt, count(*) AS row_count, CAST(ceil(count(*) / 300.0) AS BIGINT) AS files FROM ({PUBLISHED}) GROUP BY dt
 """,
     "compacted_days": f"""
 SELECT dt, count(*) AS row_count, CAST(sum(price) AS DECIMAL(18,2)) AS value, TRUE AS as_planned
@@ -274,6 +275,24 @@ FROM ({PUBLISHED}) GROUP BY dt
     "batch_job": f"""
 SELECT * FROM ({sessions(SHORT_GAP, TO_THE_SECOND, "'job-1'")})
 WHERE dt >= '{REDO_START}' AND dt < '{REDO_END}'
+""",
+    "batch_job_lookback": f"""
+WITH t AS (SELECT * FROM ({TO_THE_SECOND}) WHERE event_time_utc >= TIMESTAMP '{REDO_START} 00:00:00' - INTERVAL 1 DAY
+                                           AND event_time_utc < TIMESTAMP '{REDO_END} 00:00:00'),
+u AS (SELECT * FROM t UNION ALL SELECT * FROM t WHERE event_type = 'error'
+      UNION ALL SELECT * FROM ({TO_THE_SECOND}) WHERE event_time_utc < TIMESTAMP '{REDO_START} 00:00:00')
+SELECT product_id, user_id, event_time_utc, session_seq, session_event_seq, dt
+FROM ({sessions(WIDE_GAP, "SELECT * FROM u", "'job-1'", ORDER + ", event_type")})
+WHERE dt >= '{REDO_START}' AND dt < '{REDO_END}'
+""",
+    "state_batches_late": f"""
+SELECT count(*) AS input_rows,
+       count_if({DAY.format("event_time_utc")} >= '{REDO_START}' AND {DAY.format("event_time_utc")} < '{REDO_END}') AS row_count,
+       count_if({DAY.format("event_time_utc")} < '{REDO_START}') AS late_rows,
+       count_if({DAY.format("event_time_utc")} >= '{REDO_END}') AS after_range_rows,
+       CAST(0 AS BIGINT) AS rejected_rows,
+       count_if({DAY.format("event_time_utc")} < '{REDO_START}') AS late_kept
+FROM ({TO_THE_SECOND}) WHERE event_time_utc >= TIMESTAMP '{REDO_START} 00:00:00' - INTERVAL 2 DAY
 """,
     "state_batches": f"""
 SELECT * REPLACE (CASE WHEN dt < '{REDO_START}' THEN 'job-1' ELSE 'job-2' END AS run_id)
@@ -284,7 +303,9 @@ FROM ({sessions(WIDE_GAP, TO_THE_SECOND)}) WHERE dt < '{REDO_END}'
 WITH planned AS (
     SELECT 'lake-' || CAST(u.user_id AS VARCHAR) || '/' || strftime(d.day, '%Y-%m-%d') AS run_id
     FROM (SELECT DISTINCT user_id FROM events) u,
-         generate_series(DATE '2024-01-01', DATE '2024-01-31', INTERVAL 1 DAY) AS d(day))
+         (SELECT unnest(generate_series(min(CAST({DAY.format("ts")} AS DATE)),
+                                        max(CAST({DAY.format("ts")} AS DATE)), INTERVAL 1 DAY)) AS day
+          FROM events) d)
 SELECT planned.run_id, {OUTCOME} FROM planned LEFT JOIN ({LATEST}) USING (run_id)
 """,
     "redo_days": f"SELECT output, dt FROM ({LATEST}) WHERE status <> 'SUCCESS'",

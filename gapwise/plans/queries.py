@@ -11,10 +11,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gapwise.functions.timeops import (
-    RAW_TIME_PATTERN,
+    day_start,
     local_day,
     local_time,
     parse_event_time,
+    utc_clock,
+    utc_instant,
     week_start,
 )
 from gapwise.operators import hot, metrics
@@ -53,6 +55,7 @@ OTHER_ZONE = "America/Phoenix"
 REDO_START, REDO_END = "2024-01-10", "2024-01-20"
 CUT = "2024-01-15 00:00:00"
 STREAM_LATENESS = "1 hour"
+FILE_ROWS = 300
 
 _QUERIES: dict[str, Query] = {}
 
@@ -61,7 +64,6 @@ def _query(build: Query) -> Query:
     """Register under the function's name, without the underscore that avoids a name clash."""
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        spark.conf.set("spark.sql.session.timeZone", "UTC")
         return _plain(build(spark, sf_dir))
 
     _QUERIES[build.__name__.rstrip("_")] = run
@@ -73,7 +75,7 @@ def _plain(df: DataFrame) -> DataFrame:
     kept = [f for f in df.schema if f.name != "ingested_at"]
     return df.select(
         *[
-            F.col(f.name).cast("timestamp_ntz").alias(f.name)
+            utc_clock(F.col(f.name)).alias(f.name)
             if isinstance(f.dataType, T.TimestampType)
             else F.col(f.name)
             for f in kept
@@ -102,8 +104,8 @@ def canonical_events(spark, sf_dir):
 
 @_query
 def parse_event_time_(spark, sf_dir):
-    times = table(spark, sf_dir, "events").select(
-        "event_id", F.date_format(F.col("ts").cast("timestamp"), RAW_TIME_PATTERN).alias("text")
+    times = raw_events(spark, sf_dir).select(
+        F.col("product_id").alias("event_id"), F.col("event_time").alias("text")
     )
     return times.withColumn("parsed", parse_event_time(F.col("text"), strict=True))
 
@@ -134,8 +136,8 @@ def multi_path_scan(spark, sf_dir):
 @_query
 def dedup_union(spark, sf_dir):
     events = sample_events(spark, sf_dir)
-    history = events.filter(F.col("event_time_utc") < f"{REDO_END} 00:00:00")
-    target = events.filter(F.col("event_time_utc") >= f"{REDO_START} 00:00:00")
+    history = events.filter(F.col("event_time_utc") < day_start(REDO_END, "UTC"))
+    target = events.filter(F.col("event_time_utc") >= day_start(REDO_START, "UTC"))
     return source.drop_copies(source.with_lookback(target, history))
 
 
@@ -162,13 +164,12 @@ def _local(spark: SparkSession, sf_dir: str, zone: str) -> DataFrame:
 
 @_query
 def week_start_(spark, sf_dir):
-    """The Monday of each day, by truncation and by day arithmetic from a known Monday."""
+    """The Monday of each day."""
     day = local_day(F.col("event_time_utc"), DEFAULT_ZONE)
-    counted = F.expr("date_sub(to_date(dt), pmod(datediff(to_date(dt), DATE'1970-01-05'), 7))")
     return (
         sample_events(spark, sf_dir)
         .select("product_id", day.alias("dt"))
-        .withColumns({"week_start": week_start(F.col("dt")), "counted_week_start": counted})
+        .withColumn("week_start", week_start(F.col("dt")))
     )
 
 
@@ -244,7 +245,7 @@ def _ranges(events: DataFrame) -> int:
 @_query
 def sessionize_orders(spark, sf_dir):
     orders = table(spark, sf_dir, "orders").select(
-        "o_orderkey", "o_custkey", F.col("o_orderdate").cast("timestamp").alias("ordered_at")
+        "o_orderkey", "o_custkey", utc_instant(F.col("o_orderdate").cast("timestamp_ntz")).alias("ordered_at")
     )
     rule = GapRule(("o_custkey",), "ordered_at", 90 * 86_400, ("o_orderkey",))
     return sessionize(orders, rule)
@@ -290,8 +291,7 @@ def edge_sessions(spark, sf_dir):
     day = local_day(F.col("event_time_utc"), DEFAULT_ZONE)
     target = sample_events(spark, sf_dir).filter((day >= REDO_START) & (day < REDO_END))
     rows = sessionize_events(target, "run-1", event_rule(WIDE_GAP))
-    read_from = F.to_utc_timestamp(F.to_timestamp(F.lit(REDO_START)), DEFAULT_ZONE)
-    return sessions_at_edge(rows, read_from, WIDE_GAP)
+    return sessions_at_edge(rows, day_start(REDO_START, DEFAULT_ZONE), WIDE_GAP)
 
 
 @_query
@@ -305,8 +305,9 @@ def _old_state_and_new(
     spark: SparkSession, sf_dir: str, rule: GapRule
 ) -> tuple[DataFrame, DataFrame]:
     events = sample_events(spark, sf_dir)
-    old = events.filter(F.col("event_time_utc") < CUT)
-    new = events.filter(F.col("event_time_utc") >= CUT)
+    cut = day_start(CUT[:10], "UTC")
+    old = events.filter(F.col("event_time_utc") < cut)
+    new = events.filter(F.col("event_time_utc") >= cut)
     # State is a stored table, as between two real runs.
     return materialize(session_state(sessionize(old, rule), rule), "state"), new
 
@@ -329,32 +330,41 @@ def incremental_hot_ranges(spark, sf_dir):
 STREAM_RULE = GapRule(("user_id",), "event_time_utc", WIDE_GAP)
 
 
-def _streamed(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _streamed(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Sessions that the stream closed, and those it still holds."""
     schema = table(spark, sf_dir, "events").schema
     files = f"{sf_dir.rstrip('/')}/events*.parquet"
     stream = streaming.read_event_stream(spark, files, schema).select(
-        "user_id", F.col("ts").cast("timestamp").alias("event_time_utc")
+        "user_id", utc_instant(F.col("ts")).alias("event_time_utc")
     )
     sessions = streaming.stream_sessions(stream, STREAM_RULE, STREAM_LATENESS)
     out = scratch_path(spark, "stream")
-    query = streaming.write_sessions(sessions, out, scratch_path(spark, "stream-state"))
+    state = scratch_path(spark, "stream-state")
+    query = streaming.write_sessions(sessions, out, state)
     query.awaitTermination()
-    return spark.read.schema(sessions.schema).parquet(out)
+    closed = spark.read.schema(sessions.schema).parquet(out)
+    return closed, streaming.open_sessions(spark, state, STREAM_RULE)
 
 
 @_query
 def stream_sessions(spark, sf_dir):
-    return _streamed(spark, sf_dir)
+    return _streamed(spark, sf_dir)[0]
+
+
+@_query
+def stream_all_sessions(spark, sf_dir):
+    """Closed and open sessions: every event of the stream."""
+    closed, still_open = _streamed(spark, sf_dir)
+    return closed.unionByName(still_open)
 
 
 @_query
 def stream_redo_days(spark, sf_dir):
     """Days whose stored events the stream has not turned into sessions, open ones included."""
-    end = F.to_timestamp(F.lit("2025-01-01"))
-    streamed = _streamed(spark, sf_dir)
-    return streaming.days_to_redo(
-        sample_events(spark, sf_dir), streamed, STREAM_RULE, DEFAULT_ZONE, end
-    )
+    streamed, events = _streamed(spark, sf_dir)[0], sample_events(spark, sf_dir)
+    last = events.agg(F.max(F.unix_micros("event_time_utc"))).first()[0]
+    end = F.timestamp_micros(F.lit(last))
+    return streaming.days_to_redo(events, streamed, STREAM_RULE, DEFAULT_ZONE, end)
 
 
 # Weekly figures and audits
@@ -431,8 +441,11 @@ def lake_scan_roundtrip(spark, sf_dir):
 
 @_query
 def files_per_partition(spark, sf_dir):
+    """Files of each day, which is to have at most 300 rows a file."""
     path = lake.version_path(_lake_root(spark), "run-1")
-    lake.write_days(_published(spark, sf_dir, gather_days=True), path)
+    events = sample_events(spark, sf_dir)
+    rows = sessionize_events(events, "run-1", event_rule(WIDE_GAP), gather_days=True, file_rows=FILE_ROWS)
+    lake.write_days(rows, path)
     counts = lake.day_counts(lake.read_days(spark, path))
     return counts.join(lake.day_files(spark, path).select("dt", "files"), "dt")
 
@@ -464,8 +477,10 @@ def compacted_days(spark, sf_dir):
 @_query
 def replace_days(spark, sf_dir):
     root = _lake_root(spark)
-    lake.replace_days(_published(spark, sf_dir, gather_days=True), root, "run-1")
-    lake.replace_days(_second_run(spark, sf_dir), root, "run-2")
+    runs = {"run-1": _published(spark, sf_dir, gather_days=True), "run-2": _second_run(spark, sf_dir)}
+    for run_id, rows in runs.items():
+        stats = lake.stage_days(rows, root, run_id)
+        lake.replace_days(spark, root, run_id, stats.days)
     return _provenance(lake.read_days(spark, root))
 
 
@@ -481,20 +496,29 @@ def _published_table(spark: SparkSession, sf_dir: str, second: bool) -> str:
     return name
 
 
+def _dropped(spark: SparkSession, name: str, df: DataFrame) -> DataFrame:
+    """``df`` over the table as stored rows, so that the table need not stay."""
+    kept = materialize(df, "from-table")
+    spark.sql(f"DROP TABLE {name}")
+    return kept
+
+
 @_query
 def publish_versions(spark, sf_dir):
-    return _provenance(spark.table(_published_table(spark, sf_dir, second=True)))
+    name = _published_table(spark, sf_dir, second=True)
+    return _dropped(spark, name, _provenance(spark.table(name)))
 
 
 @_query
 def table_partitions(spark, sf_dir):
-    return spark.sql(f"SHOW PARTITIONS {_published_table(spark, sf_dir, second=False)}")
+    name = _published_table(spark, sf_dir, second=False)
+    return _dropped(spark, name, spark.sql(f"SHOW PARTITIONS {name}"))
 
 
 @_query
 def wau_from_table(spark, sf_dir):
-    rows = spark.table(_published_table(spark, sf_dir, second=False))
-    return metrics.weekly_engagement(rows)
+    name = _published_table(spark, sf_dir, second=False)
+    return _dropped(spark, name, metrics.weekly_engagement(spark.table(name)))
 
 
 @_query
@@ -517,12 +541,26 @@ def current_versions(spark, sf_dir):
         + [("run-3", "RUNNING", "2024-01-01", "2024-02-01", [], 9)],
         "run_id string, status string, start_date string, end_date string, "
         "partitions array<string>, at int",
-    ).select(
+    ).withColumn("origins", F.lit(None).cast("map<string,string>")).select(
         "*", times.alias("started_at"), F.timestamp_seconds(F.col("at")).alias("completed_at")
     )
     return _provenance(lake.current_rows(spark, root, ledger.current_versions(book)))
 
 
+@_query
+def batch_timestamp(spark, sf_dir):
+    """A run tags all its rows with one time, the time of the run."""
+    path = lake.version_path(_lake_root(spark), "run-1")
+    before = F.lit(spark.sql("SELECT unix_micros(current_timestamp())").first()[0])
+    lake.write_days(_published(spark, sf_dir, gather_days=True), path)
+    micros = F.unix_micros("ingested_at")
+    return lake.read_days(spark, path).agg(
+        F.count("ingested_at").alias("row_count"),
+        (F.min(micros) == F.max(micros)).alias("one_time"),
+        ((F.min(micros) >= before) & (F.max(micros) <= F.unix_micros(F.current_timestamp()))).alias("of_the_run"),
+    )
+
+
 @_query
 def day_provenance(spark, sf_dir):
     first, second = _published(spark, sf_dir), _second_run(spark, sf_dir, gather_days=False)
@@ -541,14 +579,67 @@ def batch_job(spark, sf_dir):
         table=f"sessions_{uuid4().hex}",
     )
     run_batch(spark, spec)
-    return current_events(spark, spec.output)
+    return _without_table(spark, spec, current_events(spark, spec.output))
+
+
+@_query
+def batch_job_lookback(spark, sf_dir):
+    """The job with a history file whose rows overlap the target's and that has real repeats: every
+    row counts, as in a union of the files."""
+    raw = raw_events(spark, sf_dir)
+    early, late = f"{REDO_START} 00:00:00", f"{REDO_END} 00:00:00"
+    overlap = F.date_sub(F.to_date(F.lit(REDO_START)), 1).cast("string")
+    target = raw.filter((F.col("event_time") >= overlap) & (F.col("event_time") < late))
+    spec = JobSpec(
+        input=_csv_copy(target.unionByName(target.filter("event_type = 'error'"))),
+        lookback_input=_csv_copy(raw.filter(F.col("event_time") < early)),
+        output=_lake_root(spark),
+        start_date=REDO_START,
+        end_date=REDO_END,
+        run_id="job-1",
+        table=f"sessions_{uuid4().hex}",
+        session_gap_minutes=WIDE_GAP // 60,
+        ties=("event_type",),
+    )
+    run_batch(spark, spec)
+    return _without_table(spark, spec, current_events(spark, spec.output)).select(
+        "product_id", "user_id", "event_time_utc", "session_seq", "session_event_seq", "dt"
+    )
+
+
+def _without_table(spark: SparkSession, spec: JobSpec, rows: DataFrame) -> DataFrame:
+    """``rows`` of the lake's files; the table that the run made is dropped, its files stay."""
+    spark.sql(f"DROP TABLE IF EXISTS {spec.full_table}")
+    return rows
 
 
 @_query
 def state_batches(spark, sf_dir):
     """Two jobs, the second continuing the sessions of the first from its state."""
+    raw = raw_events(spark, sf_dir)
+    first, _ = _state_runs(spark, _csv_copy(raw), _csv_copy(raw.filter(F.col("event_time") >= _FIRST_SECOND)))
+    return _without_table(spark, first, current_events(spark, first.output))
+
+
+@_query
+def state_batches_late(spark, sf_dir):
+    """Rows per fate when the second file of ``state_batches`` has rows from before its range."""
+    raw = raw_events(spark, sf_dir)
+    overlap = F.date_sub(F.to_date(F.lit(REDO_START)), 2).cast("string")
+    first, second = _state_runs(spark, _csv_copy(raw), _csv_copy(raw.filter(F.col("event_time") >= overlap)))
+    kept = spark.read.parquet(lake.run_folder(first.output, "_late", "job-2")).count()
+    states = ledger.latest_states(ledger.read_ledger(spark, first.output)).filter("run_id = 'job-2'")
+    fates = states.select("input_rows", "row_count", "late_rows", "after_range_rows", "rejected_rows")
+    return _without_table(spark, second, fates.withColumn("late_kept", F.lit(kept)))
+
+
+# The local midnight at which the second run's range begins.
+_FIRST_SECOND = "2024-01-09 15:00:00"
+
+
+def _state_runs(spark: SparkSession, early: str, late: str) -> tuple[JobSpec, JobSpec]:
     first = JobSpec(
-        input=_csv_copy(raw_events(spark, sf_dir)),
+        input=early,
         output=_lake_root(spark),
         start_date="2024-01-01",
         end_date=REDO_START,
@@ -558,11 +649,11 @@ def state_batches(spark, sf_dir):
         keep_state=True,
     )
     second = replace(
-        first, start_date=REDO_START, end_date=REDO_END, run_id="job-2", state_from="job-1"
+        first, input=late, start_date=REDO_START, end_date=REDO_END, run_id="job-2", state_from="job-1"
     )
     run_batch(spark, first)
     run_batch(spark, second)
-    return current_events(spark, first.output)
+    return first, second
 
 
 # Ledger
@@ -585,7 +676,7 @@ def _sample_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
         t.alias("started_at"),
     )
     done = F.col("status") == ledger.SUCCESS
-    return days.withColumns(
+    rows = days.withColumns(
         {
             "run_id": F.concat_ws("/", "output", "start_date"),
             "end_date": F.date_add("start_date", 1).cast("string"),
@@ -595,6 +686,10 @@ def _sample_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
             ),
         }
     )
+    # Written and read as a ledger is.
+    root = _lake_root(spark)
+    ledger.append_rows(rows, root)
+    return ledger.read_ledger(spark, root)
 
 
 @_query
@@ -609,7 +704,8 @@ def ledger_latest_state(spark, sf_dir):
 def run_outcomes(spark, sf_dir):
     """Every lake has a run planned for each of the days any lake has."""
     book = _sample_ledger(spark, sf_dir)
-    days = F.explode(F.sequence(F.to_date(F.lit("2024-01-01")), F.to_date(F.lit("2024-01-31"))))
+    first, last = book.agg(F.min("start_date"), F.max("start_date")).first()
+    days = F.explode(F.sequence(F.to_date(F.lit(first)), F.to_date(F.lit(last))))
     planned = (
         book.select("output")
         .distinct()

@@ -1,7 +1,7 @@
 """Day-partitioned Parquet output: write, verify, publish, compact.
 
-A lake root is used in one of two ways.  *Versions*: every run writes ``_versions/<run>/dt=...``
-and readers follow pointers (a catalog table, or ``current_rows`` through the ledger).  *In place*:
+A lake root is used in one of two ways.  *Versions*: every run writes
+``_versions/version=<run>/dt=...`` and readers follow pointers (a catalog table, or ``current_rows`` through the ledger).  *In place*:
 a run replaces ``dt=...`` folders directly under the root.
 """
 
@@ -10,7 +10,6 @@ from __future__ import annotations
 import re
 from collections.abc import Sequence
 from dataclasses import dataclass
-from functools import reduce
 from math import ceil
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -26,13 +25,24 @@ class OutputStats:
     days: tuple[str, ...]
 
 
+# Fixed value: the characters a run id does not keep in a folder name.
+NOT_IN_FOLDERS = r"[^A-Za-z0-9._=-]"
+
+
+def folder_name(run_id: str) -> str:
+    return re.sub(NOT_IN_FOLDERS, "_", run_id)
+
+
 def run_folder(root: str, kind: str, run_id: str) -> str:
-    # Fixed value: the characters a run id may keep in a folder name.
-    return f"{root.rstrip('/')}/{kind}/{re.sub(r'[^A-Za-z0-9._=-]', '_', run_id)}"
+    return f"{root.rstrip('/')}/{kind}/{folder_name(run_id)}"
+
+
+def versions_root(root: str) -> str:
+    return f"{root.rstrip('/')}/_versions"
 
 
 def version_path(root: str, run_id: str) -> str:
-    return run_folder(root, "_versions", run_id)
+    return f"{versions_root(root)}/version={folder_name(run_id)}"
 
 
 def write_days(rows: DataFrame, path: str, mode: str = "errorifexists") -> None:
@@ -83,25 +93,30 @@ def verify_version(
     return _not_empty(output_stats(read_days(spark, version_path(root, run_id), schema)))
 
 
+def stage_days(rows: DataFrame, root: str, run_id: str) -> OutputStats:
+    """Write a run's days beside the live ones and verify them from the files."""
+    staged = run_folder(root, "_staging", run_id)
+    write_days(rows, staged)
+    return _not_empty(output_stats(read_days(rows.sparkSession, staged, rows.schema)))
+
+
 def replace_days(
-    rows: DataFrame, root: str, run_id: str, asked_days: Sequence[str] = ()
-) -> OutputStats:
-    """Replace, directly under the root, exactly the days present in ``rows``.
+    spark: SparkSession, root: str, run_id: str, days: Sequence[str], asked_days: Sequence[str] = ()
+) -> None:
+    """Put the staged ``days`` of a run in the place of the live ones.
 
-    Spark writes beside the target and moves the day folders in when the job commits.  A day of
-    ``asked_days`` that has no rows any more is emptied; all other days stay untouched.
+    A day of ``asked_days`` that has no rows any more is removed; all other days stay untouched.
+    Folders are moved one day after the other.
     """
-    spark = rows.sparkSession
-    write_days(rows, root, "overwrite")
-    written = read_days(spark, root, rows.schema)
-    if asked_days:
-        written = written.filter(F.col("dt").isin(list(asked_days)))
-    stats = _not_empty(output_stats(written.filter(F.col("run_id") == run_id)))
-    stale = written.filter(F.col("run_id") != run_id)
-    no_rows = spark.createDataFrame([], T.StructType([f for f in rows.schema if f.name != "dt"]))
-    for day in output_stats(stale).days if asked_days else ():
-        no_rows.write.mode("overwrite").parquet(f"{root.rstrip('/')}/dt={day}")
-    return stats
+    base, staged = root.rstrip("/"), run_folder(root, "_staging", run_id)
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    files = path(staged).getFileSystem(spark._jsc.hadoopConfiguration())
+    for day in sorted({*days, *asked_days}):
+        live = path(f"{base}/dt={day}")
+        files.delete(live, True)
+        if day in days and not files.rename(path(f"{staged}/dt={day}"), live):
+            raise OSError(f"the staged day {day} could not be moved to {live.toString()}")
+    files.delete(path(staged), True)
 
 
 def _not_empty(stats: OutputStats) -> OutputStats:
@@ -167,16 +182,10 @@ def _sql_text(value: str) -> str:
     return f"'{escaped}'"
 
 
-def _current_folders(root: str, pointer: DataFrame) -> dict[str, list[str]]:
-    """Version folder -> its day folders that ``pointer`` (dt, run_id) names.
-
-    The pointer has one row per calendar day, so it is small.
-    """
-    folders: dict[str, list[str]] = {}
-    for row in pointer.select("dt", "run_id").collect():
-        base = version_path(root, row["run_id"])
-        folders.setdefault(base, []).append(f"{base}/dt={row['dt']}")
-    return {base: sorted(days) for base, days in sorted(folders.items())}
+def _current_folders(root: str, pointer: DataFrame) -> list[str]:
+    """Day folders that ``pointer`` (dt, run_id) names: one row per calendar day, so few."""
+    rows = pointer.select("dt", "run_id").collect()
+    return sorted(f"{version_path(root, r['run_id'])}/dt={r['dt']}" for r in rows)
 
 
 def current_rows(
@@ -186,18 +195,16 @@ def current_rows(
     schema: T.StructType = LAKE_SCHEMA,
     *more: Column,
 ) -> DataFrame:
-    """Rows of a versions lake as of ``pointer``: every day from one run.
+    """Rows of a versions lake as of ``pointer``: every day from one run, in a single scan.
 
     Only the pointed-at day folders are listed and read, so replaced versions cost nothing.
     ``more`` columns may use the files' ``_metadata``.
     """
-    parts = [
-        spark.read.schema(schema).option("basePath", base).parquet(*days).select("*", *more)
-        for base, days in _current_folders(root, pointer).items()
-    ]
-    if not parts:
+    folders = _current_folders(root, pointer)
+    if not folders:
         return spark.createDataFrame([], schema)
-    return reduce(DataFrame.unionByName, parts)
+    reader = spark.read.schema(schema).option("basePath", versions_root(root))
+    return reader.parquet(*folders).select(*schema.fieldNames(), *more)
 
 
 def day_files(spark: SparkSession, base: str, folders: Sequence[str] = ()) -> DataFrame:
@@ -216,12 +223,10 @@ def day_files(spark: SparkSession, base: str, folders: Sequence[str] = ()) -> Da
 
 def current_day_files(spark: SparkSession, root: str, pointer: DataFrame) -> DataFrame:
     """Files and bytes of each day as of ``pointer``."""
-    parts = [
-        day_files(spark, base, days) for base, days in _current_folders(root, pointer).items()
-    ]
-    if not parts:
+    folders = _current_folders(root, pointer)
+    if not folders:
         return spark.createDataFrame([], "dt string, files long, bytes long")
-    return reduce(DataFrame.unionByName, parts)
+    return day_files(spark, versions_root(root), folders)
 
 
 def compact_days(

@@ -9,10 +9,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gapwise.functions.timeops import DAY_PATTERN
-
 # States of a run, and names, types and order of the ledger fields.
 RUNNING, SUCCESS, FAILED = "RUNNING", "SUCCESS", "FAILED"
+TIME_PATTERN = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
 LEDGER_SCHEMA = T.StructType(
     [
         T.StructField("application", T.StringType()),
@@ -41,6 +40,12 @@ LEDGER_SCHEMA = T.StructType(
         T.StructField("late_rows", T.LongType()),
         T.StructField("state_from", T.StringType()),
         T.StructField("publish_mode", T.StringType()),
+        T.StructField("input_rows", T.LongType()),
+        T.StructField("before_range_rows", T.LongType()),
+        T.StructField("after_range_rows", T.LongType()),
+        T.StructField("removed_rows", T.LongType()),
+        # Of a compaction: the run whose rows each day has.
+        T.StructField("origins", T.MapType(T.StringType(), T.StringType())),
     ]
 )
 
@@ -51,20 +56,27 @@ def ledger_path(root: str) -> str:
 
 def append_state(spark: SparkSession, root: str, fields: dict) -> None:
     """Add one state row; earlier rows of the run stay."""
-    row = [F.lit(fields.get(f.name)).cast(f.dataType).alias(f.name) for f in LEDGER_SCHEMA]
-    (
-        spark.range(0, 1, 1, 1)
-        .select(row)
-        .write.mode("append")
-        .option("ignoreNullFields", "false")
-        .json(ledger_path(root))
-    )
+    row = [_literal(fields.get(f.name)).cast(f.dataType).alias(f.name) for f in LEDGER_SCHEMA]
+    append_rows(spark.range(0, 1, 1, 1).select(row), root)
+
+
+def append_rows(rows: DataFrame, root: str) -> None:
+    """Add state rows with any of the ledger's fields."""
+    writer = rows.write.mode("append").option("ignoreNullFields", "false")
+    writer.option("timestampFormat", TIME_PATTERN).json(ledger_path(root))
+
+
+def _literal(value: object) -> Column:
+    if isinstance(value, dict):
+        return F.create_map(*[F.lit(x) for pair in value.items() for x in pair])
+    return F.lit(value)
 
 
 def read_ledger(spark: SparkSession, root: str) -> DataFrame:
     """All state rows; none when no run was ever started here."""
     try:
-        return spark.read.schema(LEDGER_SCHEMA).json(ledger_path(root))
+        reader = spark.read.schema(LEDGER_SCHEMA).option("timestampFormat", TIME_PATTERN)
+        return reader.json(ledger_path(root))
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
@@ -99,37 +111,54 @@ def run_outcomes(planned: DataFrame, ledger: DataFrame) -> DataFrame:
 
 
 def covered_days(ledger: DataFrame, lake: Sequence[str] = ()) -> DataFrame:
-    """Per day asked of a finished run: the last such run, and whether it has rows there.
+    """Per day asked of a finished run: the last such run (``origin``), the version that has its
+    rows (``run_id``: the run itself or its last compaction), and whether there are rows.
 
     A run answers for every day of its range, so a day that came out empty hides older versions.
-    ``lake`` names ledger columns that tell several lakes apart, e.g. ``output``.
+    A compaction answers for nothing: it only stands in for the run that it copied, so one that
+    ends after a re-run of its days does not hide the re-run's rows. ``lake`` names ledger columns
+    that tell several lakes apart, e.g. ``output``.
     """
     done = latest_states(ledger).filter(F.col("status") == SUCCESS)
+    origins = F.map_filter("origins", lambda _, run: run.isNotNull())
+    copied = F.coalesce(F.size(origins), F.lit(-1)) > 0
     last_day = F.date_sub(F.to_date("end_date"), 1)
     days = F.explode(F.sequence(F.to_date("start_date"), last_day))
-    day = F.date_format("_day", DAY_PATTERN).alias("dt")
     kept = ["run_id", "completed_at", "partitions"]
-    asked = done.select(*lake, *kept, days.alias("_day")).select(*lake, *kept, day)
+    asked = (
+        done.filter(~copied)
+        .select(*lake, *kept, days.alias("_day"))
+        .select(*lake, *kept, F.col("_day").cast("string").alias("dt"))
+    )
     last = F.max_by(F.struct("run_id", "partitions"), F.struct("completed_at", "run_id"))
-    return (
+    answers = (
         asked.groupBy(*lake, "dt")
         .agg(last.alias("_run"))
         .select(
             *lake,
             "dt",
-            "_run.run_id",
+            F.col("_run.run_id").alias("origin"),
             F.array_contains("_run.partitions", F.col("dt")).alias("has_rows"),
         )
     )
+    copies = (
+        done.filter(copied)
+        .select(*lake, "run_id", "completed_at", F.explode("origins").alias("dt", "origin"))
+        .groupBy(*lake, "dt", "origin")
+        .agg(F.max_by("run_id", F.struct("completed_at", "run_id")).alias("_copy"))
+    )
+    return answers.join(copies, [*lake, "dt", "origin"], "left").select(
+        *lake, "dt", F.coalesce("_copy", "origin").alias("run_id"), "origin", "has_rows"
+    )
 
 
 def current_versions(ledger: DataFrame) -> DataFrame:
-    """Pointer (dt, run_id) to the version each day is read from.
+    """Pointer (dt, run_id, origin) to the version each day is read from.
 
     It is derived from SUCCESS rows alone, so the one small ledger write that ends a run moves all
     its days together.
     """
-    return covered_days(ledger).filter("has_rows").select("dt", "run_id")
+    return covered_days(ledger).filter("has_rows").select("dt", "run_id", "origin")
 
 
 def redo_days(planned: DataFrame, ledger: DataFrame, lake: Sequence[str] = ()) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gapwise.functions.timeops import SECOND_PATTERN
+from gapwise.functions.timeops import utc_instant, utc_text
 from gapwise.sources.events import CANONICAL_COLUMNS, RAW_EVENT_SCHEMA
 
 
@@ -16,7 +16,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def sample_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The events table in canonical columns; its id is unique, so the row order is total."""
     columns = {
-        "event_time_utc": F.col("ts").cast("timestamp"),
+        "event_time_utc": utc_instant(F.col("ts")),
         "product_id": F.col("event_id"),
         "price": F.col("value").cast("decimal(18,2)"),
         "source_user_session": F.col("props"),
@@ -31,7 +31,7 @@ def sample_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The events table as raw rows: text times to the second, source session by its old name."""
-    time_text = F.concat(F.date_format("event_time_utc", SECOND_PATTERN), F.lit(" UTC"))
+    time_text = F.concat(utc_text(F.col("event_time_utc")), F.lit(" UTC"))
     return (
         sample_events(spark, sf_dir)
         .withColumn("event_time", time_text)

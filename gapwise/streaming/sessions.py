@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from gapwise.functions.timeops import DAY_PATTERN, local_day
+from gapwise.functions.timeops import local_day
 from gapwise.operators.sessions import GapRule, sessionize
 
 # Lets each task merge the sessions of its own rows before the shuffle, so a hot user sends
@@ -52,14 +52,16 @@ def stream_sessions(events: DataFrame, rule: GapRule, lateness: str) -> DataFram
         .select(
             *rule.keys,
             F.col("session_window.start").alias("session_start"),
-            F.timestamp_seconds(
-                F.unix_timestamp("session_window.end") - F.lit(shorter)
-            ).alias("session_end"),
+            _last_second(F.col("session_window.end"), rule).alias("session_end"),
             "events",
         )
     )
 
 
+def _last_second(window_end: Column, rule: GapRule) -> Column:
+    return F.timestamp_seconds(F.unix_timestamp(window_end) - F.lit(rule.gap_seconds - 1))
+
+
 def write_sessions(
     sessions: DataFrame, path: str, checkpoint: str, query_name: str | None = None
 ) -> StreamingQuery:
@@ -67,25 +69,46 @@ def write_sessions(
 
     A restart from the same checkpoint goes on where a lost driver left off.
     """
-    sessions.sparkSession.conf.set(MERGE_BEFORE_SHUFFLE, "true")
+    conf = sessions.sparkSession.conf
+    before = conf.get(MERGE_BEFORE_SHUFFLE, None)
     writer = (
         sessions.writeStream.outputMode("append")
         .format("parquet")
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
     )
-    return (writer.queryName(query_name) if query_name else writer).start(path)
+    conf.set(MERGE_BEFORE_SHUFFLE, "true")
+    try:
+        # The started query keeps a copy of the settings.
+        return (writer.queryName(query_name) if query_name else writer).start(path)
+    finally:
+        conf.unset(MERGE_BEFORE_SHUFFLE) if before is None else conf.set(MERGE_BEFORE_SHUFFLE, before)
 
 
-def dropped_late_rows(query: StreamingQuery) -> int:
-    """Rows that came after the watermark in the progress reports still held by the query."""
-    return sum(
-        int(op.get("numRowsDroppedByWatermark", 0))
-        for progress in query.recentProgress
-        for op in progress.get("stateOperators", [])
+def open_sessions(spark: SparkSession, checkpoint: str, rule: GapRule) -> DataFrame:
+    """Sessions that a stopped stream still holds open, in the columns of ``stream_sessions``.
+
+    Read from the state in its checkpoint; a restarted stream may still extend them.
+    """
+    window = F.col("value.session_window")
+    state = spark.read.format("statestore").load(checkpoint)
+    return state.select(
+        *[F.col(f"value.{key}").alias(key) for key in rule.keys],
+        window["start"].alias("session_start"),
+        _last_second(window["end"], rule).alias("session_end"),
+        F.col("value.count").alias("events"),
     )
 
 
+def missed_rows(events: DataFrame, *streamed: DataFrame) -> int:
+    """Stored events that are in none of the sessions (closed, open): those that came too late.
+
+    Counted from what is there, so it holds for streams of any length and after restarts.
+    """
+    found = sum(s.agg(F.coalesce(F.sum("events"), F.lit(0))).first()[0] for s in streamed)
+    return events.count() - found
+
+
 def days_to_redo(
     events: DataFrame, streamed: DataFrame, rule: GapRule, zone: str, closed_until: Column
 ) -> DataFrame:
@@ -110,4 +133,4 @@ def days_to_redo(
         F.to_date(local_day(F.col(c), zone)) for c in ("session_start", "session_end")
     )
     days = missed.select(F.explode(F.sequence(first, last)).alias("day"))
-    return days.select(F.date_format("day", DAY_PATTERN).alias("dt")).distinct()
+    return days.select(F.col("day").cast("string").alias("dt")).distinct()

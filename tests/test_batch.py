@@ -1,5 +1,9 @@
 from __future__ import annotations
 
+import shutil
+from dataclasses import replace
+from datetime import date, timedelta
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -11,7 +15,7 @@ from gapwise.sources import lake, ledger
 
 HEADER = "event_time,event_type,product_id,category_id,category_code,brand,price,user_id,user_session"
 
-# The golden input rows.
+# The golden input rows of all tests here.
 SAMPLE = """
 2019-10-01 00:00:00 UTC,view,1001,2001,electronics.smartphone,apple,100.00,100,source-session-a
 2019-10-01 00:04:59 UTC,cart,1001,2001,electronics.smartphone,apple,100.00,100,source-session-a
@@ -61,6 +65,15 @@ def spec_for(tmp_path, csv, run_id, start, end, **more):
     return JobSpec(csv, str(tmp_path / "lake"), start, end, run_id, **more)
 
 
+FATES = ("input_rows", "row_count", "before_range_rows", "after_range_rows", "late_rows", "rejected_rows", "removed_rows")
+
+
+def fates(spark, root):
+    """Row counts other than 0 of each run in the ledger."""
+    states = ledger.latest_states(ledger.read_ledger(spark, root)).collect()
+    return {r["run_id"]: {c: r[c] for c in FATES if r[c]} for r in states}
+
+
 @pytest.mark.parametrize("sync", [True, False])
 def test_load_add_replace_vanish(spark, tmp_path, files, sync):
     table = f"load_add_replace_{sync}".lower()
@@ -113,17 +126,15 @@ def test_lookback(spark, tmp_path, files):
     assert ledger.read_ledger(spark, spec.output).agg({"sessions_at_edge": "max"}).first()[0] == 1
 
 
-def test_overlapping_lookback_counts_once(spark, tmp_path, files):
+def test_overlapping_lookback(spark, tmp_path, files):
     csv = files("t.csv", HISTORY + TARGET.strip())
     spec = spec_for(
         tmp_path, csv, "overlap", "2019-11-01", "2019-11-02", lookback_input=csv, catalog_sync=False
     )
-    assert run_batch(spark, spec).row_count == 1
-    twice = spec_for(
-        tmp_path, csv, "twice", "2019-11-01", "2019-11-02", lookback_input=csv, catalog_sync=False,
-        drop_copies=False,
-    )
-    assert run_batch(spark, twice).row_count == 2
+    assert run_batch(spark, spec).row_count == 2
+    once = replace(spec, run_id="once", drop_copies=True)
+    assert run_batch(spark, once).row_count == 1
+    assert fates(spark, spec.output)["once"] == {"input_rows": 4, "row_count": 1, "before_range_rows": 1, "removed_rows": 2}
 
 
 def test_ledger_success_and_failure(spark, tmp_path, files):
@@ -340,15 +351,17 @@ def test_hot_users_in_a_run(spark, tmp_path, files):
     assert runs[None].exceptAll(runs[2]).isEmpty() and runs[2].exceptAll(runs[None]).isEmpty()
 
 
-def test_weekly_sql_text_on_the_table(spark, tmp_path, files):
+def test_weekly_users_of_the_table(spark, tmp_path, files):
     spec = spec_for(tmp_path, files("a.csv", SAMPLE), "r", "2019-10-01", "2019-10-03", table="weekly_sql")
     run_batch(spark, spec)
-    week = "date_sub(to_date(dt), pmod(datediff(to_date(dt), '1970-01-05'), 7))"
-    got = spark.sql(
-        f"SELECT {week} AS week_start, count(DISTINCT user_id) AS wau_users FROM {spec.full_table} GROUP BY {week}"
-    ).collect()
-    assert got == metrics.wau_users(spark.table(spec.full_table)).collect()
-    assert (str(got[0]["week_start"]), got[0]["wau_users"]) == ("2019-09-30", 3)
+    rows = spark.table(spec.full_table).select("dt", "user_id").collect()
+    users = {}
+    for dt, user in rows:
+        day = date.fromisoformat(dt)
+        users.setdefault(day - timedelta(days=day.weekday()), set()).add(user)
+    got = metrics.wau_users(spark.table(spec.full_table)).collect()
+    assert {r["week_start"]: r["wau_users"] for r in got} == {w: len(u) for w, u in users.items()}
+    assert {str(r["week_start"]) for r in got} == {"2019-09-30"}
 
 
 def test_full_columns_in_order(spark, tmp_path, files):
@@ -361,3 +374,150 @@ def test_full_columns_in_order(spark, tmp_path, files):
     assert spark.table("default.cols").schema["dt"].dataType.simpleString() == "string"
     ids = lake.read_days(spark, version).select(F.length("generated_session_id").alias("n"))
     assert {r["n"] for r in ids.collect()} == {64}
+
+
+def test_rows_before_a_state_run_are_late(spark, tmp_path, files):
+    root, more = str(tmp_path / "lake"), {"table": "late_rows"}
+    run_batch(spark, spec_for(tmp_path, files("h.csv", HISTORY), "oct", "2019-10-31", "2019-11-01", keep_state=True, **more))
+    after = "\n2019-11-05 00:00:00 UTC,view,1,1,a,b,1.00,7,s\nno time,view,1,1,a,b,1.00,7,s"
+    csv = files("t.csv", HISTORY + HISTORY.replace("14:58", "14:59").strip() + TARGET + TARGET.strip() + after)
+    spec = spec_for(tmp_path, csv, "nov", "2019-11-01", "2019-11-02", state_from="oct", **more)
+    assert run_batch(spark, spec).row_count == 2
+    assert fates(spark, root)["nov"] == {
+        "input_rows": 6, "row_count": 2, "late_rows": 2, "after_range_rows": 1, "rejected_rows": 1,
+    }
+    late = spark.read.parquet(f"{root}/_late/nov").select(F.minute("event_time_utc")).collect()
+    assert sorted(r[0] for r in late) == [58, 59]
+
+
+def test_repeats_in_the_target_stay_with_a_lookback(spark, tmp_path, files):
+    csv = files("t.csv", TARGET + TARGET.strip() + "\n" + TARGET.strip())
+    for run_id, history in (("alone", None), ("with", files("h.csv", HISTORY))):
+        spec = spec_for(tmp_path, csv, run_id, "2019-11-01", "2019-11-02", lookback_input=history, catalog_sync=False)
+        assert run_batch(spark, spec).row_count == 3
+
+
+def test_rows_without_user_on_request(spark, tmp_path, files):
+    csv = files("a.csv", SAMPLE + "2019-10-01 00:00:00 UTC,view,1,1,a,b,1.00,,s")
+    for publish, rows in ((False, 9), (True, 10)):
+        spec = spec_for(tmp_path, csv, f"r{rows}", "2019-10-01", "2019-10-03", catalog_sync=False, publish_null_users=publish)
+        assert run_batch(spark, spec).row_count == rows
+
+
+@pytest.mark.parametrize("sync", [True, False])
+@pytest.mark.parametrize("step", ["write_days", "output_stats", "_write_state", "_keep_late_rows", "sessions_at_edge", "publish"])
+def test_a_failed_run_changes_nothing(spark, tmp_path, files, monkeypatch, sync, step):
+    name = f"failed_{step}_{sync}".lower()
+    more = {"catalog_sync": sync, "table": name}
+    root = str(tmp_path / "lake")
+    run_batch(spark, spec_for(tmp_path, files("a.csv", HISTORY), "zero", "2019-10-31", "2019-11-01", keep_state=True, **more))
+    run_batch(spark, spec_for(tmp_path, files("b.csv", TARGET), "one", "2019-11-01", "2019-11-02", **more))
+
+    def published():
+        rows = spark.table(f"default.{name}") if sync else lake.read_days(spark, root)
+        return sorted((r["dt"], r["run_id"], r["product_id"]) for r in rows.collect())
+
+    before = published()
+
+    def fail(*args, **options):
+        raise OSError(f"{step} is down")
+
+    from gapwise.plans import batch
+
+    place = {"publish": lake if sync else lake, "write_days": lake, "output_stats": lake}.get(step, batch)
+    target = ("ensure_table" if sync else "replace_days") if step == "publish" else step
+    monkeypatch.setattr(place, target, fail)
+    state = None if step == "sessions_at_edge" else "zero"
+    spec = spec_for(
+        tmp_path, files("c.csv", HISTORY + TARGET.replace("8002", "9999").strip()), "two", "2019-11-01", "2019-11-02",
+        state_from=state, keep_state=True, **more,
+    )
+    with pytest.raises(OSError, match="is down"):
+        run_batch(spark, spec)
+    monkeypatch.undo()
+    assert published() == before
+    if sync:
+        assert sorted((r["dt"], r["run_id"], r["product_id"]) for r in current_events(spark, root).collect()) == before
+    states = {r["run_id"]: r["status"] for r in ledger.latest_states(ledger.read_ledger(spark, root)).collect()}
+    assert states == {"zero": "SUCCESS", "one": "SUCCESS", "two": "FAILED"}
+
+
+def test_the_first_error_reaches_the_caller(spark, tmp_path, files, monkeypatch):
+    real = ledger.append_state
+
+    def down(spark, root, fields):
+        if fields["status"] == "FAILED":
+            raise OSError("ledger down")
+        real(spark, root, fields)
+
+    monkeypatch.setattr(ledger, "append_state", down)
+    with pytest.raises(Exception, match="PATH_NOT_FOUND") as caught:
+        run_batch(spark, spec_for(tmp_path, str(tmp_path / "none.csv"), "r", "2019-10-01", "2019-10-03"))
+    assert "ledger down" in caught.value.__notes__[0]
+
+
+def test_run_ids_with_one_folder_are_refused(spark, tmp_path, files):
+    csv = files("a.csv", SAMPLE)
+    run_batch(spark, spec_for(tmp_path, csv, "a/b", "2019-10-01", "2019-10-03", catalog_sync=False))
+    with pytest.raises(ValueError, match="used before"):
+        run_batch(spark, spec_for(tmp_path, csv, "a_b", "2019-10-01", "2019-10-03", catalog_sync=False))
+
+
+def test_a_rerun_during_a_compaction_stays_current(spark, tmp_path, files, monkeypatch):
+    root, more = str(tmp_path / "lake"), {"table": "rerun_compaction"}
+    run_batch(spark, spec_for(tmp_path, files("a.csv", SAMPLE), "one", "2019-10-01", "2019-10-03", **more))
+    again = spec_for(tmp_path, files("c.csv", AGAIN), "two", "2019-10-02", "2019-10-03", **more)
+    real = lake.compact_days
+
+    def meanwhile(*args, **options):
+        run_batch(spark, again)
+        return real(*args, **options)
+
+    monkeypatch.setattr(lake, "compact_days", meanwhile)
+    compact_batch(spark, spec_for(tmp_path, root, "tidy", "2019-10-01", "2019-10-03", **more), 1 << 20)
+    pointer = ledger.current_versions(ledger.read_ledger(spark, root)).collect()
+    assert {r["dt"]: r["run_id"] for r in pointer} == {"2019-10-01": "tidy", "2019-10-02": "two"}
+    assert audit(current_events(spark, root))["2019-10-02"][0] == 2
+    assert audit(spark.table("default.rerun_compaction")) == audit(current_events(spark, root))
+    # A compaction of the compaction stands in for the same run.
+    monkeypatch.undo()
+    compact_batch(spark, spec_for(tmp_path, root, "tidier", "2019-10-01", "2019-10-03", **more), 1 << 20)
+    pointer = ledger.current_versions(ledger.read_ledger(spark, root)).collect()
+    assert {(r["run_id"], r["origin"]) for r in pointer} == {("tidier", "one"), ("tidier", "two")}
+
+
+def test_a_replaced_state_is_refused(spark, tmp_path, files):
+    more = {"table": "replaced_state", "keep_state": True}
+    for run_id in ("oct-1", "oct-2"):
+        run_batch(spark, spec_for(tmp_path, files("h.csv", HISTORY), run_id, "2019-10-31", "2019-11-01", **more))
+    spec = spec_for(tmp_path, files("t.csv", TARGET), "nov", "2019-11-01", "2019-11-02", state_from="oct-1", **more)
+    with pytest.raises(ValueError, match="replaced by 'oct-2'"):
+        run_batch(spark, spec)
+    assert run_batch(spark, replace(spec, state_from="oct-2")).row_count == 1
+
+
+def test_current_view_of_many_runs_is_one_scan(spark, tmp_path, files):
+    root = tmp_path / "lake"
+    run_batch(spark, spec_for(tmp_path, files("a.csv", SAMPLE), "r", "2019-10-01", "2019-10-02", table="many_runs"))
+    source_day = root / "_versions" / "version=r" / "dt=2019-10-01"
+    pointers = []
+    for k in range(400):
+        day = (date(2019, 1, 1) + timedelta(days=k)).isoformat()
+        shutil.copytree(source_day, root / "_versions" / f"version=r{k}" / f"dt={day}")
+        pointers.append((day, f"r{k}"))
+    pointer = spark.createDataFrame(pointers, "dt string, run_id string")
+    rows = lake.current_rows(spark, str(root), pointer)
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and "Union" not in plan
+    assert rows.columns == lake.LAKE_SCHEMA.fieldNames()
+    assert rows.count() == 400 * 6
+    assert lake.current_day_files(spark, str(root), pointer).count() == 400
+
+
+def test_files_per_day_by_rows(spark, tmp_path, files):
+    for rows, count in ((2, 3), (4, 2), (100, 1)):
+        spec = spec_for(tmp_path, files("a.csv", SAMPLE), f"r{rows}", "2019-10-01", "2019-10-03", table="file_rows", file_rows=rows)
+        run_batch(spark, spec)
+        found = lake.day_files(spark, lake.version_path(spec.output, spec.run_id)).filter("dt = '2019-10-01'").first()
+        assert 1 <= found["files"] <= count
+        assert current_events(spark, spec.output).count() == 9

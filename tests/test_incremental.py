@@ -14,7 +14,8 @@ from gapwise.operators.sessions import GapRule, sessionize
 from gapwise.scratch import materialize
 from gapwise.streaming.sessions import (
     days_to_redo,
-    dropped_late_rows,
+    missed_rows,
+    open_sessions,
     read_event_stream,
     stream_sessions,
     write_sessions,
@@ -142,7 +143,9 @@ def test_stream_late_rows_lead_to_redo_days(spark, tmp_path):
     late = [("a", at + timedelta(days=1), 4), ("b", at + timedelta(days=2, minutes=1), 5)]
     spark.createDataFrame(late, schema).write.mode("append").parquet(source)
     query, streamed = stream_run(spark, source, out, state, rule)
-    assert dropped_late_rows(query) == 2
+    still_open = open_sessions(spark, state, rule)
+    assert query.lastProgress is not None
+    assert missed_rows(spark.read.parquet(source), streamed, still_open) == 2
     stored = spark.read.schema(schema).parquet(source)
     days = days_to_redo(stored, streamed, rule, "UTC", F.lit(at + timedelta(days=8)))
     assert sorted(r["dt"] for r in days.collect()) == ["2024-01-02", "2024-01-03"]

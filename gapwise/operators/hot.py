@@ -7,7 +7,7 @@ from dataclasses import dataclass, replace
 from math import ceil
 from typing import TYPE_CHECKING
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gapwise.scratch import materialize
@@ -21,6 +21,8 @@ HOT_ROWS = 2_000_000
 SAMPLED_ROWS = 2_000
 # Key lists and range summaries up to this many rows are broadcast, longer ones are joined.
 BROADCAST_ROWS = 100_000
+# Tasks that the rows of one key are spread over where such a longer list is joined.
+SALTS = 64
 
 
 @dataclass(frozen=True)
@@ -44,7 +46,7 @@ def find_hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int) -> HotKeys
     has SAMPLED_ROWS rows, so one well over it is practically never missed, and little is shuffled.
     Only the way a key is computed rests on this, not one row of the result.  There are
     about rows / ``hot_rows`` such keys; a short list comes to the driver and is broadcast, a longer
-    one stays a table and is joined.
+    one stays a table and is joined with the rows of each key spread over many tasks.
     """
     fraction = min(1.0, SAMPLED_ROWS / hot_rows)
     seen = df.select(*keys)
@@ -84,7 +86,16 @@ def split(df: DataFrame, hot: HotKeys) -> tuple[DataFrame, DataFrame]:
     for key in hot.keys:
         one = F.col(key).eqNullSafe(F.col(f"_hot_{key}"))
         same = one if same is None else same & one
-    return df.join(hot.table, same, "left_semi"), df.join(hot.table, same, "left_anti")
+    if hot.short:
+        return df.join(hot.table, same, "left_semi"), df.join(hot.table, same, "left_anti")
+    return spread_join(df, hot.table, same, "left_semi"), spread_join(df, hot.table, same, "left_anti")
+
+
+def spread_join(df: DataFrame, table: DataFrame, same: Column, how: str) -> DataFrame:
+    """Join of ``df`` to ``table``, which has one row per key, with each key's rows in many tasks."""
+    salted = df.withColumn("_salt", F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)))
+    copies = table.withColumn("_copy", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return salted.join(copies, same & (F.col("_salt") == F.col("_copy")), how).drop("_salt", "_copy")
 
 
 def cut_into_ranges(df: DataFrame, rule: GapRule, ranges: int) -> DataFrame:

@@ -139,9 +139,11 @@ def continue_by_ranges(
         one = F.col(key).eqNullSafe(F.col(f"_state_{key}"))
         same = one if same is None else same & one
     late = F.coalesce(t < F.col("_state_time"), F.lit(False))
-    marked = new_events.join(F.broadcast(known) if few_keys else known, same, "left").select(
-        *columns, late.alias("is_late")
-    )
+    if few_keys:
+        with_state = new_events.join(F.broadcast(known), same, "left")
+    else:
+        with_state = hot_keys.spread_join(new_events, known, same, "left")
+    marked = with_state.select(*columns, late.alias("is_late"))
     on_time = marked.filter(~F.col("is_late")).select(*columns)
     numbered = sessionize_by_ranges(on_time, rule, ranges, state, few_keys).withColumn(
         "is_late", F.lit(False)

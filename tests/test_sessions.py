@@ -7,7 +7,13 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from gapwise.functions.timeops import local_day, local_time, parse_event_time, week_start
+from gapwise.functions.timeops import (
+    day_start,
+    local_day,
+    local_time,
+    parse_event_time,
+    week_start,
+)
 from gapwise.operators import hot
 from gapwise.operators.event_sessions import (
     LAKE_SCHEMA,
@@ -62,47 +68,76 @@ def brute_force(rows, gap):
     return result
 
 
-def test_boundary_ids_and_source_session(spark):
-    got = by_product(
-        sessionize_events(
-            raw(
-                spark,
-                ("2019-10-01 00:00:00 UTC", 1001, 1, "source-a"),
-                ("2019-10-01 00:04:59 UTC", 1002, 1, "source-b"),
-                ("2019-10-01 00:09:59 UTC", 1003, 1, "source-a"),
-                ("2019-10-01 00:02:00 UTC", 2001, 2, "source-c"),
-            ),
-            "r",
-        )
+def test_gap_edge_ids_and_source_session(spark):
+    """A gap of 299 seconds goes on, one of 300 opens a session, whatever the source calls it."""
+    at = datetime(2023, 3, 9, 11, 11, 11)
+    steps = [0, 299, 299 + 300, 2 * 299 + 300, 2 * 299 + 600]
+    rows = [
+        (f"{at + timedelta(seconds=s)} UTC", 10 + k, user, f"own-{k % 2}")
+        for user in (41, 42)
+        for k, s in enumerate(steps)
+    ]
+    sessions = {}
+    for r in sessionize_events(raw(spark, *rows), "r").collect():
+        assert r["source_user_session"] == f"own-{r['product_id'] % 2}"
+        place = (r["product_id"], r["session_seq"], r["session_event_seq"])
+        sessions.setdefault(r["generated_session_id"], []).append((r["user_id"], *place))
+    parts = [[(10, 1, 1), (11, 1, 2)], [(12, 2, 1), (13, 2, 2)], [(14, 3, 1)]]
+    expected = [[(user, *p) for p in part] for user in (41, 42) for part in parts]
+    assert sorted(sorted(v) for v in sessions.values()) == expected
+
+
+def test_more_history_moves_numbers_but_not_ids(spark):
+    rows = [(f"2023-06-0{d} 23:59:00 UTC", d, 5, "s") for d in range(1, 8)]
+    whole = by_product(sessionize_events(raw(spark, *rows), "r"))
+    for first in range(1, 7):
+        part = by_product(sessionize_events(raw(spark, *rows[first:]), "r"))
+        for product, row in part.items():
+            assert row["generated_session_id"] == whole[product]["generated_session_id"]
+            assert row["session_seq"] == whole[product]["session_seq"] - first
+            assert row["dt"] == f"2023-06-0{product + 1}"
+
+
+def test_a_session_goes_on_into_the_first_asked_day(spark):
+    """Events every four minutes over local midnight: the day's first rows keep numbers and start."""
+    midnight = datetime(2023, 8, 1, 15)
+    rows = [(f"{midnight + timedelta(minutes=4 * k)} UTC", k + 50, 6, "s") for k in range(-3, 3)]
+    kept = by_product(
+        sessionize_events(raw(spark, *rows), "r", start_date="2023-08-02", end_date="2023-08-03")
     )
-    assert [got[p]["session_seq"] for p in (1001, 1002, 1003, 2001)] == [1, 1, 2, 1]
-    assert got[1001]["generated_session_id"] == got[1002]["generated_session_id"]
-    assert got[1001]["generated_session_id"] != got[1003]["generated_session_id"]
-    assert got[1002]["source_user_session"] == "source-b"
-    assert [got[p]["session_event_seq"] for p in (1001, 1002, 1003)] == [1, 2, 1]
-
-
-def test_local_day_and_id_stability(spark):
-    day = sessionize_events(raw(spark, ("2019-09-30 15:30:00 UTC", 1, 3, "s")), "r").first()
-    assert day["dt"] == "2019-10-01"
-    target = ("2019-11-01 00:00:00 UTC", 7002, 7, "target")
-    alone = by_product(sessionize_events(raw(spark, target), "r"))[7002]
-    history = ("2019-10-31 23:00:00 UTC", 7001, 7, "history")
-    longer = by_product(sessionize_events(raw(spark, history, target), "r"))[7002]
-    assert (alone["session_seq"], longer["session_seq"]) == (1, 2)
-    assert alone["generated_session_id"] == longer["generated_session_id"]
-
-
-def test_lookback_keeps_start(spark):
-    rows = raw(
-        spark,
-        ("2019-10-31 14:58:00 UTC", 8001, 8, "lookback"),
-        ("2019-10-31 15:01:00 UTC", 8002, 8, "target"),
+    assert {p: r["session_event_seq"] for p, r in kept.items()} == {50: 4, 51: 5, 52: 6}
+    assert {r["session_start_at_kst"] for r in kept.values()} == {datetime(2023, 8, 1, 23, 48)}
+
+
+def zone_free(spark, sf_dir):
+    """What a run publishes, with times as numbers."""
+    rows = sessionize_events(sample_events(spark, sf_dir), "r", start_date="2024-01-05", end_date="2024-03-12")
+    times = [f.name for f in rows.schema if f.dataType.typeName() == "timestamp" and f.name != "ingested_at"]
+    out = rows.select(*[F.unix_micros(c).alias(c) if c in times else c for c in rows.columns if c != "ingested_at"])
+    return sorted(out.collect(), key=lambda r: r["product_id"])
+
+
+@pytest.mark.parametrize("zone", ["America/Los_Angeles", "Asia/Kolkata"])
+def test_published_rows_do_not_depend_on_the_session_zone(spark, sf_dir, zone):
+    expected = zone_free(spark, sf_dir)
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        assert zone_free(spark, sf_dir) == expected
+        text = spark.createDataFrame([("2024-03-10 02:30:00 UTC",)], "s string")
+        parsed = [F.unix_seconds(parse_event_time(F.col("s"), strict)) for strict in (False, True)]
+        assert list(text.select(*parsed).first()) == [1_710_037_800] * 2
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+@pytest.mark.parametrize("zone", ["Asia/Seoul", "America/New_York", "America/Santiago", "Pacific/Apia"])
+def test_day_start_is_the_first_instant_of_its_day(spark, zone):
+    hours = spark.range(0, 24 * 366).select(
+        F.timestamp_seconds(F.lit(1_704_067_200) + F.col("id") * 3600).alias("t")
     )
-    kept = sessionize_events(rows, "r", start_date="2019-11-01", end_date="2019-11-02").collect()
-    assert len(kept) == 1
-    assert (kept[0]["product_id"], kept[0]["session_event_seq"]) == (8002, 2)
-    assert kept[0]["session_start_at_kst"] == datetime(2019, 10, 31, 23, 58)
+    for day in ("2024-03-10", "2024-04-07", "2024-09-08", "2024-11-03"):
+        agree = hours.filter((F.col("t") >= day_start(day, zone)) != (local_day(F.col("t"), zone) >= day))
+        assert agree.isEmpty()
 
 
 def test_upper_day_bound_below_windows_changes_nothing(spark, sf_dir):
@@ -317,13 +352,45 @@ def test_plan_one_exchange_one_sort(spark, sf_dir):
     assert plan_of(session_rollup(rows)).count("Exchange hashpartitioning") == 1
 
 
-def test_plan_lower_day_bound_stays_above_windows(spark, sf_dir):
+def test_plan_day_bounds(spark, sf_dir, tmp_path):
+    """The upper bound reaches the scan, the lower one stays above the windows."""
+    sample_events(spark, sf_dir).write.parquet(str(tmp_path / "canonical"))
     rows = sessionize_events(
-        sample_events(spark, sf_dir), "r", start_date="2024-01-10", end_date="2024-01-20"
+        spark.read.parquet(str(tmp_path / "canonical")), "r", start_date="2024-01-10", end_date="2024-01-20"
     )
     plan = plan_of(rows)
-    window, lower, upper = plan.index("Window"), plan.index(">= 2024-01-10"), plan.index("< 2024-01-20")
-    assert lower < window < upper
+    assert "LessThan(event_time_utc,2024-01-19 15:00:00.0)" in plan
+    assert plan.index(">= 2024-01-10") < plan.index("Window")
+
+
+def test_plan_figures_group_by_user_first(spark, sf_dir):
+    from gapwise.operators import metrics
+
+    rows = sessionize_events(sample_events(spark, sf_dir), "r", event_rule(21_600))
+    for figures in (metrics.weekly_engagement, metrics.wau_sessions, metrics.daily_audit, metrics.global_audit):
+        plan = plan_of(figures(rows))
+        assert "Expand" not in plan and "sha2" not in plan
+        assert plan.count("Exchange hashpartitioning") == 2
+        assert plan.count("Exchange hashpartitioning(user_id") == 1
+
+
+def test_figures_with_null_users(spark):
+    from gapwise.operators import metrics
+
+    rows = sessionize_events(
+        raw(
+            spark,
+            ("2024-01-01 00:00:00 UTC", 1, None, "a"),
+            ("2024-01-02 00:00:00 UTC", 2, None, "a"),
+            ("2024-01-01 14:59:00 UTC", 3, 7, "a"),
+            ("2024-01-01 15:01:00 UTC", 4, 7, "a"),
+        ),
+        "r",
+    )
+    daily = [tuple(r) for r in metrics.daily_audit(rows).collect()]
+    assert daily == [("2024-01-01", 2, 1, 2), ("2024-01-02", 2, 1, 2)]
+    assert tuple(metrics.global_audit(rows).first()) == (4, 1, 3, 2)
+    assert tuple(metrics.global_audit(rows.limit(0)).first()) == (0, 0, 0, 0)
 
 
 def test_plan_prunes_columns(spark, sf_dir):
@@ -364,3 +431,20 @@ def test_plan_hot_edges_are_broadcast_rows_are_not(spark):
     plan = plan_of(sessionize(df, GapRule(("k",), "t", 300, ("id",)), 100))
     assert "BroadcastHashJoin" in plan
     assert "CartesianProduct" not in plan and "NestedLoop" not in plan
+
+
+def test_a_long_hot_list_is_joined_with_its_keys_spread(spark, monkeypatch):
+    rows = random_rows(5, 3, 300, 0.5)
+    df = spark.createDataFrame(rows, "k string, t timestamp, id int")
+    rule = GapRule(("k",), "t", 300, ("id",))
+    whole = sessionize(df, rule, None)
+    monkeypatch.setattr(hot, "BROADCAST_ROWS", 0)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        split = sessionize(df, rule, 100)
+        plan = plan_of(split)
+        joined = [line for line in plan.split("\n") if "Join [" in line and ("LeftSemi" in line or "LeftAnti" in line)]
+        assert joined and all("_salt" in line for line in joined)
+        assert same(split, whole)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

@@ -11,6 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from gapwise.llm.blocks import chunk, dealt, every, whole_blocks
 from gapwise.llm.components import components
 from gapwise.llm.tables import broadcast_if_small, parts
 from gapwise.llm.words import mixed
@@ -132,22 +133,6 @@ def _hashed(tables: int, probes: int, scale: float):
     return of
 
 
-def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
-    """Whole blocks out of rows sorted by their first columns ``cell``, ``i`` and ``j``."""
-    rest = None
-    for batch in batches:
-        table = pa.Table.from_batches([batch])
-        table = pa.concat_tables([rest, table]).combine_chunks() if rest else table
-        key = np.stack([table.column(c).to_numpy().astype(np.int64) for c in range(3)], axis=1)
-        cuts = np.flatnonzero((key[1:] != key[:-1]).any(axis=1)) + 1
-        for a, b in zip([0, *cuts[:-1]], cuts):
-            if b - a > 1:
-                yield table.slice(a, b - a)
-        rest = table.slice(cuts[-1] if len(cuts) else 0)
-    if rest and rest.num_rows > 1:
-        yield rest
-
-
 def _linked(threshold: float):
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Per block and vector with links: the lowest vector that the block's links lead to, and
@@ -159,7 +144,7 @@ def _linked(threshold: float):
                 ("links", pa.list_(pa.struct([("id", pa.int64()), ("copies", pa.int64())]))),
             ]
         )
-        for block in _blocks(batches):
+        for block in whole_blocks(batches):
             side = block.column("side").to_numpy()
             if side.min() == side.max():
                 continue
@@ -245,22 +230,17 @@ def near_vectors(
     full = materialize(full, "full")
     # A home meets all rows of its cell: it is on the left of one row of blocks, on the right of
     # one column of them.
-    place = lambda name, n: F.pmod(F.xxhash64(F.lit(name), "id"), F.col(n)).cast("int")
     seen = met.join(full, F.col("cell") == F.col("_cell"))
     left = seen.where(F.col("role") == _HOME).select(
-        "cell", "id", F.lit(_HOME).alias("side"), place("i", "_i").alias("i"), F.explode(F.sequence(F.lit(0), F.col("_j") - 1)).alias("j")
+        "cell", "id", F.lit(_HOME).alias("side"), chunk("i", "id", F.col("_i")).alias("i"), every(F.col("_j")).alias("j")
     )
     right = seen.select(
-        "cell", "id", F.lit(_PROBE).alias("side"), F.explode(F.sequence(F.lit(0), F.col("_i") - 1)).alias("i"), place("j", "_j").alias("j")
+        "cell", "id", F.lit(_PROBE).alias("side"), every(F.col("_i")).alias("i"), chunk("j", "id", F.col("_j")).alias("j")
     )
     placed = left.unionByName(right).join(
         distinct.select(F.col("id").alias("_id"), "copies", "vector"), F.col("id") == F.col("_id")
     )
-    blocks = (
-        placed.select("cell", "i", "j", "id", "side", "copies", "vector")
-        .repartition(parts(vectors), "cell", "i", "j")
-        .sortWithinPartitions("cell", "i", "j")
-    )
+    blocks = dealt(placed.select("cell", "i", "j", "id", "side", "copies", "vector"), "cell", parts(vectors))
     found = materialize(
         blocks.mapInArrow(_linked(threshold), "id long, low long, links array<struct<id:long,copies:long>>"), "links"
     )

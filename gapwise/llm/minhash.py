@@ -10,15 +10,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from gapwise.llm.blocks import chunk, dealt, every, lowest_reached, whole_blocks
 from gapwise.llm.components import components
-from gapwise.llm.tables import broadcast_if_small, compact, free_name, utf8
+from gapwise.llm.tables import broadcast_if_small, compact, free_name, parts, utf8
 from gapwise.llm.words import in_chunks, joined, mixed, window_hashes, word_hashes
 from gapwise.scratch import materialize
 
 WORDS = 5
 THRESHOLD = 0.8
 BANDS, ROWS = 20, 6
-PIVOT_ROUNDS = 3
+BLOCK = 256  # documents of a bucket that one comparison takes on each side
+SLICE = 4096  # shingles that are compared at a time
 
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _SPARE = np.uint64(0xD6E8FEB86659FD93)
@@ -113,6 +115,46 @@ def _verified(threshold: float):
     return of
 
 
+def _shared_counts(sets: list[np.ndarray]) -> np.ndarray:
+    """Elements that each two of the sets have in common."""
+    found, column, owners = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    useful = owners[column] > 1
+    column, owner = (np.cumsum(owners > 1) - 1)[column[useful]], owner[useful]
+    order = np.argsort(column, kind="stable")
+    column, owner = column[order], owner[order]
+    shared = np.zeros((len(sets), len(sets)), np.float32)
+    for first in range(0, int(column[-1]) + 1 if len(column) else 0, SLICE):
+        a, b = np.searchsorted(column, [first, first + SLICE])
+        has = np.zeros((len(sets), SLICE), np.float32)
+        has[owner[a:b], column[a:b] - first] = 1
+        shared += has @ has.T
+    return shared
+
+
+def _compared(threshold: float):
+    """Per block the links between documents of different classes, as (a, lowest that a reaches)."""
+
+    def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block in whole_blocks(batches):
+            part, ids, kind = (block.column(c).to_numpy() for c in ("part", "id", "class"))
+            other = kind[:, None] != kind
+            if block.column("i")[0] != block.column("j")[0]:
+                other &= part[:, None] != part
+            if not other.any():
+                continue
+            sets = [np.frombuffer(s, np.uint64) for s in block.column("set").to_pylist()]
+            sizes = np.array([len(s) for s in sets])
+            shared = _shared_counts(sets)
+            low = lowest_reached(ids, other & (shared >= threshold * (sizes[:, None] + sizes - shared)))
+            if (low < ids).any():
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(ids[low < ids]), pa.array(low[low < ids])], names=["a", "b"]
+                )
+
+    return of
+
+
 def near_classes(
     docs: DataFrame,
     key: str = "doc_id",
@@ -130,10 +172,9 @@ def near_classes(
 
     Candidates share a band of their ProbMinHash signatures, with the shingles' counts as weights,
     and are verified on whole sets. Equal sets are one class from the start. In each bucket all
-    members are compared with its lowest, then for a few rounds those of other classes with
-    another member picked at random; members of one class need no comparison, as its links are
-    known to hold. What is left, members of one bucket that are still in different classes, is
-    compared pair by pair, so no candidate is dropped.
+    members are compared with its lowest. Where that leaves a bucket with several classes, all its
+    members of different classes are compared, those of a full bucket in blocks that many tasks
+    share, so no link among candidates is lost.
     """
     given = docs.select(F.col(key).cast("long").alias("doc_id"), utf8(F.col(text)).alias("text")).where(
         "doc_id IS NOT NULL AND text IS NOT NULL"
@@ -147,13 +188,13 @@ def near_classes(
     sets = signed.groupBy("set_id").agg(F.min("doc_id").alias("id"), F.count("*").alias("copies"))
     sets = materialize(compact(sets, signed.count()), "sets")
     heads = signed.join(sets.select("id"), F.col("doc_id") == F.col("id"), "left_semi")
-    banded = heads.select(F.col("doc_id").alias("id"), "n", F.explode("bands").alias("bucket")).distinct()
+    banded = heads.select(F.col("doc_id").alias("id"), F.explode("bands").alias("bucket")).distinct()
     shared = (
         banded.groupBy(F.col("bucket").alias("_bucket"))
         .agg(F.min("id").alias("lowest"), F.max("id").alias("highest"))
         .where("lowest < highest")
     )
-    members = banded.join(shared, F.col("bucket") == F.col("_bucket")).select("bucket", "id", "n", "lowest")
+    members = banded.join(shared, F.col("bucket") == F.col("_bucket")).select("bucket", "id", "lowest")
     members = materialize(compact(members, bands * sets.count()), "members")
     rows_left = members.count()
     wanted = members.select(F.col("id").alias("doc_id")).distinct()
@@ -175,43 +216,30 @@ def near_classes(
         )
         return compared.mapInArrow(_verified(threshold), "a long, b long")
 
-    alike = lambda x, y: F.least(x, y) >= F.lit(threshold) * F.greatest(x, y)
     first = members.where("id <> lowest").select(F.col("id").alias("a"), F.col("lowest").alias("b"))
     labels = components(links(first))
-    for turn in range(PIVOT_ROUNDS + 1):
-        classed = members.join(labels, F.col("id") == F.col("node"), "left").select(
-            "bucket", "id", "n", F.coalesce("label", "id").alias("class")
-        )
-        split = (
-            classed.groupBy(F.col("bucket").alias("_bucket"))
-            .agg(
-                F.min("class").alias("low"),
-                F.max("class").alias("high"),
-                F.min(F.struct(F.xxhash64("bucket", "id", F.lit(turn)).alias("h"), "id", "class", "n")).alias("pivot"),
-            )
-            .where("low < high")
-        )
-        split = materialize(compact(split.select("_bucket", "pivot"), rows_left), "split")
-        if split.isEmpty():
-            break
-        left = classed.join(split, F.col("bucket") == F.col("_bucket")).drop("_bucket")
-        if turn < PIVOT_ROUNDS:
-            pairs = left.where((F.col("class") != F.col("pivot.class")) & alike("n", "pivot.n")).select(
-                F.col("id").alias("a"), F.col("pivot.id").alias("b")
-            )
-        else:
-            left = materialize(compact(left.drop("pivot"), rows_left), "left")
-            other = left.select(
-                F.col("bucket").alias("_bucket"),
-                F.col("id").alias("b"),
-                F.col("n").alias("_n"),
-                F.col("class").alias("_class"),
-            )
-            pairs = left.join(
-                other,
-                (F.col("bucket") == F.col("_bucket")) & (F.col("class") < F.col("_class")) & alike("n", "_n"),
-            ).select(F.col("id").alias("a"), "b")
-        labels = components(labels.select(F.col("node").alias("a"), F.col("label").alias("b")).union(links(pairs)))
+    classed = members.join(labels, F.col("id") == F.col("node"), "left").select(
+        "bucket", "id", F.coalesce("label", "id").alias("class")
+    )
+    classed = materialize(compact(classed, rows_left), "classed")
+    split = (
+        classed.groupBy(F.col("bucket").alias("_bucket"))
+        .agg(F.min("class").alias("low"), F.max("class").alias("high"), F.count("*").alias("n"))
+        .where("low < high")
+        .select("_bucket", F.ceil(F.col("n") / BLOCK).cast("int").alias("chunks"))
+    )
+    split = materialize(compact(split, rows_left), "split")
+    mine, others = F.col("part"), every(F.col("chunks"))
+    open_ = (
+        classed.join(split, F.col("bucket") == F.col("_bucket"))
+        .withColumn("part", chunk("part", "id", F.col("chunks")))
+        .withColumn("other", others)
+        .select("bucket", F.least(mine, "other").alias("i"), F.greatest(mine, "other").alias("j"), "part", "id", "class")
+        .join(whole.select(F.col("id").alias("_id"), "set"), F.col("id") == F.col("_id"))
+        .drop("_id")
+    )
+    more = dealt(open_, "bucket", parts(docs)).mapInArrow(_compared(threshold), "a long, b long")
+    labels = components(labels.select(F.col("node").alias("a"), F.col("label").alias("b")).union(more))
     joined_sets = sets.join(labels, F.col("id") == F.col("node"), "left").where("copies > 1 OR label IS NOT NULL")
     joined_sets = joined_sets.select("set_id", F.coalesce("label", "id").alias("class_id"))
     return signed.join(joined_sets, "set_id").select("doc_id", "class_id")

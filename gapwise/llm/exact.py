@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gapwise.llm.tables import parts, utf8
-from gapwise.llm.words import WHITE_SPACE
+from gapwise.llm.words import WHITE_SPACE, in_slices
 from gapwise.scratch import materialize
 
 LEADING = 48  # characters of the content that splitters hold
@@ -53,25 +53,26 @@ def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         n, sha = len(ids), hashlib.sha256(content).hexdigest()
         done.extend((i, sha, ids[0], n, points, k == 0, edge) for k, i in enumerate(ids))
 
-    def rows() -> pa.RecordBatch:
+    def closed() -> pa.RecordBatch:
         columns = [pa.array(c, f.type) for c, f in zip(zip(*done), _ARROW)]
         done.clear()
         return pa.RecordBatch.from_arrays(columns, schema=_ARROW)
 
     for batch in batches:
-        for doc_id, n_points, text in zip(*(c.to_pylist() for c in batch.columns)):
-            if content is not None and text == content:
-                ids.append(doc_id)
-                continue
-            if content is not None:
-                close(edge=first)
-                first = False
-            content, ids, points = text, [doc_id], n_points
+        for rows in in_slices(batch):
+            for doc_id, n_points, text in zip(*rows):
+                if content is not None and text == content:
+                    ids.append(doc_id)
+                    continue
+                if content is not None:
+                    close(edge=first)
+                    first = False
+                content, ids, points = text, [doc_id], n_points
         if done:
-            yield rows()
+            yield closed()
     if content is not None:
         close(edge=True)
-        yield rows()
+        yield closed()
 
 
 def exact_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gapwise.llm.tables import free_name
+from gapwise.llm.words import in_slices
 from gapwise.scratch import materialize
 
 TRAIN_ROWS = 2_000  # labelled rows per language, about
@@ -95,8 +96,9 @@ class _Places(dict):
 def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         found: dict[str, Counter] = {}
-        for lang, text in zip(*(c.to_pylist() for c in batch.columns)):
-            found.setdefault(lang, Counter()).update(text_words(text))
+        for rows in in_slices(batch):
+            for lang, text in zip(*rows):
+                found.setdefault(lang, Counter()).update(text_words(text))
         for lang, counts in found.items():
             yield pa.RecordBatch.from_arrays(
                 [pa.array([lang] * len(counts)), pa.array(list(counts)), pa.array(list(counts.values()), pa.int64())],
@@ -193,7 +195,7 @@ def predicted(spark: SparkSession, model: Model, text: Column) -> Column:
         places = _Places(model)
         for column in texts:
             langs, scores = [], []
-            for text in column.to_pylist():
+            for text in (t for k in range(0, len(column), 200) for t in column.slice(k, 200).to_pylist()):
                 words = text_words(text)
                 if not model.langs or not _has_letter(words):
                     langs.append(UNKNOWN)

@@ -64,7 +64,7 @@ def _signed(words: int, bands: int, rows: int):
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for keys, texts in in_chunks(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            for keys, texts in in_chunks(batch):
                 counted = [np.unique(shingles(t, words), return_counts=True) for t in texts]
                 sizes = np.array([len(s) for s, _ in counted])
                 full = np.flatnonzero(sizes)
@@ -95,8 +95,11 @@ def _signed(words: int, bands: int, rows: int):
 def _sets(words: int):
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = [np.unique(shingles(t, words)).tobytes() for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], names=["id", "set"])
+            for keys, texts in in_chunks(batch):
+                sets = [np.unique(shingles(t, words)).tobytes() for t in texts]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(keys, pa.int64()), pa.array(sets, pa.binary())], names=["id", "set"]
+                )
 
     return of
 

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gapwise.llm.tables import ranked
+from gapwise.llm.words import in_slices
 from gapwise.scratch import materialize
 
 CAPACITY = 2048
@@ -70,9 +71,9 @@ def _pieces(capacity: int, vocabulary: str, with_ids: bool):
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for begin in range(0, batch.num_rows, 1000):
-                part, rows = batch.slice(begin, 1000), []
-                for doc_id, text in zip(*(c.to_pylist() for c in part.columns)):
+            for columns in in_slices(batch):
+                rows = []
+                for doc_id, text in zip(*columns):
                     ids = np.append(token_ids(text, vocabulary), np.uint32(END_ID)).astype("<u4")
                     first = len(ids) % capacity or capacity
                     starts = [0, *range(first, len(ids), capacity)]

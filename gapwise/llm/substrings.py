@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gapwise.llm.tables import broadcast_if_small, utf8
-from gapwise.llm.words import in_chunks, window_hashes, word_hashes
+from gapwise.llm.words import in_chunks, in_slices, window_hashes, word_hashes
 from gapwise.scratch import materialize
 
 WINDOW = 50
@@ -37,7 +37,7 @@ def _anchors(half: int, span: int):
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for keys, texts in in_chunks(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            for keys, texts in in_chunks(batch):
                 ids, found, places = [], [], []
                 for key, text in zip(keys, texts):
                     hashes = window_hashes(word_hashes(text), half)
@@ -68,10 +68,9 @@ def _doubled(half: int, span: int):
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for start in range(0, batch.num_rows, 256):
-                rows = batch.slice(start, 256)
+            for rows in in_slices(batch):
                 ids, found, places = [], [], []
-                for key, text, kept in zip(*(c.to_pylist() for c in rows.columns)):
+                for key, text, kept in zip(*rows):
                     words = word_hashes(text)
                     halves = window_hashes(words, half)
                     if len(halves) < span:
@@ -108,13 +107,18 @@ def _runs(length: int):
 
 
 def _repeated(places: DataFrame) -> DataFrame:
-    """Hashes that occur in two documents or more, with the smallest identifier."""
-    return (
+    """Hashes that occur in two documents or more, with the smallest identifier.
+
+    Written out, so that a small table can be sent to all tasks and the join to a large one can
+    split the places of a hash that very many documents have.
+    """
+    found = (
         places.groupBy("hash")
         .agg(F.min("doc_id").alias("first_id"), F.max("doc_id").alias("last_id"))
         .where("first_id < last_id")
         .select(F.col("hash").alias("repeated"), "first_id")
     )
+    return broadcast_if_small(materialize(found, "repeated"), 24)
 
 
 def repeated_spans(
@@ -158,26 +162,26 @@ def repeated_spans(
 
 def _kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        count, gone, kept = [], [], []
-        texts, spans = (batch.column(c).to_pylist() for c in (0, 1))
-        for text, cut in zip(texts, spans):
-            words = text.split() if text else []
-            rest = words
-            if cut:
-                edges = [0, *cut, len(words)]
-                rest = [w for a, b in zip(edges[::2], edges[1::2]) for w in words[a:b]]
-            count.append(len(words))
-            gone.append(len(words) - len(rest))
-            kept.append(b" ".join(rest))
-        yield pa.RecordBatch.from_arrays(
-            [
-                *batch.columns[2:],
-                pa.array(count, pa.int64()),
-                pa.array(gone, pa.int64()),
-                pa.array(kept, pa.binary()),
-            ],
-            names=[*batch.schema.names[2:], "n_words", "n_removed", "kept"],
-        )
+        for texts, spans, ids in in_slices(batch):
+            count, gone, kept = [], [], []
+            for text, cut in zip(texts, spans):
+                words = text.split() if text else []
+                rest = words
+                if cut:
+                    edges = [0, *cut, len(words)]
+                    rest = [w for a, b in zip(edges[::2], edges[1::2]) for w in words[a:b]]
+                count.append(len(words))
+                gone.append(len(words) - len(rest))
+                kept.append(b" ".join(rest))
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(ids, pa.int64()),
+                    pa.array(count, pa.int64()),
+                    pa.array(gone, pa.int64()),
+                    pa.array(kept, pa.binary()),
+                ],
+                names=["doc_id", "n_words", "n_removed", "kept"],
+            )
 
 
 def remove_repeats(

@@ -6,6 +6,7 @@ import re
 from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
 import xxhash
 
 # Fixed value: a word is a run of anything but these white-space characters.
@@ -78,13 +79,22 @@ def window_hashes(hashes: np.ndarray, n: int) -> np.ndarray:
         size *= 2
 
 
-def in_chunks(keys: list, texts: list, limit: int = 2 << 20) -> Iterator[tuple[list, list]]:
-    """The rows of a batch in runs of about ``limit`` bytes of text."""
-    start = size = 0
-    for i, text in enumerate(texts):
-        size += len(text or b"")
-        if size >= limit:
-            yield keys[start : i + 1], texts[start : i + 1]
-            start, size = i + 1, 0
-    if start < len(texts):
-        yield keys[start:], texts[start:]
+def in_slices(batch: pa.RecordBatch, rows: int = 200) -> Iterator[list[list]]:
+    """The columns of a batch as lists, some rows at a time, so that little is held twice."""
+    for begin in range(0, batch.num_rows, rows):
+        yield [c.to_pylist() for c in batch.slice(begin, rows).columns]
+
+
+def in_chunks(batch: pa.RecordBatch, limit: int = 2 << 20) -> Iterator[tuple[list, list]]:
+    """Keys and texts, the columns of a batch, in runs of about ``limit`` bytes of text."""
+    keys, texts, size = [], [], 0
+    for some_keys, some_texts in in_slices(batch):
+        for key, text in zip(some_keys, some_texts):
+            keys.append(key)
+            texts.append(text)
+            size += len(text or b"")
+            if size >= limit:
+                yield keys, texts
+                keys, texts, size = [], [], 0
+    if keys:
+        yield keys, texts

@@ -72,16 +72,36 @@ def columns(source: str, *names: str) -> str:
     return f"SELECT {', '.join(names)} FROM ({source})"
 
 
-def numbered(where: str = "TRUE", *more: str) -> str:
+def numbered() -> str:
     names = (
         "product_id",
         "user_id",
         "session_seq",
         "session_start_at_utc AS session_start",
         "session_event_seq",
-        *more,
     )
-    return columns(PUBLISHED, *names) + f" WHERE {where}"
+    return columns(PUBLISHED, *names)
+
+
+# Old rows left their users' last times behind; of the others, those before them are late.
+IN_TIME = f"event_time_utc < TIMESTAMP '{CUT}' AND event_type <> 'error'"
+ARRIVED = f"""
+SELECT e.*, coalesce(e.event_time_utc < l.last_time, FALSE) AS is_late FROM ({EVENTS}) e
+LEFT JOIN (SELECT user_id, max(event_time_utc) AS last_time FROM ({EVENTS}) WHERE {IN_TIME} GROUP BY 1) l
+       USING (user_id)
+WHERE NOT ({IN_TIME})
+"""
+ON_TIME = f"""
+SELECT * FROM ({EVENTS}) WHERE {IN_TIME}
+UNION ALL SELECT * EXCLUDE (is_late) FROM ({ARRIVED}) WHERE NOT is_late
+"""
+CONTINUED = f"""
+SELECT product_id, user_id, session_seq, session_start_at_utc AS session_start, session_event_seq,
+       FALSE AS is_late
+FROM ({sessions(WIDE_GAP, ON_TIME)})
+WHERE product_id IN (SELECT product_id FROM ({ARRIVED}))
+UNION ALL SELECT product_id, user_id, NULL, NULL, NULL, TRUE FROM ({ARRIVED}) WHERE is_late
+"""
 
 
 def local(shift: str) -> str:
@@ -230,12 +250,8 @@ WITH r AS (SELECT *, row_number() OVER (PARTITION BY user_id
 SELECT user_id, event_time_utc AS last_time, session_seq, session_start_at_utc AS session_start,
        session_event_seq FROM r WHERE back = 1
 """,
-    "incremental_sessionize": numbered(
-        f"event_time_utc >= TIMESTAMP '{CUT}'", "FALSE AS is_late"
-    ),
-    "incremental_hot_ranges": numbered(
-        f"event_time_utc >= TIMESTAMP '{CUT}'", "FALSE AS is_late"
-    ),
+    "incremental_sessionize": CONTINUED,
+    "incremental_hot_ranges": CONTINUED,
     "stream_sessions": f"SELECT * FROM ({SIZED}) WHERE {CLOSED}",
     "stream_all_sessions": SIZED,
     "batch_timestamp": f"SELECT count(*) AS row_count, TRUE AS one_time, TRUE AS of_the_run FROM ({PUBLISHED})",

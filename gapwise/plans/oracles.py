@@ -298,7 +298,7 @@ WITH t AS (SELECT * FROM ({TO_THE_SECOND}) WHERE event_time_utc >= TIMESTAMP '{R
 u AS (SELECT * FROM t UNION ALL SELECT * FROM t WHERE event_type = 'error'
       UNION ALL SELECT * FROM ({TO_THE_SECOND}) WHERE event_time_utc < TIMESTAMP '{REDO_START} 00:00:00')
 SELECT product_id, user_id, event_time_utc, session_seq, session_event_seq, dt
-FROM ({sessions(WIDE_GAP, "SELECT * FROM u", "'job-1'", ORDER + ", event_type")})
+FROM ({sessions(WIDE_GAP, "SELECT *, row_number() OVER () AS place FROM u", "'job-1'", ORDER + ", event_type, place")})
 WHERE dt >= '{REDO_START}' AND dt < '{REDO_END}'
 """,
     "state_batches_late": f"""

@@ -195,7 +195,8 @@ def near_vectors(
     Copies of a vector are one vector that counts for all of them. Each table projects the vectors
     at random to eight dimensions and decodes them to lattice points; a vector looks into its own
     cell and the nearest ones around it. All vectors that meet in a cell are compared, those of a
-    full cell in blocks that many tasks share. A pair that no table brings together is missed: with
+    full cell in blocks that many tasks share. The links of one vector, once per cell, come together
+    in one row. A pair that no table brings together is missed: with
     the default figures about one in a thousand at the threshold, far fewer above it.
     """
     given = vectors.select(

@@ -7,7 +7,7 @@ from math import sqrt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gapwise.llm.tables import broadcast_if_small, free_name
+from gapwise.llm.tables import array_bytes, broadcast_if_small, free_name
 from gapwise.scratch import materialize
 
 MIN_SITES = 12
@@ -100,7 +100,7 @@ def remove_boilerplate(
         .where(F.col("_mean") * F.size(cut) <= F.col("_total") * max_share)
         .select("_id", "_print", cut)
     )
-    gone = broadcast_if_small(materialize(gone, "gone"), 150)
+    gone = broadcast_if_small(materialize(gone, "gone"), array_bytes(cut))
     same = F.col(key).eqNullSafe(F.col("_id")) & (F.xxhash64(text) == F.col("_print"))
     left = F.filter(_lines(F.col(text)), lambda _, at: ~F.array_contains(cut, at))
     return (

@@ -15,6 +15,11 @@ CAP = 2
 BUCKET_ROWS = 10_000
 
 
+def _row_bytes(source: str) -> Column:
+    """Size of a row of a source with its name and a few numbers."""
+    return F.lit(80) + F.coalesce(F.octet_length(F.col(source).cast("string")), F.lit(0))
+
+
 def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
@@ -101,7 +106,7 @@ def mix(
     )
     at = F.floor((1 - F.exp(-F.col("drawn.draw"))) * F.col("buckets"))
     dealt = rows.join(
-        broadcast_if_small(plan.select("_source", "rest", "buckets"), 100), F.col("source").eqNullSafe(F.col("_source"))
+        broadcast_if_small(plan.select("_source", "rest", "buckets"), _row_bytes("_source")), F.col("source").eqNullSafe(F.col("_source"))
     ).withColumn("bucket", F.least(at, F.col("buckets") - 1))
     sums = dealt.groupBy("_source", "rest", "bucket").agg(F.sum("n").alias("n"))
     running = Window.partitionBy("_source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
@@ -115,7 +120,7 @@ def mix(
     reach = F.col("end.before") + F.sum("n").over(within.rowsBetween(Window.unboundedPreceding, 0)) - F.col("n") / 2
     tail = (
         dealt.join(
-            broadcast_if_small(ends, 100),
+            broadcast_if_small(ends, _row_bytes("_end")),
             F.col("source").eqNullSafe(F.col("_end")) & (F.col("bucket") == F.col("end.bucket")),
         )
         .withColumn("reach", reach)
@@ -126,7 +131,7 @@ def mix(
     # Without a row of that range, the last of the ranges before it.
     head = (
         dealt.join(
-            broadcast_if_small(ends, 100),
+            broadcast_if_small(ends, _row_bytes("_end")),
             F.col("source").eqNullSafe(F.col("_end")) & (F.col("bucket") < F.col("end.bucket")),
         )
         .groupBy(F.col("source").alias("_end"))
@@ -139,7 +144,7 @@ def mix(
     plan = materialize(plan, "cuts")
     copies = F.col(epochs) + F.coalesce((F.col(drawn) <= F.col(last)).cast("long"), F.lit(0))
     return (
-        keyed.join(broadcast_if_small(plan, 150), F.col(source).eqNullSafe(F.col(origin)))
+        keyed.join(broadcast_if_small(plan, _row_bytes(origin)), F.col(source).eqNullSafe(F.col(origin)))
         .withColumn("copies", copies)
         .drop(drawn, origin, epochs, last)
     )

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gapwise.llm.tables import broadcast_if_small, utf8
+from gapwise.llm.tables import array_bytes, broadcast_if_small, utf8
 from gapwise.llm.words import in_chunks, in_slices, window_hashes, word_hashes
 from gapwise.scratch import materialize
 
@@ -146,7 +146,7 @@ def repeated_spans(
     )
     live = materialize(live, "candidates")
     doubled = (
-        rows.join(broadcast_if_small(live, 400), "doc_id")
+        rows.join(broadcast_if_small(live, array_bytes("kept")), "doc_id")
         .select("doc_id", "text", "kept")
         .mapInArrow(_doubled(half, span), _PLACE)
     )
@@ -192,7 +192,7 @@ def remove_repeats(
     spans = materialize(repeated_spans(docs, key, text, length), "spans")
     return (
         docs.select(F.col(key).cast("long").alias("doc_id"), utf8(F.col(text)).alias("text"))
-        .join(broadcast_if_small(spans, 100), "doc_id", "left")
+        .join(broadcast_if_small(spans, array_bytes("spans")), "doc_id", "left")
         .select("text", "spans", "doc_id")
         .mapInArrow(
             _kept,

@@ -10,10 +10,21 @@ from gapwise.scratch import materialize
 BROADCAST_BYTES = 32 << 20
 
 
-def broadcast_if_small(df: DataFrame, row_bytes: int, limit: int = BROADCAST_BYTES) -> DataFrame:
-    """``df`` with a broadcast hint if its counted rows fit the bound; else it is joined by shuffles."""
-    rows = df.limit(limit // row_bytes + 1).count()
-    return F.broadcast(df) if rows * row_bytes <= limit else df
+def broadcast_if_small(df: DataFrame, row_bytes: int | Column, limit: int = BROADCAST_BYTES) -> DataFrame:
+    """``df`` with a broadcast hint if its rows fit the bound; else it is joined by shuffles.
+
+    ``row_bytes`` is the size of every row, or a column with the size of each.
+    """
+    if isinstance(row_bytes, int):
+        size = row_bytes * df.limit(limit // row_bytes + 1).count()
+    else:
+        size = df.agg(F.sum(row_bytes)).first()[0] or 0
+    return F.broadcast(df) if size <= limit else df
+
+
+def array_bytes(name: str) -> Column:
+    """Size of a row with a key and an array of integers."""
+    return F.lit(32) + F.size(name) * 4
 
 
 def free_name(df: DataFrame, *names: str) -> list[str]:

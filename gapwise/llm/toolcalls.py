@@ -10,10 +10,9 @@ from gapwise.scratch import materialize
 
 LAST = 2**31 - 1  # level of calls in or behind a circle
 
-_PARAMETERS = (
-    "properties map<string, struct<type: string, minimum: double, maximum: double, enum: array<string>>>, "
-    "required array<string>, additionalProperties boolean"
-)
+_RULE = "struct<type: string, minimum: double, maximum: double, enum: array<string>>"
+_PARAMETERS = f"properties map<string, {_RULE}>, required array<string>, additionalProperties boolean"
+_CALL = ("conv_id", "turn", "call_id", "name", "arguments", "after")
 # The type names of JSON schemas, and Spark's names for the values they admit.
 _TYPES = {
     "string": "STRING",
@@ -26,6 +25,10 @@ _TYPES = {
 }
 
 
+def _no_texts() -> Column:
+    return F.array().cast("array<string>")
+
+
 def _named(kind: str, keys: Column) -> Column:
     return F.transform(keys, lambda k: F.concat(F.lit(f"{kind}:"), k))
 
@@ -49,10 +52,10 @@ def problems(arguments: Column, rules: Column) -> Column:
     """Sorted reasons why a JSON text breaks a tool's parameters (null: no such tool)."""
     given = F.from_json(arguments, "map<string, variant>")
     names = F.map_keys(given)
-    properties = F.coalesce(rules["properties"], F.create_map().cast("map<string,struct<type:string,minimum:double,maximum:double,enum:array<string>>>"))
-    required = F.coalesce(rules["required"], F.array().cast("array<string>"))
+    properties = F.coalesce(rules["properties"], F.create_map().cast(f"map<string, {_RULE}>"))
+    required = F.coalesce(rules["required"], _no_texts())
     unexpected = F.when(
-        F.coalesce(rules["additionalProperties"], F.lit(True)), F.array().cast("array<string>")
+        F.coalesce(rules["additionalProperties"], F.lit(True)), _no_texts()
     ).otherwise(F.array_except(names, F.map_keys(properties)))
     broken = F.transform(
         F.map_entries(F.map_filter(given, lambda k, _: F.map_contains_key(properties, k))),
@@ -60,7 +63,8 @@ def problems(arguments: Column, rules: Column) -> Column:
     )
     # A value that breaks no rule leaves its bare key.
     broken = F.filter(broken, lambda b: b.rlike("^(type|range|enum):"))
-    found = F.concat(_named("missing", F.array_except(required, names)), _named("unexpected", unexpected), broken)
+    missing = _named("missing", F.array_except(required, names))
+    found = F.concat(missing, _named("unexpected", unexpected), broken)
     whole = F.try_parse_json(arguments).isNotNull() & given.isNotNull()
     return (
         F.when(rules.isNull(), F.array(F.lit("unknown tool")))
@@ -118,21 +122,23 @@ def link_calls(calls: DataFrame, results: DataFrame, tools: DataFrame) -> DataFr
     ``message`` is JSON with sorted keys at every depth, no white space and numbers in their
     shortest form; arguments that are no JSON are kept as a text.
     """
-    asked = calls.select("conv_id", "turn", "call_id", "name", "arguments", "after")
+    print_ = F.xxhash64("name", "arguments")
+    asked = calls.select(*_CALL)
     first = asked.groupBy(F.col("conv_id").alias("_conv"), F.col("call_id").alias("_id")).agg(
-        F.min(F.struct("turn", F.xxhash64("name", "arguments"))).alias("_first")
+        F.min(F.struct("turn", print_.alias("print"))).alias("_first")
     )
-    asked = asked.join(first, (F.col("conv_id") == F.col("_conv")) & (F.col("call_id") == F.col("_id")), "left")
-    own = F.struct("turn", F.xxhash64("name", "arguments").alias("col2"))
+    same = (F.col("conv_id") == F.col("_conv")) & (F.col("call_id") == F.col("_id"))
     again = F.col("_first").isNotNull() & (
-        (F.col("_first.turn") != F.col("turn")) | (F.col("_first.col2") != own["col2"])
-    )
-    asked = materialize(asked.select(*calls.select("conv_id", "turn", "call_id", "name", "arguments", "after").columns, again.alias("again")), "calls")
-    known = asked.where("call_id IS NOT NULL AND NOT again").select(
-        F.col("conv_id").alias("conv"), F.col("call_id").alias("id"), "turn"
-    ).dropDuplicates(["conv", "id"])
-    named = asked.where("call_id IS NOT NULL AND NOT again").select(
-        F.col("conv_id").alias("conv"), F.col("call_id").alias("id"), F.col("turn").alias("_turn"), F.explode("after").alias("needs")
+        (F.col("_first.turn") != F.col("turn")) | (F.col("_first.print") != print_)
+    )
+    asked = asked.join(first, same, "left").select(*_CALL, again.alias("again"))
+    asked = materialize(asked, "calls")
+    keyed = asked.where("call_id IS NOT NULL AND NOT again").select(
+        F.col("conv_id").alias("conv"), F.col("call_id").alias("id"), "turn", "after"
+    )
+    known = keyed.select("conv", "id", "turn").dropDuplicates(["conv", "id"])
+    named = keyed.select(
+        "conv", "id", F.col("turn").alias("_turn"), F.explode("after").alias("needs")
     ).distinct()
     targets = known.select("conv", F.col("id").alias("needs"), F.col("turn").alias("_needed"))
     edges = materialize(named.join(targets, ["conv", "needs"], "left"), "edges")
@@ -143,8 +149,10 @@ def link_calls(calls: DataFrame, results: DataFrame, tools: DataFrame) -> DataFr
         materialize(edges.join(mixed_up, "conv", "left_semi").select("conv", "id", "needs"), "edges"),
         known.join(mixed_up, "conv", "left_semi").select("conv", "id"),
     ).where("level > 0")
-    came = results.where("call_id IS NOT NULL").groupBy(F.col("conv_id").alias("conv"), F.col("call_id").alias("id")).agg(
-        F.min(F.struct(F.col("turn").alias("result_turn"), "content")).alias("result")
+    came = (
+        results.where("call_id IS NOT NULL")
+        .groupBy(F.col("conv_id").alias("conv"), F.col("call_id").alias("id"))
+        .agg(F.min(F.struct(F.col("turn").alias("result_turn"), "content")).alias("result"))
     )
     rules = tools.groupBy(F.col("name").alias("_tool")).agg(
         F.from_json(F.min("parameters"), _PARAMETERS).alias("rules")
@@ -161,7 +169,7 @@ def link_calls(calls: DataFrame, results: DataFrame, tools: DataFrame) -> DataFr
     )
     found = F.concat(
         problems(F.col("arguments"), F.col("rules")),
-        F.coalesce(_named("after", F.array_sort("lost")), F.array().cast("array<string>")),
+        F.coalesce(_named("after", F.array_sort("lost")), _no_texts()),
     )
     status = (
         F.when(F.col("again"), "repeated")
@@ -170,8 +178,12 @@ def link_calls(calls: DataFrame, results: DataFrame, tools: DataFrame) -> DataFr
         .otherwise("linked")
     )
     linked = linked.select(
-        "conv_id", "turn", "call_id", "name", "arguments", found.alias("problems"), status.alias("status"),
-        F.coalesce("level", F.lit(0)).alias("level"), F.col("result.result_turn"), F.col("result.content"),
+        *_CALL[:-1],
+        found.alias("problems"),
+        status.alias("status"),
+        F.coalesce("level", F.lit(0)).alias("level"),
+        "result.result_turn",
+        "result.content",
     )
     placed = ranked(linked, ["conv_id"], ["level", "turn", "call_id"])
     arguments = F.coalesce(F.try_parse_json("arguments"), F.col("arguments").cast("variant"))
@@ -183,8 +195,16 @@ def link_calls(calls: DataFrame, results: DataFrame, tools: DataFrame) -> DataFr
         )
     )
     out = placed.select(
-        "conv_id", F.col("_rank").alias("position"), "turn", "call_id", "name", "status",
-        (F.size("problems") == 0).alias("valid"), "problems", "result_turn", message.alias("message"),
+        "conv_id",
+        F.col("_rank").alias("position"),
+        "turn",
+        "call_id",
+        "name",
+        "status",
+        (F.size("problems") == 0).alias("valid"),
+        "problems",
+        "result_turn",
+        message.alias("message"),
     )
     orphans = results.select("conv_id", "turn", "call_id", "content").join(
         known, (F.col("conv_id") == F.col("conv")) & (F.col("call_id") == F.col("id")), "left_anti"
@@ -192,18 +212,37 @@ def link_calls(calls: DataFrame, results: DataFrame, tools: DataFrame) -> DataFr
     alone = F.to_json(F.struct(F.col("call_id").alias("call_id"), "content", F.lit("tool_result").alias("role")))
     return out.unionByName(
         orphans.select(
-            "conv_id", F.lit(None).cast("long").alias("position"), "turn", "call_id", F.lit(None).cast("string").alias("name"),
-            F.lit("orphan").alias("status"), F.lit(False).alias("valid"), F.array(F.lit("no call")).alias("problems"),
-            F.col("turn").alias("result_turn"), alone.alias("message"),
+            "conv_id",
+            F.lit(None).cast("long").alias("position"),
+            "turn",
+            "call_id",
+            F.lit(None).cast("string").alias("name"),
+            F.lit("orphan").alias("status"),
+            F.lit(False).alias("valid"),
+            F.array(F.lit("no call")).alias("problems"),
+            F.col("turn").alias("result_turn"),
+            alone.alias("message"),
         )
     )
 
 
 # The tools of the test conversations: what their turns are read as.
 TOOLS = [
-    ("search", '{"type":"object","properties":{"query":{"type":"string"},"limit":{"type":"integer","minimum":1,"maximum":50}},"required":["query","limit"]}'),
-    ("shorten", '{"type":"object","properties":{"text":{"type":"string"},"words":{"type":"integer"}},"required":["text"],"additionalProperties":false}'),
-    ("translate", '{"type":"object","properties":{"text":{"type":"string"},"into":{"type":"string","enum":["en","fr"]}},"required":["text","into"]}'),
+    (
+        "search",
+        '{"type":"object","properties":{"query":{"type":"string"},'
+        '"limit":{"type":"integer","minimum":1,"maximum":50}},"required":["query","limit"]}',
+    ),
+    (
+        "shorten",
+        '{"type":"object","properties":{"text":{"type":"string"},"words":{"type":"integer"}},'
+        '"required":["text"],"additionalProperties":false}',
+    ),
+    (
+        "translate",
+        '{"type":"object","properties":{"text":{"type":"string"},'
+        '"into":{"type":"string","enum":["en","fr"]}},"required":["text","into"]}',
+    ),
 ]
 
 
@@ -217,17 +256,24 @@ def read_as_calls(turns: DataFrame, words: Column) -> tuple[DataFrame, DataFrame
     name = lambda turn: F.substring(F.md5(F.concat_ws(":", "conv_id", turn)), 1, 16)
     rows = turns.withColumn("_n", words)
     text = F.col("text")
+    n = F.col("_n")
     arguments = (
-        F.when(F.col("_n") % 4 == 0, F.to_json(F.struct(text.alias("query"), F.col("_n").alias("limit"))))
-        .when(F.col("_n") % 4 == 1, F.to_json(F.struct((F.col("_n") / 2).alias("words"), text.alias("text"))))
-        .when(F.col("_n") % 4 == 2, F.to_json(F.struct(text.alias("text"), F.when(F.col("_n") > 9, "fr").alias("into"))))
+        F.when(n % 4 == 0, F.to_json(F.struct(text.alias("query"), n.alias("limit"))))
+        .when(n % 4 == 1, F.to_json(F.struct((n / 2).alias("words"), text.alias("text"))))
+        .when(n % 4 == 2, F.to_json(F.struct(text.alias("text"), F.when(n > 9, "fr").alias("into"))))
         .otherwise(text)
     )
-    tool = F.element_at(F.array(*[F.lit(t) for t, _ in TOOLS], F.lit("guess")), (F.col("_n") % 4 + 1).cast("int"))
-    step = F.when(F.col("_n") % 7 == 6, 2).otherwise(-2)
+    tools = F.array(*[F.lit(tool) for tool, _ in TOOLS], F.lit("guess"))
+    tool = F.element_at(tools, (n % 4 + 1).cast("int"))
+    step = F.when(n % 7 == 6, 2).otherwise(-2)
     after = F.when((F.col("turn") + step >= 0) & (F.col("turn") > 0), F.array(name(F.col("turn") + step)))
     calls = rows.where("role = 'user'").select(
-        "conv_id", "turn", name(F.col("turn")).alias("call_id"), tool.alias("name"), arguments.alias("arguments"), after.alias("after")
+        "conv_id",
+        "turn",
+        name(F.col("turn")).alias("call_id"),
+        tool.alias("name"),
+        arguments.alias("arguments"),
+        after.alias("after"),
     )
     results = rows.where("role = 'assistant'").select(
         "conv_id", "turn", name(F.col("turn") - 1).alias("call_id"), text.alias("content")

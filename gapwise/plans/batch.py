@@ -259,8 +259,9 @@ def _land(spark: SparkSession, spec: JobSpec) -> tuple[DataFrame, dict]:
     """
     raw = source.read_raw_events(spark, spec.input_paths)
     landed = materialize(source.canonical_events(raw, spec.strict_time), "landed-events")
-    read = landed.count()
+    read = None
     if spec.drop_copies:
+        read = landed.count()
         landed = materialize(source.drop_copies(landed), "single-events")
     t = F.col("event_time_utc")
     reject = t.isNull() if spec.publish_null_users else source.is_reject()
@@ -272,7 +273,8 @@ def _land(spark: SparkSession, spec: JobSpec) -> tuple[DataFrame, dict]:
         F.count_if(~reject & (t >= day_start(spec.end_date, spec.timezone))).alias("after_range_rows"),
         F.min(F.unix_micros(t)).alias("read_from"),
     ).first().asDict()
-    found |= {"input_rows": read, "removed_rows": read - found.pop("_rows")}
+    rows = found.pop("_rows")
+    found |= {"input_rows": rows if read is None else read, "removed_rows": 0 if read is None else read - rows}
     if found["rejected_rows"]:
         landed.filter(reject).write.parquet(lake.run_folder(spec.output, "_rejects", spec.run_id))
     return landed.filter(~reject), found

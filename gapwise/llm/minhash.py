@@ -65,15 +65,15 @@ def _signed(words: int, bands: int, rows: int):
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for keys, texts in in_chunks(batch):
-                counted = [np.unique(shingles(t, words), return_counts=True) for t in texts]
-                sizes = np.array([len(s) for s, _ in counted])
+                sets = [np.unique(shingles(t, words)) for t in texts]
+                sizes = np.array([len(s) for s in sets])
                 full = np.flatnonzero(sizes)
                 if not len(full):
                     continue
                 owner = np.repeat(np.arange(len(full)), sizes[full])
-                element = np.concatenate([counted[i][0] for i in full])
-                weight = np.concatenate([counted[i][1] for i in full]).astype(float)
-                signed = signatures(owner, element, weight, len(full), bands * rows)
+                element = np.concatenate([sets[i] for i in full])
+                # Links are by sets, so a shingle weighs the same however often a text repeats it.
+                signed = signatures(owner, element, np.ones(len(element)), len(full), bands * rows)
                 keyed = signed.reshape(len(full), bands, rows)
                 band = np.broadcast_to(np.arange(bands, dtype=np.uint64), (len(full), bands))
                 for r in range(rows):
@@ -83,7 +83,7 @@ def _signed(words: int, bands: int, rows: int):
                     [
                         pa.array([keys[i] for i in full], pa.int64()),
                         pa.array(sizes[full], pa.int32()),
-                        pa.array([hashlib.md5(counted[i][0].tobytes()).digest() for i in full]),
+                        pa.array([hashlib.md5(sets[i].tobytes()).digest() for i in full]),
                         pa.array(list(band), pa.list_(pa.int64())),
                     ],
                     names=["doc_id", "n", "set_id", "bands"],
@@ -173,11 +173,12 @@ def near_classes(
     row, nor have those with a null identifier or without words; texts of fewer words than a
     shingle are compared as a whole. Identifiers are unique, but for fully repeated rows.
 
-    Candidates share a band of their ProbMinHash signatures, with the shingles' counts as weights,
-    and are verified on whole sets. Equal sets are one class from the start. In each bucket all
-    members are compared with its lowest. Where that leaves a bucket with several classes, all its
-    members of different classes are compared, those of a full bucket in blocks that many tasks
-    share, so no link among candidates is lost.
+    Candidates share a band of their ProbMinHash signatures, in which every shingle of a set weighs
+    1, so that registers agree with the Jaccard similarity that links are defined by; they are
+    verified on whole sets. Equal sets are one class from the start. In each bucket all members are
+    compared with its lowest. Where that leaves a bucket with several classes, all its members of
+    different classes are compared, those of a full bucket in blocks that many tasks share, so no
+    link among candidates is lost.
     """
     given = docs.select(F.col(key).cast("long").alias("doc_id"), utf8(F.col(text)).alias("text")).where(
         "doc_id IS NOT NULL AND text IS NOT NULL"

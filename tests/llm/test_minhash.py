@@ -86,6 +86,19 @@ def test_chain(spark):
     assert near(spark, rows) == want and len(set(want.values())) == 1
 
 
+def test_unequal_repeats(spark):
+    """A line or passage that one copy repeats more often does not hide the pair."""
+    rows = []
+    for pair, often in enumerate([5, 20, 50, 100, 200, 400]):
+        body, line = sentence(100 + pair, 300), " " + sentence(200 + pair, 10)
+        rows += [(2 * pair, body + 2 * line), (2 * pair + 1, edited(body, 1, pair) + often * line)]
+    half = sentence(300, 150)
+    rows += [(90, half + " " + sentence(301, 150)), (91, 60 * (half + " ") + sentence(301, 150))]
+    want = brute.classes([i for i, _ in rows], brute.near_links(rows))
+    assert len(set(want.values())) == len(rows) // 2
+    assert near(spark, rows) == want
+
+
 def test_empty_and_repeated_rows(spark):
     assert near(spark, []) == {}
     assert near(spark, [(1, "a b c"), (1, "a b c"), (2, "a b c")]) == {1: 1, 2: 1}

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import warnings
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -9,7 +11,7 @@ from gapwise.llm.tables import broadcast_if_small, ranked
 from gapwise.scratch import materialize
 
 SHARDS = 24
-ROUNDS = 6
+ROUNDS = 100  # bound; rounds end when no row moves
 SLACK = 1.2
 
 
@@ -27,48 +29,57 @@ def _capacities(spark, rows: int, shards: int) -> DataFrame:
 
 
 def propagate(cells: DataFrame, room: DataFrame, rounds: int = ROUNDS, slack: float = SLACK) -> DataFrame:
-    """``cells`` (``grp``, ``shard``, ``n`` rows) after moves towards each group's best shard.
+    """``cells`` (``grp``, ``shard``, ``n`` rows) after moves towards each group's best shards.
+
+    In a round each group keeps its largest cells, as few as have space for all its rows, and its
+    other cells ask to move to those of them with space. A group of more rows than a shard names as
+    many shards at once as it needs, and never more of its rows for one than the shard's ``room``.
+    Larger gains go first, up to the free rows of the shard; a cell may move in part. Shards may
+    exceed their ``room`` by ``slack`` during the rounds, so that full shards can exchange rows.
 
-    In a round every cell of a group asks to move to the shard that holds most of the group's rows
-    among those with space, if it holds no fewer than the cell. Larger gains go first, up to the
-    free rows of the shard; a cell may move in part. Shards may exceed their ``room`` by ``slack``
-    during the rounds, so that full shards can exchange rows.
+    Rounds end when no row moves. Rows only go to cells at least as large as their own, so the sum
+    of squares of a group's cells grows with every move and the rounds do end; if ``rounds`` of
+    them do not suffice, a warning tells so.
     """
+    largest = Window.partitionBy("grp").orderBy(F.desc("n"), F.desc("h"), "shard")
+    before = largest.rowsBetween(Window.unboundedPreceding, -1)
+    group = Window.partitionBy("grp")
+    sum_before = lambda n: F.coalesce(F.sum(n).over(before), F.lit(0))
     for _ in range(rounds):
         used = cells.groupBy(F.col("shard").alias("_at")).agg(F.sum("n").alias("used"))
         free = room.join(used, F.col("_shard") == F.col("_at"), "left").select(
-            "_shard", (F.ceil(F.col("room") * slack) - F.coalesce("used", F.lit(0))).alias("free")
+            "_shard", "room", (F.ceil(F.col("room") * slack) - F.coalesce("used", F.lit(0))).alias("free")
         )
-        open_ = free.where("free > 0")  # one row per shard
-        best = (
-            cells.join(F.broadcast(open_), F.col("shard") == F.col("_shard"))
-            .groupBy(F.col("grp").alias("_grp"))
-            .agg(F.max(F.struct("n", F.xxhash64("grp", "shard").alias("h"), "shard", "free")).alias("best"))
+        asked = (
+            cells.join(F.broadcast(free), F.col("shard") == F.col("_shard"))  # one row per shard
+            .withColumn("h", F.xxhash64("grp", "shard"))
+            .withColumn("take", F.greatest(F.lit(0), F.least("free", F.col("room") - F.col("n"))))
+            .withColumn("leaves", sum_before(F.col("n") + F.col("take")) >= F.sum("n").over(group))
+            .withColumn("goes", F.when(F.col("leaves"), F.col("n")).otherwise(0))
+            .withColumn("take", F.when(F.col("leaves"), 0).otherwise(F.col("take")))
+            .withColumn("first", sum_before(F.col("goes")))
+            .withColumn("begin", sum_before(F.col("take")))
         )
-        asked = cells.join(best, F.col("grp") == F.col("_grp"), "left")
-        asked = materialize(
-            asked.select(
-                "grp",
-                "shard",
-                "n",
-                F.when(
-                    (F.col("best.shard") != F.col("shard")) & (F.col("best.n") >= F.col("n")), F.col("best.shard")
-                ).alias("to"),
-                F.col("best.free").alias("free"),
-                (-F.col("best.n")).alias("gain"),
-            ),
-            "asked",
+        target = F.struct(F.col("shard").alias("to"), "begin", "take", "free", (-F.col("n")).alias("gain"))
+        targets = F.collect_list(F.when(F.col("take") > 0, target)).over(group)
+        asked = materialize(asked.select("grp", "shard", "n", "goes", "first", targets.alias("targets")), "asked")
+        last = F.least(F.col("first") + F.col("goes"), F.col("target.begin") + F.col("target.take"))
+        wanted = (
+            asked.where("goes > 0")
+            .select("grp", "shard", "goes", "first", F.explode("targets").alias("target"))
+            .select("grp", "shard", "target.*", (last - F.greatest("first", "target.begin")).alias("want"))
+            .where("want > 0")
         )
-        moving = ranked(asked.where("to IS NOT NULL"), ["to"], ["gain", "grp", "shard"], "n")
-        moving = moving.withColumn("go", F.greatest(F.lit(0), F.least("n", F.col("free") - F.col("_before"))))
-        moving = materialize(moving, "moving")
-        if moving.where("go > 0").isEmpty():
+        moving = ranked(wanted, ["to"], ["gain", "grp", "shard"], "want")
+        go = F.least("want", F.col("free") - F.col("_before"))
+        moving = materialize(moving.select("grp", "shard", "to", go.alias("go")).where("go > 0"), "moving")
+        if moving.isEmpty():
             return cells
-        kept = asked.where("to IS NULL").select("grp", "shard", "n")
         gone = moving.select("grp", F.col("to").alias("shard"), F.col("go").alias("n"))
-        left = moving.select("grp", "shard", (F.col("n") - F.col("go")).alias("n"))
-        cells = kept.union(gone).union(left).where("n > 0").groupBy("grp", "shard").agg(F.sum("n").alias("n"))
-        cells = materialize(cells, "cells")
+        left = moving.select("grp", "shard", (-F.col("go")).alias("n"))
+        cells = asked.select("grp", "shard", "n").union(gone).union(left)
+        cells = materialize(cells.groupBy("grp", "shard").agg(F.sum("n").alias("n")).where("n > 0"), "cells")
+    warnings.warn(f"label propagation has not settled after {rounds} rounds", stacklevel=2)
     return cells
 
 
@@ -84,8 +95,8 @@ def balanced_shards(
 
     Linked documents are first dealt round-robin, then move by label propagation. The state of the
     rounds has one row per group and shard, as the rows of a group are alike; a group larger than a
-    shard fills several. What exceeds a shard in the end, smallest remainders first, and the
-    documents without links fill the space that is left.
+    shard fills several. Rounds go on until no row moves; more than ``rounds`` are warned of. What exceeds a shard in the end, the smallest of its groups as a whole, and then the
+    documents without links fill the space that is left, the largest spaces first.
     """
     spark = docs.sparkSession
     rows = docs.select(
@@ -125,7 +136,13 @@ def balanced_shards(
     dealt = linked.join(placed, inside).withColumn("slot", F.col("base") + F.col("_rank") - F.col("from"))
     dealt = materialize(
         dealt.join(F.broadcast(room), F.col("shard") == F.col("_shard")).select(
-            "doc_id", "size", "text_crc32", "grp", "shard", "slot", (F.col("slot") < F.col("room")).alias("fits")
+            "doc_id",
+            "size",
+            "text_crc32",
+            "grp",
+            "shard",
+            "slot",
+            (F.col("base") + F.col("n") <= F.col("room")).alias("fits"),
         ),
         "dealt",
     )
@@ -135,10 +152,11 @@ def balanced_shards(
     spaces = room.join(used, F.col("_shard") == F.col("_at"), "left").select(
         F.col("_shard").alias("shard"), F.coalesce("used", F.lit(0)).alias("used"), "room"
     )
-    order = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
+    order = Window.orderBy(F.desc(F.col("room") - F.col("used")), "shard").rowsBetween(Window.unboundedPreceding, -1)
     spaces = spaces.withColumn("from", F.coalesce(F.sum(F.col("room") - F.col("used")).over(order), F.lit(0)))
     fills = (F.col("_rank") >= F.col("from")) & (F.col("_rank") < F.col("from") + F.col("room") - F.col("used"))
-    filled = ranked(pool, [], ["grp", "doc_id"]).join(F.broadcast(spaces), fills)
+    pool = pool.withColumn("alone", F.col("grp").isNull())
+    filled = ranked(pool, [], ["alone", "grp", "doc_id"]).join(F.broadcast(spaces), fills)
     filled = filled.withColumn("slot", F.col("used") + F.col("_rank") - F.col("from"))
     columns = ["doc_id", "size", "text_crc32", "shard", "slot"]
     out = dealt.where("fits").select(*columns).union(filled.select(*columns))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import warnings
 import zlib
 from collections import Counter, defaultdict
 
@@ -50,6 +51,24 @@ def test_hot_group_fills_few_shards(spark):
     assert cuts <= 12
 
 
+def test_hot_group_settles(spark):
+    """A group of a third of the rows, which needs 8 of 24 shards, beside groups of many sizes."""
+    rows = [(i, "hot") for i in range(1600)]
+    rows += [(10_000 + 100 * g + k, f"group {g}") for g in range(60) for k in range(2 + g % 39)]
+    rows += [(90_000 + i, f"text {i}") for i in range(4800 - len(rows))]
+    with warnings.catch_warnings():
+        warnings.simplefilter("error")
+        cuts, spread = checked(sharded(spark, rows, shards=24), rows, 24)
+    assert len(spread["hot"]) <= 9
+    assert cuts <= 6
+
+
+def test_unsettled_rounds_are_reported(spark):
+    rows = [(i, f"group {i // 10}") for i in range(960)]
+    with pytest.warns(UserWarning, match="not settled after 1 round"):
+        checked(sharded(spark, rows, shards=8, rounds=1), rows, 8)
+
+
 def test_all_linked_without_space(spark):
     rows = [(i, f"group {i // 10}") for i in range(960)]
     cuts, _ = checked(sharded(spark, rows, shards=8), rows, 8)

@@ -22,6 +22,7 @@ LONGEST = 4  # characters of an n-gram, word ends included
 SMOOTHING = 0.5
 UNKNOWN = "und"
 MIN_SCORE = 0.3
+MIN_KNOWN = 0.1
 
 _WORD = re.compile(r"[^\W\d_]+")
 _REMEMBERED = 200_000
@@ -51,6 +52,8 @@ class Table:
 
     place: dict[str, int]
     logs: np.ndarray
+    floor: np.ndarray | None = None  # what an item has in a language that does not know it
+    typical: np.ndarray | None = None  # share of letters in known items, in a new text by language
 
     def of(self, items: list[str]) -> np.ndarray | None:
         """Mean over the known ones of ``items``, None if none is."""
@@ -75,20 +78,29 @@ class Model:
                 found = self.grams[n].of(grams(word, n))
         return np.zeros(len(self.langs)) if found is None else found
 
+    def known(self, word: str) -> np.ndarray:
+        """The word's letters, by language, where the language has the word; 0 elsewhere."""
+        place = self.words.place.get(word)
+        if place is None:
+            return np.zeros(len(self.langs))
+        return len(word) * (self.words.logs[place] > self.words.floor)
+
 
 class _Places(dict):
     """Row of each word in a growing table of scores; starts anew when it has grown to its limit."""
 
-    def __init__(self, model: Model):
+    def __init__(self, model: Model, known: bool):
         super().__init__()
         self.model = model
-        self.table = np.empty((1024, len(model.langs)))
+        self.known = known  # also the letters known by language, and all letters
+        self.table = np.empty((1024, len(model.langs) * (1 + known) + known))
 
     def __missing__(self, word: str) -> int:
         place = len(self)
         if place == len(self.table):
             self.table = np.concatenate([self.table, np.empty_like(self.table)])
-        self.table[place] = self.model.of(word)
+        found = self.model.of(word)
+        self.table[place] = np.concatenate([found, self.model.known(word), [len(word)]]) if self.known else found
         self[word] = place
         return place
 
@@ -131,13 +143,23 @@ def _frequencies(counts: DataFrame, langs: list[str], entries: int) -> Table:
     sums = [F.sum(F.when(F.col("lang") == lang, F.col("n")).otherwise(0)).alias(f"n{k}") for k, lang in enumerate(langs)]
     table = counts.groupBy("item").agg(*sums, F.sum("n").alias("n"))
     rows = table.orderBy(F.col("n").desc(), "item").limit(entries).toArrow()
-    whole = counts.groupBy("lang").agg(F.sum("n").alias("n"), F.count_distinct("item").alias("kinds")).collect()
+    whole = counts.groupBy("lang").agg(
+        F.sum("n").alias("n"),
+        F.count_distinct("item").alias("kinds"),
+        F.sum(F.col("n") * F.char_length("item")).alias("letters"),
+    ).collect()
     total = {r.lang: r.n for r in whole}
     kinds = max((r.kinds for r in whole), default=1)
     n = np.stack([rows.column(f"n{k}").to_numpy() for k in range(len(langs))], axis=1)
     whole_n = np.array([total.get(lang, 0) for lang in langs], float)
     log = np.log((n + SMOOTHING) / (whole_n + SMOOTHING * kinds))
-    return Table({item: k for k, item in enumerate(rows.column("item").to_pylist())}, log)
+    floor = np.log(SMOOTHING / (whole_n + SMOOTHING * kinds))
+    items = rows.column("item").to_pylist()
+    # Items seen once stand for those that a new text has and the sample does not.
+    letters = {r.lang: r.letters for r in whole}
+    again = np.where(n > 1, n, 0) * np.array([len(item) for item in items]).reshape(-1, 1)
+    typical = again.sum(axis=0) / np.array([letters.get(lang) or 1 for lang in langs], float)
+    return Table({item: k for k, item in enumerate(items)}, log, floor, typical)
 
 
 def fit(
@@ -180,38 +202,46 @@ def fit(
     )
 
 
-def predicted(spark: SparkSession, model: Model, text: Column) -> Column:
+def predicted(spark: SparkSession, model: Model, text: Column, known: bool = False) -> Column:
     """A struct of ``lang_pred`` and ``score``, the probability of the predicted language given the
     whole text, all languages being as likely before.
 
     ``und`` with score 0 if the text is null or has no letter, or if no language was learned; ties
-    go to the first language in order of name.
+    go to the first language in order of name. With ``known`` the struct also has ``known``: the
+    share of the text's letters in words that the predicted language has, as a part of the share
+    that a new text of that language typically has (1 where every word of it is new).
     """
     shared = spark.sparkContext.broadcast(model)
 
-    @F.arrow_udf("lang_pred string, score double")
+    @F.arrow_udf("lang_pred string, score double" + (", known double" if known else ""))
     def scored(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         model: Model = shared.value
-        places = _Places(model)
+        places = _Places(model, known)
         for column in texts:
-            langs, scores = [], []
+            langs, scores, shares = [], [], []
             for text in (t for k in range(0, len(column), 200) for t in column.slice(k, 200).to_pylist()):
                 words = text_words(text)
                 if not model.langs or not _has_letter(words):
                     langs.append(UNKNOWN)
                     scores.append(0.0)
+                    shares.append(0.0)
                     continue
                 at = np.fromiter(map(places.__getitem__, words), np.int64, len(words))
-                total = places.table[at].sum(axis=0)
+                sums = places.table[at].sum(axis=0)
+                total = sums[: len(model.langs)]
                 odds = np.exp(total - total.max())
                 best = int(odds.argmax())
                 langs.append(model.langs[best])
                 scores.append(float(odds[best] / odds.sum()))
+                if known:
+                    usual = model.words.typical[best] * sums[-1]
+                    shares.append(float(sums[len(model.langs) + best] / usual) if usual else 1.0)
                 if len(places) > _REMEMBERED:
-                    places = _Places(model)
-            yield pa.StructArray.from_arrays(
-                [pa.array(langs, pa.string()), pa.array(scores, pa.float64())], ["lang_pred", "score"]
-            )
+                    places = _Places(model, known)
+            columns = [pa.array(langs, pa.string()), pa.array(scores, pa.float64())]
+            if known:
+                columns.append(pa.array(shares, pa.float64()))
+            yield pa.StructArray.from_arrays(columns, ["lang_pred", "score", "known"][: len(columns)])
 
     return scored(text)
 
@@ -221,10 +251,17 @@ def held_out(key: Column) -> Column:
     return F.coalesce(F.crc32(key.cast("string")) % 4 == 2, F.lit(False))
 
 
-def accepted(docs: DataFrame, model: Model, text: str = "text", min_score: float = MIN_SCORE) -> DataFrame:
+def accepted(
+    docs: DataFrame, model: Model, text: str = "text", min_score: float = MIN_SCORE, min_known: float = MIN_KNOWN
+) -> DataFrame:
     """The rows of ``docs`` whose text is in a learned language: others have no letter, or no
-    language is likelier than ``min_score``, as in scripts that the model has never met."""
+    language is likelier than ``min_score``, or the likeliest knows too few of the text's words.
+
+    The score says which of the learned languages is likeliest, not that the text is in one of
+    them. That is told by the share of letters in words that the language has: at least
+    ``min_known`` of the share in a new text of the language, whatever their number is.
+    """
     (found,) = free_name(docs, "found")
-    marked = docs.withColumn(found, predicted(docs.sparkSession, model, F.col(text)))
+    marked = docs.withColumn(found, predicted(docs.sparkSession, model, F.col(text), known=True))
     good = (F.col(f"{found}.lang_pred") != UNKNOWN) & (F.col(f"{found}.score") >= min_score)
-    return marked.where(good).drop(found)
+    return marked.where(good & (F.col(f"{found}.known") >= min_known)).drop(found)

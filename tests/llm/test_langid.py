@@ -85,6 +85,32 @@ def test_accepted_keeps_columns_and_clean_rows(spark):
     assert langid.accepted(docs.limit(0), model).collect() == []
 
 
+FOREIGN = [
+    "Bugün hava çok güzel olduğu için arkadaşlarımla birlikte parkta uzun bir yürüyüş yaptık.",
+    "Dzisiaj rano poszedłem do sklepu, żeby kupić świeży chleb i mleko dla całej rodziny.",
+    "Tänään aamulla kävelin metsässä ja näin monta kaunista lintua puiden oksilla.",
+    "aGVsbG8gd29ybGQgdGhpcyBpcyBhIHRlc3Qgb2YgYmFzZTY0IGVuY29kZWQganVuayB0ZXh0IGZvciB0aGUgbW9kZWw",
+    "xqzv jkwq zzxv qqkj wvxz kqjz vxqw",
+    "привет мир как дела",
+]
+
+
+@pytest.mark.parametrize("langs", [["en"], ["en", "fr"], ["de", "en", "es"], ["de", "en", "es", "fr"]])
+def test_accepted_rejects_other_languages(spark, langs):
+    """However many languages are learned; clean documents that no model learned from all stay."""
+    from pyspark.sql import functions as F
+
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").where(F.col("lang").isin(langs))
+    held_out = langid.held_out(F.col("doc_id"))
+    model = langid.fit(docs.where(~held_out))
+    clean = docs.where(held_out).select("doc_id", "text")
+    foreign = spark.createDataFrame([(-1 - i, t) for i, t in enumerate(FOREIGN)], "doc_id long, text string")
+    kept = [r.doc_id for r in langid.accepted(clean.union(foreign), model).collect()]
+    letters = [r.doc_id for r in clean.collect() if any(c.isalpha() for c in r.text or "")]
+    assert model.langs == langs and len(letters) > 10
+    assert sorted(kept) == sorted(letters)
+
+
 def test_held_out_of_null(spark):
     from pyspark.sql import functions as F
 

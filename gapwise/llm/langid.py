@@ -23,6 +23,7 @@ SMOOTHING = 0.5
 UNKNOWN = "und"
 MIN_SCORE = 0.3
 MIN_KNOWN = 0.1
+SHORT = 40  # letters of a text whose words may all be new by chance
 
 _WORD = re.compile(r"[^\W\d_]+")
 _REMEMBERED = 200_000
@@ -209,7 +210,8 @@ def predicted(spark: SparkSession, model: Model, text: Column, known: bool = Fal
     ``und`` with score 0 if the text is null or has no letter, or if no language was learned; ties
     go to the first language in order of name. With ``known`` the struct also has ``known``: the
     share of the text's letters in words that the predicted language has, as a part of the share
-    that a new text of that language typically has (1 where every word of it is new).
+    that a new text of that language typically has (1 where every word of it is new, and for a
+    text under ``SHORT`` letters with an n-gram of the longest kind that the model knows).
     """
     shared = spark.sparkContext.broadcast(model)
 
@@ -235,7 +237,12 @@ def predicted(spark: SparkSession, model: Model, text: Column, known: bool = Fal
                 scores.append(float(odds[best] / odds.sum()))
                 if known:
                     usual = model.words.typical[best] * sums[-1]
-                    shares.append(float(sums[len(model.langs) + best] / usual) if usual else 1.0)
+                    share = float(sums[len(model.langs) + best] / usual) if usual else 1.0
+                    if share < 1 and sums[-1] < SHORT and any(
+                        g in model.grams[LONGEST].place for w in words for g in grams(w, LONGEST)
+                    ):
+                        share = 1.0
+                    shares.append(share)
                 if len(places) > _REMEMBERED:
                     places = _Places(model, known)
             columns = [pa.array(langs, pa.string()), pa.array(scores, pa.float64())]

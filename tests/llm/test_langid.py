@@ -105,6 +105,8 @@ def test_accepted_rejects_other_languages(spark, langs):
     model = langid.fit(docs.where(~held_out))
     clean = docs.where(held_out).select("doc_id", "text")
     foreign = spark.createDataFrame([(-1 - i, t) for i, t in enumerate(FOREIGN)], "doc_id long, text string")
+    short = spark.createDataFrame([(10**9, "Èviçle çréan. Ouchément oneuxque.")], "doc_id long, text string")
+    clean = clean.union(short) if "fr" in langs else clean
     kept = [r.doc_id for r in langid.accepted(clean.union(foreign), model).collect()]
     letters = [r.doc_id for r in clean.collect() if any(c.isalpha() for c in r.text or "")]
     assert model.langs == langs and len(letters) > 10

@@ -45,8 +45,12 @@ def scratch_folder(spark: SparkSession, label: str) -> Iterator[str]:
         yield path
     finally:
         _folder.reset(before)
-        target = spark._jvm.org.apache.hadoop.fs.Path(path)
-        target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+        _remove(spark, path)
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:
@@ -59,3 +63,11 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     path = scratch_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def discard(df: DataFrame) -> None:
+    """Remove the files of a materialized ``df`` that no plan reads any more, such as the table of
+    an earlier round of an iteration."""
+    files = df.inputFiles()
+    if files:
+        _remove(df.sparkSession, files[0].rsplit("/", 1)[0])

@@ -56,4 +56,74 @@ r AS (SELECT doc_id, coalesce(len(parts), 0) AS n_lines, coalesce(len(places), 0
 SELECT doc_id, n_lines, n_removed, length(kept) AS kept_chars, sha256(kept) AS kept_sha256 FROM r
 """
 
-LLM_ORACLES = {"op4_mixing": OP4, "op7_line_dedup": OP7, "op8_exact_dedup": OP8}
+OP11 = r"""
+WITH d AS (SELECT row_number() OVER () AS id, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+                  translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text
+           FROM documents),
+t AS (SELECT id, lang, source, unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM d),
+k AS (SELECT lang, term, count(*) AS total FROM t GROUP BY ALL HAVING count(DISTINCT id) >= 3),
+l AS (SELECT *, 1 + 1000000000::HUGEINT * (total + 1) // (sum(total) OVER w + count(*) OVER w) AS q
+      FROM k WINDOW w AS (PARTITION BY lang)),
+g AS (SELECT DISTINCT lang, source FROM d),
+c AS (SELECT lang, source, term, count(*) AS n FROM t GROUP BY ALL),
+n AS (SELECT g.lang, g.source, l.term, l.q, coalesce(c.n, 0) AS n
+      FROM g JOIN l ON g.lang = l.lang
+      LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = l.term),
+p AS (SELECT *, 1 + 1000000000::HUGEINT * (n + 1) // (sum(n) OVER w + count(*) OVER w) AS p
+      FROM n WINDOW w AS (PARTITION BY lang, source)),
+s AS (SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p) AS value
+      FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+v AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(s.value, 0) AS value
+      FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+      LEFT JOIN s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source
+      UNION ALL
+      SELECT lang, source, 'term', term, (p - q) * (p - q) // q FROM p WHERE n > 0 AND p > q)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value,
+       CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank
+FROM v QUALIFY part = 'pair' OR rank <= 200
+"""
+
+
+def _clusters(rounds: int) -> str:
+    """Assignments and moved centroids of each round, one after the other."""
+    steps = []
+    for r in range(rounds + 1):
+        steps.append(f"""a{r} AS MATERIALIZED (
+    SELECT vec_id, id, point, cluster, distance FROM (
+        SELECT v.*, c.cluster, CAST(list_sum(list_transform(list_zip(v.point, c.point),
+                   lambda z: (z[1] - z[2]) * (z[1] - z[2]))) AS BIGINT) AS distance FROM v, c{r} c)
+    QUALIFY row_number() OVER (PARTITION BY id ORDER BY distance, cluster) = 1)""")
+        if r < rounds:
+            steps.append(f"""c{r + 1} AS MATERIALIZED (
+    SELECT c.cluster, coalesce(m.point, c.point) AS point FROM c{r} c LEFT JOIN (
+        SELECT cluster, list((s - (s % n + n) % n) // n ORDER BY i) AS point FROM (
+            SELECT cluster, i, sum(point[i]) AS s, count(*) AS n
+            FROM a{r}, range(1, 65) dims(i) GROUP BY ALL) GROUP BY cluster) m USING (cluster))""")
+    return ",\n".join(steps)
+
+
+OP13 = f"""
+WITH v AS MATERIALIZED (
+    SELECT vec_id, row_number() OVER () AS id,
+           list_transform(embedding, lambda x: CAST(floor(CAST(x AS DOUBLE) * 64) AS BIGINT)) AS point
+    FROM embeddings
+    WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = 64),
+c0 AS MATERIALIZED (
+    SELECT row_number() OVER (ORDER BY place NULLS LAST, point) - 1 AS cluster, point
+    FROM (SELECT *, sha256('1:' || CAST(vec_id AS VARCHAR)) AS place FROM v)
+    QUALIFY cluster < 16),
+{_clusters(3)}
+SELECT vec_id, CAST(a.cluster AS INTEGER) AS cluster, distance,
+       CAST(sum(distance) OVER (PARTITION BY a.cluster) AS BIGINT) AS cluster_inertia,
+       CAST(sum(distance) OVER () AS BIGINT) AS inertia,
+       sha256(array_to_string(c.point, ',')) AS centroid_sha256
+FROM a3 a JOIN c3 c ON a.cluster = c.cluster
+"""
+
+LLM_ORACLES = {
+    "op4_mixing": OP4,
+    "op7_line_dedup": OP7,
+    "op8_exact_dedup": OP8,
+    "op11_divergence_audit": OP11,
+    "op13_centroid_clustering": OP13,
+}

@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gapwise.llm import exact, langid, lattice, lines, minhash, mixing, packing, sharding, substrings, toolcalls
+from gapwise.llm import (
+    divergence,
+    exact,
+    langid,
+    lattice,
+    lines,
+    minhash,
+    mixing,
+    nsbounds,
+    packing,
+    quality,
+    sharding,
+    substrings,
+    toolcalls,
+)
 from gapwise.scratch import materialize
 
 
@@ -89,6 +103,22 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed_documents(_table(spark, sf_dir, "documents"))
 
 
+def op11_divergence_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How far the words of each source are from other sources and from its language."""
+    return divergence.source_divergence(_table(spark, sf_dir, "documents"))
+
+
+def op12_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The quality of every document, learned from four fifths of the labels."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return quality.classified(docs, quality.fit(docs, _table(spark, sf_dir, "labels")))
+
+
+def op13_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Vectors by the nearest of sixteen centroids after three rounds."""
+    return nsbounds.clustered(_table(spark, sf_dir, "embeddings"))
+
+
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = (
         op1_language_id,
@@ -101,5 +131,8 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op8_exact_dedup,
         op9_substring_dedup,
         op10_packing,
+        op11_divergence_audit,
+        op12_quality_classifier,
+        op13_centroid_clustering,
     )
     return {f.__name__: f for f in found}

@@ -50,7 +50,7 @@ def first_centroids(points: DataFrame, k: int = CLUSTERS, seed: int = SEED) -> n
     place = F.sha2(F.concat(F.lit(f"{seed}:"), F.col("vec_id").cast("string")), 256)
     rows = points.select(place.alias("_place"), "point").orderBy(F.col("_place").asc_nulls_last(), "point")
     found = [r.point for r in rows.limit(k).collect()]
-    return np.array(found, np.int64).reshape(len(found), -1)
+    return np.array(found, np.int64)
 
 
 def _matrix(column: pa.Array, dim: int, kind: type) -> np.ndarray:

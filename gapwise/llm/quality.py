@@ -144,8 +144,9 @@ def learned(good: np.ndarray, bad: np.ndarray, share_bad: float, pairs: int = PA
     weight = np.concatenate([np.full(len(good), (1 - share_bad) / len(good)), np.full(len(bad), share_bad / len(bad))])
     order = np.argsort(worth, kind="stable")
     below = np.cumsum(weight[order])
-    at = min(int(np.searchsorted(below, share_bad, "right")), len(order) - 1)
-    ranking.threshold = float(worth[order[at]] + worth[order[max(at - 1, 0)]]) / 2
+    # Half way between the last document of the lower part and the first above it.
+    last = min(int(np.searchsorted(below, share_bad - 1e-9)), len(order) - 2)
+    ranking.threshold = float(worth[order[last]] + worth[order[last + 1]]) / 2
     ranking.slope = _slope(worth - ranking.threshold, np.arange(len(both)) < len(good), weight)
     return ranking
 

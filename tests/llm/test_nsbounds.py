@@ -1,0 +1,118 @@
+"""Clusters by bounds against all distances."""
+
+from __future__ import annotations
+
+import hashlib
+
+import numpy as np
+import pytest
+from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
+
+from gapwise.llm import nsbounds
+from gapwise.llm.queries import op13_centroid_clustering
+
+SCHEMA = "vec_id long, embedding array<float>, label int, point string, cluster long"
+
+
+def brute(rows, k=16, rounds=3, dim=64, scale=64, seed=1):
+    """Sorted result rows of (vec_id, vector), every distance computed in every round."""
+    kept = []
+    for i, vector in rows:
+        if vector is None or len(vector) != dim or any(x is None for x in vector):
+            continue
+        x = np.array(vector, np.float32).astype(float)
+        if np.isfinite(x).all():
+            kept.append((i, np.floor(x * scale).astype(np.int64)))
+    place = {i: hashlib.sha256(f"{seed}:{i}".encode()).hexdigest() for i, _ in kept if i is not None}
+    first = sorted(kept, key=lambda r: (r[0] is None, place.get(r[0], ""), r[1].tolist()))[:k]
+    centroids = [p for _, p in first]
+    for step in range(rounds + 1):
+        far = [[int(((p - c) ** 2).sum()) for c in centroids] for _, p in kept]
+        near = [d.index(min(d)) for d in far]
+        if step < rounds:
+            for j in range(len(centroids)):
+                mine = [p for (_, p), n in zip(kept, near) if n == j]
+                if mine:
+                    centroids[j] = np.array([int(s) // len(mine) for s in np.sum(mine, axis=0)])
+    inertia = {j: sum(d[n] for d, n in zip(far, near) if n == j) for j in set(near)}
+    sha = [hashlib.sha256(",".join(map(str, c.tolist())).encode()).hexdigest() for c in centroids]
+    return sorted(
+        (-1 if i is None else i, n, d[n], inertia[n], sum(inertia.values()), sha[n])
+        for (i, _), d, n in zip(kept, far, near)
+    )
+
+
+def clustered(spark, rows, **options):
+    df = spark.createDataFrame([(i, v, 0, "x", 7) for i, v in rows], SCHEMA)
+    out = nsbounds.clustered(df, **options).collect()
+    return sorted((-1 if r[0] is None else r[0], *r[1:]) for r in out)
+
+
+def some_rows(n, dim, groups, seed=3, spread=0.3):
+    rng = np.random.default_rng(seed)
+    heart = rng.normal(size=(groups, dim))
+    return [(i, (heart[rng.integers(groups)] + spread * rng.normal(size=dim)).tolist()) for i in range(n)]
+
+
+@pytest.mark.parametrize("rounds", [0, 1, 3, 8])
+def test_equals_all_distances(spark, rounds):
+    rows = some_rows(700, 8, 9)
+    assert clustered(spark, rows, dim=8, rounds=rounds) == brute(rows, dim=8, rounds=rounds)
+
+
+def test_query_equals_all_distances(spark, sf_dir):
+    rows = [tuple(r) for r in spark.read.parquet(f"{sf_dir}/embeddings.parquet").select("vec_id", "embedding").collect()]
+    assert sorted(tuple(r) for r in op13_centroid_clustering(spark, sf_dir).collect()) == brute(rows)
+
+
+def test_odd_vectors(spark):
+    good = some_rows(60, 4, 3)
+    nan, inf = float("nan"), float("inf")
+    odd = [(100, None), (101, []), (102, [1.0]), (103, [1.0, None, 1.0, 1.0]), (104, [nan, 1.0, 1.0, 1.0])]
+    odd += [(105, [inf, 1.0, 1.0, 1.0]), (106, [1.0, 2.0, -inf, 1.0]), (107, [1.0] * 5)]
+    kept = [(108, [0.0] * 4), (109, [-0.01] * 4), (None, [1.0] * 4), (None, [2.0] * 4)]
+    repeats = good[:5] + [(1, good[2][1])]
+    rows = good + odd + kept + repeats
+    assert clustered(spark, rows, dim=4) == brute(rows, dim=4)
+    assert len(clustered(spark, rows, dim=4)) == len(good) + len(kept) + len(repeats)
+
+
+def test_ties_equal_rows_and_few_rows(spark):
+    same = [(i, [0.5, 0.5]) for i in range(30)]
+    assert clustered(spark, same, dim=2) == brute(same, dim=2)
+    grid = [(i, [float(i % 5), float(i // 5 % 5)]) for i in range(100)]
+    assert clustered(spark, grid, dim=2, scale=1, k=6, rounds=5) == brute(grid, dim=2, scale=1, k=6, rounds=5)
+    assert clustered(spark, grid[:3], dim=2) == brute(grid[:3], dim=2)
+    assert clustered(spark, [], dim=2) == [] == clustered(spark, [(1, None)], dim=2)
+
+
+def test_too_large_component(spark):
+    with pytest.raises(PySparkException, match="no distance in 63 bits"):
+        clustered(spark, [(1, [1e30, 0.0]), (2, [0.0, 0.0])], dim=2)
+
+
+def test_bounds_spare_distances():
+    """A vector far from all other centroids is not compared with them again."""
+    import pyarrow as pa
+
+    points = np.array([[0, 0], [1, 0], [100, 0], [101, 0], [50, 0]])
+    rounds = np.array([[[0, 0], [100, 0]], [[0, 1], [100, 1]]])
+    first = pa.RecordBatch.from_arrays([pa.array(range(5)), pa.array(points.tolist())], names=["vec_id", "point"])
+    (state,) = nsbounds._assign(rounds[:1], True)([first])
+    (later,) = nsbounds._assign(rounds, False)([state])
+    since = np.array(later.column("since").to_pylist())
+    assert since[:4].max() == 0, "bounds settle the first four"
+    assert (since[4] == 1).all(), "the one between two centroids is compared with both"
+    assert later.column("cluster").to_pylist() == [0, 0, 1, 1, 0]
+
+
+def test_displacement_is_the_whole_way():
+    there_and_back = np.array([[[0, 0]], [[9, 0]], [[0, 0]]])
+    assert nsbounds._History(there_and_back).moved[:, 0].tolist() == [0.0, 9.0, 0.0]
+
+
+def test_other_columns_do_not_matter(spark, sf_dir):
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    renamed = vectors.select(F.col("vec_id").alias("id"), F.col("embedding").alias("v"), F.lit(1).alias("distance"))
+    assert sorted(nsbounds.clustered(renamed, "id", "v").collect()) == sorted(nsbounds.clustered(vectors).collect())

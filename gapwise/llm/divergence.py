@@ -22,7 +22,9 @@ SCALE = 1_000_000_000  # of the probabilities, which are integers
 # A block ends when its postings take about this much memory.
 BLOCK_BYTES = 96 << 20
 _POSTING = 160  # bytes that a posting takes beside its term
+_RUN_ROWS = 20_000  # postings handed on at once
 _PAIRS = 1 << 20  # pairs of postings that a task computes at once
+_DENSE = 1 << 14  # pairs of groups that are summed in a table of all of them
 _HELD = 200_000  # pair sums that a task holds before it hands them on
 
 # A term is a run of letters A-Z and of characters beyond ASCII; only A-Z lose their
@@ -55,22 +57,24 @@ class _Block:
             # New terms are at least as long as the mean of the document's.
             self.bytes += fresh * _POSTING + sum(map(len, single)) * fresh // len(single)
 
-    def run(self) -> Iterator[pa.RecordBatch]:
-        """The postings sorted by language, term and source, and the block's groups with an empty
-        term."""
-        rows = [(lang, b"", source, 0, 0) for lang, source in self.counts]
-        for (lang, source), (n, docs) in self.counts.items():
-            rows += [(lang, term, source, count, docs[term]) for term, count in n.items()]
+    def runs(self) -> Iterator[pa.RecordBatch]:
+        """Per group the postings sorted by term, after one with an empty term that tells of the
+        group itself."""
+        for (lang, source), (n, docs) in sorted(self.counts.items()):
+            terms = [b"", *sorted(n)]
+            for begin in range(0, len(terms), _RUN_ROWS):
+                some = terms[begin : begin + _RUN_ROWS]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.repeat(pa.scalar(lang, pa.string()), len(some)),
+                        pa.array(some, pa.binary()),
+                        pa.repeat(pa.scalar(source, pa.string()), len(some)),
+                        pa.array([n[t] for t in some], pa.int64()),
+                        pa.array([docs[t] for t in some], pa.int64()),
+                    ],
+                    names=["lang", "term", "source", "n", "docs"],
+                )
         self.counts.clear()
-        rows.sort()
-        for begin in range(0, len(rows), 20_000):
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(zip(*rows[begin : begin + 20_000]), _RUN_TYPES)], names=_RUN_NAMES
-            )
-
-
-_RUN_NAMES = ["lang", "term", "source", "n", "docs"]
-_RUN_TYPES = [pa.string(), pa.binary(), pa.string(), pa.int64(), pa.int64()]
 
 
 def _runs(block_bytes: int):
@@ -81,9 +85,9 @@ def _runs(block_bytes: int):
                 for lang, source, text in zip(*rows):
                     block.add(lang, source, text)
                     if block.bytes >= block_bytes:
-                        yield from block.run()
+                        yield from block.runs()
                         block = _Block()
-        yield from block.run()
+        yield from block.runs()
 
     return of
 
@@ -104,7 +108,7 @@ def postings(
     languages and sources count as ''.
 
     The documents are read once.  A task counts them in memory block by block; a full block is
-    handed on as a run sorted by term.  The runs of a hash shard of (language, term) are merged by
+    handed on as runs sorted by term, one per group.  The runs of a hash shard of (language, term) are merged by
     the sort of its task, which spills.  A frequent term comes as one row per block and source, and
     meets in one shard as such.
     """
@@ -194,33 +198,46 @@ def _pair_sums(sums: dict[tuple[str, str, str], int]) -> pa.RecordBatch:
 def _add_meetings(table: pa.Table, ends: np.ndarray, sums: dict[tuple[str, str, str], int]) -> None:
     begins = np.concatenate([[0], ends[:-1]])
     p, p0 = (table.column(c).to_numpy() for c in ("p", "p0"))
-    groups = pa.StructArray.from_arrays(
-        [table.column(c).combine_chunks() for c in ("lang", "source")], names=["lang", "source"]
+    langs, sources = (table.column(c).combine_chunks().dictionary_encode() for c in ("lang", "source"))
+    width = len(sources.dictionary)
+    groups, code = np.unique(
+        langs.indices.to_numpy().astype(np.int64) * width + sources.indices.to_numpy(), return_inverse=True
     )
-    names: dict[tuple[str, str], int] = {}
-    code = np.array([names.setdefault((g["lang"], g["source"]), len(names)) for g in groups.to_pylist()], np.int64)
+    found: dict[int, int] = {}
     lengths = ends - begins
-    listed = list(names)
     for length in np.unique(lengths[lengths > 1]):
         at = begins[lengths == length]
         step = max(1, _PAIRS // int(length))
         for some in np.array_split(at, -(-len(at) // step)):
             here = some[:, None] + np.arange(length)
             for i in range(length):
-                _one_against_all(here, i, p, p0, code, len(names), listed, sums)
+                _one_against_all(here, i, p, p0, code, len(groups), found)
+    lang, source = langs.dictionary.to_pylist(), sources.dictionary.to_pylist()
+    for key, value in found.items():
+        a, b = (int(groups[c]) for c in divmod(key, len(groups)))
+        place = lang[a // width], source[a % width], source[b % width]
+        sums[place] = sums.get(place, 0) + value
 
 
-def _one_against_all(here, i, p, p0, code, n, listed, sums) -> None:
+def _one_against_all(
+    here: np.ndarray, i: int, p: np.ndarray, p0: np.ndarray, code: np.ndarray, n: int, found: dict[int, int]
+) -> None:
     """The ``i``-th posting of every term against the term's other postings."""
     own, others = here[:, [i]], np.delete(here, i, axis=1)
     q, q0 = p[others], p0[others]
     both = _over(p[own], q) - _over(p[own], q0) - _over(p0[own], q) + _over(p0[own], q0)
-    keys, place = np.unique((code[own] * n + code[others]).ravel(), return_inverse=True)
-    total = np.zeros(len(keys), np.int64)
-    np.add.at(total, place, both.ravel())
+    keys = (code[own] * n + code[others]).ravel()
+    if n * n <= _DENSE:
+        total = np.zeros(n * n, np.int64)
+        np.add.at(total, keys, both.ravel())
+        keys = np.flatnonzero(total)
+        total = total[keys]
+    else:
+        keys, place = np.unique(keys, return_inverse=True)
+        total = np.zeros(len(keys), np.int64)
+        np.add.at(total, place, both.ravel())
     for key, value in zip(keys.tolist(), total.tolist()):
-        (lang, source), (_, item) = listed[key // n], listed[key % n]
-        sums[lang, source, item] = sums.get((lang, source, item), 0) + value
+        found[key] = found.get(key, 0) + value
 
 
 def _over(p: np.ndarray, q: np.ndarray) -> np.ndarray:

@@ -8,6 +8,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pyarrow as pa
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -123,12 +124,16 @@ def test_runs_are_sorted_and_blocks_bounded():
     cut = list(divergence._runs(20_000)([batch]))
     assert len(whole) == 1 and len(cut) > 1
     for run in whole + cut:
-        keys = list(zip(*(run.column(c).to_pylist() for c in ("lang", "term", "source"))))
-        assert keys == sorted(keys) and len(set(keys)) == len(keys)
+        terms = run.column("term").to_pylist()
+        assert terms == sorted(terms) and len(set(terms)) == len(terms) and terms[0] == b""
+    for name in ("n", "docs"):
+        assert sum(sum(r.column(name).to_pylist()) for r in whole) == sum(sum(r.column(name).to_pylist()) for r in cut)
 
 
-def test_meetings_over_batches():
+@pytest.mark.parametrize("dense", [0, 1 << 14])
+def test_meetings_over_batches(monkeypatch, dense):
     """Sums do not depend on where batches end, within a term or between terms."""
+    monkeypatch.setattr(divergence, "_DENSE", dense)
     rng = np.random.default_rng(2)
     rows = [("en", f"t{t:02}".encode(), f"s{s}", int(rng.integers(1, 99)), 1) for t in range(20) for s in range(5) if rng.random() < 0.7]
     names, types = ["lang", "term", "source", "p", "p0"], [pa.string(), pa.binary(), pa.string(), pa.int64(), pa.int64()]

@@ -103,12 +103,10 @@ def cut_into_ranges(df: DataFrame, rule: GapRule, ranges: int) -> DataFrame:
 
     The range order ends with a number of the row, so even equal rows can be cut apart.  The
     numbered rows are written out first: a task that is run again after a loss reads the same
-    numbers, and sampling the cut points does not scan the whole source again.  The placed rows
-    are written out too, because the cut points are sampled anew whenever the plan runs again.
+    numbers, and sampling the cut points does not scan the whole source again.  The cut points are
+    sampled anew whenever the plan runs again, so the result is to be evaluated in one job only.
     """
     numbered = materialize(df.withColumn("_row", F.monotonically_increasing_id()), "hot-rows")
     order = [F.col(c).asc_nulls_first() for c in (*rule.keys, rule.time, *rule.ties, "_row")]
-    placed = numbered.repartitionByRange(ranges, *order).withColumn(
-        "_chunk", F.spark_partition_id()
-    )
-    return materialize(placed.drop("_row"), "hot-ranges")
+    placed = numbered.repartitionByRange(ranges, *order)
+    return placed.withColumn("_chunk", F.spark_partition_id()).drop("_row")

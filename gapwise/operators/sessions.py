@@ -11,7 +11,7 @@ previous row is at least the limit.
 
 Normal keys cost one exchange and one sort: all numbers come from running frames over a single
 window specification.  A key too big for one task (see ``hot``) is cut into ordered ranges that
-are numbered in parallel and stitched at their edges, with the same result.
+are numbered in parallel, written, and stitched at their edges, with the same result.
 """
 
 from __future__ import annotations
@@ -24,6 +24,7 @@ from pyspark.sql import types as T
 
 from gapwise.functions.timeops import gap_in_seconds
 from gapwise.operators import hot as hot_keys
+from gapwise.scratch import materialize
 
 SESSION_COLUMNS = ("session_seq", "session_start", "session_event_seq")
 
@@ -144,7 +145,7 @@ def sessionize_by_ranges(
     The cut points come from a sample of the complete order, down to the single row, so neither a
     hot key, a hot instant nor many copies of one row end up in one task.  ``state`` has the open
     sessions to continue (see ``incremental``).  ``few_keys`` promises no more keys than
-    ``hot.BROADCAST_ROWS``, which lets a short edge table be broadcast.
+    ``hot.BROADCAST_ROWS`` in it, which lets a short edge table be broadcast.
     """
     return _by_ranges(df, rule, ranges, state, few_keys).select(*df.columns, *SESSION_COLUMNS)
 
@@ -157,16 +158,21 @@ def _by_ranges(
     few_keys: bool = False,
 ) -> DataFrame:
     cut = hot_keys.cut_into_ranges(df, rule, ranges)
-    # A range holds the end of one key, whole keys, and the start of another: the edge table has
-    # at most one row per range and one per key.
-    small_edges = few_keys and ranges <= hot_keys.BROADCAST_ROWS
+    # Only keys that reach over the end of a range, or that a state continues, have edges to carry:
+    # at most two rows per range, and those of the state.
+    small_edges = (few_keys or state is None) and 2 * ranges <= hot_keys.BROADCAST_ROWS
     return _stitch(cut, rule, state, small_edges)
 
 
 def _stitch(
-    df: DataFrame, rule: GapRule, state: DataFrame | None = None, small_edges: bool = False
+    df: DataFrame, rule: GapRule, state: DataFrame | None = None, small_edges: bool | None = None
 ) -> DataFrame:
-    """Number rows per (key, ``_chunk``), then carry sessions over the chunk edges."""
+    """Number rows per (key, ``_chunk``), then carry sessions over the chunk edges.
+
+    The rows are read, shuffled and sorted once, and written with their numbers inside the chunk.
+    The edge table, one row per (key, chunk), comes from the written rows; what it carries is
+    joined to them, by broadcast if it is short (``small_edges``; None counts it).
+    """
     keyed = _with_part(df, rule)
     part = [c for c in keyed.columns if c.startswith("_part")]
     w = Window.partitionBy(*part).orderBy(*rule.order)
@@ -176,37 +182,44 @@ def _stitch(
     positioned = keyed.withColumns(
         {"_previous": F.lag(rule.time, 1).over(w), "_pos": F.row_number().over(w).cast("long")}
     ).withColumn("_opens", rule.opens(F.col("_previous")))
-    local = positioned.withColumns(
+    numbered = positioned.withColumns(
         {
             "_seq": F.sum("_opens").over(run),
             "_start": F.last(F.when(opened, t), True).over(run),
             "_base": F.last(F.when(opened, F.col("_pos") - 1), True).over(run),
         }
-    )
-    edges = positioned.groupBy(*part).agg(
+    ).drop("_opens")
+    local = materialize(numbered, "numbered")
+    # Inside a chunk the numbers and starts only grow.
+    edges = local.groupBy(*part).agg(
         F.min(t).alias("_first"),
         F.max(t).alias("_last"),
-        F.sum("_opens").alias("_opened"),
-        F.count("*").alias("_rows"),
-        F.max(F.when(opened, t)).alias("_last_start"),
-        F.max(F.when(opened, F.col("_pos") - 1)).alias("_last_base"),
+        F.max("_seq").alias("_opened"),
+        F.max("_pos").alias("_rows"),
+        F.max("_start").alias("_last_start"),
+        F.max("_base").alias("_last_base"),
     )
     if state is not None:
         edges = _state_edges(state, rule, keyed).unionByName(edges)
     carried = _carry_over_edges(edges, rule.gap_seconds)
-    joined = local.join(F.broadcast(carried) if small_edges else carried, part)
-    inherits = (F.col("_seq") == 1) & (F.col("_merged") == 1)
-    own_base = F.col("_rows_before") + F.col("_base")
-    base = F.when(inherits, F.col("_carry_base")).otherwise(own_base)
+    if small_edges is None:
+        carried = materialize(carried, "edges")
+        small_edges = carried.limit(hot_keys.BROADCAST_ROWS + 1).count() <= hot_keys.BROADCAST_ROWS
+    # Keys with one chunk carry nothing and have no row here.
+    joined = local.join(carried.hint("broadcast" if small_edges else "shuffle_hash"), part, "left")
+    merged = F.coalesce("_merged", F.lit(0))
+    rows_before = F.coalesce("_rows_before", F.lit(0).cast("long"))
+    inherits = (F.col("_seq") == 1) & (merged == 1)
+    base = F.when(inherits, F.col("_carry_base")).otherwise(rows_before + F.col("_base"))
     first_of_chunk = F.col("_pos") == 1
     return joined.withColumns(
         {
             "previous_time": F.when(first_of_chunk, F.col("_previous_last")).otherwise(
                 F.col("_previous")
             ),
-            "session_seq": F.col("_seq_before") + F.col("_seq") - F.col("_merged"),
+            "session_seq": F.coalesce("_seq_before", F.lit(0).cast("long")) + F.col("_seq") - merged,
             "session_start": F.when(inherits, F.col("_carry_start")).otherwise(F.col("_start")),
-            "session_event_seq": F.col("_rows_before") + F.col("_pos") - base,
+            "session_event_seq": rows_before + F.col("_pos") - base,
         }
     ).select(
         *[c for c in df.columns if c != "_chunk"], "previous_time", *SESSION_COLUMNS
@@ -259,7 +272,8 @@ def _state_edges(state: DataFrame, rule: GapRule, keyed: DataFrame) -> DataFrame
 def _carry_over_edges(edges: DataFrame, gap_seconds: int) -> DataFrame:
     """For each chunk: is its first session the previous chunk's last one, and what came before.
 
-    Input has one row per (key, chunk): small, whatever the number of events.
+    Input has one row per (key, chunk): small, whatever the number of events.  Chunks that are alone
+    have nothing before them and are left out.
     """
     part = [c for c in edges.columns if c.startswith("_part")]
     key = [c for c in part if c not in ("_part_has_chunk", "_part_chunk")]
@@ -287,5 +301,6 @@ def _carry_over_edges(edges: DataFrame, gap_seconds: int) -> DataFrame:
                 ).over(before),
             }
         )
+        .filter(F.col("_previous_last").isNotNull() | (F.col("_rows_before") > 0))
         .drop("_first", "_last", "_opened", "_rows", "_last_start", "_last_base")
     )

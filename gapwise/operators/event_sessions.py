@@ -95,13 +95,14 @@ def gather_by_day(
     days = (rows if counted is None else counted).groupBy("dt").count()
     counts = {r["dt"]: r["count"] for r in days.collect()}  # one row per calendar day
     plan, slots = [], 0
-    for day, count in sorted(counts.items()):
+    # Rows without a time have no day, and a folder like any other.
+    for day, count in sorted(counts.items(), key=lambda c: (c[0] is not None, c[0])):
         plan.append((day, slots, files := -(-count // file_rows)))
         slots += files
     planned = rows.sparkSession.createDataFrame(plan, "_day string, _first int, _files int")
     row = F.xxhash64(*[c for c in rows.columns if c != "dt"])
     slot = (F.col("_first") + F.pmod(row, "_files")).cast("int")
-    placed = rows.join(F.broadcast(planned), F.col("dt") == F.col("_day"))
+    placed = rows.join(F.broadcast(planned), F.col("dt").eqNullSafe(F.col("_day")))
     return placed.repartitionById(max(slots, 1), slot).select(*rows.columns)
 
 

@@ -7,7 +7,7 @@ per (task, group), is shuffled, and the session ids need not be computed.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gapwise.functions.timeops import week_start
@@ -77,20 +77,20 @@ def daily_audit(published: DataFrame) -> DataFrame:
 
 
 def global_audit(published: DataFrame) -> DataFrame:
-    """One row; a user or session on several days is counted on its first one."""
-    first_of_user = _is_first("user_id") & F.col("user_id").isNotNull()
-    days = _session_days(published).withColumns(
-        {"_session": _is_first(*_SESSION), "_user": first_of_user}
+    """One row: rows, days, users and sessions, each counted once however many days it is on.
+
+    Hash aggregates by session, then by user, so a user of any size is one row per task in the
+    shuffle.  Days are counted beside them from the day column alone, which needs no sessions.
+    """
+    sessions = published.groupBy(*_SESSION).agg(F.count("*").alias("n"))
+    users = sessions.groupBy("user_id").agg(F.sum("n").alias("n"), F.count("*").alias("sessions"))
+    counted = users.select(
+        F.col("n").alias("row_count"), F.col("user_id").isNotNull().cast("long").alias("users"), "sessions"
     )
-    daily = days.groupBy("dt").agg(
-        F.sum("n").alias("n"),
-        F.count_if("_user").alias("users"),
-        F.count_if("_session").alias("sessions"),
-    )
-    sums = {"row_count": "n", "users": "users", "sessions": "sessions"}
-    return daily.agg(
-        *[F.coalesce(F.sum(c), F.lit(0)).alias(name) for name, c in sums.items()],
-        F.count("dt").alias("days"),
+    days = published.select("dt").distinct().filter(F.col("dt").isNotNull())
+    both = counted.unionByName(days.select(F.lit(1).cast("long").alias("days")), allowMissingColumns=True)
+    return both.agg(
+        *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("row_count", "users", "sessions", "days")]
     )
 
 
@@ -98,10 +98,6 @@ def _session_days(published: DataFrame) -> DataFrame:
     return published.groupBy(*_SESSION, "dt").agg(F.count("*").alias("n"))
 
 
-def _is_first(*keys: str) -> Column:
-    return F.row_number().over(Window.partitionBy(*keys).orderBy("dt", "session_start_at_utc")) == 1
-
-
 def day_provenance(published: DataFrame) -> DataFrame:
     """Per day: rows, the runs that wrote them, and the price span (shows a replaced day)."""
     return (
@@ -114,3 +110,48 @@ def day_provenance(published: DataFrame) -> DataFrame:
         )
         .orderBy("dt")
     )
+
+
+def daily_users(published: DataFrame) -> DataFrame:
+    """The users of each day as bitmaps: (``dt``, ``bucket``, ``users``), one row per day and 32,768
+    neighbouring user numbers.
+
+    A stored table of these answers for distinct users over any days without reading events; a day
+    that is published again replaces its own rows.  Bitmaps combine on the map side.  They are small
+    where user numbers are dense; text or hashed users want a numbering first.  Rows without a user
+    or day do not count.
+    """
+    user = F.col("user_id")
+    return (
+        published.filter(user.isNotNull() & F.col("dt").isNotNull())
+        .groupBy("dt", F.bitmap_bucket_number(user).alias("bucket"))
+        .agg(F.bitmap_construct_agg(F.bitmap_bit_position(user)).alias("users"))
+    )
+
+
+def rolling_users(daily: DataFrame, days: int = 7) -> DataFrame:
+    """Exact distinct users of the ``days`` days up to and including each day, from ``daily_users``.
+
+    One row per calendar day from the first day to the last, also for days without rows.  A bitmap
+    takes part in ``days`` windows; those are merged on the map side first.
+    """
+    if days < 1:
+        raise ValueError("a window has one day or more")
+    bounds = daily.agg(F.min("dt").alias("_first"), F.max("dt").alias("_last"))
+    first, last = bounds.first()
+    if first is None:
+        return daily.select("dt", F.lit(0).cast("long").alias("users"))
+    end = F.to_date(F.lit(last))
+    windows = F.sequence(F.to_date("dt"), F.least(F.date_add(F.to_date("dt"), days - 1), end))
+    merged = (
+        daily.select(F.explode(windows).alias("_day"), "bucket", "users")
+        .groupBy("_day", "bucket")
+        .agg(F.bitmap_or_agg("users").alias("users"))
+    )
+    counted = merged.groupBy("_day").agg(F.sum(F.bitmap_count("users")).alias("_users"))
+    calendar = daily.sparkSession.range(1).select(
+        F.explode(F.sequence(F.to_date(F.lit(first)), end)).alias("_each")
+    )
+    return calendar.join(F.broadcast(counted), F.col("_each") == F.col("_day"), "left").select(
+        F.col("_each").cast("string").alias("dt"), F.coalesce("_users", F.lit(0)).cast("long").alias("users")
+    )

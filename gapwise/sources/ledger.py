@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from gapwise.scratch import materialize
+
 # States of a run, and names, types and order of the ledger fields.
 RUNNING, SUCCESS, FAILED = "RUNNING", "SUCCESS", "FAILED"
 TIME_PATTERN = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
@@ -44,6 +46,7 @@ LEDGER_SCHEMA = T.StructType(
         T.StructField("before_range_rows", T.LongType()),
         T.StructField("after_range_rows", T.LongType()),
         T.StructField("removed_rows", T.LongType()),
+        T.StructField("unparsed_rows", T.LongType()),
         # Of a compaction: the run whose rows each day has.
         T.StructField("origins", T.MapType(T.StringType(), T.StringType())),
     ]
@@ -164,3 +167,83 @@ def current_versions(ledger: DataFrame) -> DataFrame:
 def redo_days(planned: DataFrame, ledger: DataFrame, lake: Sequence[str] = ()) -> DataFrame:
     """Planned days (``lake`` columns and dt) that no finished run answers for."""
     return planned.join(covered_days(ledger, lake), [*lake, "dt"], "left_anti")
+
+
+ASKED, SAME_RUN, LOOKBACK, STATE = "asked", "same run", "lookback", "state"
+
+
+def redo_closure(asked: DataFrame, ledger: DataFrame, lake: Sequence[str] = ()) -> DataFrame:
+    """All days that are outdated when the days ``asked`` (``lake`` columns and dt) are redone
+    because their input changed: (``lake``, dt, run_id, because, steps).
+
+    ``run_id`` is the run that answers for the day, and ``because`` tells why it must run again:
+
+    * ``asked``: the day itself.
+    * ``same run``: a later day of that run; sessions that reach into it, and session numbers, change.
+    * ``lookback``: the run read an input of an asked run as history, under the same path text.
+    * ``state``: the run continued the sessions of an outdated run, directly or over ``steps`` runs.
+
+    Only raw files are read as history, and running again does not change a run's own files: so only
+    inputs of asked runs outdate by lookback, while states do so however long the chain is.  Days
+    that a later run answers for are not outdated, but chains go through replaced runs, whose states
+    others may have continued.  Asked days that no run answers for are left to ``redo_days``.
+
+    Chains are followed by pointer doubling: rounds grow with the logarithm of the longest chain, and
+    each writes one row per run.
+    """
+    covered = materialize(covered_days(ledger, lake).select(*lake, "dt", "origin"), "covered")
+    runs = materialize(
+        latest_states(ledger)
+        .filter(F.col("status") == SUCCESS)
+        .select(*lake, "run_id", "state_from", "input", "lookback_input"),
+        "runs",
+    )
+    wanted = asked.select(*lake, "dt").distinct().join(covered, [*lake, "dt"])
+    wanted = materialize(wanted.select(*lake, "dt", F.col("origin").alias("run_id")), "asked")
+    starts = wanted.groupBy("run_id").agg(F.min("dt").alias("_first"))
+
+    def paths(of: str) -> Column:
+        return F.explode(F.filter(F.transform(F.split(of, ","), lambda path: F.trim(path)), lambda path: path != ""))
+
+    changed = runs.join(starts, "run_id", "left_semi").select(*lake, paths("input").alias("_path"))
+    readers = (
+        runs.select(*lake, "run_id", paths("lookback_input").alias("_path"))
+        .join(changed.distinct(), [*lake, "_path"], "left_semi")
+        .select("run_id")
+        .distinct()
+        .withColumn("_reads", F.lit(1))
+    )
+    runs = runs.select("run_id", F.col("state_from").alias("_from")).join(starts, "run_id", "left")
+    runs = materialize(runs.join(readers, "run_id", "left"), "read-by")
+    own = F.when(F.col("_first").isNotNull(), 0).otherwise(F.col("_reads"))
+    nodes = materialize(runs.select("run_id", F.col("_from").alias("_up"), own.alias("_steps")), "chains")
+    # After so many rounds every pointer has left its chain; one that has not is in a ring, all of
+    # which it has seen then.
+    for k in range(nodes.count().bit_length()):
+        if nodes.filter(F.col("_up").isNotNull()).isEmpty():
+            break
+        above = nodes.select(F.col("run_id").alias("_up"), F.col("_up").alias("_next"), F.col("_steps").alias("_far"))
+        nearest = F.least("_steps", F.col("_far") + F.lit(2**k))
+        nodes = nodes.join(above, "_up", "left").select(
+            "run_id", F.col("_next").alias("_up"), nearest.alias("_steps")
+        )
+        nodes = materialize(nodes, "chains")
+    above = nodes.select(F.col("run_id").alias("_from"), (F.col("_steps") + 1).alias("_above"))
+    outdated = runs.join(above, "_from", "left").select(
+        F.col("run_id").alias("origin"), "_first", "_reads", "_above"
+    )
+    is_asked = wanted.select(
+        F.col("dt").alias("_dt"), *[F.col(c).alias(f"_{c}") for c in lake], F.lit(True).alias("_asked")
+    )
+    same_day = [F.col("dt") == F.col("_dt"), *[F.col(c) == F.col(f"_{c}") for c in lake]]
+    days = covered.join(outdated, "origin").join(is_asked, same_day, "left")
+    because = (
+        F.when(F.col("_asked"), ASKED)
+        .when(F.col("dt") >= F.col("_first"), SAME_RUN)
+        .when(F.col("_reads") == 1, LOOKBACK)
+        .when(F.col("_above").isNotNull(), STATE)
+    )
+    steps = F.when(because.isin(ASKED, SAME_RUN), 0).when(because == LOOKBACK, 1).otherwise(F.col("_above"))
+    return days.filter(because.isNotNull()).select(
+        *lake, "dt", F.col("origin").alias("run_id"), because.alias("because"), steps.cast("int").alias("steps")
+    )

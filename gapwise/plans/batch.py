@@ -50,6 +50,12 @@ class JobSpec:
     # Keep one row of each group of fully equal ones, for input and lookback files that overlap;
     # two real events that are equal in every column are then one as well.
     drop_copies: bool = False
+    # Keep each distinct row as often as the files of input or those of lookback have it, whichever
+    # is more: for files that overlap and have real repeats.
+    reconcile: bool = False
+    # What happens to rows with a field that does not parse: "keep" publishes them with NULL there
+    # and keeps their lines below _unparsed, "reject" only keeps the lines, "ignore" loses the text.
+    unparsed: str = "keep"
     # Publish rows without a user, as one timeline of their own, instead of rejecting them.
     publish_null_users: bool = False
     strict_time: bool = False
@@ -72,6 +78,10 @@ class JobSpec:
             raise ValueError("start_date must be before end_date")
         if self.session_gap_minutes < 1:
             raise ValueError("session_gap_minutes must be 1 or more")
+        if self.unparsed not in ("keep", "reject", "ignore"):
+            raise ValueError("unparsed must be keep, reject or ignore")
+        if self.drop_copies and self.reconcile:
+            raise ValueError("overlaps are either reconciled or cut to single rows")
         if self.state_from is not None and self.lookback_input is not None:
             raise ValueError("sessions are continued either from a state or by a lookback")
         if "://" not in self.output and not self.output.startswith(("/", "file:")):
@@ -189,6 +199,8 @@ def _recorded(
     """Run ``publish`` between a RUNNING and a SUCCESS row; on an error write FAILED and raise it,
     also when the ledger cannot be written either."""
     _refuse_conflicts(spark, spec)
+    if spec.mode == IN_PLACE:
+        lake.recover_days(spark, spec.output)
     fields = spec.ledger_fields() | {"started_at": _now()}
     ledger.append_state(spark, spec.output, fields | {"status": ledger.RUNNING})
     try:
@@ -212,6 +224,8 @@ def _recorded(
         except Exception as second:
             error.add_note(f"the ledger could not be written either: {second}")
         raise
+    if spec.mode == VERSIONS:
+        _settle(spark, spec, fields["started_at"])
     return stats
 
 
@@ -257,14 +271,36 @@ def _land(spark: SparkSession, spec: JobSpec) -> tuple[DataFrame, dict]:
 
     Text is parsed once; later passes read only the columns they need.
     """
-    raw = source.read_raw_events(spark, spec.input_paths)
-    landed = materialize(source.canonical_events(raw, spec.strict_time), "landed-events")
+    rescue = spec.unparsed != "ignore"
+
+    def landed_from(paths: Sequence[str]) -> DataFrame:
+        raw = source.read_raw_events(spark, paths, rescue)
+        return materialize(source.canonical_events(raw, spec.strict_time), "landed-events")
+
     read = None
+    if spec.reconcile:
+        target, history = (source.split_paths(p) for p in (spec.input, spec.lookback_input))
+        landed = landed_from(target)
+        read = landed.count()
+        if history:
+            before = landed_from(history)
+            read += before.count()
+            landed = materialize(source.reconcile_union(landed, before), "single-events")
+    else:
+        landed = landed_from(spec.input_paths)
     if spec.drop_copies:
         read = landed.count()
         landed = materialize(source.drop_copies(landed), "single-events")
+    unparsed = {}
+    if rescue:
+        lines = landed.filter(F.col(source.UNPARSED).isNotNull())
+        unparsed["unparsed_rows"] = lines.count()
+        if unparsed["unparsed_rows"]:
+            lines.write.parquet(lake.run_folder(spec.output, "_unparsed", spec.run_id))
     t = F.col("event_time_utc")
     reject = t.isNull() if spec.publish_null_users else source.is_reject()
+    if spec.unparsed == "reject":
+        reject = reject | F.col(source.UNPARSED).isNotNull()
     before = ~reject & (t < day_start(spec.start_date, spec.timezone))
     found = landed.agg(
         F.count("*").alias("_rows"),
@@ -275,9 +311,10 @@ def _land(spark: SparkSession, spec: JobSpec) -> tuple[DataFrame, dict]:
     ).first().asDict()
     rows = found.pop("_rows")
     found |= {"input_rows": rows if read is None else read, "removed_rows": 0 if read is None else read - rows}
+    found |= unparsed
     if found["rejected_rows"]:
         landed.filter(reject).write.parquet(lake.run_folder(spec.output, "_rejects", spec.run_id))
-    return landed.filter(~reject), found
+    return landed.filter(~reject).select(*source.CANONICAL_COLUMNS), found
 
 
 def _account(found: dict, published: int) -> None:
@@ -364,6 +401,32 @@ def _publish(spark: SparkSession, spec: JobSpec, stats: lake.OutputStats) -> Non
         lake.replace_days(spark, spec.output, spec.run_id, stats.days, spec.days)
 
 
+def _settle(spark: SparkSession, spec: JobSpec, since: datetime) -> None:
+    """Point the days of the range at what the ledger calls current, if another run over some of them
+    ended since this one began.
+
+    Of two runs that end at once, the one whose SUCCESS row is older may have pointed the table last.
+    Whichever looks here last sees both rows, so that table and ledger agree.
+    """
+    states = ledger.latest_states(ledger.read_ledger(spark, spec.output))
+    at_once = states.filter(
+        (F.col("status") == ledger.SUCCESS)
+        & (F.col("run_id") != spec.run_id)
+        & (F.col("completed_at") >= F.lit(since))
+        & (F.col("start_date") < spec.end_date)
+        & (F.col("end_date") > spec.start_date)
+    )
+    if at_once.isEmpty():
+        return
+    versions: dict[str, list[str]] = {}
+    for row in _pointer(spark, spec).collect():  # one row per calendar day
+        versions.setdefault(row["run_id"], []).append(row["dt"])
+    current = {day for days in versions.values() for day in days}
+    lake.point_days(spark, spec.full_table, spec.output, (), [day for day in spec.days if day not in current])
+    for run_id, days in sorted(versions.items()):
+        lake.point_days(spark, spec.full_table, lake.version_path(spec.output, run_id), sorted(days))
+
+
 def _point(
     spark: SparkSession, spec: JobSpec, stats: lake.OutputStats, asked_days: Sequence[str]
 ) -> None:
@@ -378,6 +441,35 @@ def current_events(spark: SparkSession, root: str) -> DataFrame:
     return lake.current_rows(spark, root, pointer)
 
 
+def redo_plan(spark: SparkSession, root: str, days: Sequence[str]) -> DataFrame:
+    """All days below ``root`` that are outdated when ``days`` are redone, see ``redo_closure``."""
+    asked = spark.createDataFrame([(day,) for day in days], "dt string")
+    return ledger.redo_closure(asked, ledger.read_ledger(spark, root))
+
+
+def reclaimable(spark: SparkSession, root: str, grace_hours: float = 72) -> DataFrame:
+    """Folders of replaced or failed versions and of states that no run can continue any more:
+    (folder, files, bytes).
+
+    A state is needed while its run answers for its last day, for that is the state a run of the
+    days after it asks for, also when that one is redone.
+    """
+    book = ledger.read_ledger(spark, root)
+    covered = ledger.covered_days(book)
+    done = ledger.latest_states(book).filter(F.col("status") == ledger.SUCCESS)
+    last_day = F.date_sub(F.to_date("end_date"), 1).cast("string")
+    ends = done.select(F.col("run_id").alias("origin"), last_day.alias("dt"))
+    states = ends.join(covered, ["origin", "dt"], "left_semi").select(F.col("origin").alias("run_id"))
+    grace = F.current_timestamp() - F.make_dt_interval(hours=F.lit(0), secs=F.lit(grace_hours * 3600.0))
+    pointer = ledger.current_versions(book)
+    return lake.unreferenced_versions(lake.stored_folders(spark, root), pointer, states, grace)
+
+
+def reclaim(spark: SparkSession, root: str, grace_hours: float = 72) -> int:
+    """Delete what ``reclaimable`` names; the number of folders."""
+    return lake.remove_folders(spark, root, materialize(reclaimable(spark, root, grace_hours), "reclaimable"))
+
+
 def repair_table(spark: SparkSession, root: str, table: str) -> None:
     """Point every day of the table at the version the ledger calls current, and no other day.
 
@@ -387,7 +479,7 @@ def repair_table(spark: SparkSession, root: str, table: str) -> None:
     lake.ensure_table(spark, table, root)
     listed = lake.listed_days(spark, table)
     current = {row["dt"] for row in pointer}
+    lake.point_days(spark, table, root, (), [day for day in listed if day not in current])
     for run_id in sorted({row["run_id"] for row in pointer}):
         days = sorted(row["dt"] for row in pointer if row["run_id"] == run_id)
-        stale = [day for day in listed if day not in current]
-        lake.point_days(spark, table, lake.version_path(root, run_id), days, stale)
+        lake.point_days(spark, table, lake.version_path(root, run_id), days)

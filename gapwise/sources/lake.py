@@ -7,6 +7,7 @@ a run replaces ``dt=...`` folders directly under the root.
 
 from __future__ import annotations
 
+import json
 import re
 from collections.abc import Sequence
 from dataclasses import dataclass
@@ -45,7 +46,7 @@ def version_path(root: str, run_id: str) -> str:
     return f"{versions_root(root)}/version={folder_name(run_id)}"
 
 
-def write_days(rows: DataFrame, path: str, mode: str = "errorifexists") -> None:
+def write_days(rows: DataFrame, path: str, mode: str = "errorifexists", **options: object) -> None:
     """Write Parquet/Snappy with one folder per ``dt``; ``overwrite`` replaces only days in ``rows``.
 
     Each task writes a file for every day it has rows of; see ``gather_by_day`` for one file per
@@ -55,6 +56,7 @@ def write_days(rows: DataFrame, path: str, mode: str = "errorifexists") -> None:
         rows.write.mode(mode)
         .option("compression", "snappy")
         .option("partitionOverwriteMode", "dynamic")
+        .options(**options)
         .partitionBy("dt")
         .parquet(path)
     )
@@ -106,17 +108,84 @@ def replace_days(
     """Put the staged ``days`` of a run in the place of the live ones.
 
     A day of ``asked_days`` that has no rows any more is removed; all other days stay untouched.
-    Folders are moved one day after the other.
+    What is to be moved is written to a journal first, live days are set aside before staged ones
+    take their place, and nothing is deleted before all days have moved.  After a loss at any point
+    ``recover_days`` finishes the move: without a journal nothing had moved, with one all is there.
     """
-    base, staged = root.rstrip("/"), run_folder(root, "_staging", run_id)
-    path = spark._jvm.org.apache.hadoop.fs.Path
-    files = path(staged).getFileSystem(spark._jsc.hadoopConfiguration())
-    for day in sorted({*days, *asked_days}):
-        live = path(f"{base}/dt={day}")
-        files.delete(live, True)
-        if day in days and not files.rename(path(f"{staged}/dt={day}"), live):
-            raise OSError(f"the staged day {day} could not be moved to {live.toString()}")
-    files.delete(path(staged), True)
+    journal = {"run_id": run_id, "days": sorted(days), "gone": sorted(set(asked_days) - set(days))}
+    _Files(spark, root).write_journal(run_id, journal)
+    recover_days(spark, root)
+
+
+def recover_days(spark: SparkSession, root: str) -> list[str]:
+    """Finish all replacements of days that were begun below ``root``; the run ids that had one.
+
+    Safe to repeat: every step looks at what is there.  A run whose job is still moving days must not
+    be helped by another one at the same time.
+    """
+    files, finished = _Files(spark, root), []
+    for name in files.names("_journal"):
+        journal = json.loads(files.read(f"_journal/{name}"))
+        run = folder_name(journal["run_id"])
+        for day in journal["days"]:
+            staged, aside, live = f"_staging/{run}/dt={day}", f"_replaced/{run}/dt={day}", f"dt={day}"
+            if files.exists(staged):
+                if files.exists(live) and not files.exists(aside):
+                    files.move(live, aside)
+                files.move(staged, live)
+        for day in journal["gone"]:
+            aside, live = f"_replaced/{run}/dt={day}", f"dt={day}"
+            if files.exists(live) and not files.exists(aside):
+                files.move(live, aside)
+        # The journal goes last: until then a repeat only has to remove what is left.
+        files.remove(f"_replaced/{run}")
+        files.remove(f"_staging/{run}")
+        files.remove(f"_journal/{name}")
+        finished.append(journal["run_id"])
+    return finished
+
+
+class _Files:
+    """Moves of single folders below a lake root, on whatever file system it is."""
+
+    def __init__(self, spark: SparkSession, root: str):
+        self._spark, self._root = spark, root.rstrip("/")
+        self._files = self._path("").getFileSystem(spark._jsc.hadoopConfiguration())
+
+    def _path(self, name: str):
+        return self._spark._jvm.org.apache.hadoop.fs.Path(f"{self._root}/{name}" if name else self._root)
+
+    def exists(self, name: str) -> bool:
+        return self._files.exists(self._path(name))
+
+    def names(self, folder: str) -> list[str]:
+        """Finished files of a folder; those still being written have a leading dot."""
+        found = self._files.listStatus(self._path(folder)) if self.exists(folder) else []
+        return sorted(n for n in (f.getPath().getName() for f in found) if not n.startswith("."))
+
+    def move(self, source: str, target: str) -> None:
+        self._files.mkdirs(self._path(target).getParent())
+        if self.exists(target) or not self._files.rename(self._path(source), self._path(target)):
+            raise OSError(f"{self._root}/{source} could not be moved to {target}")
+
+    def remove(self, name: str) -> None:
+        self._files.delete(self._path(name), True)
+
+    def read(self, name: str) -> str:
+        text = self._spark.read.option("wholetext", True).text(self._path(name).toString())
+        return text.first()["value"]
+
+    def write_journal(self, run_id: str, journal: dict) -> None:
+        """All of the journal appears at once, by a rename."""
+        name = f"{folder_name(run_id)}.json"
+        if self.exists(f"_journal/{name}"):
+            raise OSError(f"run {run_id!r} has a journal already; recover it first")
+        out = self._files.create(self._path(f"_journal/.{name}"), True)
+        try:
+            out.write(bytearray(json.dumps(journal).encode()))
+        finally:
+            out.close()
+        self.move(f"_journal/.{name}", f"_journal/{name}")
 
 
 def _not_empty(stats: OutputStats) -> OutputStats:
@@ -229,6 +298,58 @@ def current_day_files(spark: SparkSession, root: str, pointer: DataFrame) -> Dat
     return day_files(spark, versions_root(root), folders)
 
 
+def stored_folders(spark: SparkSession, root: str) -> DataFrame:
+    """Folders of versions and states below ``root`` (relative) with files, bytes and the time of
+    their newest file, from the listing alone."""
+    listing = (
+        spark.read.format("binaryFile")
+        .option("recursiveFileLookup", "true")
+        .option("pathGlobFilter", "*.parquet")
+        .load([p for p in (versions_root(root), f"{root.rstrip('/')}/_state") if _Files(spark, p).exists("")])
+    )
+    kept = F.regexp_extract("path", r"/(_versions/version=[^/]+/dt=[^/]+|_state/[^/]+)/[^/]+$", 1)
+    return (
+        listing.select(kept.alias("folder"), "length", "modificationTime")
+        .groupBy("folder")
+        .agg(
+            F.count("*").alias("files"),
+            F.sum("length").alias("bytes"),
+            F.max("modificationTime").alias("newest"),
+        )
+    )
+
+
+def unreferenced_versions(
+    folders: DataFrame, pointer: DataFrame, states: DataFrame, grace_before: Column
+) -> DataFrame:
+    """Folders that no reader and no later run needs: (``folder``, files, bytes).
+
+    ``pointer`` (dt, run_id) names the day folders that are read, ``states`` (run_id) the runs whose
+    state may still be continued.  Folders with a file newer than ``grace_before`` stay whatever they
+    are: a run may be about to point at them, and readers may still hold the pointer of before.
+    """
+    kept = pointer.select(_folder_of("_versions/version=", F.concat(F.lit("/dt="), F.col("dt"))).alias("folder"))
+    kept = kept.union(states.select(_folder_of("_state/").alias("folder"))).distinct()
+    old = folders.filter((F.col("newest") < grace_before) & (F.col("folder") != ""))
+    return old.join(kept, "folder", "left_anti").select("folder", "files", "bytes")
+
+
+def _folder_of(prefix: str, *suffix: Column) -> Column:
+    return F.concat(F.lit(prefix), F.regexp_replace("run_id", NOT_IN_FOLDERS, "_"), *suffix)
+
+
+def remove_folders(spark: SparkSession, root: str, folders: DataFrame) -> int:
+    """Delete the folders that ``unreferenced_versions`` named; how many there were.
+
+    One row per day of a replaced version reaches the driver.
+    """
+    files, removed = _Files(spark, root), 0
+    for row in folders.select("folder").toLocalIterator():
+        files.remove(row["folder"])
+        removed += 1
+    return removed
+
+
 def compact_days(
     spark: SparkSession,
     root: str,
@@ -241,7 +362,7 @@ def compact_days(
 
     A day gets ceil(bytes / file_bytes) files.  Rows are dealt to a day's files by their place in
     the source files, so the files come out even whatever the keys are.  Returns the planned
-    number of files per day.
+    number of files per day.  See ``cluster_days`` for files that hold neighbouring users and times.
     """
     # One row per calendar day.
     sizes = {r["dt"]: r["bytes"] for r in current_day_files(spark, root, pointer).collect()}
@@ -258,3 +379,73 @@ def compact_days(
     gathered = dealt.repartitionById(max(first, 1), slot).select(*columns)
     write_days(gathered, version_path(root, run_id))
     return files
+
+
+# Bits of each of two numbers whose bits are interleaved.
+CLUSTER_BITS = 31
+
+
+def _scaled(number: Column, low: Column, high: Column) -> Column:
+    """``number`` between ``low`` and ``high`` as an integer of CLUSTER_BITS bits."""
+    share = (number - low) / F.greatest(high - low, F.lit(1))
+    return F.floor(share * F.lit(2**CLUSTER_BITS - 1)).cast("long")
+
+
+def interleaved(first: Column, second: Column) -> Column:
+    """The bits of two integers of CLUSTER_BITS bits in turn: a place on a curve on which what is
+    near in both is near."""
+
+    def apart(bits: Column) -> Column:
+        # Masks that keep ever smaller runs of bits, so that each gets a gap of its size.
+        for shift, mask in (
+            (16, 0x0000FFFF0000FFFF),
+            (8, 0x00FF00FF00FF00FF),
+            (4, 0x0F0F0F0F0F0F0F0F),
+            (2, 0x3333333333333333),
+            (1, 0x5555555555555555),
+        ):
+            bits = bits.bitwiseOR(F.shiftleft(bits, shift)).bitwiseAND(F.lit(mask))
+        return bits
+
+    return F.shiftleft(apart(first), 1).bitwiseOR(apart(second))
+
+
+def cluster_days(
+    spark: SparkSession,
+    root: str,
+    pointer: DataFrame,
+    run_id: str,
+    file_bytes: int,
+    schema: T.StructType = LAKE_SCHEMA,
+    row_group_bytes: int | None = None,
+) -> int:
+    """Like ``compact_days``, but the rows of a day lie along a curve over user and time.
+
+    Every file, and every row group in it, then holds a narrow span of users and times, so a filter
+    on a user or on an hour skips nearly all of them by their bounds.  The curve goes over the user
+    numbers themselves, for bounds say nothing about hashes.  Ranges of the curve are cut by a sample
+    into about equal files, so a user with more rows than a file takes several, by time; a file at
+    the edge of two days is one of each.  Returns the number of ranges.
+
+    Rows without a user come first.  The rows are read twice, the first time only users and times.
+    """
+    # One row per calendar day.
+    sizes = [r["bytes"] for r in current_day_files(spark, root, pointer).collect()]
+    ranges = max(1, sum(ceil(size / file_bytes) for size in sizes))
+    rows = current_rows(spark, root, pointer, schema)
+    user, micros = F.col("user_id"), F.unix_micros("event_time_utc")
+    bounds = rows.groupBy(F.col("dt").alias("_day")).agg(
+        F.min(user).alias("_low"),
+        F.max(user).alias("_high"),
+        F.min(micros).alias("_first"),
+        F.max(micros).alias("_last"),
+    )
+    placed = rows.join(F.broadcast(bounds), F.col("dt") == F.col("_day")).withColumn(
+        "_place",
+        interleaved(_scaled(user, F.col("_low"), F.col("_high")), _scaled(micros, F.col("_first"), F.col("_last"))),
+    )
+    order = ["dt", "_place"]
+    along = placed.repartitionByRange(ranges, *order).sortWithinPartitions(*order)
+    options = {} if row_group_bytes is None else {"parquet.block.size": row_group_bytes}
+    write_days(along.select(*schema.fieldNames()), version_path(root, run_id), **options)
+    return ranges

@@ -8,7 +8,9 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from gapwise.functions.timeops import local_day
-from gapwise.operators.sessions import GapRule, sessionize
+from gapwise.operators.incremental import session_state, sessionize_incremental
+from gapwise.operators.sessions import SESSION_COLUMNS, GapRule, sessionize
+from gapwise.scratch import materialize, scratch_folder
 
 # Lets each task merge the sessions of its own rows before the shuffle, so a hot user sends
 # sessions, not events.
@@ -134,3 +136,103 @@ def days_to_redo(
     )
     days = missed.select(F.explode(F.sequence(first, last)).alias("day"))
     return days.select(F.col("day").cast("string").alias("dt")).distinct()
+
+
+# Every so many batches the state is written whole; between them only for the keys of a batch.
+WHOLE_STATE_EVERY = 32
+
+
+def stream_events(
+    events: DataFrame, rule: GapRule, root: str, checkpoint: str, whole_every: int = WHOLE_STATE_EVERY
+) -> StreamingQuery:
+    """Number every event of a stream as it comes; takes all input that is there, then stops.
+
+    A batch is numbered on top of the state that the batches before it left, exactly as
+    ``sessionize_incremental`` does, and writes three folders named by its number: its rows, with
+    ``is_late`` for those older than their key's last event, and the state of its keys (of all keys
+    every ``whole_every`` batches, a number that must not change later).  The state comes last and commits the batch: ``streamed_events`` reads rows of committed batches only.
+
+    A batch that is run again, after a loss at any point, starts from the same state and replaces
+    its own folders, so nothing counts twice.  One that had committed is not written again.
+    """
+    spark = events.sparkSession
+
+    def number(batch: DataFrame, batch_id: int) -> None:
+        if batch_id in _batches(spark, root):
+            return
+        with scratch_folder(spark, "stream"):
+            stored = materialize(batch, "stream-batch")
+            keys = stored.select(*[F.col(k).alias(f"_{k}") for k in rule.keys]).distinct()
+            state = _state_before(spark, root, batch_id, rule, stored, whole_every)
+            same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in rule.keys]
+            known = materialize(state.join(keys, same, "left_semi"), "stream-state")
+            rows = sessionize_incremental(stored, known, rule)
+            rows.write.mode("overwrite").parquet(_batch_path(root, "rows", batch_id))
+            _write_batch_state(spark, root, batch_id, rule, known, stored, whole_every)
+
+    writer = events.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True)
+    return writer.foreachBatch(number).start()
+
+
+def _batch_path(root: str, kind: str, batch_id: int) -> str:
+    return f"{root.rstrip('/')}/{kind}/batch={batch_id:012d}"
+
+
+def _batches(spark: SparkSession, root: str) -> list[int]:
+    """Committed batches in ascending order: those whose state was written to the end."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/state/batch=*/_SUCCESS")
+    found = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path)
+    return sorted(int(f.getPath().getParent().getName().split("=")[1]) for f in found or [])
+
+
+def _state_columns(rule: GapRule) -> list[str]:
+    return [*rule.keys, "last_time", *SESSION_COLUMNS]
+
+
+def _state_before(
+    spark: SparkSession, root: str, batch_id: int, rule: GapRule, like: DataFrame, whole_every: int
+) -> DataFrame:
+    """The state of all keys after the batches before this one: the last whole state and what
+    later batches wrote over it, per key the newest."""
+    before = [b for b in _batches(spark, root) if b < batch_id]
+    time = like.schema[rule.time].dataType
+    fields = [T.StructField(k, like.schema[k].dataType) for k in rule.keys]
+    fields += [T.StructField("last_time", time), T.StructField("session_seq", T.LongType())]
+    fields += [T.StructField("session_start", time), T.StructField("session_event_seq", T.LongType())]
+    if not before:
+        return spark.createDataFrame([], T.StructType(fields))
+    base = f"{root.rstrip('/')}/state"
+    reader = spark.read.option("basePath", base)
+    with_batch = T.StructType([*fields, T.StructField("batch", T.LongType())])
+    # From the last whole state on.
+    whole = max([b for b in before if b % whole_every == 0], default=before[0])
+    wanted = [b for b in before if b >= whole]
+    states = reader.schema(with_batch).parquet(*[_batch_path(root, "state", b) for b in wanted])
+    newest = states.groupBy(*rule.keys).agg(
+        F.max_by(F.struct("last_time", *SESSION_COLUMNS), "batch").alias("_newest")
+    )
+    return newest.select(*rule.keys, "_newest.*")
+
+
+def _write_batch_state(
+    spark: SparkSession, root: str, batch_id: int, rule: GapRule, known: DataFrame, stored: DataFrame, whole_every: int
+) -> None:
+    rows = spark.read.parquet(_batch_path(root, "rows", batch_id)).filter(~F.col("is_late"))
+    state = session_state(rows, rule, known).select(*_state_columns(rule))
+    if batch_id % whole_every == 0:
+        keys = state.select(*[F.col(k).alias(f"_{k}") for k in rule.keys])
+        same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in rule.keys]
+        others = _state_before(spark, root, batch_id, rule, stored, whole_every).join(keys, same, "left_anti")
+        state = state.unionByName(others)
+    path = _batch_path(root, "state", batch_id)
+    state.write.mode("overwrite").parquet(path)
+
+
+def streamed_events(spark: SparkSession, root: str) -> DataFrame:
+    """Numbered rows of all committed batches of ``stream_events``."""
+    done = _batches(spark, root)
+    if not done:
+        raise ValueError(f"no batch was committed below {root}")
+    base = f"{root.rstrip('/')}/rows"
+    reader = spark.read.option("basePath", base)
+    return reader.parquet(*[_batch_path(root, "rows", b) for b in done]).drop("batch")

@@ -521,3 +521,35 @@ def test_files_per_day_by_rows(spark, tmp_path, files):
         found = lake.day_files(spark, lake.version_path(spec.output, spec.run_id)).filter("dt = '2019-10-01'").first()
         assert 1 <= found["files"] <= count
         assert current_events(spark, spec.output).count() == 9
+
+
+def test_two_runs_over_the_same_days_leave_one_result(spark, tmp_path, files, monkeypatch):
+    """A run that starts and ends while another one is about to write its SUCCESS row: the later row
+    counts, and the table says so too."""
+    from gapwise.plans import batch
+
+    first = spec_for(tmp_path, files("a.csv", SAMPLE), "one", "2019-10-01", "2019-10-03", table="two_at_once")
+    second = replace(first, input=files("b.csv", AGAIN), run_id="two")
+    real, inner = batch._publish, []
+
+    def publish(spark, spec, stats):
+        real(spark, spec, stats)
+        if spec.run_id == "one" and not inner:
+            inner.append(run_batch(spark, second))
+
+    monkeypatch.setattr(batch, "_publish", publish)
+    run_batch(spark, first)
+    by_ledger = {r["dt"]: r["run_id"] for r in current_events(spark, first.output).select("dt", "run_id").distinct().collect()}
+    by_table = {r["dt"]: r["run_id"] for r in spark.table(first.full_table).select("dt", "run_id").distinct().collect()}
+    assert by_ledger == by_table == {"2019-10-01": "one", "2019-10-02": "one"}
+    spark.sql("DROP TABLE default.two_at_once")
+
+
+def test_repair_without_any_current_day(spark, tmp_path, files):
+    """Partitions that no finished run answers for are dropped, also when they are all."""
+    spec = spec_for(tmp_path, files("a.csv", SAMPLE), "one", "2019-10-01", "2019-10-03", table="nothing_current")
+    run_batch(spark, spec)
+    shutil.rmtree(tmp_path / "lake" / "_runs")
+    repair_table(spark, spec.output, spec.full_table)
+    assert lake.listed_days(spark, spec.full_table) == []
+    spark.sql("DROP TABLE default.nothing_current")

@@ -103,6 +103,8 @@ WHERE product_id IN (SELECT product_id FROM ({ARRIVED}))
 UNION ALL SELECT product_id, user_id, NULL, NULL, NULL, TRUE FROM ({ARRIVED}) WHERE is_late
 """
 
+STREAMED = CONTINUED.replace(f"WHERE product_id IN (SELECT product_id FROM ({ARRIVED}))", "")
+
 
 def local(shift: str) -> str:
     return f"""
@@ -276,6 +278,66 @@ FROM ({weekly(f"SELECT * FROM ({PUBLISHED}) WHERE dt >= '2024-01-03' AND dt < '2
 SELECT count(*) AS row_count, string_agg(DISTINCT dt, ',' ORDER BY dt) AS days FROM ({PUBLISHED})
 """,
     "lake_scan_roundtrip": PUBLISHED,
+    "clustered_days": PUBLISHED,
+    "rolling_users": f"""
+WITH d AS (SELECT DISTINCT user_id, CAST(dt AS DATE) AS day FROM ({PUBLISHED})),
+c AS (SELECT CAST(unnest(generate_series(min(day), max(day), INTERVAL 1 DAY)) AS DATE) AS day FROM d)
+SELECT strftime(c.day, '%Y-%m-%d') AS dt, count(DISTINCT d.user_id) AS users
+FROM c LEFT JOIN d ON d.day BETWEEN c.day - INTERVAL 6 DAY AND c.day GROUP BY c.day
+""",
+    "unreferenced_versions": f"""
+SELECT DISTINCT '_versions/version=run-1/dt=' || dt AS folder, TRUE AS has_bytes FROM ({PUBLISHED})
+WHERE dt >= '{REDO_START}' AND dt < '{REDO_END}'
+""",
+    "reconcile_union": f"""
+WITH h AS (SELECT *, CASE WHEN event_type = 'error' THEN 2 ELSE 1 END AS n FROM ({EVENTS})
+           WHERE event_time_utc < TIMESTAMP '{REDO_END} 00:00:00'),
+t AS (SELECT *, CASE WHEN event_type = 'click' THEN 3 ELSE 1 END AS n FROM ({EVENTS})
+      WHERE event_time_utc >= TIMESTAMP '{REDO_START} 00:00:00'),
+u AS (SELECT * FROM h UNION ALL SELECT * FROM t),
+m AS (SELECT * EXCLUDE (n), max(n) AS n FROM u GROUP BY ALL)
+SELECT * EXCLUDE (n, copy) FROM (SELECT *, unnest(range(n)) AS copy FROM m)
+""",
+    "csv_rescue": f"""
+WITH r AS (SELECT {RAW_COLUMNS} FROM ({EVENTS})),
+t AS (SELECT *, CASE WHEN event_type = 'click' THEN 'p' ELSE '' END || CAST(product_id AS VARCHAR) AS product_text,
+             CASE WHEN event_type = 'error' THEN 'n/a' ELSE CAST(price AS VARCHAR) END AS price_text FROM r)
+SELECT event_time, event_type, CASE WHEN event_type <> 'click' THEN product_id END AS product_id,
+       CASE WHEN event_type <> 'error' THEN price END AS price, CAST(product_id AS VARCHAR) AS user_session,
+       CASE WHEN event_type IN ('click', 'error') THEN concat_ws(',', event_time, event_type, product_text, '', '', '',
+            price_text, CAST(user_id AS VARCHAR), CAST(product_id AS VARCHAR)) END AS unparsed_line
+FROM t
+""",
+    "merge_late_events": f"""
+WITH l AS (SELECT product_id FROM ({EVENTS}) WHERE event_type = 'error' AND price > 40),
+o AS ({sessions(WIDE_GAP, f"SELECT * FROM ({EVENTS}) WHERE NOT (event_type = 'error' AND price > 40)")})
+SELECT n.product_id, n.user_id, n.session_seq, n.session_start, n.session_event_seq,
+       o.product_id IS NULL OR o.session_seq <> n.session_seq OR o.session_start_at_utc <> n.session_start
+       OR o.session_event_seq <> n.session_event_seq AS is_changed
+FROM ({numbered()}) n LEFT JOIN o USING (product_id)
+""",
+    "stream_events": STREAMED,
+    "redo_closure": f"""
+WITH RECURSIVE d AS (
+    SELECT 'lake-' || CAST(user_id AS VARCHAR) AS output, {DAY.format("event_time_utc")} AS dt,
+           bool_or(event_type = 'error' AND price > 120) AS asked
+    FROM ({EVENTS}) GROUP BY ALL),
+b AS (SELECT *, output || '/' || dt AS run_id, CAST(substr(dt, 9) AS INTEGER) AS number,
+             lag(dt, 1) OVER w AS one, lag(dt, 2) OVER w AS two FROM d WINDOW w AS (PARTITION BY output ORDER BY dt)),
+r AS (SELECT *, CASE WHEN number % 7 <> 0 THEN output || '/' || CASE WHEN number % 5 = 0 THEN two ELSE one END END
+             AS state_from FROM b),
+k AS (SELECT r.*, number % 7 = 0 AND (coalesce(x.asked, FALSE) OR coalesce(y.asked, FALSE)) AS reads
+      FROM r LEFT JOIN d x ON x.output = r.output AND x.dt = r.one
+      LEFT JOIN d y ON y.output = r.output AND y.dt = r.two),
+s(run_id, steps) AS (
+    SELECT run_id, CASE WHEN asked THEN 0 ELSE 1 END FROM k WHERE asked OR reads
+    UNION SELECT k.run_id, s.steps + 1 FROM s JOIN k ON k.state_from = s.run_id),
+f AS (SELECT run_id, min(steps) AS steps FROM s GROUP BY run_id)
+SELECT k.output, k.dt, k.run_id,
+       CASE WHEN asked THEN 'asked' WHEN reads THEN 'lookback' ELSE 'state' END AS because,
+       CAST(f.steps AS INTEGER) AS steps
+FROM k JOIN f USING (run_id)
+""",
     "files_per_partition": f"""
 SELECT dt, count(*) AS row_count, CAST(ceil(count(*) / 300.0) AS BIGINT) AS files FROM ({PUBLISHED}) GROUP BY dt
 """,

@@ -6,7 +6,7 @@ from collections.abc import Callable
 from dataclasses import replace
 from uuid import uuid4
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -19,7 +19,7 @@ from gapwise.functions.timeops import (
     utc_instant,
     week_start,
 )
-from gapwise.operators import hot, metrics
+from gapwise.operators import hot, late, metrics
 from gapwise.operators.event_sessions import (
     DEFAULT_ZONE,
     event_rule,
@@ -55,6 +55,8 @@ OTHER_ZONE = "America/Phoenix"
 REDO_START, REDO_END = "2024-01-10", "2024-01-20"
 CUT = "2024-01-15 00:00:00"
 STREAM_LATENESS = "1 hour"
+LATE_PRICE = 40
+REDO_PRICE = 120
 FILE_ROWS = 300
 
 _QUERIES: dict[str, Query] = {}
@@ -141,6 +143,38 @@ def dedup_union(spark, sf_dir):
     return source.drop_copies(source.with_lookback(target, history))
 
 
+@_query
+def reconcile_union(spark, sf_dir):
+    """Two inputs that overlap by ten days, each with real repeats of its own."""
+    events = sample_events(spark, sf_dir)
+    kind, t = F.col("event_type"), F.col("event_time_utc")
+    history = _repeated(events.filter(t < day_start(REDO_END, "UTC")), F.when(kind == "error", 2).otherwise(1))
+    target = _repeated(events.filter(t >= day_start(REDO_START, "UTC")), F.when(kind == "click", 3).otherwise(1))
+    return source.reconcile_union(target, history)
+
+
+def _repeated(events: DataFrame, times: Column) -> DataFrame:
+    return events.withColumn("_copy", F.explode(F.sequence(F.lit(1), times))).drop("_copy")
+
+
+@_query
+def csv_rescue(spark, sf_dir):
+    """Events as CSV lines, some with a price or product that is no number, and the lines of those."""
+    raw = raw_events(spark, sf_dir)
+    product = F.col("product_id").cast("string")
+    texts = {
+        "product_id": F.when(F.col("event_type") == "click", F.concat(F.lit("p"), product)).otherwise(product),
+        "price": F.when(F.col("event_type") == "error", "n/a").otherwise(F.col("price").cast("string")),
+        "user_session": product,
+    }
+    line = F.concat_ws(",", *[F.coalesce(texts.get(c, F.col(c)).cast("string"), F.lit("")) for c in raw.columns])
+    path = scratch_path(spark, "csv")
+    # Without a header line, the schema gives the names.
+    raw.select(line.alias("value")).write.text(path)
+    rescued = source.read_raw_events(spark, [path], rescue=True, header=False)
+    return rescued.select("event_time", "event_type", "product_id", "price", "user_session", source.UNPARSED)
+
+
 # Local time
 
 
@@ -328,6 +362,16 @@ def incremental_hot_ranges(spark, sf_dir):
     return continue_by_ranges(new, state, rule, _ranges(new)).select(*_NUMBERED, "is_late")
 
 
+@_query
+def merge_late_events(spark, sf_dir):
+    """Some errors arrive after all other events were numbered."""
+    rule = event_rule(WIDE_GAP)
+    events = sample_events(spark, sf_dir)
+    is_late = (F.col("event_type") == "error") & (F.col("price") > LATE_PRICE)
+    stored = materialize(sessionize(events.filter(~is_late), rule), "stored")
+    return late.merge_late_events(stored, events.filter(is_late), rule).select(*_NUMBERED, "is_changed")
+
+
 STREAM_RULE = GapRule(("user_id",), "event_time_utc", WIDE_GAP)
 
 
@@ -359,6 +403,23 @@ def stream_all_sessions(spark, sf_dir):
     return closed.unionByName(still_open)
 
 
+@_query
+def stream_events(spark, sf_dir):
+    """Events numbered one by one as three batches bring them, the last one with old errors; the
+    stream stops after each and goes on from its checkpoint."""
+    rule = event_rule(WIDE_GAP)
+    events = sample_events(spark, sf_dir)
+    t = F.col("event_time_utc")
+    in_time = (t < day_start(CUT[:10], "UTC")) & (F.col("event_type") != "error")
+    early = t < day_start(REDO_START, "UTC")
+    files, root, checkpoint = (scratch_path(spark, name) for name in ("stream-files", "stream-rows", "stream-log"))
+    for batch in (events.filter(in_time & early), events.filter(in_time & ~early), events.filter(~in_time)):
+        batch.write.mode("append").parquet(files)
+        stream = streaming.read_event_stream(spark, files, events.schema)
+        streaming.stream_events(stream, rule, root, checkpoint).awaitTermination()
+    return streaming.streamed_events(spark, root).select(*_NUMBERED, "is_late")
+
+
 @_query
 def stream_redo_days(spark, sf_dir):
     """Days whose stored events the stream has not turned into sessions, open ones included."""
@@ -397,6 +458,13 @@ def global_audit(spark, sf_dir):
     return metrics.global_audit(_published(spark, sf_dir))
 
 
+@_query
+def rolling_users(spark, sf_dir):
+    """Distinct users of the seven days up to each day, from stored bitmaps of the days."""
+    daily = materialize(metrics.daily_users(_published(spark, sf_dir)), "daily-users")
+    return metrics.rolling_users(daily)
+
+
 # Lake
 
 
@@ -476,6 +544,18 @@ def compacted_days(spark, sf_dir):
     )
 
 
+@_query
+def clustered_days(spark, sf_dir):
+    """Days rewritten along a curve over user and time, read back."""
+    root = _lake_root(spark)
+    lake.write_days(_published(spark, sf_dir, gather_days=True), lake.version_path(root, "run-1"))
+    pointer = lake.day_counts(lake.read_days(spark, lake.version_path(root, "run-1"))).select(
+        "dt", F.lit("run-1").alias("run_id")
+    )
+    lake.cluster_days(spark, root, pointer, "run-1-cluster", 32_768)
+    return lake.read_days(spark, lake.version_path(root, "run-1-cluster"))
+
+
 @_query
 def replace_days(spark, sf_dir):
     root = _lake_root(spark)
@@ -523,9 +603,8 @@ def wau_from_table(spark, sf_dir):
     return _dropped(spark, name, metrics.weekly_engagement(spark.table(name)))
 
 
-@_query
-def current_versions(spark, sf_dir):
-    """Two finished runs and one that only started: days follow the last finished run."""
+def _two_runs(spark: SparkSession, sf_dir: str) -> tuple[str, DataFrame]:
+    """A lake with two finished runs and one that only started, and its ledger rows."""
     root = _lake_root(spark)
     runs = {
         "run-1": (_published(spark, sf_dir, gather_days=True), "2024-01-01", "2024-02-01"),
@@ -546,9 +625,27 @@ def current_versions(spark, sf_dir):
     ).withColumn("origins", F.lit(None).cast("map<string,string>")).select(
         "*", times.alias("started_at"), F.timestamp_seconds(F.col("at")).alias("completed_at")
     )
+    return root, book
+
+
+@_query
+def current_versions(spark, sf_dir):
+    """Two finished runs and one that only started: days follow the last finished run."""
+    root, book = _two_runs(spark, sf_dir)
     return _provenance(lake.current_rows(spark, root, ledger.current_versions(book)))
 
 
+@_query
+def unreferenced_versions(spark, sf_dir):
+    """Folders of the first run that the second one replaced."""
+    root, book = _two_runs(spark, sf_dir)
+    no_states = spark.createDataFrame([], "run_id string")
+    soon = F.current_timestamp() + F.expr("INTERVAL 1 HOUR")
+    folders = lake.stored_folders(spark, root)
+    unread = lake.unreferenced_versions(folders, ledger.current_versions(book), no_states, soon)
+    return unread.select("folder", (F.col("bytes") > 0).alias("has_bytes"))
+
+
 @_query
 def batch_timestamp(spark, sf_dir):
     """A run tags all its rows with one time, the time of the run."""
@@ -724,6 +821,50 @@ def redo_days(spark, sf_dir):
     return ledger.redo_days(planned, book, ["output"])
 
 
+@_query
+def redo_closure(spark, sf_dir):
+    """Each user is a lake and each of its days a run, most of which continue the run of the day
+    before or (a fork) of the one before that, or read the files of both. Days with dear errors are
+    to be redone."""
+    user_days = (
+        sample_events(spark, sf_dir)
+        .withColumn("start_date", local_day(F.col("event_time_utc"), DEFAULT_ZONE))
+        .groupBy(F.concat(F.lit("lake-"), F.col("user_id").cast("string")).alias("output"), "start_date")
+        .agg(
+            F.max("event_time_utc").alias("completed_at"),
+            F.max((F.col("event_type") == "error") & (F.col("price") > REDO_PRICE)).alias("asked"),
+        )
+    )
+    user_days = materialize(user_days, "user-days")
+    by_day = Window.partitionBy("output").orderBy("start_date")
+    before = [F.lag("start_date", n).over(by_day) for n in (1, 2)]
+    number = F.dayofmonth(F.to_date("start_date"))
+
+    def named(*parts: Column | str) -> Column:
+        return F.when(parts[-1].isNotNull(), F.concat_ws("/", *parts))
+
+    output = F.col("output")
+    files = [named(F.lit("in"), output, day) for day in before]
+    rows = user_days.select(
+        "output",
+        F.concat_ws("/", "output", "start_date").alias("run_id"),
+        F.lit(ledger.SUCCESS).alias("status"),
+        F.concat_ws("/", F.lit("in"), "output", "start_date").alias("input"),
+        F.when(number % 7 == 0, F.concat_ws(", ", *files)).alias("lookback_input"),
+        F.when(number % 7 != 0, F.when(number % 5 == 0, named(output, before[1])).otherwise(named(output, before[0]))).alias(
+            "state_from"
+        ),
+        "start_date",
+        F.date_add("start_date", 1).cast("string").alias("end_date"),
+        F.array("start_date").alias("partitions"),
+        "completed_at",
+    )
+    root = _lake_root(spark)
+    ledger.append_rows(rows, root)
+    asked = user_days.filter("asked").select("output", F.col("start_date").alias("dt"))
+    return ledger.redo_closure(asked, ledger.read_ledger(spark, root), ["output"])
+
+
 @_query
 def weekly_engagement(spark, sf_dir):
     """Flagship: events to sessions to weekly users and sessions in one pass."""

@@ -161,17 +161,23 @@ def _by_ranges(
     # Only keys that reach over the end of a range, or that a state continues, have edges to carry:
     # at most two rows per range, and those of the state.
     small_edges = (few_keys or state is None) and 2 * ranges <= hot_keys.BROADCAST_ROWS
-    return _stitch(cut, rule, state, small_edges)
+    return _stitch(cut, rule, state, small_edges, written=True)
 
 
 def _stitch(
-    df: DataFrame, rule: GapRule, state: DataFrame | None = None, small_edges: bool | None = None
+    df: DataFrame,
+    rule: GapRule,
+    state: DataFrame | None = None,
+    small_edges: bool = False,
+    written: bool = False,
 ) -> DataFrame:
     """Number rows per (key, ``_chunk``), then carry sessions over the chunk edges.
 
-    The rows are read, shuffled and sorted once, and written with their numbers inside the chunk.
-    The edge table, one row per (key, chunk), comes from the written rows; what it carries is
-    joined to them, by broadcast if it is short (``small_edges``; None counts it).
+    The edge table has one row per (key, chunk).  What it carries is joined to the rows, by broadcast
+    if it is short (``small_edges``), else where they lie.  With ``written`` the rows are read,
+    shuffled and sorted once and written with their numbers inside the chunk, and the edges come from
+    the written rows.  Without, a second pass reads keys, times and ties for the edges: that is
+    cheaper than writing and reading wide rows, but only for input that is the same each time.
     """
     keyed = _with_part(df, rule)
     part = [c for c in keyed.columns if c.startswith("_part")]
@@ -189,7 +195,7 @@ def _stitch(
             "_base": F.last(F.when(opened, F.col("_pos") - 1), True).over(run),
         }
     ).drop("_opens")
-    local = materialize(numbered, "numbered")
+    local = materialize(numbered, "numbered") if written else numbered
     # Inside a chunk the numbers and starts only grow.
     edges = local.groupBy(*part).agg(
         F.min(t).alias("_first"),
@@ -202,11 +208,8 @@ def _stitch(
     if state is not None:
         edges = _state_edges(state, rule, keyed).unionByName(edges)
     carried = _carry_over_edges(edges, rule.gap_seconds)
-    if small_edges is None:
-        carried = materialize(carried, "edges")
-        small_edges = carried.limit(hot_keys.BROADCAST_ROWS + 1).count() <= hot_keys.BROADCAST_ROWS
     # Keys with one chunk carry nothing and have no row here.
-    joined = local.join(carried.hint("broadcast" if small_edges else "shuffle_hash"), part, "left")
+    joined = local.join(F.broadcast(carried) if small_edges else carried, part, "left")
     merged = F.coalesce("_merged", F.lit(0))
     rows_before = F.coalesce("_rows_before", F.lit(0).cast("long"))
     inherits = (F.col("_seq") == 1) & (merged == 1)

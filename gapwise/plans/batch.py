@@ -291,16 +291,11 @@ def _land(spark: SparkSession, spec: JobSpec) -> tuple[DataFrame, dict]:
     if spec.drop_copies:
         read = landed.count()
         landed = materialize(source.drop_copies(landed), "single-events")
-    unparsed = {}
-    if rescue:
-        lines = landed.filter(F.col(source.UNPARSED).isNotNull())
-        unparsed["unparsed_rows"] = lines.count()
-        if unparsed["unparsed_rows"]:
-            lines.write.parquet(lake.run_folder(spec.output, "_unparsed", spec.run_id))
+    cut = F.col(source.UNPARSED).isNotNull() if rescue else F.lit(False)
     t = F.col("event_time_utc")
     reject = t.isNull() if spec.publish_null_users else source.is_reject()
     if spec.unparsed == "reject":
-        reject = reject | F.col(source.UNPARSED).isNotNull()
+        reject = reject | cut
     before = ~reject & (t < day_start(spec.start_date, spec.timezone))
     found = landed.agg(
         F.count("*").alias("_rows"),
@@ -308,10 +303,12 @@ def _land(spark: SparkSession, spec: JobSpec) -> tuple[DataFrame, dict]:
         F.count_if(before).alias("before_range_rows"),
         F.count_if(~reject & (t >= day_start(spec.end_date, spec.timezone))).alias("after_range_rows"),
         F.min(F.unix_micros(t)).alias("read_from"),
+        *([F.count_if(cut).alias("unparsed_rows")] if rescue else []),
     ).first().asDict()
     rows = found.pop("_rows")
     found |= {"input_rows": rows if read is None else read, "removed_rows": 0 if read is None else read - rows}
-    found |= unparsed
+    if found.get("unparsed_rows"):
+        landed.filter(cut).write.parquet(lake.run_folder(spec.output, "_unparsed", spec.run_id))
     if found["rejected_rows"]:
         landed.filter(reject).write.parquet(lake.run_folder(spec.output, "_rejects", spec.run_id))
     return landed.filter(~reject).select(*source.CANONICAL_COLUMNS), found
@@ -408,8 +405,7 @@ def _settle(spark: SparkSession, spec: JobSpec, since: datetime) -> None:
     Of two runs that end at once, the one whose SUCCESS row is older may have pointed the table last.
     Whichever looks here last sees both rows, so that table and ledger agree.
     """
-    states = ledger.latest_states(ledger.read_ledger(spark, spec.output))
-    at_once = states.filter(
+    at_once = ledger.read_ledger(spark, spec.output).filter(
         (F.col("status") == ledger.SUCCESS)
         & (F.col("run_id") != spec.run_id)
         & (F.col("completed_at") >= F.lit(since))

@@ -372,7 +372,9 @@ def compact_days(
         slots.append((day, first, count))
         first += count
     plan = spark.createDataFrame(slots, "dt string, _first int, _files int")
-    place = F.xxhash64("_metadata.file_path", "_metadata.row_index").alias("_place")
+    # In turn from a source file's rows on, each file beginning somewhere else.
+    begin = F.pmod(F.xxhash64("_metadata.file_path"), F.lit(1 << 40))
+    place = (begin + F.col("_metadata.row_index")).alias("_place")
     dealt = current_rows(spark, root, pointer, schema, place).join(F.broadcast(plan), "dt")
     slot = (F.col("_first") + F.pmod("_place", "_files")).cast("int")
     columns = [f.name for f in schema]

@@ -103,7 +103,8 @@ def plan_of(df):
     return df._jdf.queryExecution().toString()
 
 
-def test_the_stitch_reads_and_sorts_its_input_once(spark, monkeypatch):
+def test_ranges_are_sorted_once(spark, monkeypatch):
+    """Rows cut into ranges are numbered in one pass; edges and result come from what it wrote."""
     from gapwise.operators import sessions
 
     df = spark.createDataFrame(random_rows(3, 5, 300), "k string, t timestamp, id int")
@@ -115,12 +116,13 @@ def test_the_stitch_reads_and_sorts_its_input_once(spark, monkeypatch):
         return real(frame, label)
 
     monkeypatch.setattr(sessions, "materialize", seen)
-    out = sessionize_by_chunk(df, GapRule(("k",), "t", 3_600, ("id",)), F.date_trunc("day", "t"))
-    (numbered,) = [p for label, p in plans if label == "numbered"]
+    out = sessions.sessionize_by_ranges(df, GapRule(("k",), "t", 3_600, ("id",)), 4)
+    ((label, numbered),) = plans
     physical = numbered.split("== Physical Plan ==")[1]
-    assert physical.count("Exchange") == 1 and physical.count("Sort [") == 1
+    assert label == "numbered" and physical.count("Sort [") == 1
+    assert physical.count("rangepartitioning") == physical.count("hashpartitioning") == 1
     rest = plan_of(out).split("== Physical Plan ==")[1]
-    assert "Sort [" not in rest and "Window" not in rest and "LogicalRDD" not in rest
+    assert "BroadcastHashJoin" in rest and "SortMergeJoin" not in rest
 
 
 SCHEMA = "k string, t timestamp, id int"

@@ -8,8 +8,10 @@ from itertools import combinations, product
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from gapwise.llm.blocks import chunk, dealt, every, whole_blocks
 from gapwise.llm.components import components
@@ -64,92 +66,186 @@ def _projection(dim: int, tables: int, scale: float) -> np.ndarray:
     return np.random.default_rng([SEED, dim]).normal(size=(dim, 8 * tables)) * scale
 
 
-def cells(unit: np.ndarray, salt: np.ndarray, tables: int, probes: int, scale: float) -> np.ndarray:
-    """Cell hashes of unit vectors: per vector and table its home and its ``probes`` nearest
-    neighbouring cells. ``salt`` keeps groups apart."""
+def sketches(unit: np.ndarray, tables: int, probes: int, scale: float) -> tuple[np.ndarray, np.ndarray]:
+    """Per vector and table a number for its home, the nearest lattice point of its projection, and
+    which ``probes`` of the 240 points around that are nearest to it."""
     projected = unit @ _projection(unit.shape[1], tables, scale)
-    factors = np.random.default_rng(SEED).integers(0, 2**63, 8, dtype=np.uint64) | np.uint64(1)
     near = _neighbours()
-
-    def linear(points: np.ndarray) -> np.ndarray:
-        return (np.rint(points * 2).astype(np.int64).view(np.uint64) * factors).sum(axis=-1, dtype=np.uint64)
-
-    moves = linear(near)
-    out = np.empty((len(unit), tables, 1 + probes), np.uint64)
+    homes = np.empty((len(unit), tables), np.uint64)
+    closest = np.empty((len(unit), tables, probes), np.uint8)
     for t in range(tables):
         x = projected[:, 8 * t : 8 * t + 8]
         home = nearest_points(x)
-        closest = np.argsort(-((x - home) @ near.T), axis=1, kind="stable")[:, :probes]
-        base = linear(home)
-        out[:, t, 0] = base
-        out[:, t, 1:] = base[:, None] + moves[closest]
-        out[:, t] = mixed(mixed(out[:, t] + np.uint64(t)) + salt[:, None])
-    return out
+        closest[:, t] = np.argsort(-((x - home) @ near.T), axis=1, kind="stable")[:, :probes]
+        homes[:, t] = _numbers(home)
+    return homes, closest
+
+
+def _numbers(points: np.ndarray) -> np.ndarray:
+    """A number per lattice point; that of a sum is the sum of the numbers."""
+    factors = np.random.default_rng(SEED).integers(0, 2**63, 8, dtype=np.uint64) | np.uint64(1)
+    return (np.rint(points * 2).astype(np.int64).view(np.uint64) * factors).sum(axis=-1, dtype=np.uint64)
+
+
+@cache
+def _moves() -> np.ndarray:
+    return _numbers(_neighbours())
+
 
+def sketched_cells(homes: np.ndarray, closest: np.ndarray, salt: np.ndarray, table: int) -> np.ndarray:
+    """Hashes of the cells in one table: the home of each vector, then its neighbours."""
+    home = homes[:, table]
+    found = np.concatenate([home[:, None], home[:, None] + _moves()[closest[:, table]]], axis=1)
+    return mixed(mixed(found + np.uint64(table)) + salt[:, None])
 
-def _units(raw: list[bytes]) -> np.ndarray:
-    x = np.frombuffer(b"".join(raw), np.float64).reshape(len(raw), -1)
+
+def cells(unit: np.ndarray, salt: np.ndarray, tables: int, probes: int, scale: float) -> np.ndarray:
+    """Cell hashes of unit vectors: per vector and table its home and its ``probes`` nearest
+    neighbouring cells. ``salt`` keeps groups apart."""
+    homes, closest = sketches(unit, tables, probes, scale)
+    return np.stack([sketched_cells(homes, closest, salt, t) for t in range(tables)], axis=1)
+
+
+def _units(raw: list[bytes], kind: str) -> np.ndarray:
+    x = np.frombuffer(b"".join(raw), kind).reshape(len(raw), -1).astype(np.float64)
+    # Scaled by a power of two, which is exact, so that squares stay finite.
+    peak = np.abs(x).max(axis=1, keepdims=True)
+    x = np.ldexp(x, -np.frexp(peak)[1])
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
-def _vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The vectors that can be linked, as bytes: no null or non-finite component, some not zero."""
-    for batch in batches:
-        ids, labels, raw = [], [], []
-        for vec_id, label, vector in zip(*(c.to_pylist() for c in batch.columns)):
-            if vector is None or any(v is None for v in vector):
-                continue
-            x = np.array(vector, np.float64)
-            peak = np.abs(x).max(initial=0.0)
-            if 0 < peak < np.inf:
-                ids.append(vec_id)
-                labels.append(label)
-                # Scaled by a power of two, which is exact, so that squares stay finite.
-                raw.append((np.ldexp(x, -int(np.frexp(peak)[1])) + 0.0).tobytes())
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(ids, pa.int64()), pa.array(labels, pa.string()), pa.array(raw, pa.binary())],
-            names=["vec_id", "label", "vector"],
-        )
+def _vectors(kind: str):
+    def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The vectors that can be linked, as bytes: no null or non-finite component, some not zero."""
+        for batch in batches:
+            ids, labels, vectors = batch.columns
+            lengths = pc.list_value_length(vectors).to_numpy().astype(np.int64)
+            flat = vectors.flatten()
+            known = flat.is_valid().to_numpy(zero_copy_only=False)
+            x = flat.fill_null(0).to_numpy().astype(kind) + np.array(0, kind)  # no negative zero
+            ends = np.concatenate([[0], np.cumsum(lengths)])
+
+            def rows_with(mask: np.ndarray) -> np.ndarray:
+                before = np.concatenate([[0], np.cumsum(mask)])
+                return before[ends[1:]] > before[ends[:-1]]
+
+            good = pa.array(rows_with(x != 0) & ~rows_with(~known | ~np.isfinite(x)))
+            size = np.dtype(kind).itemsize
+            raw = pa.Array.from_buffers(
+                pa.large_binary(), len(ends) - 1, [None, pa.py_buffer((ends * size).tobytes()), pa.py_buffer(x.tobytes())]
+            )
+            yield pa.RecordBatch.from_arrays(
+                [ids.filter(good), labels.filter(good), raw.filter(good).cast(pa.binary())], names=["vec_id", "label", "vector"]
+            )
+
+    return of
 
 
-def _hashed(tables: int, probes: int, scale: float):
+def _sketched(kind: str, tables: int, probes: int, scale: float):
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Vectors with their salt, which tells labels and lengths apart, and their sketch."""
         for batch in batches:
             for begin in range(0, batch.num_rows, 1000):
-                ids, salts, raw = (c.to_pylist() for c in batch.slice(begin, 1000).columns)
+                part = batch.slice(begin, 1000)
+                raw = part.column("vector").to_pylist()
+                labels = np.array(part.column("salt").to_numpy(), np.int64).view(np.uint64)
                 lengths = np.array([len(r) for r in raw])
+                salt = mixed(labels + lengths.astype(np.uint64))
+                homes, closest = np.empty((len(raw), tables), np.uint64), np.empty((len(raw), tables, probes), np.uint8)
                 for length in np.unique(lengths):
                     at = np.flatnonzero(lengths == length)
-                    salt = mixed(np.array([salts[i] for i in at], np.int64).view(np.uint64) + np.uint64(length))
-                    found = cells(_units([raw[i] for i in at]), salt, tables, probes, scale)
-                    role = np.full(found.shape, _PROBE, np.int8)
-                    role[:, :, 0] = _HOME
-                    owner = np.repeat(np.array([ids[i] for i in at], np.int64), tables * (1 + probes))
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(found.ravel().view(np.int64)), pa.array(owner), pa.array(role.ravel())],
-                        names=["cell", "id", "role"],
-                    )
+                    homes[at], closest[at] = sketches(_units([raw[i] for i in at], kind), tables, probes, scale)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        part.column("id"),
+                        part.column("copies"),
+                        part.column("vector"),
+                        pa.array(salt.view(np.int64)),
+                        pa.array([h.tobytes() for h in homes], pa.binary()),
+                        pa.array([c.tobytes() for c in closest], pa.binary()),
+                    ],
+                    names=["id", "copies", "vector", "salt", "homes", "closest"],
+                )
+
+    return of
+
+
+def _stacked(block: pa.RecordBatch | pa.Table, tables: int, probes: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    homes, closest = (b"".join(block.column(c).to_pylist()) for c in ("homes", "closest"))
+    return (
+        np.frombuffer(homes, np.uint64).reshape(-1, tables),
+        np.frombuffer(closest, np.uint8).reshape(-1, tables, probes),
+        np.array(block.column("salt").to_numpy(), np.int64).view(np.uint64),
+    )
+
+
+def _hashed(tables: int, probes: int):
+    def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for begin in range(0, batch.num_rows, 1000):
+                part = batch.slice(begin, 1000)
+                sketch = _stacked(part, tables, probes)
+                found = np.stack([sketched_cells(*sketch, t) for t in range(tables)], axis=1)
+                role = np.full(found.shape, _PROBE, np.int8)
+                role[:, :, 0] = _HOME
+                owner = np.repeat(part.column("id").to_numpy(), tables * (1 + probes))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(found.ravel().view(np.int64)), pa.array(owner), pa.array(role.ravel())],
+                    names=["cell", "id", "role"],
+                )
 
     return of
 
 
-def _linked(threshold: float):
+class _Side:
+    """Vectors on one side of a block: the homes of its cell, or all that look into it."""
+
+    def __init__(self, at: np.ndarray, sketch: tuple[np.ndarray, np.ndarray, np.ndarray]):
+        self.sketch = tuple(part[at] for part in sketch)
+
+    def cells(self, table: int) -> np.ndarray:
+        return sketched_cells(*self.sketch, table)
+
+
+def _sees_home(seer: np.ndarray, seen: np.ndarray) -> np.ndarray:
+    """Which rows of ``seer`` have the home of which rows of ``seen`` among their cells."""
+    homes, of = np.unique(seen[:, 0], return_inverse=True)
+    place = np.minimum(np.searchsorted(homes, seer), len(homes) - 1)
+    rows, columns = np.nonzero(homes[place] == seer)
+    sees = np.zeros((len(seer), len(homes)), bool)
+    sees[rows, place[rows, columns]] = True
+    return sees[:, of]
+
+
+def _first_meetings(cell: int, left: _Side, right: _Side, near: np.ndarray, tables: int) -> tuple[np.ndarray, np.ndarray]:
+    """Of the links in a block those that no earlier table, and no lower cell of this table, has as
+    well; and which rows on the right have the cell as their home."""
+    now = np.uint64(cell & (2**64 - 1))
+    first = _Side(np.array([0]), left.sketch)
+    table = next(t for t in range(tables) if first.cells(t)[0, 0] == now)
+    near = near.copy()
+    for t in range(table):
+        if not near.any():
+            break
+        a, b = left.cells(t), right.cells(t)
+        near &= ~(_sees_home(a, b) | _sees_home(b, a).T)
+    a, b = left.cells(table), right.cells(table)
+    at_home = b[:, 0] == now
+    # The home of the right one is another meeting place, if the left one looks into it.
+    near &= ~(_sees_home(a, b) & (b[:, 0] < now))
+    return near, at_home
+
+
+def _linked(threshold: float, kind: str, tables: int, probes: int):
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Per block and vector with links: the lowest vector that the block's links lead to, and
-        the linked vectors with their numbers of copies."""
-        schema = pa.schema(
-            [
-                ("id", pa.int64()),
-                ("low", pa.int64()),
-                ("links", pa.list_(pa.struct([("id", pa.int64()), ("copies", pa.int64())]))),
-            ]
-        )
+        how many vectors the links lead to that no other block counts."""
         for block in whole_blocks(batches):
             side = block.column("side").to_numpy()
             if side.min() == side.max():
                 continue
             ids, copies = (block.column(c).to_numpy() for c in ("id", "copies"))
-            unit = _units(block.column("vector").to_pylist())
+            unit = _units(block.column("vector").to_pylist(), kind)
             left, right = np.flatnonzero(side == _HOME), np.flatnonzero(side == _PROBE)
             near = (unit[left] @ unit[right].T >= threshold) & (ids[left][:, None] != ids[right])
             if not near.any():
@@ -161,14 +257,18 @@ def _linked(threshold: float):
                     low[a] = np.minimum(low[a], np.where(link, low[b], np.iinfo(np.int64).max).min(axis=1))
                 if (low == before).all():
                     break
-            rows = []
-            for a, b, link in ((left, right, near), (right, left, near.T)):
-                for k in np.flatnonzero(link.any(axis=1)):
-                    at = b[link[k]]
-                    found = [{"id": i, "copies": n} for i, n in zip(ids[at].tolist(), copies[at].tolist())]
-                    rows.append((int(ids[a[k]]), int(low[a[k]]), found))
+            sketch = _stacked(block, tables, probes)
+            once, at_home = _first_meetings(
+                int(block.column("cell")[0].as_py()), _Side(left, sketch), _Side(right, sketch), near, tables
+            )
+            # Two homes of the cell meet twice, each time on other sides: the left one is counted.
+            n = np.zeros(len(ids), np.int64)
+            n[left] = once @ copies[right]
+            n[right] += np.where(at_home, 0, copies[left] @ once)
+            linked = np.zeros(len(ids), bool)
+            linked[left], linked[right] = near.any(axis=1), near.any(axis=0)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema
+                [pa.array(ids[linked]), pa.array(low[linked]), pa.array(n[linked])], names=["id", "low", "n"]
             )
 
     return of
@@ -195,27 +295,32 @@ def near_vectors(
     Copies of a vector are one vector that counts for all of them. Each table projects the vectors
     at random to eight dimensions and decodes them to lattice points; a vector looks into its own
     cell and the nearest ones around it. All vectors that meet in a cell are compared, those of a
-    full cell in blocks that many tasks share. The links of one vector, once per cell, come together
-    in one row. A pair that no table brings together is missed: with
-    the default figures about one in a thousand at the threshold, far fewer above it.
+    full cell in blocks that many tasks share. A pair is counted in the first table that brings it
+    together, there in the lower of two cells; blocks hand on a count and the lowest linked
+    identifier per vector, never pairs. A pair that no table brings together is missed: with the
+    default figures about one in a thousand at the threshold, far fewer above it.
     """
     given = vectors.select(
         F.col(key).cast("long").alias("vec_id"), F.col(label).cast("string").alias("label"), F.col(vector).alias("vector")
     )
     usable = given.where("vec_id IS NOT NULL AND label IS NOT NULL AND vector IS NOT NULL")
-    raw = usable.mapInArrow(_vectors, "vec_id long, label string, vector binary")
+    single = isinstance(vectors.schema[vector].dataType.elementType, T.FloatType)
+    kind = "float32" if single else "float64"
+    wide = usable if single else usable.withColumn("vector", F.col("vector").cast("array<double>"))
+    raw = wide.mapInArrow(_vectors(kind), "vec_id long, label string, vector binary")
     raw = materialize(raw.withColumn("print", F.xxhash64("label", F.md5("vector"))), "vectors")
     heads = raw.groupBy("print").agg(F.min("vec_id").alias("id"), F.count("*").alias("copies"))
     heads = materialize(heads, "heads")
     firsts = heads.select(F.col("print").alias("_print"), F.col("id"), "copies")
-    distinct = materialize(
+    first_rows = (
         raw.join(firsts, (F.col("vec_id") == F.col("id")) & (F.col("print") == F.col("_print")))
         .dropDuplicates(["id"])
-        .select("id", "copies", "label", "vector"),
-        "distinct",
+        .select("id", "copies", F.xxhash64("label").alias("salt"), "vector")
     )
-    met = distinct.select("id", F.xxhash64("label").alias("salt"), "vector").mapInArrow(
-        _hashed(tables, probes, scale), "cell long, id long, role byte"
+    sketch = "id long, copies long, vector binary, salt long, homes binary, closest binary"
+    distinct = materialize(first_rows.mapInArrow(_sketched(kind, tables, probes, scale), sketch), "distinct")
+    met = distinct.select("id", "salt", "homes", "closest").mapInArrow(
+        _hashed(tables, probes), "cell long, id long, role byte"
     )
     met = materialize(met, "cells")
     full = (
@@ -238,17 +343,15 @@ def near_vectors(
     right = seen.select(
         "cell", "id", F.lit(_PROBE).alias("side"), every(F.col("_i")).alias("i"), chunk("j", "id", F.col("_j")).alias("j")
     )
+    sketched = ("copies", "salt", "vector", "homes", "closest")
     placed = left.unionByName(right).join(
-        distinct.select(F.col("id").alias("_id"), "copies", "vector"), F.col("id") == F.col("_id")
+        distinct.withColumnRenamed("id", "_id"), F.col("id") == F.col("_id")
     )
-    blocks = dealt(placed.select("cell", "i", "j", "id", "side", "copies", "vector"), "cell", parts(vectors))
+    blocks = dealt(placed.select("cell", "i", "j", "id", "side", *sketched), "cell", parts(vectors))
     found = materialize(
-        blocks.mapInArrow(_linked(threshold), "id long, low long, links array<struct<id:long,copies:long>>"), "links"
-    )
-    others = F.array_distinct(F.flatten(F.collect_list("links")))
-    counted = found.groupBy(F.col("id").alias("_linked")).agg(
-        F.aggregate(others, F.lit(0).cast("long"), lambda n, link: n + link["copies"]).alias("linked")
+        blocks.mapInArrow(_linked(threshold, kind, tables, probes), "id long, low long, n long"), "links"
     )
+    counted = found.groupBy(F.col("id").alias("_linked")).agg(F.sum("n").alias("linked"))
     labels = components(found.select(F.col("id").alias("a"), F.col("low").alias("b")).distinct())
     result = (
         heads.join(counted, F.col("id") == F.col("_linked"), "left")

@@ -87,9 +87,11 @@ def mix(
     keyed = docs.withColumn(drawn, F.struct(sampling_key(F.col(key), rate).alias("draw"), F.col(key).alias("id")))
     rows = keyed.select(F.col(source).alias("source"), counted.alias("n"), F.col(drawn).alias("drawn"))
     rows = materialize(rows, "drawn")
-    totals = rows.groupBy("source").agg(F.sum("n").alias("source_size"), F.count("*").alias("rows"))
+    totals = rows.groupBy("source").agg(
+        F.sum("n").alias("source_size"), F.count("*").alias("rows"), F.percentile_approx("drawn.draw", 0.5).alias("middle")
+    )
     plan = targets(totals.select("source", "source_size"), rates, share, cap).join(
-        totals.select(F.col("source").alias("_of"), "rows"), F.col("source").eqNullSafe(F.col("_of"))
+        totals.select(F.col("source").alias("_of"), "rows", "middle"), F.col("source").eqNullSafe(F.col("_of"))
     )
     full = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0)
     plan = plan.withColumn("epochs", full.cast("long"))
@@ -101,12 +103,15 @@ def mix(
             "epochs",
             (F.col("target") - F.col("epochs") * F.col("source_size")).alias("rest"),
             F.ceil(F.col("rows") / BUCKET_ROWS).alias("buckets"),
+            "middle",
         ),
         "plan",
     )
-    at = F.floor((1 - F.exp(-F.col("drawn.draw"))) * F.col("buckets"))
+    # Keys lie about evenly between 0 and 1 when they are measured by their source's middle one,
+    # whatever the weights are measured in.
+    at = F.floor((1 - F.pow(F.lit(0.5), F.col("drawn.draw") / F.col("middle"))) * F.col("buckets"))
     dealt = rows.join(
-        broadcast_if_small(plan.select("_source", "rest", "buckets"), _row_bytes("_source")), F.col("source").eqNullSafe(F.col("_source"))
+        broadcast_if_small(plan.select("_source", "rest", "buckets", "middle"), _row_bytes("_source")), F.col("source").eqNullSafe(F.col("_source"))
     ).withColumn("bucket", F.least(at, F.col("buckets") - 1))
     sums = dealt.groupBy("_source", "rest", "bucket").agg(F.sum("n").alias("n"))
     running = Window.partitionBy("_source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
@@ -143,6 +148,8 @@ def mix(
     )
     plan = materialize(plan, "cuts")
     copies = F.col(epochs) + F.coalesce((F.col(drawn) <= F.col(last)).cast("long"), F.lit(0))
+    # Rows of size 0 fit into a budget of nothing, too.
+    copies = F.least(copies, F.lit(cap).cast("long"))
     return (
         keyed.join(broadcast_if_small(plan, _row_bytes(origin)), F.col(source).eqNullSafe(F.col(origin)))
         .withColumn("copies", copies)

@@ -84,6 +84,34 @@ def test_hot_source_over_many_ranges(spark, monkeypatch):
     assert small == {r["doc_id"]: r["copies"] for r in mixed(spark, rows)}
 
 
+@pytest.mark.parametrize("unit", [0.01, 1000.0])
+def test_the_unit_of_weights_does_not_matter(spark, monkeypatch, unit):
+    """Neither for the rows taken nor for how evenly they are dealt into ranges."""
+    monkeypatch.setattr(mixing, "BUCKET_ROWS", 100)
+    rows = [(i, "hot" if i % 3 else "cold", 1 + i % 11, 2.0 if i % 2 else 0.5, "t", 0) for i in range(3000)]
+    scaled = [(i, s, n, w * unit, t, z) for i, s, n, w, t, z in rows]
+    groups = []
+    real = mixing.materialize
+
+    def seen(df, label):
+        out = real(df, label)
+        if label == "ends":
+            groups.append([r["end"]["bucket"] for r in out.collect()])
+        return out
+
+    monkeypatch.setattr(mixing, "materialize", seen)
+    one, other = ({r["doc_id"]: r["copies"] for r in mixed(spark, some, share=0.3)} for some in (rows, scaled))
+    assert one == other and groups[0] == groups[1]
+    assert all(0 < b < 19 for b in groups[0]), "budgets end inside the ranges, not in the last one"
+
+
+def test_no_row_beyond_the_cap(spark):
+    """A source that is taken to its cap takes its empty texts as often, not once more."""
+    rows = [(1, "a", 10, 1.0, "t", 0), (2, "a", 0, 1.0, "t", 0), (3, "b", 1000, 1.0, "t", 0), (4, "c", 0, 1.0, "t", 0)]
+    out = {r["doc_id"]: r["copies"] for r in mixed(spark, rows)}
+    assert out[1] == out[2] == 2 and out[4] <= 2
+
+
 def test_odd_rows(spark):
     rows = [(1, "a", None, 1.0, "t", 0), (None, "a", 5, None, "t", 0), (3, None, 10**7, -1.0, "t", 0)]
     rows += [(4, "b", 3, 1.0, "t", 0)] * 2

@@ -41,11 +41,11 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """User and assistant turns of all conversations as linked, ordered and checked tool calls in canonical JSON."""
+    """Turns of all conversations as linked, ordered and checked tool calls in canonical JSON."""
     turns = _table(spark, sf_dir, "conversations")
-    calls, results = toolcalls.read_as_calls(turns, mixing.word_count(F.col("text")))
+    calls, results, messages = toolcalls.read_as_calls(turns, mixing.word_count(F.col("text")))
     tools = spark.createDataFrame(toolcalls.TOOLS, "name string, parameters string")
-    linked = toolcalls.link_calls(calls, results, tools)
+    linked = toolcalls.link_calls(calls, results, tools, messages)
     return linked.withColumn("problems", F.concat_ws(",", "problems"))
 
 

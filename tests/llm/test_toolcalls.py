@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import hashlib
 import json
+import random
+import time
 
 import pytest
 
@@ -44,6 +46,7 @@ def test_links_and_statuses(spark):
         (1, 0, "a"): ("linked", 0, 1),
         (1, 2, "b"): ("open", 1, None),
         (1, 3, "a"): ("repeated", 2, None),
+        (1, 5, "a"): ("repeated", None, 5),
         (2, 0, "a"): ("open", 0, None),
         (3, 0, None): ("open", 0, None),
         (2, 4, "zz"): ("orphan", None, 4),
@@ -78,6 +81,33 @@ def test_long_chain_in_one_conversation(spark):
     assert all(r.position == r.turn for r in rows) and len(rows) == 3000
 
 
+def test_reversed_chain_needs_few_rounds(spark):
+    """Every call names the one behind it: rounds grow with the logarithm of the chain."""
+    calls = [(1, k, f"c{k}", "bare", "{}", [f"c{k + 1}"] if k < 2999 else None) for k in range(3000)]
+    calls += [(2, k, f"d{k}", "bare", "{}", [f"d{(k + 1) % 5}"]) for k in range(5)]
+    calls += [(2, 5, "tail", "bare", "{}", ["d0"]), (2, 6, "both", "bare", "{}", ["tail", "free"]), (2, 7, "free", "bare", "{}", None)]
+    began = time.time()
+    rows = linked(spark, calls)
+    assert time.time() - began < 60
+    assert all(r.position == 2999 - r.turn for r in rows if r.conv_id == 1)
+    assert {r.call_id for r in rows if r.status == "circular"} == {f"d{k}" for k in range(5)} | {"tail", "both"}
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_levels_of_random_graphs(spark, seed):
+    rng = random.Random(seed)
+    calls = [(c, f"n{k}") for c in range(4) for k in range(30)]
+    edges = {(c, i, f"n{rng.randrange(30)}") for c, i in calls for _ in range(rng.choice([0, 1, 1, 1, 2]))}
+    needs = {k: [(c, n) for c, i, n in edges if (c, i) == k] for k in calls}
+    want = {}
+    while free := {k for k in calls if k not in want and all(n in want for n in needs[k])}:
+        want.update({k: max([want[n] + 1 for n in needs[k]], default=0) for k in free})
+    out = toolcalls.levels(
+        spark.createDataFrame(sorted(edges), "conv int, id string, needs string"), spark.createDataFrame(calls, "conv int, id string")
+    )
+    assert {(r.conv, r.id): r.level for r in out.collect()} == {k: want.get(k, toolcalls.LAST) for k in calls}
+
+
 @pytest.mark.parametrize(
     "name, arguments, problems",
     [
@@ -117,7 +147,64 @@ def test_canonical_json(spark):
 def test_empty_and_repeated_rows(spark):
     assert linked(spark, []) == []
     rows = linked(spark, [(1, 0, "a", "bare", "{}", None)] * 2, [(1, 1, "a", "r")] * 2, TOOLS * 2)
-    assert len(rows) == 2 and sorted(r.position for r in rows) == [0, 1]
+    assert len(rows) == 3 and sorted(r.position for r in rows if r.position is not None) == [0, 1]
+    assert [(r.status, r.problems) for r in rows if r.position is None] == [("repeated", ["repeated result"])]
+
+
+def test_every_row_is_accounted_for(spark):
+    rng = random.Random(1)
+    calls = [(rng.randrange(3), k, rng.choice(["a", "b", "c", None]), "bare", "{}", None) for k in range(60)]
+    results = [(rng.randrange(4), rng.randrange(9), rng.choice(["a", "b", "z", None]), rng.choice("xy")) for _ in range(80)]
+    rows = linked(spark, calls, results)
+    with_result = sum(r.position is not None and r.result_turn is not None for r in rows)
+    assert len(rows) == len(calls) + len(results) - with_result
+    assert sum(r.position is not None for r in rows) == len(calls)
+
+
+NESTED = json.dumps(
+    {
+        "properties": {
+            "p": {"type": "object", "properties": {"q": {"type": "integer"}, "r": {"type": ["string", "null"], "maxLength": 3}}, "required": ["q"], "additionalProperties": False},
+            "l": {"type": "array", "maxItems": 3, "items": {"type": "object", "properties": {"x": {"type": "number", "exclusiveMinimum": 0, "exclusiveMaximum": 10}}}},
+            "s": {"type": ["integer", "string"], "minLength": 2},
+            "deep": {"items": {"items": {"type": "boolean"}}},
+        }
+    }
+)
+
+
+@pytest.mark.parametrize(
+    "arguments, found",
+    [
+        ({"p": {"q": "no"}}, ["type:p.q"]),
+        ({"p": {"q": 1, "r": None}, "l": [{"x": 1.5}, {}], "s": 7, "deep": [[True], []]}, []),
+        ({"p": {"r": "long", "z": 1}}, ["length:p.r", "missing:p.q", "unexpected:p.z"]),
+        ({"l": [{"x": 0}, {"x": 10}, {"x": "1"}, 4]}, ["range:l[0].x", "range:l[1].x", "size:l", "type:l[2].x", "type:l[3]"]),
+        ({"s": "x"}, ["length:s"]),
+        ({"s": 1.5, "p": []}, ["type:p", "type:s"]),
+        ({"deep": [[True], [1, "x"]]}, ["type:deep[1][0]", "type:deep[1][1]"]),
+    ],
+)
+def test_nested_schemas(spark, arguments, found):
+    (row,) = linked(spark, [(1, 0, "a", "nest", json.dumps(arguments), None)], tools=[("nest", NESTED)])
+    assert (row.problems, row.valid) == (found, not found)
+
+
+@pytest.mark.parametrize(
+    "schema, found",
+    [
+        ({"title": "t", "properties": {"a": {"description": "d", "type": "string"}}}, []),
+        ({"oneOf": [], "properties": {"a": {"pattern": "[("}}}, ["schema:oneOf", "schema:pattern"]),
+        ({"additionalProperties": {"type": "string"}}, ["schema:additionalProperties"]),
+        ({"properties": {"a": {"items": [{"type": "string"}]}}}, ["schema:items"]),
+        ({"properties": {"a": {"items": {"items": {"items": {"items": {"items": {"type": "string"}}}}}}}}, ["schema:depth"]),
+        (None, []),
+    ],
+)
+def test_what_is_not_checked_is_said(spark, schema, found):
+    text = None if schema is None else json.dumps(schema)
+    (row,) = linked(spark, [(1, 0, "a", "t", "{}", None)], tools=[("t", text)])
+    assert (row.problems, row.valid) == (found, not found)
 
 
 def expected(turns):
@@ -148,6 +235,7 @@ def expected(turns):
     for (c, t), reply in replies.items():
         if (c, t) not in users:
             found[c, reply] = (name(c, t), None, "orphan", False, reply)
+    found.update({(c, t): (None, None, "message", True, None) for c, t, role, _ in turns if role not in ("user", "assistant")})
     return found
 
 
@@ -157,6 +245,7 @@ def test_query(spark, folder):
     out = op2_chat_formatting(spark, folder).collect()
     got = {(r.conv_id, r.turn): (r.call_id, r.name, r.status, r.valid, r.result_turn) for r in out}
     assert len(out) == len(got) and got == expected(turns)
+    assert len(out) == len(turns) - sum(r.status != "orphan" and r.result_turn is not None for r in out)
     assert all(json.loads(r.message)["role"] for r in out)
     texts = {(c, t): x for c, t, _, x in turns}
     for r in out:

@@ -120,10 +120,49 @@ SELECT vec_id, CAST(a.cluster AS INTEGER) AS cluster, distance,
 FROM a3 a JOIN c3 c ON a.cluster = c.cluster
 """
 
+OP5 = """
+WITH RECURSIVE u AS (
+    SELECT vec_id, label, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS v FROM embeddings
+    WHERE label IS NOT NULL AND len(embedding) > 0
+          AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)
+          AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+n AS (SELECT *, sqrt(list_dot_product(v, v)) AS norm FROM u),
+p AS MATERIALIZED (
+    SELECT a.vec_id AS a, b.vec_id AS b
+    FROM n a JOIN n b ON a.label = b.label AND len(a.v) = len(b.v) AND a.vec_id <> b.vec_id
+    WHERE CASE WHEN len(a.v) = len(b.v) THEN list_dot_product(a.v, b.v) / (a.norm * b.norm) >= 0.93 END),
+r(vec_id, low) AS (
+    SELECT vec_id, vec_id FROM embeddings
+    UNION SELECT p.a, r.low FROM r JOIN p ON p.b = r.vec_id WHERE r.low < p.a),
+c AS (SELECT vec_id, min(low) AS component_id FROM r GROUP BY vec_id),
+k AS (SELECT a AS vec_id, count(*) AS n FROM p GROUP BY a)
+SELECT e.vec_id, coalesce(k.n, 0) AS n_links, c.component_id, e.vec_id = c.component_id AS kept
+FROM embeddings e JOIN c USING (vec_id) LEFT JOIN k USING (vec_id)
+"""
+
+OP9 = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
+u AS (SELECT doc_id, len(words) AS n, unnest(words) AS word, generate_subscripts(words, 1) AS i FROM d),
+x AS (SELECT doc_id, n, word, i, md5(string_agg(word, ' ') OVER (
+                 PARTITION BY doc_id ORDER BY i ROWS BETWEEN CURRENT ROW AND 49 FOLLOWING)) AS passage
+      FROM u),
+f AS (SELECT passage, min(doc_id) AS first FROM x WHERE i <= n - 49 GROUP BY passage),
+m AS (SELECT x.*, coalesce(x.i <= x.n - 49 AND f.first < x.doc_id, FALSE) AS opens
+      FROM x LEFT JOIN f ON f.passage = x.passage),
+g AS (SELECT *, bool_or(opens) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN 49 PRECEDING AND CURRENT ROW) AS gone
+      FROM m),
+k AS (SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS kept, count(*) AS n_kept FROM g WHERE NOT gone GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(len(words) - coalesce(n_kept, 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN k USING (doc_id)
+"""
+
 LLM_ORACLES = {
     "op4_mixing": OP4,
+    "op5_embedding_dedup": OP5,
     "op7_line_dedup": OP7,
     "op8_exact_dedup": OP8,
+    "op9_substring_dedup": OP9,
     "op11_divergence_audit": OP11,
     "op13_centroid_clustering": OP13,
 }

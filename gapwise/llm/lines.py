@@ -102,7 +102,13 @@ def remove_boilerplate(
     )
     gone = broadcast_if_small(materialize(gone, "gone"), array_bytes(cut))
     same = F.col(key).eqNullSafe(F.col("_id")) & (F.xxhash64(text) == F.col("_print"))
-    left = F.filter(_lines(F.col(text)), lambda _, at: ~F.array_contains(cut, at))
+    # The places that stay, by hash, then their lines: a look through the cut ones for every line
+    # would take the square of a long text's lines.
+    def kept(every: Column) -> Column:
+        places = F.array_except(F.sequence(F.lit(0), F.size(every) - 1), F.col(cut))
+        return F.transform(places, lambda at: F.get(every, at))
+
+    left = F.get(F.transform(F.array(_lines(F.col(text))), kept), F.lit(0))
     return (
         docs.join(gone, same, "left")
         .withColumn(n_lines, F.when(F.col(text).isNull(), 0).otherwise(F.size(_lines(F.col(text)))).cast("long"))

@@ -67,8 +67,10 @@ def test_nulls_blank_lines_and_repeats(spark):
 
 
 def test_long_text_and_empty_table(spark):
-    got = left(spark, pages(12, "menu") + [(99, "menu\n" + "x" * 2_000_000, "z")])
+    many = "".join(f"menu\nline {k} of a long text\n" for k in range(60_000))
+    got = left(spark, pages(12, "menu") + [(99, "menu\n" + "x" * 2_000_000, "z"), (98, many, "z")])
     assert got[99] == ("x" * 2_000_000, 2, 1)
+    assert got[98] == (many.replace("menu\n", ""), 120_001, 60_000)
     assert left(spark, []) == {}
 
 

@@ -108,28 +108,27 @@ def test_levels_of_random_graphs(spark, seed):
     assert {(r.conv, r.id): r.level for r in out.collect()} == {k: want.get(k, toolcalls.LAST) for k in calls}
 
 
-@pytest.mark.parametrize(
-    "name, arguments, problems",
-    [
-        ("add", '{"a":1.5,"b":2}', []),
-        ("add", '{"b":2.0,"a":1}', []),
-        ("add", '{"a":"1","b":2.5,"c":0}', ["type:a", "type:b", "unexpected:c"]),
-        ("add", '{"b":-1}', ["missing:a", "range:b"]),
-        ("say", '{"how":"loud","tags":[],"opt":{}}', []),
-        ("say", '{"how":"soft","tags":{},"opt":[1],"more":null}', ["enum:how", "type:opt", "type:tags"]),
-        ("say", '{"how":null}', ["type:how"]),
-        ("say", "[1]", ["no object"]),
-        ("say", "{broken", ["no object"]),
-        ("say", "", ["no object"]),
-        ("say", None, ["no object"]),
-        ("none", "{}", ["unknown tool"]),
-        (None, "{}", ["unknown tool"]),
-        ("bare", '{"anything":true}', []),
-    ],
-)
-def test_validation(spark, name, arguments, problems):
-    (row,) = linked(spark, [(1, 0, "a", name, arguments, None)])
-    assert (row.problems, row.valid) == (problems, not problems)
+VALIDATED = [
+    ("add", '{"a":1.5,"b":2}', []),
+    ("add", '{"b":2.0,"a":1}', []),
+    ("add", '{"a":"1","b":2.5,"c":0}', ["type:a", "type:b", "unexpected:c"]),
+    ("add", '{"b":-1}', ["missing:a", "range:b"]),
+    ("say", '{"how":"loud","tags":[],"opt":{}}', []),
+    ("say", '{"how":"soft","tags":{},"opt":[1],"more":null}', ["enum:how", "type:opt", "type:tags"]),
+    ("say", '{"how":null}', ["type:how"]),
+    ("say", "[1]", ["no object"]),
+    ("say", "{broken", ["no object"]),
+    ("say", "", ["no object"]),
+    ("say", None, ["no object"]),
+    ("none", "{}", ["unknown tool"]),
+    (None, "{}", ["unknown tool"]),
+    ("bare", '{"anything":true}', []),
+]
+
+
+def test_validation(spark):
+    rows = linked(spark, [(k, 0, "a", name, arguments, None) for k, (name, arguments, _) in enumerate(VALIDATED)])
+    assert {r.conv_id: (r.problems, r.valid) for r in rows} == {k: (p, not p) for k, (_, _, p) in enumerate(VALIDATED)}
 
 
 def test_canonical_json(spark):
@@ -173,38 +172,37 @@ NESTED = json.dumps(
 )
 
 
-@pytest.mark.parametrize(
-    "arguments, found",
-    [
-        ({"p": {"q": "no"}}, ["type:p.q"]),
-        ({"p": {"q": 1, "r": None}, "l": [{"x": 1.5}, {}], "s": 7, "deep": [[True], []]}, []),
-        ({"p": {"r": "long", "z": 1}}, ["length:p.r", "missing:p.q", "unexpected:p.z"]),
-        ({"l": [{"x": 0}, {"x": 10}, {"x": "1"}, 4]}, ["range:l[0].x", "range:l[1].x", "size:l", "type:l[2].x", "type:l[3]"]),
-        ({"s": "x"}, ["length:s"]),
-        ({"s": 1.5, "p": []}, ["type:p", "type:s"]),
-        ({"deep": [[True], [1, "x"]]}, ["type:deep[1][0]", "type:deep[1][1]"]),
-    ],
-)
-def test_nested_schemas(spark, arguments, found):
-    (row,) = linked(spark, [(1, 0, "a", "nest", json.dumps(arguments), None)], tools=[("nest", NESTED)])
-    assert (row.problems, row.valid) == (found, not found)
-
-
-@pytest.mark.parametrize(
-    "schema, found",
-    [
-        ({"title": "t", "properties": {"a": {"description": "d", "type": "string"}}}, []),
-        ({"oneOf": [], "properties": {"a": {"pattern": "[("}}}, ["schema:oneOf", "schema:pattern"]),
-        ({"additionalProperties": {"type": "string"}}, ["schema:additionalProperties"]),
-        ({"properties": {"a": {"items": [{"type": "string"}]}}}, ["schema:items"]),
-        ({"properties": {"a": {"items": {"items": {"items": {"items": {"items": {"type": "string"}}}}}}}}, ["schema:depth"]),
-        (None, []),
-    ],
-)
-def test_what_is_not_checked_is_said(spark, schema, found):
-    text = None if schema is None else json.dumps(schema)
-    (row,) = linked(spark, [(1, 0, "a", "t", "{}", None)], tools=[("t", text)])
-    assert (row.problems, row.valid) == (found, not found)
+IN_NESTED = [
+    ({"p": {"q": "no"}}, ["type:p.q"]),
+    ({"p": {"q": 1, "r": None}, "l": [{"x": 1.5}, {}], "s": 7, "deep": [[True], []]}, []),
+    ({"p": {"r": "long", "z": 1}}, ["length:p.r", "missing:p.q", "unexpected:p.z"]),
+    ({"l": [{"x": 0}, {"x": 10}, {"x": "1"}, 4]}, ["range:l[0].x", "range:l[1].x", "size:l", "type:l[2].x", "type:l[3]"]),
+    ({"s": "x"}, ["length:s"]),
+    ({"s": 1.5, "p": []}, ["type:p", "type:s"]),
+    ({"deep": [[True], [1, "x"]]}, ["type:deep[1][0]", "type:deep[1][1]"]),
+]
+
+
+def test_nested_schemas(spark):
+    calls = [(k, 0, "a", "nest", json.dumps(arguments), None) for k, (arguments, _) in enumerate(IN_NESTED)]
+    rows = linked(spark, calls, tools=[("nest", NESTED)])
+    assert {r.conv_id: (r.problems, r.valid) for r in rows} == {k: (p, not p) for k, (_, p) in enumerate(IN_NESTED)}
+
+
+SCHEMAS = [
+    ({"title": "t", "properties": {"a": {"description": "d", "type": "string"}}}, []),
+    ({"oneOf": [], "properties": {"a": {"pattern": "[("}}}, ["schema:oneOf", "schema:pattern"]),
+    ({"additionalProperties": {"type": "string"}}, ["schema:additionalProperties"]),
+    ({"properties": {"a": {"items": [{"type": "string"}]}}}, ["schema:items"]),
+    ({"properties": {"a": {"items": {"items": {"items": {"items": {"items": {"type": "string"}}}}}}}}, ["schema:depth"]),
+    (None, []),
+]
+
+
+def test_what_is_not_checked_is_said(spark):
+    tools = [(f"t{k}", None if schema is None else json.dumps(schema)) for k, (schema, _) in enumerate(SCHEMAS)]
+    rows = linked(spark, [(k, 0, "a", f"t{k}", "{}", None) for k in range(len(SCHEMAS))], tools=tools)
+    assert {r.conv_id: (r.problems, r.valid) for r in rows} == {k: (p, not p) for k, (_, p) in enumerate(SCHEMAS)}
 
 
 def expected(turns):

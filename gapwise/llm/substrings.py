@@ -12,13 +12,18 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gapwise.llm.tables import array_bytes, broadcast_if_small, utf8
-from gapwise.llm.words import in_chunks, in_slices, window_hashes, word_hashes
+from gapwise.llm.words import in_chunks, in_slices, mixed, window_hashes, word_hashes
 from gapwise.scratch import materialize
 
 WINDOW = 50
 
 _PLACE = "doc_id long, hash long, at int"
 _PLACES = pa.schema([("doc_id", pa.int64()), ("hash", pa.int64()), ("at", pa.int32())])
+# Whole windows are told apart by two hashes: among the windows of 100 TB one of 64 bits would call
+# tens of thousands of different ones equal.
+_WIDE_PLACE = f"{_PLACE}, more long"
+_WIDE_PLACES = _PLACES.append(pa.field("more", pa.int64()))
+_OTHER = np.uint64(0x8CB92BA72F3D8DD7)
 
 
 def _lowest(hashes: np.ndarray, span: int) -> np.ndarray:
@@ -52,24 +57,24 @@ def _anchors(half: int, span: int):
     return of
 
 
-def _places(ids: list, found: list, places: list) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays(
-        [
-            pa.array(np.concatenate(ids)),
-            pa.array(np.concatenate(found).view(np.int64)),
-            pa.array(np.concatenate(places)),
-        ],
-        schema=_PLACES,
-    )
+def _places(ids: list, found: list, places: list, more: list | None = None) -> pa.RecordBatch:
+    columns = [
+        pa.array(np.concatenate(ids)),
+        pa.array(np.concatenate(found).view(np.int64)),
+        pa.array(np.concatenate(places)),
+    ]
+    if more is None:
+        return pa.RecordBatch.from_arrays(columns, schema=_PLACES)
+    return pa.RecordBatch.from_arrays([*columns, pa.array(np.concatenate(more).view(np.int64))], schema=_WIDE_PLACES)
 
 
 def _doubled(half: int, span: int):
-    """Windows of twice the length whose chosen half-length window survived."""
+    """Windows of twice the length whose chosen half-length window survived, with two hashes."""
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for rows in in_slices(batch):
-                ids, found, places = [], [], []
+                ids, found, places, more = [], [], [], []
                 for key, text, kept in zip(*rows):
                     words = word_hashes(text)
                     halves = window_hashes(words, half)
@@ -80,9 +85,10 @@ def _doubled(half: int, span: int):
                     at = np.flatnonzero(live[_lowest(halves, span)])
                     ids.append(np.full(len(at), key, np.int64))
                     found.append(window_hashes(words, 2 * half)[at])
+                    more.append(window_hashes(mixed(words ^ _OTHER), 2 * half)[at])
                     places.append(at.astype(np.int32))
                 if ids:
-                    yield _places(ids, found, places)
+                    yield _places(ids, found, places, more)
 
     return of
 
@@ -106,19 +112,23 @@ def _runs(length: int):
     return of
 
 
-def _repeated(places: DataFrame) -> DataFrame:
-    """Hashes that occur in two documents or more, with the smallest identifier.
+def _repeated(places: DataFrame, *hashes: str) -> DataFrame:
+    """``hashes`` (renamed with a leading underscore) that occur in two documents or more, with the smallest identifier.
 
     Written out, so that a small table can be sent to all tasks and the join to a large one can
     split the places of a hash that very many documents have.
     """
     found = (
-        places.groupBy("hash")
+        places.groupBy(*[F.col(h).alias(f"_{h}") for h in hashes])
         .agg(F.min("doc_id").alias("first_id"), F.max("doc_id").alias("last_id"))
         .where("first_id < last_id")
-        .select(F.col("hash").alias("repeated"), "first_id")
+        .drop("last_id")
     )
-    return broadcast_if_small(materialize(found, "repeated"), 24)
+    return broadcast_if_small(materialize(found, "repeated"), 16 + 8 * len(hashes))
+
+
+def _where_repeated(places: DataFrame, *hashes: str) -> DataFrame:
+    return places.join(_repeated(places, *hashes), [F.col(h) == F.col(f"_{h}") for h in hashes])
 
 
 def repeated_spans(
@@ -128,7 +138,7 @@ def repeated_spans(
     a document with a smaller identifier: ``doc_id`` and ``spans``, an array start, end, start, ….
 
     Windows are counted at half the length first; only windows around repeated ones are extended
-    to twice that and counted again. Documents without such words have no row; null texts, null
+    to twice that and counted again, told apart by 128 bits. Documents without such words have no row; null texts, null
     identifiers and texts of fewer words have none. Repeats within one document do not count.
     Identifiers are unique, but for fully repeated rows, which get the same spans.
     """
@@ -140,7 +150,7 @@ def repeated_spans(
     )
     anchors = materialize(rows.mapInArrow(_anchors(half, span), _PLACE), "anchors")
     live = (
-        anchors.join(_repeated(anchors), F.col("hash") == F.col("repeated"))
+        _where_repeated(anchors, "hash")
         .groupBy("doc_id")
         .agg(F.collect_list("at").alias("kept"))
     )
@@ -148,11 +158,11 @@ def repeated_spans(
     doubled = (
         rows.join(broadcast_if_small(live, array_bytes("kept")), "doc_id")
         .select("doc_id", "text", "kept")
-        .mapInArrow(_doubled(half, span), _PLACE)
+        .mapInArrow(_doubled(half, span), _WIDE_PLACE)
     )
     doubled = materialize(doubled, "doubled")
     later = (
-        doubled.join(_repeated(doubled), F.col("hash") == F.col("repeated"))
+        _where_repeated(doubled, "hash", "more")
         .where("doc_id > first_id")
         .groupBy("doc_id")
         .agg(F.collect_list("at").alias("starts"))

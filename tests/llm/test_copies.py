@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -95,3 +96,18 @@ def test_substring_other_length(spark):
 def test_substring_query(spark, sf_dir):
     got = sorted(tuple(r) for r in op9_substring_dedup(spark, sf_dir).collect())
     assert got == brute.substrings(read(spark, sf_dir))
+
+
+def test_whole_windows_have_two_hashes():
+    """Equal windows agree in both, different ones in neither."""
+    texts = [" ".join(f"w{k}" for k in range(a, a + 60)) for a in (0, 5, 1000)]
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array([1, 2, 3]), pa.array([t.encode() for t in texts]), pa.array([list(range(36))] * 3)], names=["doc_id", "text", "kept"]
+    )
+    (out,) = substrings._doubled(25, 26)([batch])
+    rows = list(zip(*(out.column(c).to_pylist() for c in ("doc_id", "at", "hash", "more"))))
+    assert len(rows) == 3 * 11
+    pairs = {(texts[i - 1].split()[at]): (h, m) for i, at, h, m in rows}
+    assert all(pairs[texts[i - 1].split()[at]] == (h, m) for i, at, h, m in rows)
+    assert len({h for h, _ in pairs.values()}) == len({m for _, m in pairs.values()}) == len(pairs) == 16 + 11
+    assert not {h for h, _ in pairs.values()} & {m for _, m in pairs.values()}

@@ -91,6 +91,12 @@ def test_reclaiming_keeps_what_readers_and_chains_need(spark, tmp_path, files):
     first = spec_for(tmp_path, files("a.csv", SAMPLE), "one", "2019-10-01", "2019-10-03", keep_state=True, table="reclaimed")
     run_batch(spark, first)
     run_batch(spark, replace(first, input=files("b.csv", MORE), run_id="two", start_date="2019-10-03", end_date="2019-10-04", state_from="one"))
+    plan = {r.dt: (r.run_id, r.because, r.steps) for r in batch.redo_plan(spark, first.output, ["2019-10-01"]).collect()}
+    assert plan == {
+        "2019-10-01": ("one", "asked", 0),
+        "2019-10-02": ("one", "same run", 0),
+        "2019-10-03": ("two", "state", 1),
+    }
     run_batch(spark, replace(first, input=files("c.csv", AGAIN), run_id="three", start_date="2019-10-02", end_date="2019-10-03"))
     before = sorted(current_events(spark, first.output).drop("ingested_at").collect())
     assert reclaimable(spark, first.output).isEmpty(), "everything is younger than the grace period"

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gapwise.llm.tables import free_name
-from gapwise.llm.words import in_slices
+from gapwise.llm.words import giving_back, in_slices
 from gapwise.scratch import materialize
 
 TRAIN_ROWS = 2_000  # labelled rows per language, about
@@ -188,10 +188,10 @@ def fit(
         share = F.when(F.col(lang) == name, train_rows / n).otherwise(share)
     sample = rows.where(place < share).select(lang, text)
     words = materialize(
-        sample.mapInArrow(_counts, "lang string, item string, n long").groupBy("lang", "item").agg(F.sum("n").alias("n")),
+        sample.mapInArrow(giving_back(_counts), "lang string, item string, n long").groupBy("lang", "item").agg(F.sum("n").alias("n")),
         "words",
     )
-    pieces = words.mapInArrow(_gram_counts, "lang string, size int, item string, n long")
+    pieces = words.mapInArrow(giving_back(_gram_counts), "lang string, size int, item string, n long")
     pieces = materialize(pieces.groupBy("lang", "size", "item").agg(F.sum("n").alias("n")), "grams")
     return Model(
         langs,
@@ -215,8 +215,7 @@ def predicted(spark: SparkSession, model: Model, text: Column, known: bool = Fal
     """
     shared = spark.sparkContext.broadcast(model)
 
-    @F.arrow_udf("lang_pred string, score double" + (", known double" if known else ""))
-    def scored(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    def found(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         model: Model = shared.value
         places = _Places(model, known)
         for column in texts:
@@ -250,6 +249,10 @@ def predicted(spark: SparkSession, model: Model, text: Column, known: bool = Fal
                 columns.append(pa.array(shares, pa.float64()))
             yield pa.StructArray.from_arrays(columns, ["lang_pred", "score", "known"][: len(columns)])
 
+    @F.arrow_udf("lang_pred string, score double" + (", known double" if known else ""))
+    def scored(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        yield from giving_back(found)(texts)
+
     return scored(text)
 
 

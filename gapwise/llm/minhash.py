@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from gapwise.llm.blocks import chunk, dealt, every, lowest_reached, whole_blocks
 from gapwise.llm.components import components
 from gapwise.llm.tables import broadcast_if_small, compact, free_name, parts, utf8
-from gapwise.llm.words import in_chunks, joined, mixed, window_hashes, word_hashes
+from gapwise.llm.words import giving_back, in_chunks, joined, mixed, window_hashes, word_hashes
 from gapwise.scratch import materialize
 
 WORDS = 5
@@ -89,7 +89,7 @@ def _signed(words: int, bands: int, rows: int):
                     names=["doc_id", "n", "set_id", "bands"],
                 )
 
-    return of
+    return giving_back(of)
 
 
 def _sets(words: int):
@@ -101,7 +101,7 @@ def _sets(words: int):
                     [pa.array(keys, pa.int64()), pa.array(sets, pa.binary())], names=["id", "set"]
                 )
 
-    return of
+    return giving_back(of)
 
 
 def _verified(threshold: float):
@@ -155,7 +155,7 @@ def _compared(threshold: float):
                     [pa.array(ids[low < ids]), pa.array(low[low < ids])], names=["a", "b"]
                 )
 
-    return of
+    return giving_back(of)
 
 
 def near_classes(

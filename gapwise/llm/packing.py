@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gapwise.llm.tables import ranked
-from gapwise.llm.words import in_slices
+from gapwise.llm.words import giving_back, in_slices
 from gapwise.scratch import materialize
 
 CAPACITY = 2048
@@ -84,7 +84,7 @@ def _pieces(capacity: int, vocabulary: str, with_ids: bool):
                     [pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema
                 )
 
-    return of
+    return giving_back(of)
 
 
 def token_pieces(

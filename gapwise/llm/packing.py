@@ -54,6 +54,10 @@ def _encoders(name: str):
     return plain, whole
 
 
+def _forget_encoders() -> None:
+    _encoders.cache_clear()
+
+
 def token_ids(text: str | None, vocabulary: str = "byte_bpe_50k") -> np.ndarray:
     """Ids of the whole text without special tokens.
 
@@ -84,7 +88,7 @@ def _pieces(capacity: int, vocabulary: str, with_ids: bool):
                     [pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema
                 )
 
-    return giving_back(of)
+    return giving_back(of, _forget_encoders)
 
 
 def token_pieces(

@@ -101,14 +101,18 @@ def in_chunks(batch: pa.RecordBatch, limit: int = 2 << 20) -> Iterator[tuple[lis
         yield keys, texts
 
 
-def giving_back(of: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
-    """``of`` for a task; when its rows are through, memory that the worker holds without use goes
-    back to the system. An idle worker that kept it would count beside the tasks of other steps."""
+def giving_back(
+    of: Callable[[Iterator], Iterator], forget: Callable[[], None] = _hashes.clear
+) -> Callable[[Iterator], Iterator]:
+    """``of`` for a task; when its rows are through, ``forget`` drops what the task kept for later
+    ones, and unused memory goes back to the system. An idle worker that kept it would count beside
+    the tasks of other steps."""
 
     def run(batches: Iterator) -> Iterator:
         try:
             yield from of(batches)
         finally:
+            forget()
             pa.default_memory_pool().release_unused()
             trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # where the C library has it
             if trim:

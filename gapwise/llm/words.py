@@ -101,8 +101,13 @@ def in_chunks(batch: pa.RecordBatch, limit: int = 2 << 20) -> Iterator[tuple[lis
         yield keys, texts
 
 
+def forget_hashes() -> None:
+    """A function of the module, so that a task clears its worker's own table, not a copy."""
+    _hashes.clear()
+
+
 def giving_back(
-    of: Callable[[Iterator], Iterator], forget: Callable[[], None] = _hashes.clear
+    of: Callable[[Iterator], Iterator], forget: Callable[[], None] = forget_hashes
 ) -> Callable[[Iterator], Iterator]:
     """``of`` for a task; when its rows are through, ``forget`` drops what the task kept for later
     ones, and unused memory goes back to the system. An idle worker that kept it would count beside

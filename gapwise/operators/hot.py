@@ -95,7 +95,40 @@ def spread_join(df: DataFrame, table: DataFrame, same: Column, how: str) -> Data
     """Join of ``df`` to ``table``, which has one row per key, with each key's rows in many tasks."""
     salted = df.withColumn("_salt", F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)))
     copies = table.withColumn("_copy", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    return salted.join(copies, same & (F.col("_salt") == F.col("_copy")), how).drop("_salt", "_copy")
+    return _salted_join(salted, copies, same, how)
+
+
+def _salted_join(salted: DataFrame, copies: DataFrame, same: Column, how: str) -> DataFrame:
+    # Spark takes the copies for as small as the file they are made from, and would broadcast them.
+    both = same & (F.col("_salt") == F.col("_copy"))
+    return salted.join(copies.hint("merge"), both, how).drop("_salt", "_copy")
+
+
+def long_join(df: DataFrame, table: DataFrame, same: Column, how: str, named: str, hot: HotKeys | None) -> DataFrame:
+    """Join of ``df`` to a ``table`` too long to broadcast, whose key columns begin with ``named``.
+
+    Only the rows of ``hot`` keys of ``df`` are spread over tasks, so only rows of these are copied;
+    all others meet by a plain shuffle.
+    """
+    if hot is None:
+        return df.join(table.hint("merge"), same, how)
+    if not hot.short:
+        return spread_join(df, table, same, how)
+    columns = [f"_hot_{k}" for k in hot.keys]
+    listed = F.broadcast(hot.table.withColumn("_is_hot", F.lit(True)))
+
+    def marked(side: DataFrame, prefix: str) -> DataFrame:
+        on = F.lit(True)
+        for key, column in zip(hot.keys, columns):
+            on = on & F.col(f"{prefix}{key}").eqNullSafe(F.col(column))
+        return side.join(listed, on, "left").drop(*columns)
+
+    is_hot = F.coalesce("_is_hot", F.lit(False))
+    salt = F.when(is_hot, F.pmod(F.monotonically_increasing_id(), F.lit(SALTS))).otherwise(0)
+    every = F.when(is_hot, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
+    salted = marked(df, "").withColumn("_salt", salt).drop("_is_hot")
+    copies = marked(table, named).withColumn("_copy", F.explode(every)).drop("_is_hot")
+    return _salted_join(salted, copies, same, how)
 
 
 def cut_into_ranges(df: DataFrame, rule: GapRule, ranges: int) -> DataFrame:

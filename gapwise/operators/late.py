@@ -37,19 +37,19 @@ def merge_late_events(
     What is shuffled grows with the late events and the sessions they touch.  Stored rows are read
     three times: the bounds of the sessions of late keys, the rows of touched sessions, and once to
     pass all rows on, with the number that theirs is moved by joined to them (by broadcast, if that
-    table is short).  Late events meet sessions in buckets of a day, so a key with a long history
+    table is short, else by a shuffle that spreads the rows of hot keys).  Late events meet sessions in buckets of a day, so a key with a long history
     is many small groups; one row per (key, day) and one per touched or new session are what a
     single task may sort of one key.
     """
     columns = [c for c in stored.columns if c not in SESSION_COLUMNS]
     late = materialize(late.select(*columns), "late")
     known = _named(materialize(late.select(*rule.keys).distinct(), "late-keys"), rule, "_late")
-    sessions = materialize(_sessions_of(stored, known, rule), "sessions")
+    sessions = materialize(_sessions_of(stored, known, rule, hot_rows), "sessions")
     touched = materialize(_touched(sessions, late, rule), "touched")
 
     of_touched = _named(touched, rule, "_of").withColumnRenamed("session_seq", "_of_seq")
     same_session = _same(rule, "_of") & (F.col("session_seq") == F.col("_of_seq"))
-    again = _short_join(stored, of_touched, same_session, "left_semi")
+    again = _short_join(stored, of_touched, same_session, "left_semi", rule, "_of", hot_rows)
     before = [F.col(c).alias(f"_old_{c}") for c in SESSION_COLUMNS]
     rows = again.select(*columns, *before).unionByName(late, allowMissingColumns=True)
     numbered = materialize(sessionize(materialize(rows, "again"), rule, hot_rows), "numbered-again")
@@ -61,9 +61,8 @@ def merge_late_events(
     changed = F.lit(False)
     for column, now in zip(SESSION_COLUMNS, (seq, F.col("session_start"), F.col("session_event_seq"))):
         changed = changed | ~F.col(f"_old_{column}").eqNullSafe(now)
-    renumbered = _short_join(
-        numbered, placed, _same(rule, "_new") & (F.col("session_seq") == F.col("_new_nth")), "inner"
-    ).select(*columns, seq.alias("session_seq"), "session_start", "session_event_seq", changed.alias("is_changed"))
+    same_new = _same(rule, "_new") & (F.col("session_seq") == F.col("_new_nth"))
+    renumbered = _short_join(numbered, placed, same_new, "inner", rule, "_new", hot_rows).select(*columns, seq.alias("session_seq"), "session_start", "session_event_seq", changed.alias("is_changed"))
 
     moves = _named(materialize(_moves(sessions, touched, new, rule), "moves"), rule, "_move")
     day = _bucket(F.col("session_start"))
@@ -71,7 +70,7 @@ def merge_late_events(
     here = _same(rule, "_move") & (day == F.col("_day")) & (start >= F.col("_from")) & (
         F.col("_to").isNull() | (start < F.col("_to"))
     )
-    passed = _short_join(stored.withColumn("_seq", F.col("session_seq")), moves, here, "left")
+    passed = _short_join(stored.withColumn("_seq", F.col("session_seq")), moves, here, "left", rule, "_move", hot_rows)
     passed = passed.filter(~F.coalesce("_gone", F.lit(False)))
     moved = F.coalesce("_by", F.lit(0).cast("long"))
     passed = passed.select(
@@ -94,22 +93,35 @@ def _same(rule: GapRule, prefix: str) -> Column:
     return same
 
 
-def _short_join(df: DataFrame, table: DataFrame, on: Column, how: str) -> DataFrame:
-    """``df`` stays where it is if ``table``, a written one, is short; else rows of a key are spread."""
-    if table.limit(hot_keys.BROADCAST_ROWS + 1).count() <= hot_keys.BROADCAST_ROWS:
+def _is_short(table: DataFrame) -> bool:
+    return table.limit(hot_keys.BROADCAST_ROWS + 1).count() <= hot_keys.BROADCAST_ROWS
+
+
+def _short_join(
+    df: DataFrame, table: DataFrame, on: Column, how: str, rule: GapRule, prefix: str, hot_rows: int | None
+) -> DataFrame:
+    """``df`` stays where it is if ``table``, a written one, is short; else rows of hot keys are spread."""
+    if _is_short(table):
         return df.join(F.broadcast(table), on, how)
-    return hot_keys.spread_join(df, table, on, how)
+    hot = hot_keys.find_hot_keys(df, rule.keys, hot_rows or hot_keys.HOT_ROWS)
+    return hot_keys.long_join(df, table, on, how, f"{prefix}_", hot)
+
+
+def _sized(df: DataFrame, written: DataFrame) -> DataFrame:
+    """``df``, with no more rows than ``written``, for a join: the size of a file does not tell Spark
+    how much a broadcast of its rows takes."""
+    return F.broadcast(df) if _is_short(written) else df.hint("merge")
 
 
 def _bucket(time: Column) -> Column:
     return F.floor(F.unix_timestamp(time) / BUCKET_SECONDS)
 
 
-def _sessions_of(stored: DataFrame, keys: DataFrame, rule: GapRule) -> DataFrame:
+def _sessions_of(stored: DataFrame, keys: DataFrame, rule: GapRule, hot_rows: int | None) -> DataFrame:
     """Bounds of the sessions of the late events' keys; combines on the map side."""
     rows = stored.select(*rule.keys, rule.time, "session_seq", "session_start")
     return (
-        _short_join(rows, keys, _same(rule, "_late"), "left_semi")
+        _short_join(rows, keys, _same(rule, "_late"), "left_semi", rule, "_late", hot_rows)
         .groupBy(*rule.keys, "session_seq")
         .agg(F.min("session_start").alias("_start"), F.max(rule.time).alias("_end"))
     )
@@ -131,7 +143,7 @@ def _touched(sessions: DataFrame, late: DataFrame, rule: GapRule) -> DataFrame:
         & (gap_in_seconds(F.col("_at"), F.col("_start")) < reach)
         & (gap_in_seconds(F.col("_end"), F.col("_at")) < reach)
     )
-    return spans.join(times, met, "left_semi").select(*rule.keys, "session_seq", "_start").distinct()
+    return spans.join(_sized(times, late), met, "left_semi").select(*rule.keys, "session_seq", "_start").distinct()
 
 
 def _steps(touched: DataFrame, new: DataFrame, rule: GapRule) -> DataFrame:
@@ -162,7 +174,7 @@ def _moves(sessions: DataFrame, touched: DataFrame, new: DataFrame, rule: GapRul
     spread = steps.select(*rule.keys, F.explode(F.sequence(first, end)).alias("_day"), "_from", "_to", "_by")
     # A touched session has a step at its start; it alone starts there.
     old = _named(touched.select(*rule.keys, F.col("_start").alias("_gone_at")), rule, "_old")
-    alone = spread.join(old, _same(rule, "_old") & (F.col("_from") == F.col("_gone_at")), "left")
+    alone = spread.join(_sized(old, touched), _same(rule, "_old") & (F.col("_from") == F.col("_gone_at")), "left")
     tick = F.expr("INTERVAL 1 MICROSECOND")
     kept = alone.select(
         *rule.keys,
@@ -203,7 +215,7 @@ def _new_numbers(sessions: DataFrame, touched: DataFrame, new: DataFrame, rule:
         sessions.select(*rule.keys, F.col("session_seq").alias("_other"), F.col("_start").alias("_other_start")), rule, "_that"
     ).withColumn("_that_day", _bucket(F.col("_other_start")))
     on_day = _same(rule, "_that") & (F.col("_day") == F.col("_that_day")) & (F.col("_other_start") < start)
-    below = with_days.join(that_day, on_day, "left").groupBy(*rule.keys, "_nth", "_start").agg(
+    below = with_days.join(_sized(that_day, sessions), on_day, "left").groupBy(*rule.keys, "_nth", "_start").agg(
         F.coalesce(F.max("_other"), F.max("_before_day"), F.lit(0).cast("long")).alias("_below")
     )
     # Touched sessions that start before it no longer count.

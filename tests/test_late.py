@@ -109,3 +109,34 @@ def test_only_rows_of_touched_sessions_are_shuffled(spark):
     # What remains to be run passes all rows on without moving one: only short tables are broadcast.
     assert "hashpartitioning" not in plan and "rangepartitioning" not in plan
     assert out.filter("is_changed").count() == 1
+
+
+def test_long_tables_are_not_broadcast(spark, monkeypatch):
+    """Spark would send a table that was counted as too long, for the small file it is read from, or
+    for the one whose rows are copied to many tasks."""
+    rows = random_rows(6, 4, 300)
+    monkeypatch.setattr(hot, "BROADCAST_ROWS", 3)
+    joined = []
+    for hot_rows in (None, 10_000):
+        out, _, _ = merged(spark, rows, [r[2] for r in rows if r[2] % 4 == 0], hot_rows=hot_rows)
+        joined.append(out)
+    table = spark.createDataFrame([("a", 1), (None, 2)], "_of_k string, n int")
+    df = spark.createDataFrame(rows, SCHEMA)
+    joined.append(hot.spread_join(df, table, F.col("k").eqNullSafe(F.col("_of_k")), "left"))
+    mode = spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("simple")
+    for out in joined:
+        plan = out._jdf.queryExecution().explainString(mode)
+        assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
+@pytest.mark.parametrize("how", ["inner", "left", "left_semi"])
+def test_long_join_spreads_hot_keys_only(spark, how):
+    rows = [(k, at(0), i) for i, k in enumerate(["a"] * 50 + [None] * 40 + ["b", "c", "c"])]
+    df = spark.createDataFrame(rows, SCHEMA)
+    table = spark.createDataFrame([("a", 1), ("c", 2), (None, 3), ("z", 4)], "_of_k string, n int")
+    same = F.col("k").eqNullSafe(F.col("_of_k"))
+    found = hot.find_hot_keys(df, ["k"], 20)
+    assert sorted(str(r[0]) for r in found.table.collect()) == ["None", "a"]
+    out = hot.long_join(df, table, same, how, "_of_", found)
+    assert out.columns == df.join(table, same, how).columns
+    assert out.exceptAll(df.join(table, same, how)).isEmpty() and out.count() == df.join(table, same, how).count()

@@ -81,29 +81,46 @@ def with_day(events: DataFrame, zone: str = DEFAULT_ZONE) -> DataFrame:
     return events.withColumn("dt", local_day(F.col("event_time_utc"), zone))
 
 
+# Rows of one task that writes many small files; files above that size have a task each.
+TASK_ROWS = 50_000
+
+
+def deal_days(files: dict[str | None, int], per_task: int) -> tuple[list[tuple[str | None, int, int]], int]:
+    """Where the files of each day are written: (day, its first task, its files), and the tasks in all.
+
+    File n of a day is in the n-th task from its first. Up to ``per_task`` days with about as many
+    files share tasks, which have one file of each.
+    """
+    # Rows without a time have no day, and a folder like any other.
+    most_first = sorted(files.items(), key=lambda f: (-f[1], f[0] is not None, f[0]))
+    plan, tasks = [], 0
+    for at in range(0, len(most_first), per_task):
+        together = most_first[at : at + per_task]
+        plan += [(day, tasks, count) for day, count in together]
+        tasks += together[0][1]
+    return plan, tasks
+
+
 def gather_by_day(
     rows: DataFrame, file_rows: int | None = None, counted: DataFrame | None = None
 ) -> DataFrame:
     """Bring each day's rows together, big days over several tasks.
 
-    With ``file_rows`` a day gets ceil(rows / file_rows) tasks, so as many files; the rows per day
-    are counted first (in ``counted``, if that is cheaper to read). Without, a rebalance: a day that outgrows
+    With ``file_rows`` a day is dealt to ceil(rows / file_rows) tasks, so gets as many files; if these
+    are small, the tasks have files of other days too (see ``deal_days``). The rows per day are counted first (in ``counted``, if that is cheaper to read). Without, a rebalance: a day that outgrows
     ``spark.sql.adaptive.advisoryPartitionSizeInBytes`` is spread over tasks of about that size.
     """
     if file_rows is None:
         return rows.hint("rebalance", "dt")
     days = (rows if counted is None else counted).groupBy("dt").count()
     counts = {r["dt"]: r["count"] for r in days.collect()}  # one row per calendar day
-    plan, slots = [], 0
-    # Rows without a time have no day, and a folder like any other.
-    for day, count in sorted(counts.items(), key=lambda c: (c[0] is not None, c[0])):
-        plan.append((day, slots, files := -(-count // file_rows)))
-        slots += files
+    files = {day: -(-count // file_rows) for day, count in counts.items()}
+    plan, tasks = deal_days(files, max(1, TASK_ROWS // file_rows))
     planned = rows.sparkSession.createDataFrame(plan, "_day string, _first int, _files int")
     row = F.xxhash64(*[c for c in rows.columns if c != "dt"])
     slot = (F.col("_first") + F.pmod(row, "_files")).cast("int")
     placed = rows.join(F.broadcast(planned), F.col("dt").eqNullSafe(F.col("_day")))
-    return placed.repartitionById(max(slots, 1), slot).select(*rows.columns)
+    return placed.repartitionById(max(tasks, 1), slot).select(*rows.columns)
 
 
 def publishable(numbered: DataFrame, run_id: str, zone: str = DEFAULT_ZONE) -> DataFrame:

@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from gapwise.operators import metrics
-from gapwise.operators.event_sessions import gather_by_day
+from gapwise.operators.event_sessions import deal_days, gather_by_day
 from gapwise.operators.sessions import GapRule, sessionize, sessionize_by_chunk
 from gapwise.scratch import materialize, scratch_path
 from gapwise.sources import events as source
@@ -99,6 +99,25 @@ def test_rows_without_a_day_are_gathered(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "days")).count() == 100
 
 
+def test_small_files_of_several_days_share_tasks(spark, tmp_path):
+    """Each day gets its own number of files, from as few tasks as the day with the most needs."""
+    days = {"2024-01-01": 90, "2024-01-02": 30, "2024-01-03": 85, None: 5}
+    rows = spark.createDataFrame([(i, d) for d, n in days.items() for i in range(n)], "id int, dt string")
+    placed = gather_by_day(rows, file_rows=10)
+    assert placed.rdd.getNumPartitions() == 9
+    lake.write_days(placed, str(tmp_path / "days"))
+    files = [p.parent.name for p in (tmp_path / "days").glob("dt=*/*.parquet")]
+    assert {d: files.count(f"dt={d}") for d in days if d} == {"2024-01-01": 9, "2024-01-02": 3, "2024-01-03": 9}
+    assert same(spark.read.schema(rows.schema).parquet(str(tmp_path / "days")), rows)
+
+
+def test_days_of_about_as_many_files_are_dealt_together():
+    plan, tasks = deal_days({"a": 1, "b": 5, "c": 4, None: 2}, 2)
+    assert plan == [("b", 0, 5), ("c", 0, 4), (None, 5, 2), ("a", 5, 1)] and tasks == 7
+    assert deal_days({"a": 3, "b": 2}, 1) == ([("a", 0, 3), ("b", 3, 2)], 5)
+    assert deal_days({}, 4) == ([], 0)
+
+
 def plan_of(df):
     return df._jdf.queryExecution().toString()
 

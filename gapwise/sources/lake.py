@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gapwise.operators.event_sessions import LAKE_SCHEMA
+from gapwise.operators.event_sessions import LAKE_SCHEMA, deal_days
 
 
 @dataclass(frozen=True)
@@ -350,6 +350,10 @@ def remove_folders(spark: SparkSession, root: str, folders: DataFrame) -> int:
     return removed
 
 
+# Bytes that one task writes as many small files; files above that size have a task each.
+TASK_BYTES = 4 << 20
+
+
 def compact_days(
     spark: SparkSession,
     root: str,
@@ -361,24 +365,22 @@ def compact_days(
     """Write the days of ``pointer`` as a new version with files of about ``file_bytes``.
 
     A day gets ceil(bytes / file_bytes) files.  Rows are dealt to a day's files by their place in
-    the source files, so the files come out even whatever the keys are.  Returns the planned
+    the source files, so the files come out even whatever the keys are.  Small files of several days
+    are written by one task.  Returns the planned
     number of files per day.  See ``cluster_days`` for files that hold neighbouring users and times.
     """
     # One row per calendar day.
     sizes = {r["dt"]: r["bytes"] for r in current_day_files(spark, root, pointer).collect()}
     files = {day: max(1, ceil(size / file_bytes)) for day, size in sorted(sizes.items())}
-    slots, first = [], 0
-    for day, count in files.items():
-        slots.append((day, first, count))
-        first += count
-    plan = spark.createDataFrame(slots, "dt string, _first int, _files int")
+    dealt_days, tasks = deal_days(files, max(1, TASK_BYTES // file_bytes))
+    plan = spark.createDataFrame(dealt_days, "dt string, _first int, _files int")
     # In turn from a source file's rows on, each file beginning somewhere else.
     begin = F.pmod(F.xxhash64("_metadata.file_path"), F.lit(1 << 40))
     place = (begin + F.col("_metadata.row_index")).alias("_place")
     dealt = current_rows(spark, root, pointer, schema, place).join(F.broadcast(plan), "dt")
     slot = (F.col("_first") + F.pmod("_place", "_files")).cast("int")
     columns = [f.name for f in schema]
-    gathered = dealt.repartitionById(max(first, 1), slot).select(*columns)
+    gathered = dealt.repartitionById(max(tasks, 1), slot).select(*columns)
     write_days(gathered, version_path(root, run_id))
     return files
 

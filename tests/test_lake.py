@@ -157,6 +157,39 @@ def test_a_user_filter_reads_few_row_groups(spark, sf_dir, tmp_path):
         assert sum(low <= user <= high for low, high in groups) < len(groups) / 10
 
 
+def small_lake(spark, root):
+    days = F.concat(F.lit("2024-01-0"), (F.col("id") % 3 + 1).cast("string"))
+    columns = [F.lit(None).cast(f.dataType).alias(f.name) for f in LAKE_SCHEMA if f.name not in ("dt", "product_id", "user_id", "event_time_utc", "run_id")]
+    rows = spark.range(6_000).select(
+        days.alias("dt"), F.col("id").alias("product_id"), (F.col("id") % 97).alias("user_id"), F.timestamp_seconds("id").alias("event_time_utc"), *columns, F.lit("one").alias("run_id")
+    ).select(*LAKE_SCHEMA.fieldNames())
+    lake.write_days(rows.repartition(1), lake.version_path(root, "one"))
+    return rows, spark.createDataFrame([(f"2024-01-0{d}", "one") for d in (1, 2, 3)], "dt string, run_id string")
+
+
+def seen_tasks(monkeypatch):
+    tasks = []
+    real = lake.write_days
+
+    def write(rows, path, *args, **options):
+        tasks.append(rows.rdd.getNumPartitions())
+        return real(rows, path, *args, **options)
+
+    monkeypatch.setattr(lake, "write_days", write)
+    return tasks
+
+
+def test_a_compaction_into_small_files_takes_few_tasks(spark, tmp_path, monkeypatch):
+    root = str(tmp_path / "lake")
+    rows, pointer = small_lake(spark, root)
+    tasks = seen_tasks(monkeypatch)
+    planned = lake.compact_days(spark, root, pointer, "two", 2_048)
+    assert tasks == [max(planned.values())] and sum(planned.values()) > 2 * tasks[0] > 10
+    copied = lake.version_path(root, "two")
+    assert {r["dt"]: r["files"] for r in lake.day_files(spark, copied).collect()} == planned
+    assert lake.read_days(spark, copied).exceptAll(rows).isEmpty() and lake.read_days(spark, copied).count() == 6_000
+
+
 def test_a_run_with_cut_lines(spark, tmp_path, files):  # noqa: F811
     """Fields that do not parse are published as NULL and kept as text, or rejected, or ignored."""
     text = SAMPLE.replace("view,1001", "view,x1001").replace("700.00", "seven hundred")

@@ -429,13 +429,16 @@ def cluster_days(
     on a user or on an hour skips nearly all of them by their bounds.  The curve goes over the user
     numbers themselves, for bounds say nothing about hashes.  Ranges of the curve are cut by a sample
     into about equal files, so a user with more rows than a file takes several, by time; a file at
-    the edge of two days is one of each.  Returns the number of ranges.
+    the edge of two days is one of each.  Small files are cut by their number of rows out of ranges
+    that hold several, one for each task.  Returns the number of files asked for; days and tasks
+    that end within a file add one each.
 
     Rows without a user come first.  The rows are read twice, the first time only users and times.
     """
     # One row per calendar day.
     sizes = [r["bytes"] for r in current_day_files(spark, root, pointer).collect()]
-    ranges = max(1, sum(ceil(size / file_bytes) for size in sizes))
+    files = max(1, sum(ceil(size / file_bytes) for size in sizes))
+    tasks = ceil(files / max(1, TASK_BYTES // file_bytes))
     rows = current_rows(spark, root, pointer, schema)
     user, micros = F.col("user_id"), F.unix_micros("event_time_utc")
     bounds = rows.groupBy(F.col("dt").alias("_day")).agg(
@@ -449,7 +452,9 @@ def cluster_days(
         interleaved(_scaled(user, F.col("_low"), F.col("_high")), _scaled(micros, F.col("_first"), F.col("_last"))),
     )
     order = ["dt", "_place"]
-    along = placed.repartitionByRange(ranges, *order).sortWithinPartitions(*order)
+    along = placed.repartitionByRange(tasks, *order).sortWithinPartitions(*order)
     options = {} if row_group_bytes is None else {"parquet.block.size": row_group_bytes}
+    if tasks < files:
+        options["maxRecordsPerFile"] = max(1, ceil(rows.count() / files))
     write_days(along.select(*schema.fieldNames()), version_path(root, run_id), **options)
-    return ranges
+    return files

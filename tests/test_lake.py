@@ -190,6 +190,19 @@ def test_a_compaction_into_small_files_takes_few_tasks(spark, tmp_path, monkeypa
     assert lake.read_days(spark, copied).exceptAll(rows).isEmpty() and lake.read_days(spark, copied).count() == 6_000
 
 
+def test_small_clustered_files_take_few_tasks(spark, tmp_path, monkeypatch):
+    root = str(tmp_path / "lake")
+    rows, pointer = small_lake(spark, root)
+    tasks = seen_tasks(monkeypatch)
+    asked = lake.cluster_days(spark, root, pointer, "two", 2_048)
+    assert tasks == [1] and asked > 10
+    copied = lake.version_path(root, "two")
+    found = glob.glob(f"{copied}/dt=*/*.parquet")
+    assert asked <= len(found) <= asked + 3
+    assert max(pq.ParquetFile(p).metadata.num_rows for p in found) <= -(-6_000 // asked)
+    assert lake.read_days(spark, copied).exceptAll(rows).isEmpty() and lake.read_days(spark, copied).count() == 6_000
+
+
 def test_a_run_with_cut_lines(spark, tmp_path, files):  # noqa: F811
     """Fields that do not parse are published as NULL and kept as text, or rejected, or ignored."""
     text = SAMPLE.replace("view,1001", "view,x1001").replace("700.00", "seven hundred")

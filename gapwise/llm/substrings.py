@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 
 from gapwise.llm.tables import array_bytes, broadcast_if_small, utf8
 from gapwise.llm.words import in_chunks, in_slices, mixed, window_hashes, word_hashes
-from gapwise.scratch import materialize
+from gapwise.scratch import discard, materialize
 
 WINDOW = 50
 
@@ -112,23 +112,39 @@ def _runs(length: int):
     return of
 
 
-def _repeated(places: DataFrame, *hashes: str) -> DataFrame:
+def _repeated(places: DataFrame, *hashes: str, alike: str | None = None) -> DataFrame:
     """``hashes`` (renamed with a leading underscore) that occur in two documents or more, with the smallest identifier.
 
+    With ``alike`` also ``differs``: whether that column is not the same in all places of a hash.
     Written out, so that a small table can be sent to all tasks and the join to a large one can
     split the places of a hash that very many documents have.
     """
-    found = (
-        places.groupBy(*[F.col(h).alias(f"_{h}") for h in hashes])
-        .agg(F.min("doc_id").alias("first_id"), F.max("doc_id").alias("last_id"))
-        .where("first_id < last_id")
-        .drop("last_id")
-    )
-    return broadcast_if_small(materialize(found, "repeated"), 16 + 8 * len(hashes))
+    low, high = F.min("doc_id").alias("first_id"), F.max("doc_id").alias("last_id")
+    differs = [] if alike is None else [(F.min(alike) != F.max(alike)).alias("differs")]
+    found = places.groupBy(*[F.col(h).alias(f"_{h}") for h in hashes]).agg(low, high, *differs)
+    return materialize(found.where("first_id < last_id").drop("last_id"), "repeated")
+
+
+def _where(places: DataFrame, repeated: DataFrame, *hashes: str) -> DataFrame:
+    found = broadcast_if_small(repeated, 16 + 8 * len(hashes))
+    return places.join(found, [F.col(h) == F.col(f"_{h}") for h in hashes])
 
 
-def _where_repeated(places: DataFrame, *hashes: str) -> DataFrame:
-    return places.join(_repeated(places, *hashes), [F.col(h) == F.col(f"_{h}") for h in hashes])
+def _wide_repeated(places: DataFrame) -> DataFrame:
+    """Places of windows that repeat, told apart by ``hash`` and ``more`` together.
+
+    Nearly all windows that share the first hash share both, so the second one is not shuffled along
+    with the places; where it differs, places are grouped again by both.
+    """
+    found = _repeated(places, "hash", alike="more")
+    columns = ["doc_id", "at", "first_id"]
+    plain = _where(places, found.where("NOT differs").drop("differs"), "hash").select(*columns)
+    mixed_up = found.where("differs").select("_hash")
+    if mixed_up.isEmpty():
+        return plain
+    unclear = materialize(_where(places, mixed_up, "hash").drop("_hash"), "unclear")
+    both = ("hash", "more")
+    return plain.unionByName(_where(unclear, _repeated(unclear, *both), *both).select(*columns))
 
 
 def repeated_spans(
@@ -149,12 +165,15 @@ def repeated_spans(
         "doc_id IS NOT NULL AND text IS NOT NULL"
     )
     anchors = materialize(rows.mapInArrow(_anchors(half, span), _PLACE), "anchors")
+    twice = _repeated(anchors, "hash")
     live = (
-        _where_repeated(anchors, "hash")
+        _where(anchors, twice, "hash")
         .groupBy("doc_id")
         .agg(F.collect_list("at").alias("kept"))
     )
     live = materialize(live, "candidates")
+    discard(anchors)
+    discard(twice)
     doubled = (
         rows.join(broadcast_if_small(live, array_bytes("kept")), "doc_id")
         .select("doc_id", "text", "kept")
@@ -162,7 +181,7 @@ def repeated_spans(
     )
     doubled = materialize(doubled, "doubled")
     later = (
-        _where_repeated(doubled, "hash", "more")
+        _wide_repeated(doubled)
         .where("doc_id > first_id")
         .groupBy("doc_id")
         .agg(F.collect_list("at").alias("starts"))

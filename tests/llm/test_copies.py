@@ -111,3 +111,26 @@ def test_whole_windows_have_two_hashes():
     assert all(pairs[texts[i - 1].split()[at]] == (h, m) for i, at, h, m in rows)
     assert len({h for h, _ in pairs.values()}) == len({m for _, m in pairs.values()}) == len(pairs) == 16 + 11
     assert not {h for h, _ in pairs.values()} & {m for _, m in pairs.values()}
+
+
+@pytest.mark.parametrize("kept", [0, 1])
+def test_windows_that_share_one_hash_are_told_apart(spark, kept):
+    """Of three places with one first hash, two share the second one as well; another window shares none."""
+    rows = [(5, 1, 0, 70), (6, 1, 3, 71), (7, 1, 4, 70 + kept), (8, 2, 5, 9), (9, 2, 6, 9), (10, 3, 0, 9)]
+    places = spark.createDataFrame(rows, "doc_id long, hash long, at int, more long")
+    got = sorted(tuple(r) for r in substrings._wide_repeated(places).where("doc_id > first_id").collect())
+    assert got == [(7, 4, 5 + kept), (9, 6, 8)]
+
+
+def test_second_hash_and_first_pass_do_not_stay(spark, monkeypatch):
+    """Places are shuffled without the second hash, and what the first pass wrote goes before the second."""
+    gone, real = [], substrings.discard
+    monkeypatch.setattr(substrings, "discard", lambda df: (gone.append(df.columns), real(df)))
+    text = " ".join(f"w{i}" for i in range(200))
+    rows = [(i, text + f" end{i}") for i in range(4)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    spans = substrings.repeated_spans(df)
+    assert {r["doc_id"]: r["spans"] for r in spans.collect()} == {i: [0, 200] for i in (1, 2, 3)}
+    assert [c[:2] for c in gone] == [["doc_id", "hash"], ["_hash", "first_id"]]
+    plan = spans._jdf.queryExecution().optimizedPlan().toString()
+    assert "more" not in plan.split("Relation")[0]

@@ -352,6 +352,8 @@ def remove_folders(spark: SparkSession, root: str, folders: DataFrame) -> int:
 
 # Bytes that one task writes as many small files; files above that size have a task each.
 TASK_BYTES = 4 << 20
+# Files that a range is cut into at the least: the last one is shorter than the others.
+SHARED_FILES = 16
 
 
 def compact_days(
@@ -430,15 +432,16 @@ def cluster_days(
     numbers themselves, for bounds say nothing about hashes.  Ranges of the curve are cut by a sample
     into about equal files, so a user with more rows than a file takes several, by time; a file at
     the edge of two days is one of each.  Small files are cut by their number of rows out of ranges
-    that hold several, one for each task.  Returns the number of files asked for; days and tasks
-    that end within a file add one each.
+    that hold several, one for each task.  Returns the number of files asked for; only edges of days
+    may add to it.
 
     Rows without a user come first.  The rows are read twice, the first time only users and times.
     """
     # One row per calendar day.
     sizes = [r["bytes"] for r in current_day_files(spark, root, pointer).collect()]
     files = max(1, sum(ceil(size / file_bytes) for size in sizes))
-    tasks = ceil(files / max(1, TASK_BYTES // file_bytes))
+    share = TASK_BYTES // file_bytes
+    tasks = ceil(files / share) if share >= SHARED_FILES else files
     rows = current_rows(spark, root, pointer, schema)
     user, micros = F.col("user_id"), F.unix_micros("event_time_utc")
     bounds = rows.groupBy(F.col("dt").alias("_day")).agg(
@@ -455,6 +458,7 @@ def cluster_days(
     along = placed.repartitionByRange(tasks, *order).sortWithinPartitions(*order)
     options = {} if row_group_bytes is None else {"parquet.block.size": row_group_bytes}
     if tasks < files:
-        options["maxRecordsPerFile"] = max(1, ceil(rows.count() / files))
+        # A task's last file may be short: the others are larger by as much as that takes.
+        options["maxRecordsPerFile"] = max(1, ceil(rows.count() / (files - tasks + 1)))
     write_days(along.select(*schema.fieldNames()), version_path(root, run_id), **options)
     return files
